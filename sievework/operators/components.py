@@ -23,7 +23,7 @@ def star_edges(links: DataFrame, member: str, hub: str) -> DataFrame:
     return links.join(least, "h").where("m <> v").select(F.col("m").alias("u"), "v").distinct()
 
 
-def connected_components(edges: DataFrame, scratch: Scratch, jumps: int = 3, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, scratch: Scratch, jumps: int = 2, max_rounds: int = 60) -> DataFrame:
     """(node, component) of every node with an edge to another node; the component is the smallest node in it.
 
     ``edges`` has BIGINT columns u and v; direction, repeats and loops (u = v) do not matter, rows with a null are ignored. Nodes without
@@ -39,14 +39,8 @@ def connected_components(edges: DataFrame, scratch: Scratch, jumps: int = 3, max
         parent = scratch.write(parent, "parents")
         for _ in range(jumps):
             up = parent.select(F.col("node").alias("parent"), F.col("parent").alias("next"))
-            higher = parent.join(up, "parent", "left").select("node", F.coalesce("next", "parent").alias("parent"), F.col("next").isNotNull().alias("moved"))
-            higher = scratch.write(higher, "parents")
-            moved = not higher.where("moved").isEmpty()
-            scratch.drop(parent)
-            parent = higher.select("node", "parent")
-            parent._scratch_path = higher._scratch_path
-            if not moved:
-                break
+            parent = parent.join(up, "parent", "left").select("node", F.coalesce("next", "parent").alias("parent"))
+        parent = scratch.write(parent, "parents")
         if labels is None:
             # every node of the graph: those with a parent, and the local minima
             roots = e.select(F.col("v").alias("node")).distinct().join(parent, "node", "left_anti").select("node", F.col("node").alias("component"))
