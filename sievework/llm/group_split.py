@@ -105,11 +105,11 @@ def group_splits(samples: DataFrame, evidence: DataFrame, targets: DataFrame, se
     whole = np.array([total[x] for x in ("n", *labels)], dtype=float)
     bound = max(2, math.ceil(LARGE * whole[0]))
     large = sorted(sized.where(F.col("n") >= bound).collect(), key=lambda r: (-r.n, r.group_no))
-    gap = np.outer(shares, whole)
+    gap, scale = np.outer(shares, whole), np.maximum(whole, 1)
     placed = []
     for r in large:
         x = np.array([r[c] for c in ("n", *labels)], dtype=float)
-        s = int(np.argmin([np.square(((gap - np.eye(len(shares))[i][:, None] * x) / np.maximum(np.outer(shares, whole), 1))).sum() for i in range(len(shares))]))
+        s = int(np.argmin([(np.square((gap[i] - x) / scale) - np.square(gap[i] / scale)).sum() for i in range(len(names))]))
         gap[s] -= x
         placed.append((r.group_no, names[s]))
     rest = np.maximum(gap, 0)
