@@ -1,9 +1,10 @@
 """Same or near-same records across splits, by an exact prefix-filter join on rare shingles.
 
-Shingles of the instruction are ordered from rare to frequent. If two sets of sizes m and n have a similarity of at least t, they share a
-shingle among the first m - ceil(t m) + 1 of one and the first n - ceil(t n) + 1 of the other. Prefixes of the evaluation records are
+Shingles of the instruction are ordered from rare to frequent. If two sets of sizes m and n have a similarity of at least t, they share c
+shingles among the first m - ceil(t m) + c of one and the first n - ceil(t n) + c of the other. Prefixes of the evaluation records are
 joined with prefixes of the training records; a length filter, a position filter and a bitmap filter (the bits in which two hashed sets
-differ are a lower bound of their symmetric difference) run inside the join. None of them loses a pair. Survivors are checked on the texts.
+differ are a lower bound of their symmetric difference) run inside the join, and pairs that met fewer than c times are dropped. None of
+this loses a pair. Survivors are checked on the texts.
 The order comes from shingle counts over all records, hashed into a table of fixed size: any fixed order is exact, a good one is fast.
 """
 
@@ -22,6 +23,7 @@ from sievework.plans.scratch import Scratch
 
 COUNT_BITS = 17
 BITMAP_WORDS = 4
+COMMON = 4
 SIGNED = "rec_no bigint, evaluation boolean, k1 bigint, k2 bigint, n int, bitmap array<bigint>, prefix array<bigint>"
 
 
@@ -70,7 +72,7 @@ def _prefixes(samples: DataFrame, counts: np.ndarray, threshold: float) -> DataF
             k1, k2, n, bitmaps, prefix = [], [], [], [], []
             for i in ok:
                 own = np.unique(h[ends[i] - sizes[i] : ends[i]])
-                keep = len(own) - math.ceil(threshold * len(own) - 1e-9) + 1
+                keep = len(own) - math.ceil(threshold * len(own) - 1e-9) + COMMON
                 rank = (order[(own & mask).astype(np.int64)] << np.uint64(64 - COUNT_BITS)) | (own >> np.uint64(COUNT_BITS))
                 prefix.append(own[np.argsort(rank)[:keep]].astype(np.int64))
                 bits = np.zeros(64 * BITMAP_WORDS, dtype=np.uint8)
@@ -116,9 +118,10 @@ def overlap_links(samples: DataFrame, threshold: float = 0.6, scratch: Scratch |
     need = F.ceil((nx + ny) * (threshold / (1 + threshold)) - 1e-9)
     differ = sum((F.bit_count(F.col(f"x.b{i}").bitwiseXOR(F.col(f"y.b{i}"))) for i in range(BITMAP_WORDS)), F.lit(0))
     fits = (nx >= F.ceil(ny * threshold - 1e-9)) & (ny >= F.ceil(nx * threshold - 1e-9))
-    place = F.least(nx - F.col("x.pos"), ny - F.col("y.pos")) >= need
+    place = F.least(nx - F.col("x.pos"), ny - F.col("y.pos")) + (COMMON - 1) >= need
     met = x.join(y, (F.col("x.token") == F.col("y.token")) & fits & place & ((nx + ny - differ) >= 2 * need))
-    candidates = scratch.write(met.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct(), "candidates")
+    times = met.groupBy(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).agg(F.count(F.lit(1)).alias("times"))
+    candidates = scratch.write(times.where(F.col("times") >= COMMON).select("a", "b"), "candidates")
     links = verify(candidates, samples, "rec_no", "instruction", "context", threshold)
     links = scratch.write(links.select(F.col("a").alias("train"), F.col("b").alias("other"), F.col("sim_first").alias("sim_instruction"), F.col("sim_second").alias("sim_context")), "links")
     return links, members
