@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import group_split, mixture, near_duplicates, quota_sample, split_overlap, tokens
+from sievework.llm import group_split, mixture, near_duplicates, personal, quota_sample, split_overlap, tokens
 from sievework.plans.scratch import Scratch
 from sievework.sources.tables import table
 
@@ -71,8 +71,20 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.mixture(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return p10_findings(spark, d).select("doc_id", "kind", "start_at").distinct()
+
+
+def p10_findings(spark: SparkSession, d: str) -> DataFrame:
+    return personal.findings(table(spark, d, "documents"), table(spark, d, "contributors"))
+
+
+def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return personal.redact(table(spark, d, "documents"), table(spark, d, "contributors")).select("doc_id", "text", F.size("findings").cast("bigint").alias("pieces"))
+
+
 def queries() -> dict[str, Query]:
-    names = [p2_found, p2_groups, p4_found, p4_records, p4_report, p5_found, p5_report, p5_sample, p7_found, p7_splits, p8_ids, p8_decoded, p9_mixture, p9_shares]
+    names = [p2_found, p2_groups, p4_found, p4_records, p4_report, p5_found, p5_report, p5_sample, p7_found, p7_splits, p8_ids, p8_decoded, p9_mixture, p9_shares, p10_found, p10_findings, p10_redacted]
     return {f.__name__: f for f in names}
 
 
