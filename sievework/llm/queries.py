@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import group_split, mixture, near_duplicates, personal, quota_sample, split_overlap, tokens
+from sievework.llm import group_split, mixture, near_duplicates, pair_defects, personal, quota_sample, split_overlap, tokens
 from sievework.plans.scratch import Scratch
 from sievework.sources.tables import table
 
@@ -22,6 +22,10 @@ def p2_groups(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates.near_duplicate_groups(table(spark, d, "samples"))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return pair_defects.defects(table(spark, d, "samples"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return split_overlap.overlap_pairs(*split_overlap.overlap_links(table(spark, d, "samples")))
 
@@ -84,7 +88,7 @@ def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    names = [p2_found, p2_groups, p4_found, p4_records, p4_report, p5_found, p5_report, p5_sample, p7_found, p7_splits, p8_ids, p8_decoded, p9_mixture, p9_shares, p10_found, p10_findings, p10_redacted]
+    names = [p2_found, p2_groups, p3_found, p4_found, p4_records, p4_report, p5_found, p5_report, p5_sample, p7_found, p7_splits, p8_ids, p8_decoded, p9_mixture, p9_shares, p10_found, p10_findings, p10_redacted]
     return {f.__name__: f for f in names}
 
 
