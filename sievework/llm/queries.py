@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import group_split, mixture, near_duplicates, pair_defects, personal, quota_sample, split_overlap, tokens
+from sievework.llm import group_split, mixture, near_duplicates, pair_defects, personal, quota_sample, secrets, split_overlap, tokens
 from sievework.plans.scratch import Scratch
 from sievework.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return secrets.credentials(table(spark, d, "symbols")).select("rec_no", F.explode("lines").alias("line_no")).distinct()
+
+
+def p1_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return secrets.credentials(table(spark, d, "symbols")).select("rec_no", "source", F.size("lines").cast("bigint").alias("credentials"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates.all_pairs(*near_duplicates.near_duplicate_links(table(spark, d, "samples")))
 
@@ -88,7 +96,7 @@ def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    names = [p2_found, p2_groups, p3_found, p4_found, p4_records, p4_report, p5_found, p5_report, p5_sample, p7_found, p7_splits, p8_ids, p8_decoded, p9_mixture, p9_shares, p10_found, p10_findings, p10_redacted]
+    names = [p1_found, p1_redacted, p2_found, p2_groups, p3_found, p4_found, p4_records, p4_report, p5_found, p5_report, p5_sample, p7_found, p7_splits, p8_ids, p8_decoded, p9_mixture, p9_shares, p10_found, p10_findings, p10_redacted]
     return {f.__name__: f for f in names}
 
 
