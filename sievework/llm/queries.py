@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import group_split, mixture, near_duplicates, pair_defects, personal, quota_sample, secrets, split_overlap, tokens
+from sievework.llm import documented, group_split, mixture, near_duplicates, pair_defects, personal, quota_sample, secrets, split_overlap, tokens
 from sievework.plans.scratch import Scratch
 from sievework.sources.tables import table
 
@@ -58,6 +58,14 @@ def p5_sample(spark: SparkSession, d: str) -> DataFrame:
     return quota_sample.quota_sample(table(spark, d, "samples"), table(spark, d, "quota_targets"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return documented.documented_functions(table(spark, d, "symbols")).select("rec_no", "line_no").distinct()
+
+
+def p6_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return documented.documented_functions(table(spark, d, "symbols"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return group_split.sample_groups(table(spark, d, "evidence_refs"))
 
@@ -96,7 +104,7 @@ def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    names = [p1_found, p1_redacted, p2_found, p2_groups, p3_found, p4_found, p4_records, p4_report, p5_found, p5_report, p5_sample, p7_found, p7_splits, p8_ids, p8_decoded, p9_mixture, p9_shares, p10_found, p10_findings, p10_redacted]
+    names = [p1_found, p1_redacted, p2_found, p2_groups, p3_found, p4_found, p4_records, p4_report, p5_found, p5_report, p5_sample, p6_found, p6_pairs, p7_found, p7_splits, p8_ids, p8_decoded, p9_mixture, p9_shares, p10_found, p10_findings, p10_redacted]
     return {f.__name__: f for f in names}
 
 
