@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sievework.functions.paths import question_id, sample_id
 from sievework.functions.text import fill, model_json
@@ -59,7 +60,7 @@ def complete(df: DataFrame, prompt: str, factory: ModelFactory = EchoModel, atte
 
     After the last attempt the reply is null and error says why. Null prompts are not asked.
     """
-    schema = df.schema.add("reply", "string").add("tries", "int").add("error", "string")
+    schema = T.StructType([*df.schema.fields, T.StructField("reply", T.StringType()), T.StructField("tries", T.IntegerType()), T.StructField("error", T.StringType())])
 
     def run(batches: Iterable[pd.DataFrame]):
         model = factory()
@@ -89,7 +90,7 @@ def complete(df: DataFrame, prompt: str, factory: ModelFactory = EchoModel, atte
 
 def embed(df: DataFrame, text: str, factory: Callable[[], Callable] = HashEmbedder) -> DataFrame:
     """``df`` with vec, the embedding of the text; null where there is none."""
-    schema = df.schema.add("vec", "array<double>")
+    schema = T.StructType([*df.schema.fields, T.StructField("vec", T.ArrayType(T.DoubleType()))])
 
     def run(batches: Iterable[pd.DataFrame]):
         model = factory()
