@@ -112,7 +112,7 @@ def validate(samples: DataFrame, symbols: DataFrame, rules: QualityRules = Quali
     none = n_refs == 0
     negative = F.coalesce(F.col("quality.coverage.polarity") == "negative", F.lit(False))
     excused = negative & F.lit(rules.allow_negative_without_evidence)
-    autofill = F.array_contains(F.map_keys("quality.checks"), "evidence_autofill") & (F.element_at("quality.checks", F.lit("evidence_autofill")) == "true") if rules.gate_mode == "gate" else F.lit(False)
+    autofill = (F.try_element_at("quality.checks", F.lit("evidence_autofill")) == "true") if rules.gate_mode == "gate" else F.lit(False)
     errors = F.concat(_codes((none & ~excused, "EVIDENCE_MISSING")), F.coalesce("ref_errors", empty), _codes((autofill, "EVIDENCE_AUTOFILL")))
     n_answer, n_instruction = F.length(F.coalesce("answer", F.lit(""))), F.length(F.coalesce("instruction", F.lit("")))
     design = F.coalesce(F.col("scenario") == "arch_design", F.lit(False))

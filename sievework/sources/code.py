@@ -9,7 +9,7 @@ import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -116,19 +116,25 @@ def java_symbols(path: str, text: str, commit: str, rules: ParseRules) -> list[d
 def parse(files: DataFrame, commit: str, rules: ParseRules = ParseRules()) -> tuple[DataFrame, DataFrame]:
     """(symbols, skipped): symbols of (path, content), and (path, error) of the files that could not be read or parsed."""
     schema = T.StructType([*SYMBOL.fields, T.StructField("error", T.StringType())])
+    s, pairs = pa.string(), pa.map_(pa.string(), pa.string())
+    types = {"start_line": pa.int32(), "end_line": pa.int32(), "annotations": pa.list_(pa.struct([("name", s), ("arguments", pairs), ("raw_text", s)])), "metadata": pairs}
+    arrow = pa.schema([(f.name, types.get(f.name, s)) for f in schema])
 
-    def run(batches: Iterable[pd.DataFrame]):
-        columns = [f.name for f in schema]
-        for pdf in batches:
+    def run(batches: Iterable[pa.RecordBatch]):
+        for batch in batches:
             rows: list[dict] = []
-            for path, content in zip(pdf["path"], pdf["content"]):
-                path = path.replace("\\", "/")
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                path = (path or "").replace("\\", "/")
                 try:
-                    text = bytes(content).decode("utf-8")
+                    text = (content or b"").decode("utf-8")
                     rows += (python_symbols if path.endswith(".py") else java_symbols)(path, text, commit, rules)
                 except (SyntaxError, ValueError, RecursionError) as e:
                     rows.append({"file_path": path, "error": f"{type(e).__name__}: {e}"[:300]})
-            yield pd.DataFrame(rows, columns=columns)
+            for r in rows:
+                if "metadata" in r:
+                    r["metadata"] = list(r["metadata"].items())
+                    r["annotations"] = [a | {"arguments": list(a["arguments"].items()) if a["arguments"] else None} for a in r["annotations"]]
+            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
-    parsed = files.select("path", "content").mapInPandas(run, schema)
+    parsed = files.select("path", "content").mapInArrow(run, schema)
     return parsed.where("error is null").drop("error"), parsed.where("error is not null").select(F.col("file_path").alias("path"), "error")
