@@ -40,7 +40,7 @@ def statistics(samples: DataFrame) -> DataFrame:
     parts = {"instruction": F.length(F.coalesce("instruction", F.lit(""))), "context": F.length(F.coalesce("context", F.lit(""))), "answer": F.length(F.coalesce("answer", F.lit(""))), "evidence": F.greatest(F.coalesce(F.size("thought.evidence_refs"), F.lit(0)), F.lit(0))}
     aggs = [F.count(F.lit(1)).alias("samples")]
     for name, value in parts.items():
-        aggs += [F.min(value).alias(f"{name}_min"), F.max(value).alias(f"{name}_max"), F.round(F.avg(value), 4).alias(f"{name}_avg")]
+        aggs += [F.min(value).cast("bigint").alias(f"{name}_min"), F.max(value).cast("bigint").alias(f"{name}_max"), F.round(F.avg(value), 4).alias(f"{name}_avg")]
     return samples.agg(*aggs)
 
 
