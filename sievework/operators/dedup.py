@@ -14,10 +14,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievework.functions.similarity import dot, hamming, simhash
+from sievework.functions.similarity import hamming, simhash
 from sievework.operators.lookup import numbered
 from sievework.plans.scratch import Scratch
 
+#: Rows in a block of vectors that is multiplied at once.
+PACK = 1024
+
 
 def first_by(df: DataFrame, key: Column, order: str) -> DataFrame:
     """The first row by ``order`` of each key, nulls being one key. Only (key, order) is shuffled twice, rows once."""
@@ -101,7 +104,7 @@ def simhash_dedup(fps: DataFrame, max_hamming: int = 3, bits: int = 64) -> DataF
     return members.select("row", kept.alias("kept"), F.coalesce("m.kept_row", "rep").alias("kept_row"), F.coalesce("m.distance", F.lit(0)).cast("int").alias("distance"))
 
 
-def cosine_pairs(vectors: DataFrame, threshold: float, cells: int = 32, sample: int = 4096, seed: int = 3) -> DataFrame:
+def cosine_pairs(vectors: DataFrame, threshold: float, cells: int = 32, sample: int = 4096, seed: int = 3, scratch: Scratch | None = None) -> DataFrame:
     """(a, b, similarity), a < b: all pairs of (row, vec) with a cosine of at least ``threshold``; exact.
 
     Vectors are spread over cells around centres, which are picked from at most ``sample`` rows (a documented bound: they decide the speed,
@@ -138,11 +141,26 @@ def cosine_pairs(vectors: DataFrame, threshold: float, cells: int = 32, sample:
                 ["row", "cell", "home", "unit"],
             )
 
-    spread = vectors.select(F.col("row").cast("bigint"), "vec").mapInArrow(place, "row bigint, cell int, home boolean, unit array<double>")
-    x, y = spread.alias("x"), spread.where("home").alias("y")
-    sim = dot(F.col("x.unit"), F.col("y.unit"))
-    met = x.join(y, (F.col("x.cell") == F.col("y.cell")) & (F.col("x.row") < F.col("y.row"))).select(F.col("x.row").alias("a"), F.col("y.row").alias("b"), sim.alias("similarity"))
-    return met.where(F.col("similarity") >= threshold)
+    scratch = scratch or Scratch(vectors.sparkSession, "cosine")
+    spread = scratch.write(vectors.select(F.col("row").cast("bigint"), "vec").mapInArrow(place, "row bigint, cell int, home boolean, unit array<double>"), "cells")
+    # blocks of about PACK rows, so a cell with most of the rows is many tasks' work
+    sizes = {r["cell"]: max(1, math.ceil(r["n"] / PACK)) for r in spread.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes:
+        return vectors.sparkSession.createDataFrame([], "a bigint, b bigint, similarity double")
+    many = F.create_map(*[F.lit(x) for item in sizes.items() for x in item])
+    part = F.pmod(F.xxhash64("row"), many[F.col("cell")]).alias("part")
+    packed = spread.groupBy("cell", "home", part).agg(F.collect_list("row").alias("rows"), F.flatten(F.collect_list("unit")).alias("flat"))
+    x, y = packed.select("cell", F.col("rows").alias("xr"), F.col("flat").alias("xf")), packed.where("home").select("cell", F.col("rows").alias("yr"), F.col("flat").alias("yf"))
+
+    def multiply(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                xr, xf, yr, yf = (batch.column(k)[i].values.to_numpy() for k in range(4))
+                sim = xf.reshape(-1, dim) @ yf.reshape(-1, dim).T
+                u, v = np.nonzero((sim >= threshold) & (xr[:, None] < yr[None, :]))
+                yield pa.RecordBatch.from_arrays([pa.array(xr[u]), pa.array(yr[v]), pa.array(sim[u, v])], ["a", "b", "similarity"])
+
+    return x.join(y, "cell").select("xr", "xf", "yr", "yf").mapInArrow(multiply, "a bigint, b bigint, similarity double")
 
 
 def semantic_dedup(vectors: DataFrame, threshold: float = 0.92, max_candidates: int | None = 2000, max_rounds: int = 100) -> DataFrame:
@@ -153,7 +171,7 @@ def semantic_dedup(vectors: DataFrame, threshold: float = 0.92, max_candidates:
     changes. What does not change obeys the rule for every row in order, so it is the one result.
     """
     scratch = Scratch(vectors.sparkSession, "semantic")
-    pairs = scratch.write(cosine_pairs(vectors, threshold), "pairs")
+    pairs = scratch.write(cosine_pairs(vectors, threshold, scratch=scratch), "pairs")
     rows = scratch.write(numbered(vectors.select("row"), "row", "i"), "rows")
     use, gone, last = pairs, None, None
     for _ in range(max_rounds):
