@@ -387,15 +387,15 @@ def diversity(spark: SparkSession, d: str) -> DataFrame:
     return distributions.diversity(lookup.numbered(Scratch(spark, "diversity").write(fps, "fps"), "rec_no"))
 
 
-@query("with e as (select vec_id, embedding::DOUBLE[] as v from embeddings) select x.vec_id as a, y.vec_id as b, round(list_cosine_similarity(x.v, y.v), 4) as similarity from e x join e y on x.vec_id < y.vec_id where list_cosine_similarity(x.v, y.v) >= 0.92")
+@query("with e as (select vec_id, embedding::DOUBLE[] as v from embeddings) select x.vec_id as a, y.vec_id as b, round(list_cosine_similarity(x.v, y.v), 4) as similarity from e x join e y on x.vec_id < y.vec_id where list_cosine_similarity(x.v, y.v) >= 0.4")
 def semantic_pairs(spark: SparkSession, d: str) -> DataFrame:
     vecs = table(spark, d, "embeddings").select(F.col("vec_id").alias("row"), F.col("embedding").alias("vec"))
-    return dedup.cosine_pairs(vecs, 0.92).select("a", "b", F.round("similarity", 4).alias("similarity"))
+    return dedup.cosine_pairs(vecs, 0.4).select("a", "b", F.round("similarity", 4).alias("similarity"))
 
 
 @query()
 def semantic_dedup(spark: SparkSession, d: str) -> DataFrame:
-    return dedup.semantic_dedup(table(spark, d, "embeddings").select(F.col("vec_id").alias("row"), F.col("embedding").alias("vec")), 0.92, 2000)
+    return dedup.semantic_dedup(table(spark, d, "embeddings").select(F.col("vec_id").alias("row"), F.col("embedding").alias("vec")), 0.4, 2000)
 
 
 # --- retrieval
