@@ -46,12 +46,20 @@ def p4_report(spark: SparkSession, d: str) -> DataFrame:
     return split_overlap.overlap_report(table(spark, d, "samples"))
 
 
+def _plan(spark: SparkSession, d: str) -> DataFrame:
+    return quota_sample.quota_plan(table(spark, d, "samples"), table(spark, d, "quota_targets"))
+
+
+def p5_plan(spark: SparkSession, d: str) -> DataFrame:
+    return _plan(spark, d)
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return p5_report(spark, d).where("short").select("scenario", "bucket", "polarity")
 
 
 def p5_report(spark: SparkSession, d: str) -> DataFrame:
-    return quota_sample.quota_plan(table(spark, d, "samples"), table(spark, d, "quota_targets"))
+    return _plan(spark, d).select("scenario", "bucket", "polarity", "pool_records", "wanted", "short")
 
 
 def p5_sample(spark: SparkSession, d: str) -> DataFrame:
@@ -104,9 +112,46 @@ def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    names = [p1_found, p1_redacted, p2_found, p2_groups, p3_found, p4_found, p4_records, p4_report, p5_found, p5_report, p5_sample, p6_found, p6_pairs, p7_found, p7_splits, p8_ids, p8_decoded, p9_mixture, p9_shares, p10_found, p10_findings, p10_redacted]
+    names = [p1_found, p1_redacted, p2_found, p2_groups, p3_found, p4_found, p4_records, p4_report, p5_found, p5_report, p5_plan, p5_sample, p6_found, p6_pairs, p7_found, p7_splits, p8_ids, p8_decoded, p9_mixture, p9_shares, p10_found, p10_findings, p10_redacted]
     return {f.__name__: f for f in names}
 
 
+_CELLS = """
+spelled as (select rec_no, nullif(regexp_replace(regexp_replace(lower(scenario), '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g'), '[\\s\\p{Z}-]', '_', 'g'), '') as scenario,
+  nullif(regexp_replace(regexp_replace(lower(quality.coverage.bucket), '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g'), '[\\s\\p{Z}-]', '_', 'g'), '') as bucket,
+  nullif(regexp_replace(regexp_replace(lower(quality.coverage.polarity), '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g'), '[\\s\\p{Z}-]', '_', 'g'), '') as polarity from samples where quality.passed),
+size as (select floor(0.3 * count(*) + 1e-9) as n from samples where quality.passed),
+cells as (select q.scenario, q.bucket, q.polarity, count(s.rec_no) as have, greatest(q.target_share * any_value(size.n), q.min_rows) as want from quota_targets q cross join size left join spelled s on s.scenario = q.scenario and s.bucket = q.bucket and s.polarity = q.polarity group by q.scenario, q.bucket, q.polarity, q.target_share, q.min_rows)
+"""
+
+_FILES = """
+links as (select distinct sample_no as rec_no, nullif(regexp_replace(regexp_replace(coalesce(nullif(file_path, ''), split_part(symbol_id, ':', 1)), '[\\\\/]+', '/', 'g'), '^(\\./)+', ''), '') as file from evidence_refs where sample_no is not null)
+"""
+
+
+def _similar_pairs(second: str, where: str) -> str:
+    """Every pair of rows, by counting shared substrings through the substrings of the instruction: what the definition says, written out."""
+    text = lambda c: f"regexp_replace(lower(coalesce({c}, '')), '[^\\p{{L}}\\p{{N}}]', '', 'g')"
+    cut = lambda c: f"list_distinct(list_transform(generate_series(1, length({c}) - 4), lambda i: substr({c}, i, 5)))"
+    return f"""with n as (select rec_no, split, {text("instruction")} as x, {text(second)} as y from samples),
+    s as (select rec_no, split, {cut("x")} as sx, {cut("y")} as sy from n where length(x) >= 20 and length(y) >= 60),
+    g as (select rec_no, len(sx) as n, unnest(sx) as gram from s),
+    c as (select a.rec_no as rec_a, b.rec_no as rec_b, count(*) as k, any_value(a.n) as na, any_value(b.n) as nb from g a join g b on a.gram = b.gram and a.rec_no < b.rec_no group by 1, 2),
+    p as (select rec_a, rec_b from c where k >= 0.6 * (na + nb - k))
+    select rec_a, rec_b from p join s a on a.rec_no = rec_a join s b on b.rec_no = rec_b
+    where len(list_intersect(a.sy, b.sy)) >= 0.6 * (len(a.sy) + len(b.sy) - len(list_intersect(a.sy, b.sy))) {where}"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "p2_found": _similar_pairs("answer", ""),
+        "p4_found": _similar_pairs("context", "and a.split in ('train', 'val', 'test') and b.split in ('train', 'val', 'test') and (a.split = 'train') <> (b.split = 'train')"),
+        "p5_found": f"with {_CELLS} select scenario, bucket, polarity from cells where have < want",
+        "p5_report": f"with {_CELLS} select scenario, bucket, polarity, have as pool_records, want as wanted, have < want as short from cells",
+        # the smallest rec_no that every sample reaches over shared files
+        "p7_found": f"""with recursive {_FILES}, known as (select rec_no, file from links where file is not null),
+            edge as (select distinct a.rec_no as u, b.m as v from known a join (select file, min(rec_no) as m from known group by file) b on a.file = b.file),
+            steps as (select u, v from edge union select v, u from edge),
+            reach(u, v) as (select u, v from steps union select r.u, s.v from reach r join steps s on r.v = s.u)
+            select u as rec_no, min(v) as group_no from reach group by u""",
+    }
