@@ -72,7 +72,7 @@ def priority(profile: LanguageProfile, annotations: Column, doc: Column, start_l
 
 
 def keyword_score(tokens: Column, qualified_name: Column, path: Column, source: Column, profile: LanguageProfile | None = None) -> Column:
-    """For every token the weight of the first of name, path and source that contains it, and with a profile 1 for every keyword in the name."""
+    """For every token the weight of the first of name, path and source that contains it, and with a profile 1 for every keyword in the name; 0 without tokens."""
     n, p, s = (F.lower(F.coalesce(c, F.lit(""))) for c in (qualified_name, path, source))
     weights = (profile.name_weight, profile.path_weight, profile.source_weight) if profile else (10.0, 5.0, 1.0)
     one = lambda t: F.when(F.contains(n, t), F.lit(weights[0])).when(F.contains(p, t), F.lit(weights[1])).when(F.contains(s, t), F.lit(weights[2])).otherwise(F.lit(0.0))
@@ -80,4 +80,4 @@ def keyword_score(tokens: Column, qualified_name: Column, path: Column, source:
     if profile:
         for word in profile.keywords:
             score = score + F.contains(n, F.lit(word)).cast("double")
-    return score
+    return F.when(F.size(tokens) > 0, score).otherwise(F.lit(0.0))

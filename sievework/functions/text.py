@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -47,11 +49,17 @@ def embedding_text(name: Column, summary: Column, rules: Column, labels: Column)
 
 
 def fill(template: str, **values: Column) -> Column:
-    """A prompt: every {name} of the template replaced by a column, null by nothing. {{ and }} stand for braces."""
-    out = F.lit(template.replace("{{", "\x01").replace("}}", "\x02"))
-    for name, value in values.items():
-        out = F.replace(out, F.lit("{" + name + "}"), F.coalesce(value.cast("string"), F.lit("")))
-    return F.replace(F.replace(out, F.lit("\x01"), F.lit("{")), F.lit("\x02"), F.lit("}"))
+    """A prompt: every {name} of the template replaced by a column, null by nothing. {{ and }} stand for braces, unknown names stay."""
+    parts = []
+    for piece in re.findall(r"\{\{|\}\}|\{\w+\}|[^{}]+|[{}]", template):
+        name = piece[1:-1]
+        if piece in ("{{", "}}"):
+            parts.append(F.lit(piece[0]))
+        elif piece[0] == "{" and name in values:
+            parts.append(F.coalesce(values[name].cast("string"), F.lit("")))
+        else:
+            parts.append(F.lit(piece))
+    return F.concat(F.lit(""), *parts)
 
 
 def bare_json(text: Column) -> Column:

@@ -31,11 +31,11 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, keep_corrup
     if not exists(spark, path):
         empty = spark.createDataFrame([], full)
         return empty if keep_corrupt else empty.drop(CORRUPT)
-    rows = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
-    if keep_corrupt:
-        return rows
-    # the parser cannot prune the corrupt column together with all others, so it is tested on whole rows
-    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    # parsed line by line: the reader of JSON files refuses queries over its corrupt records alone
+    lines = spark.read.text(path).where("trim(value) <> ''")
+    parsed = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    rows = lines.select(parsed.alias("r")).select("r.*")
+    return rows if keep_corrupt else rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def write_jsonl(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
