@@ -70,6 +70,7 @@ def _classes() -> np.ndarray:
 
 WIDTH = 128
 _NO_PRIOR = 20
+_OPENING = ",，:：;；、([{<（《“‘-—=+*/\\|&@#"
 
 
 def _mapped(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -107,7 +108,9 @@ def end_likelihood(counts: np.ndarray, text: str) -> float:
     last, anywhere = counts[0, c[0], c[1]], counts[1, c[0], c[1]]
     if anywhere < _NO_PRIOR:
         last, anywhere = counts[0, :, c[1]].sum(), counts[1, :, c[1]].sum()
-    return float(np.log((last + 0.5) / (anywhere + 1.0))) if anywhere >= _NO_PRIOR else (0.0 if c[1] not in (2, 3, 4) else -9.0)
+    if anywhere < _NO_PRIOR:  # too little text to tell: letters, digits and marks that open or join do not end a text
+        return -9.0 if c[1] in (2, 3, 4) or text[-1:] in _OPENING else 0.0
+    return float(np.log((last + 0.5) / (anywhere + 1.0)))
 
 
 def open_structure(text: str) -> bool:

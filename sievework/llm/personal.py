@@ -235,8 +235,11 @@ def placeholder(f: Feistel, kind: str, form: str, s: str) -> str:
     elif kind == "birth_date":
         shown = f.date(parse_day(p.replace("-", "")), b"b").isoformat()
     elif kind in ("phone", "id_number"):
-        keep = {"mobile": len(re.sub(r"\D", "", p)) - 8, "plus": 2}.get(form, 0)
-        shown = pseudonym_digits(f, p, max(0, keep))
+        keep = 0
+        if kind == "phone" and (m := re.match(r"\(?(\+|00)(\d+)", p)):
+            code = {"us": 1, "mobile": 2, "uk": 2, "fr": 2, "zero": 1}.get(form, min(2, len(m.group(2))))
+            keep = code + (2 if m.group(1) == "00" else 0)  # the country stays
+        shown = pseudonym_digits(f, p, keep)
     else:
         shown = f.tag(kind, re.sub(r"\s+", " ", p).lower())
     return f"[{kind.upper()} {shown}]"
