@@ -119,7 +119,8 @@ LEAD_IN = re.compile(r".*(?:住在|住于|寄到|寄往|寄至|送到|送往|位
 EN_STREET = r"(?:Street|Road|Avenue|Lane|Boulevard|Drive|Court|Square|Terrace|Crescent|Place|Close|Way|Blvd\.?|St\.?|Rd\.?|Ave\.?|Ln\.?|Dr\.?|Ct\.?)"
 EN_ADDRESS = re.compile(rf"(?<![A-Za-z0-9_.,/-])\d{{1,5}}[A-Z]?(?: [NSEW]\.?)?(?: [A-Z][a-z'’]+){{1,3}} {EN_STREET}(?![A-Za-z0-9_-])(?:,? (?:Apt|Suite|Unit|Flat)\.? ?\w{{1,6}}|,? #\w{{1,6}})?(?:(?:,[ ]?|\r?\n)(?:[A-Z][a-z]+)(?: [A-Z][a-z]+)?(?: \d{{5}})?(?![A-Za-z]))?")
 DE_ADDRESS = re.compile(r"(?<![A-Za-zÄÖÜäöüß])(?:[A-ZÄÖÜ][a-zäöüß]+(?:er|en|e) (?:Weg|Straße|Strasse|Str\.|Gasse|Platz|Allee|Ring|Ufer|Damm)|[A-ZÄÖÜ][a-zäöüß]{2,}(?:weg|straße|strasse|str\.|gasse|platz|allee|ring|ufer|damm)) \d{1,4}[a-z]?(?![\w-])(?:, \d{5} [A-ZÄÖÜ][a-zäöüß]+)?")
-WORD = re.compile(r"(?<![A-Za-z0-9_@.+#`$-])[A-Z][A-Za-z]{3,}(?![A-Za-z0-9_@`(+])")
+WORD = re.compile(r"(?<![A-Za-z0-9_@.+#`$-])[A-Z][A-Za-z]{3,}(?![A-Za-z0-9_@+])")
+GLUED = re.compile(r"(?:[A-Z][a-z]{3,}|[A-Z]{4,})(?=[A-Z][a-z])")
 INITIAL_BEFORE = re.compile(r"(?:(?<![A-Za-z0-9_.])([A-Z])\. ?)(?:[A-Z]\. ?)?$")
 GIVEN_BEFORE = re.compile(r"(?<![A-Za-z0-9_@.+#`$-])([A-Z][A-Za-z]{2,})(?:[ ]+[A-Z]\.?)?[ ]+$")
 GIVEN_AFTER = re.compile(r"(?:, ?| )(?:([A-Z][A-Za-z]{2,})(?![A-Za-z0-9_@])(?: [A-Z]\.(?![A-Za-z]))?|([A-Z])\.(?![A-Za-z0-9]))")
@@ -197,10 +198,13 @@ def find(text: str, stock: NameStock, han: re.Pattern | None) -> list[Span]:
             add(*m.span(1), "birth_date", "")
     end = 0
     for m in WORD.finditer(t):
+        a, b = m.span()
         sure = stock.kind(m.group()) & 10
-        if m.start() < end or not sure:
+        if not sure and (part := GLUED.match(m.group())):  # the next sentence follows without a blank
+            b = a + part.end()
+            sure = stock.kind(part.group()) & 2 and 16
+        if a < end or not sure:
             continue
-        a, b = m.span()
         g = GIVEN_BEFORE.search(t, max(end, a - 40), a)
         if g and stock.kind(g.group(1)) & 5:
             a = g.start(1)

@@ -27,6 +27,7 @@ def found(text):
         ("cc Zelune Nysby, T. Lodshaw and Wexlowe, Ostika.", [("name", "Zelune Nysby"), ("name", "T. Lodshaw"), ("name", "Wexlowe, Ostika")]),
         ("Mrs Jorael HARGLOWE wrote; Kaelune Y. Korvath agreed.", [("name", "Jorael HARGLOWE"), ("name", "Kaelune Y. Korvath")]),
         ("感谢公冶棠筝和Tobika Thalkander的评审意见", [("name", "公冶棠筝"), ("name", "Tobika Thalkander")]),
+        ("联系Kaelika Lodshaw（邮箱：x）和Ostika Wexby`go`，抄送Havisk W. HargloweMandateFactory 会", [("name", "Kaelika Lodshaw"), ("name", "Ostika Wexby"), ("name", "Havisk W. Harglowe")]),
         ("mail zelune.nysby+pricing@post.example.Then go", [("email", "zelune.nysby+pricing@post.example")]),
         ("a [at] b.example, c(at)d(dot)example, e at f dot example. g＠h.test", [("email", "a [at] b.example"), ("email", "c(at)d(dot)example"), ("email", "e at f dot example"), ("email", "g＠h.test")]),
         ("也可以发邮件到K-B@POST.EXAMPLE。", [("email", "K-B@POST.EXAMPLE")]),
