@@ -171,8 +171,8 @@ def mixture(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULA
     have = sizes.groupBy("source").agg(F.sum("n_tokens").alias("available_tokens"))
     used = mix.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.max("copies").alias("repeats"), F.min("copies").alias("least"))
     goal = targets.select(spelled(F.col("source")).alias("source"), "target_share", F.col("max_repeats").cast("bigint").alias("max_repeats"))
-    total = used.agg(F.sum("tokens").alias("all_tokens"))
-    shares = goal.join(have, "source", "left").join(used, "source", "left").crossJoin(F.broadcast(total))
+    total = mix.agg(F.sum(F.col("n_tokens") * F.col("copies"))).first()[0]
+    shares = goal.join(have, "source", "left").join(used, "source", "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
-    shares = shares.select("source", "target_share", (zero("tokens") / F.col("all_tokens")).alias("actual_share"), zero("tokens").alias("tokens"), zero("available_tokens").alias("available_tokens"), "max_repeats", zero("repeats").alias("repeats"), (zero("tokens") >= zero("available_tokens") * F.col("max_repeats")).alias("capped"))
+    shares = shares.select("source", "target_share", (zero("tokens") / F.lit(total).cast("bigint")).alias("actual_share"), zero("tokens").alias("tokens"), zero("available_tokens").alias("available_tokens"), "max_repeats", zero("repeats").alias("repeats"), (zero("tokens") >= zero("available_tokens") * F.col("max_repeats")).alias("capped"))
     return mix, shares

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.llm import documented, group_split, mixture, near_duplicates, pair_defects, personal, quota_sample, secrets, split_overlap, tokens
-from sievework.plans.scratch import Scratch
 from sievework.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,8 +86,7 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_decoded(spark: SparkSession, d: str) -> DataFrame:
-    scratch = Scratch(spark, "decoded")
-    return tokens.decode(scratch.write(tokens.encode(table(spark, d, "documents")), "ids"))
+    return tokens.decode(tokens.encode(table(spark, d, "documents")))
 
 
 def p9_mixture(spark: SparkSession, d: str) -> DataFrame:

@@ -13,7 +13,7 @@ import os
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.plans.scratch import Scratch
@@ -96,15 +96,28 @@ def encode(documents: DataFrame, key: str = "doc_id", text: str = "text", vocabu
     return joined.mapInArrow(place, "key bigint, ids array<int>").withColumnRenamed("key", key)
 
 
-def pieces(spark: SparkSession, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(id, piece): the vocabulary as a table; its size is that of the vocabulary file, about 50,000 rows."""
-    return spark.createDataFrame([(i, p) for p, i in ranks(vocabulary).items()], "id int, piece binary")
+def decode(encoded: DataFrame, key: str = "doc_id", vocabulary: str = VOCABULARY) -> DataFrame:
+    """(key, text): the texts behind (key, ids), through a join of ids with pieces.
 
+    The vocabulary is a table of fixed size, so every worker holds it and the join is a lookup by position: rows stay where they are and no
+    id is shuffled. No ids (also null) give an empty text; ids outside the vocabulary stand for nothing, and bytes that are no UTF-8 for the
+    replacement character.
+    """
 
-def decode(encoded: DataFrame, key: str = "doc_id", vocabulary: str = VOCABULARY) -> DataFrame:
-    """(key, text): the texts behind (key, ids), through a join of ids with pieces. No ids (also null) give an empty text."""
-    one = encoded.select(F.monotonically_increasing_id().alias("_row"), key, "ids").select("_row", key, F.posexplode_outer("ids").alias("pos", "id"))
-    found = one.join(F.broadcast(pieces(encoded.sparkSession, vocabulary)), "id", "left")
-    hexed = F.when(F.col("pos").isNotNull(), F.struct("pos", F.hex("piece").alias("h")))
-    whole = found.groupBy("_row", key).agg(F.sort_array(F.collect_list(hexed)).alias("p"))
-    return whole.select(key, F.decode(F.unhex(F.array_join(F.transform("p", lambda x: x["h"]), "")), "UTF-8").alias("text"))
+    def run(batches):
+        by_id = {i: p for p, i in ranks(vocabulary).items()}
+        pieces = pa.array([by_id.get(i) for i in range(max(by_id) + 1)], pa.binary())
+        for batch in batches:
+            ids = batch.column(1)
+            flat = ids.flatten()
+            known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(pieces)))
+            taken = pc.fill_null(pieces.take(pc.if_else(known, flat, pa.scalar(None, flat.type))), b"")
+            ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))])
+            whole = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), taken), b"")
+            try:
+                text = whole.cast(pa.string())
+            except pa.ArrowInvalid:
+                text = pa.array([x.decode("utf-8", "replace") for x in whole.to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), text], ["key", "text"])
+
+    return encoded.select(F.col(key).cast("bigint"), "ids").mapInArrow(run, "key bigint, text string").withColumnRenamed("key", key)

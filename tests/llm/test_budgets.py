@@ -127,6 +127,8 @@ def test_encoding_equals_the_library_and_decodes(spark):
     assert got == {i: t.encode(x or "", add_special_tokens=False).ids for i, x in enumerate(TEXTS * 2)}
     back = {r.doc_id: r.text for r in tokens.decode(tokens.encode(df)).collect()}
     assert back == {i: x or "" for i, x in enumerate(TEXTS * 2)}
+    odd = spark.createDataFrame([(1, [0, None, 99_999_999, -1, 1]), (2, None), (3, [222])], "doc_id bigint, ids array<int>")
+    assert {r.doc_id: r.text for r in tokens.decode(odd).collect()} == {1: '!"', 2: "", 3: "\ufffd"}
     assert tokens.encode(df.limit(0)).count() == 0
 
 
