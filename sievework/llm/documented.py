@@ -7,6 +7,8 @@ assignment on position, parameter tags and names. Links that are not direct, cod
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 from dataclasses import dataclass, field
 
@@ -50,14 +52,17 @@ def parts(source: str, python: bool) -> tuple[str, list[tuple[int, int]], dict[i
     return "".join([*out, source[at:]]), comments, strings
 
 
-def closing(code: str, at: int) -> int:
-    """The position of the bracket that closes the one at ``at``; the end of the code if none does."""
-    depth, pair = 0, {"(": ")", "{": "}"}[code[at]]
-    for m in re.finditer(re.escape(code[at]) + "|" + re.escape(pair), code[at:]):
-        depth += 1 if m.group() == code[at] else -1
-        if depth == 0:
-            return at + m.start()
-    return len(code)
+def brackets(code: str) -> dict[int, int]:
+    """For every opening bracket the position of the one that closes it; the end of the code if none does."""
+    out, open_ = {}, {"(": [], "{": []}
+    pair = {")": "(", "}": "{"}
+    for m in re.finditer(r"[(){}]", code):
+        c = m.group()
+        if c in open_:
+            open_[c].append(m.start())
+        elif open_[pair[c]]:
+            out[open_[pair[c]].pop()] = m.start()
+    return out | {at: len(code) for rest in open_.values() for at in rest}
 
 
 def merged(source: str, code: str, comments: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -76,14 +81,14 @@ def merged(source: str, code: str, comments: list[tuple[int, int]]) -> list[tupl
 
 def near(source: str, code: str, a: int, b: int) -> bool:
     """Whether the comment a..b stands directly above what follows: no blank line, or one below a documentation comment."""
-    rest = code[b:]
-    gap = rest[: len(rest) - len(rest.lstrip())]
+    gap = re.compile(r"\s*").match(code, b).group()
     return gap.count("\n") <= (2 if source.startswith("/**", a) else 1)
 
 
 def java_functions(source: str) -> list[Function]:
     code, comments, _ = parts(source, False)
-    blocks = merged(source, code, comments)
+    blocks, shuts = merged(source, code, comments), brackets(code)
+    starts = [a for a, _ in blocks]
     stops, depth = [-1], 0
     for m in re.finditer(r"[(){};]", code):
         c = m.group()
@@ -95,28 +100,29 @@ def java_functions(source: str) -> list[Function]:
         name = m.group(1)
         if name in NOT_NAMES:
             continue
-        shut = closing(code, m.end() - 1)
+        shut = shuts[m.end() - 1]
         after = AFTER.match(code, shut + 1)
         if not after:
             continue
-        stop = max((s for s in stops if s < m.start()), default=-1)
+        stop = stops[bisect.bisect_left(stops, m.start()) - 1]
         head = code[stop + 1 : m.start()]
         # annotations, then modifiers and a type
         at = 0
         while a := ANNOTATION.match(head, at):
             at = a.end()
             if at < len(head) and head[at] == "(":
-                at = closing(head, at) + 1
+                at = min(shuts[stop + 1 + at] - stop, len(head))
         kind = head[at:].strip()
         if not kind and not (name[0].isupper() and after.group(1) == "{" and re.search(rf"\b(?:class|enum|record)\s+{re.escape(name)}\b", code)):
             continue
         if kind and (kind[-1] in ".?&," or not re.fullmatch(r"[\w$.<>\[\],?&\s@]+", kind) or kind.split()[-1] in NOT_TYPES or set(kind.split()) & NOT_TYPES):
             continue
         begin = stop + 1 + len(head) - len(head.lstrip())
-        end = closing(code, after.end() - 1) + 1 if after.group(1) == "{" else after.end()
+        end = shuts[after.end() - 1] + 1 if after.group(1) == "{" else after.end()
         names = frozenset(re.findall(r"([\w$]+)\s*(?:\[\s*\])?\s*(?:,|$)", code[m.end() : shut]))
         f = Function(name, m.start(1), begin, end, names)
-        above = [(a, b) for a, b in blocks if stop < a and b <= stop + 1 + at + (len(head[at:]) - len(head[at:].lstrip())) and near(source, code, a, b)]
+        last = stop + 1 + at + (len(head[at:]) - len(head[at:].lstrip()))
+        above = [(a, b) for a, b in blocks[bisect.bisect_right(starts, stop) : bisect.bisect_left(starts, last)] if b <= last and near(source, code, a, b)]
         f.above = above[-1:]
         out.append(f)
     return out
@@ -124,25 +130,29 @@ def java_functions(source: str) -> list[Function]:
 
 def python_functions(source: str) -> list[Function]:
     code, comments, strings = parts(source, True)
-    blocks = merged(source, code, comments)
+    blocks, shuts = merged(source, code, comments), brackets(code)
     heads = list(DEF.finditer(code))
     lines = [0, *(m.end() for m in re.finditer("\n", code))]
+    ends = [b - 1 for _, b in blocks]
+    filled = [(m.start(), len(m.group(1).expandtabs()), m.group(2)) for m in re.finditer(r"^([ \t]*)(\S)", code, re.M)]
+    at_line = [x[0] for x in filled]
     out = []
-    for k, m in enumerate(heads):
+    for m in heads:
         indent = len(m.group(1).expandtabs())
         end = len(code)
-        for other in re.finditer(r"^([ \t]*)\S", code[m.end() :], re.M):
-            if other.start() and len(other.group(1).expandtabs()) <= indent and code[m.end() + other.start() :].lstrip()[:1] not in (")",):
-                end = m.end() + other.start()
+        for start, other, mark in itertools.islice(filled, bisect.bisect_right(at_line, m.start()), None):
+            if other <= indent and mark != ")":
+                end = start
                 break
-        row = next(i for i in range(len(lines) - 1, -1, -1) if lines[i] <= m.start())
+        row = bisect.bisect_right(lines, m.start()) - 1
         above, start, i, depth = [], lines[row], row - 1, 0
         while i >= 0:
             text = code[lines[i] : lines[i + 1]].strip()
-            block = next(((a, b) for a, b in blocks if lines[i] <= b - 1 < lines[i + 1]), None)
+            k = bisect.bisect_left(ends, lines[i])
+            block = blocks[k] if k < len(blocks) and ends[k] < lines[i + 1] else None
             if block and not text:
                 above.append(block)
-                i = next(j for j in range(i, -1, -1) if lines[j] <= block[0]) - 1
+                i = bisect.bisect_right(lines, block[0]) - 2
             elif text.startswith("@") or depth < 0 or text.startswith(")"):
                 depth += text.count("(") - text.count(")")
                 start = lines[i]
@@ -154,7 +164,7 @@ def python_functions(source: str) -> list[Function]:
         f.above = above
         paren = code.find("(", m.end())
         if paren >= 0:
-            shut = closing(code, paren)
+            shut = shuts[paren]
             f.params = frozenset(re.findall(r"(?:^|,)\s*\*{0,2}(\w+)", code[paren + 1 : shut])) - {"self", "cls"}
             colon = re.compile(r"[^\n:]*:").match(code, shut + 1)
             if colon:
@@ -170,8 +180,12 @@ def python_functions(source: str) -> list[Function]:
 
 def functions(source: str, python: bool) -> list[Function]:
     found = python_functions(source) if python else java_functions(source)
-    for f in found:
-        f.depth = sum(g is not f and g.start <= f.at < g.end and g.at < f.at for g in found)
+    around: list[int] = []  # ends of the functions that are open
+    for f in sorted(found, key=lambda f: f.at):
+        while around and around[-1] <= f.at:
+            around.pop()
+        f.depth = len(around)
+        around.append(f.end)
     return found
 
 
@@ -287,7 +301,7 @@ def pairs(source: str, path: str, kind: str | None, doc: str | None, name: str |
         top = [i for i, f in enumerate(found) if f.depth == 0]
         outer = next((i for i in top if found[i].name == name), top[0])
         candidates.append((doc, {outer: 1.0}))
-    score = [[0.0] * len(candidates) for _ in found]
+    score: dict[tuple[int, int], float] = {}
     texts: dict[tuple[int, int], str] = {}
     for j, (raw, places) in enumerate(candidates):
         for i, place in places.items():
@@ -295,19 +309,42 @@ def pairs(source: str, path: str, kind: str | None, doc: str | None, name: str |
             if text:
                 said = tags(raw)
                 agree = len(said & found[i].params) / len(said) if said else 0.0
-                score[i][j] = place + 0.5 * agree + (0.25 if found[i].name in raw else 0.0)
+                score[i, j] = place + 0.5 * agree + (0.25 if found[i].name in raw else 0.0)
                 texts[i, j] = text
-    if not texts:
-        return []
-    rows = sorted({i for i, _ in texts})
-    cols = sorted({j for _, j in texts})
-    # most sources have no rivals: every text can go to one function only
-    if all(sum(score[i][j] > 0 for i in rows) == 1 for j in cols):
-        chosen = {i: max((j for j in cols if score[i][j] > 0), key=lambda j: score[i][j]) for i in rows}
-    else:
-        got = assignment([[score[i][j] for j in cols] for i in rows])
-        chosen = {rows[k]: cols[j] for k, j in enumerate(got) if j >= 0}
-    return [(source.count("\n", 0, found[i].at) + 1, found[i].name, source[found[i].start : found[i].end].strip(), texts[i, j]) for i, j in sorted(chosen.items(), key=lambda x: found[x[0]].at)]
+    newlines = [m.start() for m in re.finditer("\n", source)]
+    out = []
+    for i, j in sorted(matched(score).items(), key=lambda x: found[x[0]].at):
+        f = found[i]
+        out.append((bisect.bisect_left(newlines, f.at) + 1, f.name, source[f.start : f.end].strip(), texts[i, j]))
+    return out
+
+
+def matched(score: dict[tuple[int, int], float]) -> dict[int, int]:
+    """The maximum assignment of rows to columns over sparse scores, each connected part on its own."""
+    parent: dict[tuple[str, int], tuple[str, int]] = {}
+
+    def find(x: tuple[str, int]) -> tuple[str, int]:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for i, j in score:
+        parent[find(("row", i))] = find(("col", j))
+    parts: dict[tuple[str, int], list[tuple[int, int]]] = {}
+    for link in score:
+        parts.setdefault(find(("row", link[0])), []).append(link)
+    out = {}
+    for links in parts.values():
+        if len({i for i, _ in links}) == 1:  # no rivals
+            i, j = max(links, key=lambda x: score[x])
+            out[i] = j
+            continue
+        rows, cols = sorted({i for i, _ in links}), sorted({j for _, j in links})
+        for i, k in zip(rows, assignment([[score.get((i, j), 0.0) for j in cols] for i in rows])):
+            if k >= 0:
+                out[i] = cols[k]
+    return out
 
 
 def documented_functions(symbols: DataFrame) -> DataFrame:
