@@ -36,11 +36,12 @@ def connected_components(edges: DataFrame, scratch: Scratch, jumps: int = 2, max
         if e.isEmpty():
             break
         parent = e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("parent"))
-        parent = scratch.write(parent, "parents")
+        first = parent = scratch.write(parent, "parents")
         for _ in range(jumps):
             up = parent.select(F.col("node").alias("parent"), F.col("parent").alias("next"))
             parent = parent.join(up, "parent", "left").select("node", F.coalesce("next", "parent").alias("parent"))
         parent = scratch.write(parent, "parents")
+        scratch.drop(first)
         if labels is None:
             # every node of the graph: those with a parent, and the local minima
             roots = e.select(F.col("v").alias("node")).distinct().join(parent, "node", "left_anti").select("node", F.col("node").alias("component"))
