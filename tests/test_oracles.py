@@ -6,6 +6,8 @@ import glob
 import os
 
 import duckdb
+import numpy as np
+import pandas as pd
 import pytest
 
 from sievework.plans import catalog
@@ -13,11 +15,11 @@ from sievework.plans import catalog
 
 def rows(df) -> list[tuple]:
     def cell(v):
-        if v is None or v != v:
+        if pd.isna(v):
             return "null"
         if isinstance(v, bool) or type(v).__name__ == "bool_":
             return str(bool(v))
-        if isinstance(v, float):
+        if isinstance(v, (float, np.floating)):
             return f"{v:.6g}"
         return str(v)
 
