@@ -9,10 +9,13 @@ from sievework.functions.paths import slashes, without_line
 
 
 def symbol_map(symbols: DataFrame, order: str = "rec_no") -> DataFrame:
-    """One row for each normalised symbol_id, the last by ``order``; rows without a symbol_id are left out. Adds the column ``sid``."""
+    """One row for each normalised symbol_id, the last by ``order``; rows without a symbol_id are left out. Adds the column ``sid``.
+
+    The join has the id as its only key, so finding the last row and dropping what repeats it need one shuffle of the symbols.
+    """
     named = symbols.where("symbol_id is not null").withColumn("sid", slashes(F.col("symbol_id")))
     latest = named.groupBy("sid").agg(F.max(order).alias("_last"))
-    return named.join(latest, (named["sid"] == latest["sid"]) & (named[order] == latest["_last"])).drop(latest["sid"]).drop("_last").dropDuplicates(["sid"])
+    return named.join(latest, (named["sid"] == latest["sid"]) & (named[order] >= latest["_last"])).drop(latest["sid"]).drop("_last").dropDuplicates(["sid"])
 
 
 def evidence(samples: DataFrame, key: str = "rec_no", refs: str = "thought.evidence_refs", *extra: str) -> DataFrame:
@@ -128,13 +131,6 @@ def expand_calls(seeds: DataFrame, symbols: DataFrame, max_depth: int = 1, most:
     return seen.where("depth > 0").orderBy("depth", "node").limit(most).select(F.col("node").alias(order), "depth")
 
 
-def first_of(df: DataFrame, key: Column, order: str) -> DataFrame:
-    """One row for each key, the first by ``order``, in a plan without a window: rows of equal keys are combined before the shuffle."""
-    keyed = df.withColumn("_key", key)
-    least = keyed.groupBy("_key").agg(F.min(order).alias("_first"))
-    return keyed.join(least, keyed["_key"].eqNullSafe(least["_key"]) & (keyed[order] == least["_first"])).drop("_first").drop(keyed["_key"]).drop("_key")
-
-
 def numbered(df: DataFrame, order: str, name: str = "row") -> DataFrame:
     """``df`` with the position (0, 1, ...) of each row by ``order``, without sorting all rows in one task.
 

@@ -101,10 +101,10 @@ def validate(samples: DataFrame, symbols: DataFrame, rules: QualityRules = Quali
     """``samples`` with the column ``verdict``: STRUCT<gate_version, passed, errors, warnings, checks, stats>.
 
     A record that does not parse has the one error SCHEMA_INVALID and no trace check. Null thought, quality and coverage are allowed. Rows
-    with equal keys share their reference issues, so the key must be unique; other columns are kept as they are.
+    with equal keys share their reference issues, so the key must be unique; other columns are kept as they are. All that a row tells by
+    itself is worked out before the join, so a query that wants only verdicts shuffles codes and no texts.
     """
     t = rules.trace
-    df = samples.join(ref_issues(samples, symbols, rules, key), key, "left").withColumn("_ok", schema_ok(rules))
     empty = F.array().cast("array<string>")
     listed = lambda path: F.coalesce(F.col(path), empty)
     refs = F.col("thought.evidence_refs")
@@ -113,7 +113,7 @@ def validate(samples: DataFrame, symbols: DataFrame, rules: QualityRules = Quali
     negative = F.coalesce(F.col("quality.coverage.polarity") == "negative", F.lit(False))
     excused = negative & F.lit(rules.allow_negative_without_evidence)
     autofill = (F.try_element_at("quality.checks", F.lit("evidence_autofill")) == "true") if rules.gate_mode == "gate" else F.lit(False)
-    errors = F.concat(_codes((none & ~excused, "EVIDENCE_MISSING")), F.coalesce("ref_errors", empty), _codes((autofill, "EVIDENCE_AUTOFILL")))
+    own = {"_ok": schema_ok(rules), "_e0": _codes((none & ~excused, "EVIDENCE_MISSING")), "_e1": _codes((autofill, "EVIDENCE_AUTOFILL")), "_w0": _codes((none & excused, "EVIDENCE_MISSING_NEGATIVE"))}
     n_answer, n_instruction = F.length(F.coalesce("answer", F.lit(""))), F.length(F.coalesce("instruction", F.lit("")))
     design = F.coalesce(F.col("scenario") == "arch_design", F.lit(False))
     tops = F.size(F.array_distinct(F.filter(F.transform(F.coalesce(refs, F.array()), lambda r: F.split(slashes(r["file_path"]), "/")[0]), lambda x: F.length(x) > 0)))
@@ -145,7 +145,10 @@ def validate(samples: DataFrame, symbols: DataFrame, rules: QualityRules = Quali
     applies = (design if t.scope == "arch_design" else F.lit(True)) & (~none | F.lit(not t.require_evidence_refs))
     missing = [(F.col("thought").isNull(), "TRACE_MISSING")] if t.require_trace_structure else []
     trace = F.when(applies, _codes(*missing, *steps)).otherwise(empty)
-    warnings = F.concat(_codes((none & excused, "EVIDENCE_MISSING_NEGATIVE")), F.coalesce("ref_warnings", empty), _codes(*lengths, *plan), trace)
+    own["_w1"] = F.concat(_codes(*lengths, *plan), trace)
+    own["_stats"] = F.struct(F.length(F.coalesce("context", F.lit(""))).alias("context_chars"), n_answer.alias("answer_chars"), n_refs.alias("evidence_refs"))
+    df = samples.withColumns(own).join(ref_issues(samples, symbols, rules, key), key, "left")
+    errors, warnings = F.concat("_e0", F.coalesce("ref_errors", empty), "_e1"), F.concat("_w0", F.coalesce("ref_warnings", empty), "_w1")
     df = df.withColumn("_e", F.when(F.col("_ok"), errors).otherwise(F.array(F.lit("SCHEMA_INVALID")))).withColumn("_w", F.when(F.col("_ok"), warnings).otherwise(empty))
 
     def status(check: str) -> Column:
@@ -162,9 +165,8 @@ def validate(samples: DataFrame, symbols: DataFrame, rules: QualityRules = Quali
         passed &= F.size("_w") == 0
     if t.mode == "reject":
         passed &= of["trace"] != "warn"
-    stats = F.struct(F.length(F.coalesce("context", F.lit(""))).alias("context_chars"), n_answer.alias("answer_chars"), n_refs.alias("evidence_refs"))
-    verdict = F.struct(F.lit(rules.gate_version).alias("gate_version"), passed.alias("passed"), F.col("_e").alias("errors"), F.col("_w").alias("warnings"), checks.alias("checks"), stats.alias("stats"), F.col("quality.coverage").alias("coverage"))
-    return df.withColumn("verdict", verdict).drop("_ok", "_e", "_w", "ref_errors", "ref_warnings")
+    verdict = F.struct(F.lit(rules.gate_version).alias("gate_version"), passed.alias("passed"), F.col("_e").alias("errors"), F.col("_w").alias("warnings"), checks.alias("checks"), F.col("_stats").alias("stats"), F.col("quality.coverage").alias("coverage"))
+    return df.withColumn("verdict", verdict).drop(*own, "_e", "_w", "ref_errors", "ref_warnings")
 
 
 def clean(validated: DataFrame) -> DataFrame:
