@@ -131,19 +131,23 @@ def expand_calls(seeds: DataFrame, symbols: DataFrame, max_depth: int = 1, most:
     return seen.where("depth > 0").orderBy("depth", "node").limit(most).select(F.col("node").alias(order), "depth")
 
 
-def numbered(df: DataFrame, order: str, name: str = "row") -> DataFrame:
-    """``df`` with the position (0, 1, ...) of each row by ``order``, without sorting all rows in one task.
+def numbered(df: DataFrame, order: str, name: str = "row", within: str | None = None) -> DataFrame:
+    """``df`` with the position (0, 1, ...) of each row by ``order``, in all or ``within`` each value of a column of few values (not null).
 
-    Rows are range-partitioned; the sizes of the partitions, one number for each, are summed on the driver.
+    No task sorts all rows: they are range-partitioned, and the sizes of the partitions, one number for each (and value), are summed on the
+    driver.
     """
     spark = df.sparkSession
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ranged = df.repartitionByRange(n, order).withColumn("_part", F.spark_partition_id())
-    sizes = {r["_part"]: r["n"] for r in ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
-    before, offsets = 0, []
-    for p in sorted(sizes):
-        offsets.append((p, before))
-        before += sizes[p]
-    starts = spark.createDataFrame(offsets, "_part int, _before bigint")
-    inside = Window.partitionBy("_part").orderBy(order)
-    return ranged.join(F.broadcast(starts), "_part").withColumn(name, F.col("_before") + F.row_number().over(inside) - 1).drop("_part", "_before")
+    keys = ["_part", *([within] if within else [])]
+    before: dict = {}
+    offsets = []
+    for r in sorted(ranged.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: r["_part"]):
+        value = r[within] if within else None
+        offsets.append((*([r["_part"], value] if within else [r["_part"]]), before.get(value, 0)))
+        before[value] = before.get(value, 0) + r["n"]
+    kind = f", `{within}` {df.schema[within].dataType.simpleString()}" if within else ""
+    starts = spark.createDataFrame(offsets, f"_part int{kind}, _before bigint")
+    inside = Window.partitionBy(*keys).orderBy(order)
+    return ranged.join(F.broadcast(starts), keys).withColumn(name, F.col("_before") + F.row_number().over(inside) - 1).drop("_part", "_before")

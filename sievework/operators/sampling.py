@@ -32,9 +32,10 @@ def reservoir_positions(n: int, k: int, seed: int) -> list[int]:
 
 
 def at_positions(df: DataFrame, order: str, positions: Sequence[int]) -> DataFrame:
-    """The rows at the given positions (0, 1, ... by ``order``), with their slot."""
+    """The rows at the given positions (0, 1, ... by ``order``, which is unique), with their slot. Only ``order`` is sorted, not the rows."""
     picks = df.sparkSession.createDataFrame([(i, s) for s, i in enumerate(positions)], "_row bigint, slot bigint")
-    return numbered(df, order, "_row").join(picks, "_row").drop("_row")
+    chosen = numbered(df.select(order), order, "_row").join(picks, "_row").drop("_row")
+    return df.join(chosen, order)
 
 
 def reservoir(df: DataFrame, k: int, order: str, seed: int = 42) -> DataFrame:
@@ -43,19 +44,15 @@ def reservoir(df: DataFrame, k: int, order: str, seed: int = 42) -> DataFrame:
 
 
 def in_strata(df: DataFrame, stratum: Column, order: str, name: str = "stratum") -> tuple[DataFrame, dict]:
-    """``df`` with its stratum and the position in it, and the size of each stratum."""
-    keyed = df.withColumn(name, stratum)
+    """(order, stratum, position in it) of every row, and the size of each stratum. ``order`` is unique."""
+    keyed = df.select(order, stratum.alias(name))
     sizes = {r[name]: r["n"] for r in keyed.groupBy(name).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first")).orderBy("first").collect()}
-    parts = [numbered(keyed.where(F.col(name).eqNullSafe(F.lit(v))), order, "_row") for v in sizes]
-    out = parts[0] if parts else keyed.withColumn("_row", F.lit(0).cast("bigint"))
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out, sizes
+    return numbered(keyed, order, "_row", name), sizes
 
 
-def _joined(df: DataFrame, strata: DataFrame, picks: list[tuple], kind: str) -> DataFrame:
-    table = df.sparkSession.createDataFrame(picks, f"stratum {kind}, _row bigint, slot bigint")
-    return strata.join(table, ["stratum", "_row"]).drop("_row")
+def _joined(df: DataFrame, strata: DataFrame, picks: list[tuple], order: str) -> DataFrame:
+    table = df.sparkSession.createDataFrame(picks, "stratum string, _row bigint, slot bigint")
+    return df.join(strata.join(table, ["stratum", "_row"]).drop("_row"), order)
 
 
 def stratified(df: DataFrame, stratum: Column, targets: Mapping[str, int] | int, order: str, seed: int = 42) -> DataFrame:
@@ -65,7 +62,7 @@ def stratified(df: DataFrame, stratum: Column, targets: Mapping[str, int] | int,
     for s, n in sizes.items():
         k = targets if isinstance(targets, int) else targets.get(s, 0)
         picks += [(s, i, slot) for slot, i in enumerate(reservoir_positions(n, k, seed))]
-    return _joined(df, strata, picks, "string")
+    return _joined(df, strata, picks, order)
 
 
 def by_coverage(samples: DataFrame, targets: Mapping[str, float], total: int, order: str, seed: int = 42) -> DataFrame:
@@ -164,7 +161,7 @@ def quota_sample(samples: DataFrame, targets: Mapping[str, float] | None, order:
     plan = QuotaPlan(counts, targets, seed, negative_ratio)
     name = lambda b, sign: b if sign is None else f"{b}/{'neg' if sign else 'pos'}"
     picks = [(name(b, sign), i, BUCKETS.index(filled)) for filled, rows in plan.picked.items() for b, sign, i in rows]
-    out = _joined(samples, strata, picks, "string")
+    out = _joined(samples, strata, picks, order)
     return out.withColumn("filled", F.element_at(F.array(*[F.lit(b) for b in BUCKETS]), F.col("slot").cast("int") + 1)).drop("slot", "stratum"), plan
 
 
