@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.functions.paths import slashes, without_line
+from sievework.plans.scratch import Scratch
 
 
 def symbol_map(symbols: DataFrame, order: str = "rec_no") -> DataFrame:
@@ -135,11 +136,12 @@ def numbered(df: DataFrame, order: str, name: str = "row", within: str | None =
     """``df`` with the position (0, 1, ...) of each row by ``order``, in all or ``within`` each value of a column of few values (not null).
 
     No task sorts all rows: they are range-partitioned, and the sizes of the partitions, one number for each (and value), are summed on the
-    driver.
+    driver. The bounds of the ranges come from a random sample that each run of a plan draws anew, so the partitioned rows are written once
+    and read by both the count and the result; give this function the columns that are needed, not whole texts.
     """
     spark = df.sparkSession
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = df.repartitionByRange(n, order).withColumn("_part", F.spark_partition_id())
+    ranged = Scratch(spark, "numbered").write(df.repartitionByRange(n, order).withColumn("_part", F.spark_partition_id()))
     keys = ["_part", *([within] if within else [])]
     before: dict = {}
     offsets = []

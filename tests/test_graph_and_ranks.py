@@ -54,3 +54,11 @@ def test_numbered(spark):
     got = numbered(spark.createDataFrame([(i,) for i in ids], "id bigint"), "id").collect()
     assert {r.id: r.row for r in got} == {v: i for i, v in enumerate(sorted(ids))}
     assert numbered(spark.createDataFrame([], "id bigint"), "id").count() == 0
+
+
+def test_numbered_does_not_depend_on_sampled_bounds(spark):
+    df = spark.range(0, 200_000, 1, 4).selectExpr("id * 7919 % 200003 as id", "if(id % 3 = 0, 'a', 'b') as k")
+    got = numbered(df, "id").selectExpr("count(*) as n", "count(distinct row) as d", "min(row) as lo", "max(row) as hi").first()
+    assert tuple(got) == (200_000, 200_000, 0, 199_999)
+    by = numbered(df, "id", "row", "k").groupBy("k").agg({"row": "max", "*": "count"}).collect()
+    assert all(r["max(row)"] + 1 == r["count(1)"] for r in by)
