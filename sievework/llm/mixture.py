@@ -2,8 +2,8 @@
 
 Documents are counted by source and exact token length; only these counts reach the driver (lengths from LONG on are counted in 64 classes
 an octave, so the table is bounded whatever the corpus). A source's budget is met by whole repeats, then by a part of one more repeat: the
-same part of every length first, then single documents from the longest down, and for the last tokens a bounded knapsack over the lengths
-that still have documents. Which documents of a length are taken is decided by a seeded order.
+same part of every length first (of the long classes together, rounded once), then single documents from the longest down, and for the last
+tokens a bounded knapsack over the lengths that still have documents. Which documents of a length are taken is decided by a seeded order.
 """
 
 from __future__ import annotations
@@ -98,6 +98,18 @@ def fit(target: int, counts: dict[int, int]) -> dict[int, int]:
     return out
 
 
+def fit_long(target: int, share: float, classes: dict[int, tuple[int, int]]) -> dict[int, int]:
+    """How many of each class (documents, greatest length) to take: ``share`` of all, from the longest down. What a class is due beyond
+    whole documents goes on to the next one, so small classes lose none; even with their greatest lengths all stay within ``target``."""
+    out, due, left = {}, 0.5, target
+    for c, (n, most) in sorted(classes.items(), key=lambda x: -x[1][1]):
+        due += n * share
+        out[c] = min(n, int(due), left // most)
+        due -= out[c]
+        left -= out[c] * most
+    return out
+
+
 @dataclass
 class MixPlan:
     """whole: repeats of every document of a source; more: by (source, length class), documents that get one repeat more."""
@@ -116,13 +128,16 @@ def sized(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
 def plan_mixture(sizes: DataFrame, targets: DataFrame, seed: int) -> MixPlan:
     rows = {spelled_: (share, most) for spelled_, share, most in targets.select(spelled(F.col("source")), "target_share", "max_repeats").collect()}
-    counted = sizes.groupBy("source", "length").agg(F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("tokens")).collect()
+    counted = sizes.groupBy("source", "length").agg(F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("tokens"), F.max("n_tokens").alias("most")).collect()
     plan = MixPlan(total=sum(r.tokens for r in counted))
     size, short, long = defaultdict(int), defaultdict(dict), defaultdict(dict)
     for r in counted:
         if r.source in rows and r.tokens:
             size[r.source] += r.tokens
-            (short if r.length > 0 else long)[r.source][r.length] = r.n
+            if r.length > 0:
+                short[r.source][r.length] = r.n
+            else:
+                long[r.source][r.length] = r.n, r.most
     budget = budgets(plan.total, [(s, share, size[s], most) for s, (share, most) in sorted(rows.items())])
     part = {}
     for s in rows:
@@ -130,17 +145,23 @@ def plan_mixture(sizes: DataFrame, targets: DataFrame, seed: int) -> MixPlan:
             plan.whole[s] = min(budget[s] // size[s], rows[s][1])
             part[s] = budget[s] - plan.whole[s] * size[s] if plan.whole[s] < rows[s][1] else 0
     for s in part:
-        for c, n in long[s].items():
-            plan.more[s, c] = int(n * part[s] / size[s])
-    if any(plan.more.values()):  # the exact size of the long documents taken
-        taken = {r.source: r.tokens for r in _ranked(sizes.where("length < 0"), plan, seed).where("rank <= k").groupBy("source").agg(F.sum("n_tokens").alias("tokens")).collect()}
-        for s, tokens in taken.items():
-            if tokens > part[s]:
-                plan.more.update({(s, c): 0 for c in long[s]})
-            else:
-                part[s] -= tokens
+        for c, k in fit_long(part[s], part[s] / size[s], long[s]).items():
+            plan.more[s, c] = k
+    rest, grown = dict(part), True
+    while grown:
+        if any(plan.more.values()):  # the exact size of the long documents taken
+            taken = _ranked(sizes.where("length < 0"), plan, seed).where("rank <= k").groupBy("source").agg(F.sum("n_tokens").alias("tokens")).collect()
+            rest = part | {r.source: part[r.source] - r.tokens for r in taken}
+        grown = False
+        for s in part:  # long documents more, where all short ones would not fill the rest
+            room, small = rest[s], sum(n * k for n, k in short[s].items())
+            for c, (n, most) in sorted(long[s].items(), key=lambda x: -x[1][1]):
+                while plan.more[s, c] < n and most <= room and room > small:
+                    plan.more[s, c] += 1
+                    room -= most
+                    grown = True
     for s in part:
-        for n, k in fit(part[s], short[s]).items():
+        for n, k in fit(rest[s], short[s]).items():
             plan.more[s, n] = k
     return plan
 

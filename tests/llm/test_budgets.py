@@ -188,3 +188,23 @@ def test_long_documents_keep_to_the_budget(spark):
     mix, shares = mixture.mixture(df, targets)
     got = {r.source: r for r in shares.collect()}
     assert got["a"].actual_share <= 0.3 + 1e-4 and got["a"].repeats == 1 and mix.where("source = 'a'").count() > 0
+
+
+def test_long_documents_fill_the_budget(spark):
+    lengths = [20_000 + 680 * i for i in range(60)]
+    total = 2 * sum(lengths)
+    rows = [(i, "a", n) for i, n in enumerate(lengths)] + [(100, "b", sum(lengths))]
+    sizes = spark.createDataFrame(rows, "doc_id bigint, source string, n_tokens bigint").withColumn("length", mixture.length_class(F.col("n_tokens")))
+    for share in (0.1, 0.25):  # of a corpus of twice the size: parts of 0.2 and 0.5
+        targets = spark.createDataFrame([("a", share, 1), ("b", 1 - share, 2)], "source string, target_share double, max_repeats int")
+        got = [r.n_tokens for r in mixture._ranked(sizes, mixture.plan_mixture(sizes, targets, 9), 9).where("source = 'a' and rank <= k").collect()]
+        assert share * total - max(lengths) / 2 < sum(got) <= share * total
+        assert min(got) < 30_000 and max(got) > 50_000
+
+
+def test_long_classes_are_rounded_together():
+    classes = {-c: (1, 20_000 + 600 * c) for c in range(60)}
+    size = sum(most for _, most in classes.values())
+    for share in (0.2, 0.3, 0.5):
+        got = mixture.fit_long(int(share * size), share, classes)
+        assert abs(sum(got.values()) - 60 * share) <= 1 and sum(k * classes[c][1] for c, k in got.items()) <= share * size
