@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.pseudonym import Feistel, parse_day, pseudonym_cn_id, pseudonym_digits, valid_cn_id
+from sievework.llm.pseudonym import Feistel, parse_day, pseudonym_cn_id, pseudonym_digits, pseudonym_id, valid_cn_id
 
 KINDS = ("name", "email", "phone", "id_number", "address")
 #: Signs with a full-width form, mapped one to one so that positions stay.
@@ -238,9 +238,11 @@ def placeholder(f: Feistel, kind: str, form: str, s: str) -> str:
         shown = f"{c[:6]} {c[6:14]} {c[14:]}" if " " in p else c
     elif kind == "birth_date":
         shown = f.date(parse_day(p.replace("-", "")), b"b").isoformat()
-    elif kind in ("phone", "id_number"):
+    elif kind == "id_number":
+        shown = pseudonym_id(f, p)
+    elif kind == "phone":
         keep = 0
-        if kind == "phone" and (m := re.match(r"\(?(\+|00)(\d+)", p)):
+        if m := re.match(r"\(?(\+|00)(\d+)", p):
             code = {"us": 1, "mobile": 2, "uk": 2, "fr": 2, "zero": 1}.get(form, min(2, len(m.group(2))))
             keep = code + (2 if m.group(1) == "00" else 0)  # the country stays
         shown = pseudonym_digits(f, p, keep)

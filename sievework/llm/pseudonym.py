@@ -9,12 +9,16 @@ import datetime as dt
 import hashlib
 import math
 import re
+import string
 
 ROUNDS = 10
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1), dt.date(2059, 12, 31)
 #: Weights and check characters of 18-digit resident identity numbers (GB 11643, ISO 7064 MOD 11-2).
 CN_WEIGHTS = (7, 9, 10, 5, 8, 4, 2, 1, 6, 3, 7, 9, 10, 5, 8, 4, 2)
 CN_CHECK = "10X98765432"
+#: Identity numbers with letters: national insurance, and German cards with their own alphabet. They have no check character.
+NINO = re.compile(r"[A-Z]{2}[0-9]{6}[A-D]")
+CARD = re.compile(r"(?=(?:[A-Z]*[0-9]){1,6}[A-Z]*$)[CFGHJKLMNPRTVWXYZ][CFGHJKLMNPRTVWXYZ0-9]{8}")
 
 
 class Feistel:
@@ -46,15 +50,16 @@ class Feistel:
     def digits(self, s: str, tweak: bytes = b"", inverse: bool = False) -> str:
         return str(self.number(int(s), 10 ** len(s), tweak + b"d", inverse)).zfill(len(s)) if s else s
 
-    def letters(self, s: str, alphabet: str, tweak: bytes = b"", inverse: bool = False) -> str:
+    def mixed(self, s: str, alphabets: list[str], tweak: bytes = b"", inverse: bool = False) -> str:
+        """Each character has its own alphabet; all are permuted together, as one number."""
         x = 0
-        for c in s:
-            x = x * len(alphabet) + alphabet.index(c)
-        x = self.number(x, len(alphabet) ** len(s), tweak + b"l", inverse)
+        for c, a in zip(s, alphabets):
+            x = x * len(a) + a.index(c)
+        x = self.number(x, math.prod(map(len, alphabets)), tweak + b"m", inverse)
         out = ""
-        for _ in s:
-            x, r = divmod(x, len(alphabet))
-            out = alphabet[r] + out
+        for a in reversed(alphabets):
+            x, r = divmod(x, len(a))
+            out = a[r] + out
         return out
 
     def date(self, d: dt.date, tweak: bytes = b"", inverse: bool = False) -> dt.date:
@@ -96,3 +101,22 @@ def pseudonym_digits(f: Feistel, s: str, keep: int = 0, inverse: bool = False) -
     kept = "".join(d[:keep])
     new = iter(kept + f.digits("".join(d[keep:]), b"p%d" % keep + kept.encode(), inverse))
     return re.sub(r"[0-9]", lambda _: next(new), s)
+
+
+def pseudonym_id(f: Feistel, s: str, inverse: bool = False) -> str:
+    """Letters and digits are permuted as one number, letters to letters and digits to digits; every other character keeps its place.
+
+    The cycle is walked until the result is a national insurance number, a card number or neither as ``s`` is.
+    """
+    chars = "".join(re.findall(r"[0-9A-Z]", s))
+    if chars.isdigit():
+        return pseudonym_digits(f, s, inverse=inverse)
+    kind = lambda c: (bool(NINO.fullmatch(c)), bool(CARD.fullmatch(c)))
+    shape = re.sub("[A-Z]", "A", re.sub("[0-9]", "0", chars))
+    new = chars
+    while True:
+        new = f.mixed(new, [string.digits if c == "0" else string.ascii_uppercase for c in shape], shape.encode(), inverse)
+        if kind(new) == kind(chars):
+            break
+    rest = iter(new)
+    return re.sub(r"[0-9A-Z]", lambda _: next(rest), s)

@@ -104,3 +104,21 @@ def test_redaction_links_equal_values(spark):
     assert "Zelune" not in one.text and ID not in one.text and one.findings[1].start_at == 15
     assert {(r.doc_id, r.text, len(r.findings)) for r in rows if r.doc_id in (3, 4)} == {(3, None, 0), (4, "", 0)}
     assert personal.findings(df.limit(0), people).count() == 0
+
+
+@pytest.mark.parametrize("s,form", [("X0ZLLZN09", "card"), ("XZ2637774", "pass"), ("QQ 42 06 31 D", "nino"), ("AB-12345-CD6789", "label"), ("945-88-3556", "ssn")])
+def test_letters_of_identity_numbers_are_permuted(s, form):
+    p = pseudonym.pseudonym_id(F, s)
+    shape = lambda x: ["A" if c.isalpha() else "0" if c.isdigit() else c for c in x]
+    assert shape(p) == shape(s) and pseudonym.pseudonym_id(F, p, inverse=True) == s
+    letters = lambda x: "".join(c for c in x if c.isalpha())
+    assert not letters(s) or letters(p) != letters(s)
+    assert personal.placeholder(F, "id_number", form, s) == f"[ID_NUMBER {p}]"
+    if form in ("card", "pass", "nino"):
+        assert personal.NUMBER.fullmatch(p).lastgroup == form
+
+
+def test_spacing_does_not_change_a_pseudonym():
+    assert pseudonym.pseudonym_id(F, "QQ 42 06 31 D").replace(" ", "") == pseudonym.pseudonym_id(F, "QQ420631D")
+    values = [f"A{i}{c}" for i in range(10) for c in "ABCD"]
+    assert len({pseudonym.pseudonym_id(F, v) for v in values}) == len(values)
