@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
+import itertools
 import math
 import re
 from collections import Counter
@@ -41,6 +43,7 @@ NAME = r"[A-Za-z_$][\w$.-]*"
 BEFORE = re.compile(rf"(?:[\"'](?P<q>[\w.$ -]+)[\"']\s*(?:\]\s*)?[:=,]|(?P<n>{NAME})(?:[ \t]*:[ \t]*[\w\[\], .<>|]+)?\s*(?::=|\?\?=|=>|[:=])|(?P<call>{NAME})\s*\(|[\"'](?P<h>[\w.-]+)[\"']\s*\]\s*=)\s*\(?\s*(?:new String\(|[\w.]*(?:decode|Decoder\(\)\.decode|b64decode|fromhex|unhexlify|unquote|getBytes)\w*\()*\s*[rbfuRBFU]?$")
 LOGIN_CALL = re.compile(r"(?i)(?:open|connect|getconnection|login|createconnection|authenticate|basicauth|basic_auth|httpbasicauth|usernamepasswordcredentials|passwordauthentication|credentials|auth)\s*\([^()]*$")
 CONFIG = re.compile(r"^(?P<lead>\s*(?:(?:#|//|;|--)+\s*)?(?:-\s+)?(?:export\s+|set\s+)?)(?P<key>[\"']?[A-Za-z_][\w.\-]*[\"']?)(?P<sep>\s*[:=]\s*)(?P<value>.*?)\s*$")
+BLOCK = re.compile(r"[|>](?:[+-]?[1-9]?|[1-9][+-])(?:\s+#.*)?")
 XML_PAIR = re.compile(r"(?:name|key|id)\s*=\s*[\"'](?P<key>[\w.\-]+)[\"'][^<>]*?\bvalue\s*=\s*[\"'](?P<value>[^\"'<>]*)[\"']|<(?P<tag>[\w.\-]+)(?:\s[^<>]*)?>(?P<text>[^<>]+)</(?P=tag)>|(?P<attr>[\w.\-]+)\s*=\s*[\"'](?P<av>[^\"'<>]*)[\"']")
 SECRET_WORDS = frozenset("password passwd passphrase passcode pwd pass pw secret secrets token credential credentials cred creds apikey accesskey secretkey privatekey authkey apitoken authtoken clientsecret".split())
 KEY_OWNERS = frozenset("api access partner private client signing auth encryption secret master service account shared storage app hmac crypto deploy license admin root push hook webhook session".split())
@@ -228,37 +231,63 @@ def judged(value: str, wanted: bool) -> bool:
 Hit = tuple[int, list[tuple[int, int]]]
 
 
+def block_lines(lines: list[str], i: int) -> list[int]:
+    """The lines of the YAML block scalar that line i opens: those indented deeper, blank ones between them included."""
+    depth = lambda k: len(lines[k]) - len(lines[k].lstrip())
+    out, k = [], i + 1
+    while k < len(lines) and (not lines[k].strip() or depth(k) > depth(i)):
+        if lines[k].strip():
+            out.append(k)
+        k += 1
+    return out
+
+
+def odd_end(piece: str) -> bool:
+    """Whether it ends with a backslash that is not escaped, and so goes on in the next line."""
+    return (len(piece) - len(piece.rstrip("\\"))) % 2 == 1
+
+
 def settings(text: str, decoded: bool = False):
-    """(start, end) of the live values of ``key = value`` and ``key: value`` lines."""
-    at = 0
+    """The spans of every live value of ``key = value`` and ``key: value`` lines: one, or one for each line of a block or continuation."""
     lines = text.split("\n")
+    at = [0, *itertools.accumulate(len(x) + 1 for x in lines)]
     for i, line in enumerate(lines):
         m = CONFIG.match(line.rstrip("\r"))
-        if m:
-            raw, key = m["value"], m["key"].strip("\"'")
-            start = at + m.start("value")
-            if raw in ("|", ">", "|-", ">-", "|+", ">+") and i + 1 < len(lines):
-                nxt = lines[i + 1]
-                raw = nxt.strip()
-                start = at + len(line) + 1 + (len(nxt) - len(nxt.lstrip()))
-                block = raw
-                for more in lines[i + 2 :]:
-                    if not more.strip() or len(more) - len(more.lstrip()) < len(nxt) - len(nxt.lstrip()):
-                        break
-                    block += more.strip()
-                if holds_credential(key) and not block.startswith("-----") and judged(block, True):
-                    yield start, start + len(raw)
-                at += len(line) + 1
+        if not m:
+            continue
+        raw, key = m["value"], m["key"].strip("\"'")
+        start = at[i] + m.start("value")
+        if BLOCK.fullmatch(raw) and i + 1 < len(lines):
+            if not holds_credential(key):
                 continue
-            if raw and raw[0] in "\"'" and (close := raw.find(raw[0], 1)) > 0:
-                raw, start = raw[1:close], start + 1
-            else:
-                raw = re.split(r"\s+[#;]\s", raw)[0].rstrip(",").rstrip()
-                if raw.endswith("\\") and not decoded:
-                    raw = raw[:-1]
-            if raw and holds_credential(key) and not PEM.search(raw) and judged(raw, True):
-                yield start, start + len(raw)
-        at += len(line) + 1
+            body = block_lines(lines, i)
+            joined = "".join(lines[k].strip() for k in body)
+            if joined and not joined.startswith("-----") and judged(joined, True):
+                inner = list(settings("\n".join(lines[k] for k in body), True))  # lines that are settings themselves have their own hit
+                base = [0, *itertools.accumulate(len(lines[k]) + 1 for k in body)]
+                own = {bisect.bisect_right(base, x) - 1 for spans in inner for x, _ in spans}
+                spans = [(at[k] + len(lines[k]) - len(lines[k].lstrip()), at[k] + len(lines[k].rstrip())) for n, k in enumerate(body) if n not in own]
+                if spans:
+                    yield spans
+            continue
+        if raw and raw[0] in "\"'" and (close := raw.find(raw[0], 1)) > 0:
+            spans = [(start + 1, start + close)]
+        else:
+            raw = re.split(r"\s+[#;]\s", raw)[0].rstrip(",").rstrip()
+            spans, k = [(start, start + len(raw))], i
+            while odd_end(raw) and k + 1 < len(lines):
+                spans[-1] = spans[-1][0], spans[-1][1] - 1
+                k += 1
+                raw = lines[k].strip()
+                x = at[k] + len(lines[k]) - len(lines[k].lstrip())
+                spans.append((x, x + len(raw)))
+            if odd_end(raw) and not decoded:
+                spans[-1] = spans[-1][0], spans[-1][1] - 1
+            if len(spans) > 1 and (q := text[start : start + 1]) in "\"'" and text[spans[-1][0] : spans[-1][1]].endswith(q):
+                spans[0], spans[-1] = (start + 1, spans[0][1]), (spans[-1][0], spans[-1][1] - 1)
+        raw = "".join(text[x:y] for x, y in spans)
+        if raw and holds_credential(key) and not PEM.search(raw) and judged(raw, True):
+            yield [(x, y) for x, y in spans if y > x]
 
 
 def scan(source: str, path: str = "") -> list[Hit]:
@@ -304,8 +333,8 @@ def scan(source: str, path: str = "") -> list[Hit]:
     elif code:
         literals(source, add)
     if not code or ext not in ("xml", "html", "java", "py", "json", "js", "ts", "kt", "go", "c", "cpp", "cs", "rb", "php", "scala"):
-        for a, b in settings(source):
-            add([(a, b)])
+        for spans in settings(source):
+            add(spans)
         for m in re.finditer(r"[A-Za-z0-9+/=_%\\-]{16,}", source):  # values under any name
             if not any(a <= m.start() < b for a, b in taken) and judged(m.group(), False):
                 add([m.span()])
@@ -347,8 +376,8 @@ def literals(source: str, add) -> None:
         value = "".join(source[a:b] for a, b in inner)
         if len(value) < 6 or len(value) > 100_000 or quote == 3 and " " in value.strip():
             if quote == 3 and len(value) >= 6:
-                for a, b in settings(value):
-                    add([(inner[0][0] + a, inner[0][0] + b)])
+                for spans in settings(value):
+                    add([(inner[0][0] + a, inner[0][0] + b) for a, b in spans])
             continue
         before = source[max(0, first.start() - 200) : first.start()]
         before = before[before.rfind(";") + 1 :]

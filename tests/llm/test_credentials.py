@@ -128,3 +128,27 @@ def test_operator_on_odd_rows(spark):
     got = sorted((r.rec_no, r.lines, (r.source or "")[:16]) for r in secrets.credentials(spark.createDataFrame(rows, "rec_no bigint, file_path string, source string, lines string")).collect())
     assert got == [(1, [1], "API_KEY=REDACTED"), (1, [1], "API_KEY=REDACTED"), (2, [1], "API_KEY=REDACTED"), (3, [], ""), (4, [], ""), (5, [], "y = 1\ny = 1\ny = ")]
     assert secrets.credentials(spark.createDataFrame([], "rec_no bigint, file_path string, source string")).count() == 0
+
+
+WRAPPED = base64.b64encode(b"password=Zone6347%;token=" + KEY.encode() * 3).decode()
+
+
+@pytest.mark.parametrize(
+    "path,src,line,want",
+    [
+        ("a.yml", f"a:\n  token: |\n    {KEY[:20]}\n    {KEY[20:]}\n  b: 1", 3, "a:\n  token: |\n    REDACTED\n    \n  b: 1"),
+        ("a.yml", f"secret: >-\n  {WRAPPED[:64]}\n\n  {WRAPPED[64:128]}\n  {WRAPPED[128:]}\nb: 1", 2, "secret: >-\n  REDACTED\n\n  \n  \nb: 1"),
+        ("a.properties", f"x=1\napi.token={KEY[:20]}\\\n    {KEY[20:30]}\\\n    {KEY[30:]}\nb=1", 2, "x=1\napi.token=REDACTED\\\n    \\\n    \nb=1"),
+        ("a.yml", f'token: "{KEY[:20]}\\\n  {KEY[20:]}"\nb: 1', 1, 'token: "REDACTED\\\n  "\nb: 1'),
+    ],
+)
+def test_values_over_several_lines_are_one_hit(path, src, line, want):
+    hits = secrets.scan(src, path)
+    assert [secrets.line_of(src, a) for a, _ in hits] == [line]
+    out = secrets.blanked(src, hits)
+    assert out == want and secrets.scan(out, path) == []
+
+
+def test_settings_inside_a_block_keep_their_lines():
+    assert lines("a_secret: |\n  Ab3dE6gH9kLm#4\n  password=Zone6347%\nb: 1", "a.yml") == [2, 3]
+    assert lines("note: |\n  nothing here\n  at all\nb: 1", "a.yml") == []
