@@ -38,6 +38,7 @@ DEFAULT = re.compile(r"\$\{([A-Za-z_][\w.-]*):[-=?]?([^{}\s\"']+)\}")
 COMMENT = re.compile(r"(?m)^\s*(?://|#|\*|--|;)+(.*)$|(?<=\s)(?://|#) (.*)$")
 CUE = re.compile(r"(?i)\b(?:key|keys|token|password|passwd|pwd|pw|pass|secret|login|credentials?|old value|rotation|auth)\b[^\n]*?(?:(?<=[\s:=/\"'`(])|^)([^\s\"'`(),;]{8,})")
 STRING = re.compile(r'"""(?:[^\\]|\\.)*?"""|\'\'\'(?:[^\\]|\\.)*?\'\'\'|"(?:[^"\\\n]|\\.)*"|\'(?:[^\'\\\n]|\\.)*\'', re.S)
+RUN = re.compile(r"[A-Za-z0-9+/=_%\\-]{16,}(?:[ \t\r]*\n[ \t]*[A-Za-z0-9+/=_%\\-]{16,})*(?:[ \t\r]*\n[ \t]*[A-Za-z0-9+/=_-]+(?=\s*(?:\n|$)))?")
 JOIN = re.compile(r"[\s+\\()]*(?:(?://|#)\s*)?[\s+]*[rbfuRBFU]?")
 NAME = r"[A-Za-z_$][\w$.-]*"
 BEFORE = re.compile(rf"(?:[\"'](?P<q>[\w.$ -]+)[\"']\s*(?:\]\s*)?[:=,]|(?P<n>{NAME})(?:[ \t]*:[ \t]*[\w\[\], .<>|]+)?\s*(?::=|\?\?=|=>|[:=])|(?P<call>{NAME})\s*\(|[\"'](?P<h>[\w.-]+)[\"']\s*\]\s*=)\s*\(?\s*(?:new String\(|[\w.]*(?:decode|Decoder\(\)\.decode|b64decode|fromhex|unhexlify|unquote|getBytes)\w*\()*\s*[rbfuRBFU]?$")
@@ -193,7 +194,7 @@ def is_private_key(b: bytes) -> bool:
 
 def hidden(value: str, wanted: bool, depth: int = DEPTH) -> bool:
     """Whether a credential is inside the value's layers. wanted: the value stands where a credential would."""
-    if depth == 0 or len(value) > 100_000:
+    if depth == 0:
         return False
     for inner in layers(value):
         if isinstance(inner, bytes):
@@ -358,6 +359,12 @@ def scan(source: str, path: str = "") -> list[Hit]:
     return sorted(hits)
 
 
+def wrapped(value: str) -> bool:
+    """Whether every line but the last has one long piece, as encodings do that are cut into lines, and texts of words do not."""
+    rows = [x.split() for x in value.split("\n") if x.strip()]
+    return all(len(x) == 1 for x in rows) and all(len(x[0]) >= 16 for x in rows[:-1])
+
+
 def literals(source: str, add) -> None:
     """String literals, those joined over several pieces as one."""
     pieces = list(STRING.finditer(source))
@@ -374,11 +381,23 @@ def literals(source: str, add) -> None:
         quote = 3 if first.group()[:3] in ('"""', "'''") else 1
         inner = [(p.start() + (3 if p.group()[:3] in ('"""', "'''") else 1), p.end() - (3 if p.group()[:3] in ('"""', "'''") else 1)) for p in group]
         value = "".join(source[a:b] for a, b in inner)
-        if len(value) < 6 or len(value) > 100_000 or quote == 3 and " " in value.strip():
-            if quote == 3 and len(value) >= 6:
-                for spans in settings(value):
-                    add([(inner[0][0] + a, inner[0][0] + b) for a, b in spans])
+        if len(value) < 6:
             continue
+        if quote == 3 and " " in value.strip():
+            for spans in settings(value):
+                add([(inner[0][0] + a, inner[0][0] + b) for a, b in spans])
+            flat = re.sub(r"\s+|\\n", "", value)
+            if not _HEX.match(flat) and not (_B64.match(flat) and wrapped(value)):
+                for a, b in inner:
+                    for m in RUN.finditer(source, a, b):  # encodings inside a text, wrapped or not
+                        pieces_of = [(m.start() + x.start(), m.start() + x.end()) for x in re.finditer(r"\S+", m.group())]
+                        whole = len(pieces_of) > 1 and judged("".join(source[x:y] for x, y in pieces_of), False)
+                        for spans in [pieces_of] if whole else [[x] for x in pieces_of if judged(source[x[0] : x[1]], False)]:
+                            add(spans)
+                continue
+            # one encoding, wrapped and indented: the lines keep their places
+            inner = [(a + x.start(), a + x.end()) for a, b in inner for x in re.finditer(r"\S+", source[a:b])]
+            value = flat
         before = source[max(0, first.start() - 200) : first.start()]
         before = before[before.rfind(";") + 1 :]
         m = BEFORE.search(before)

@@ -152,3 +152,30 @@ def test_values_over_several_lines_are_one_hit(path, src, line, want):
 def test_settings_inside_a_block_keep_their_lines():
     assert lines("a_secret: |\n  Ab3dE6gH9kLm#4\n  password=Zone6347%\nb: 1", "a.yml") == [2, 3]
     assert lines("note: |\n  nothing here\n  at all\nb: 1", "a.yml") == []
+
+
+def test_large_literals_are_unwrapped():
+    big = base64.b64encode(("note\n" * 30_000 + "password=Zone6347%\n").encode()).decode()
+    deep = base64.b64encode(base64.b64encode(PKCS8).decode().encode() * 1).decode()
+    store = base64.b64encode(b"\xfe\xed\xfe\xed" + bytes(range(256)) * 500).decode()
+    for value in (big, deep, store):
+        src = f'x = 1\nblob = "{value}"'
+        hits = secrets.scan(src, "a.py")
+        assert [secrets.line_of(src, a) for a, _ in hits] == [2] and secrets.blanked(src, hits) == 'x = 1\nblob = "REDACTED"'
+    assert len(big) > 100_000 and len(store) > 100_000 and lines(f'blob = "{wrap("nothing to see here\n" * 9000, ["b64"])}"', "a.py") == []
+
+
+@pytest.mark.parametrize("lead,tail", [("", ""), ("The store of the tests:\n    ", ""), ("Use it once.\n    ", "\n    and no more")])
+def test_wrapped_encodings_in_triple_quotes(lead, tail):
+    value = wrap("redis://u:Hn1zXTAwCpj_@h:1/ and so on, " * 3, ["b64"])
+    body = "\n    ".join(value[i : i + 40] for i in range(0, len(value), 40))
+    for path, head, foot in (("A.java", 'String blob = """', '""";'), ("a.py", "blob = " + "'" * 3, "'" * 3)):
+        src = f"{head}\n    {lead}{body}{tail}\n    {foot}"
+        hits = secrets.scan(src, path)
+        out = secrets.blanked(src, hits)
+        assert len(hits) == 1 and secrets.line_of(src, hits[0][0]) == src[: src.index(value[:40])].count("\n") + 1
+        assert all(value[i : i + 40] not in out for i in range(0, len(value), 40)) and out.count("\n") == src.count("\n") and secrets.scan(out, path) == []
+
+
+def test_texts_in_triple_quotes_are_none():
+    assert lines('"""\n    internationalisation of configurations\n    and responsibilities of implementations\n    """', "a.py") == []
