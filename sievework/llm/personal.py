@@ -90,10 +90,10 @@ DOT = r"(?:\.| ?[\[({] ?(?:dot|DOT) ?[\])}] ?| (?:dot|DOT) )"
 LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?"
 DOMAIN = re.compile(rf"{LABEL}(?:{DOT}{LABEL})+")
 LAST_LABEL = re.compile(rf"{DOT}({LABEL})$")
-#: Where a NUMBER may be: cheap to find.
-CLUSTER = re.compile(r"(?:[A-Z]{1,8} ?|[+(]{1,2})?\d[\dA-Z ().+/-]{6,}[\dA-Za-z]?")
+#: Where a NUMBER may be: cheap to find. Every NUMBER that counts has eight characters of the class, its leading letters included.
+CLUSTER = re.compile(r"(?=[\dA-Z ().+/-]{8})(?:[A-Z]{1,8} ?|[+(]{1,2})?\d[\dA-Z ().+/-]*[\dA-Za-z]?")
 BORN_WORDS = ("born", "geboren", "birth", "DOB", "出生", "生日")
-LABEL_WORDS = ("证件", "护照", "身份证", "税号", "assport", "SSN", "insurance no", "NINO", "ax number", "ax id", "ax ID", "TIN", "Ausweis", "Steuer", "idNo", ", id ")
+LABEL_WORDS = ("证件", "护照", "身份证", "税号", "assport", "SSN", "insurance no", "NINO", "ax number", "ax id", "ax ID", "TIN", "Ausweis", "Steuer", "idNo", ", id")
 NUMBER = re.compile(
     r"""(?<![A-Za-z0-9_.+#/-])(?:
       (?P<cn>\d{6}[ ]?\d{8}[ ]?\d{3}[0-9Xx])(?![A-Za-z0-9])

@@ -122,3 +122,16 @@ def test_spacing_does_not_change_a_pseudonym():
     assert pseudonym.pseudonym_id(F, "QQ 42 06 31 D").replace(" ", "") == pseudonym.pseudonym_id(F, "QQ420631D")
     values = [f"A{i}{c}" for i in range(10) for c in "ABCD"]
     assert len({pseudonym.pseudonym_id(F, v) for v in values}) == len(values)
+
+
+@pytest.mark.parametrize("text,want", [("id card LTZ4K7M2P, ok", "LTZ4K7M2P"), ("卡号LTZKMNP4H。", "LTZKMNP4H"), ('"CFGHJKLM7"', "CFGHJKLM7"), ("x, id: AB-12345", "AB-12345"), ("x, id'A123456'", "A123456")])
+def test_numbers_with_leading_letters(text, want):
+    assert found(text) == [("id_number", want)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["LTZ4K7M2P", "CFGHJKLM7", "X0ZLLZN09", "QQ 42 06 31 D", "XZ2637774", "945-88-3556", "(+86) 12165122373", "030/2312576", "+44 7700 900893", "0013125550125", ID, ", ", " ", "a", "证", "Z", "7", "OK", "(", "-", "\n"]), max_size=8).map("".join))
+def test_the_prefilter_loses_no_number(t):
+    fits = lambda m: m.lastgroup not in ("us", "uk", "fr", "plus", "zero", "mobile", "slash", "land") or 8 <= sum(c.isdigit() for c in m.group()) <= 15
+    want = {m.span() for m in personal.NUMBER.finditer(t) if fits(m)}
+    assert want <= {m.span() for c in personal.CLUSTER.finditer(t) for m in personal.NUMBER.finditer(t, c.start(), min(len(t), c.end() + 4))}
