@@ -3,8 +3,8 @@
 Shingles of the instruction are ordered from rare to frequent. If two sets of sizes m and n have a similarity of at least t, they share c
 shingles among the first m - ceil(t m) + c of one and the first n - ceil(t n) + c of the other. Prefixes of the evaluation records are
 joined with prefixes of the training records; a length filter, a position filter and a bitmap filter (the bits in which two hashed sets
-differ are a lower bound of their symmetric difference) run inside the join, and pairs that met fewer than c times are dropped. None of
-this loses a pair. Survivors are checked on the texts.
+differ are a lower bound of their symmetric difference) run inside the join, and pairs that met fewer than c times are dropped; where the
+overlap that is needed is below c, it takes its place. None of this loses a pair. Survivors are checked on the texts.
 The order comes from shingle counts over all records, hashed into a table of fixed size: any fixed order is exact, a good one is fast.
 """
 
@@ -120,8 +120,11 @@ def overlap_links(samples: DataFrame, threshold: float = 0.6, scratch: Scratch |
     fits = (nx >= F.ceil(ny * threshold - 1e-9)) & (ny >= F.ceil(nx * threshold - 1e-9))
     place = F.least(nx - F.col("x.pos"), ny - F.col("y.pos")) + (COMMON - 1) >= need
     met = x.join(y, (F.col("x.token") == F.col("y.token")) & fits & place & ((nx + ny - differ) >= 2 * need))
-    times = met.groupBy(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).agg(F.count(F.lit(1)).alias("times"))
-    candidates = scratch.write(times.where(F.col("times") >= COMMON).select("a", "b"), "candidates")
+    # times >= least(COMMON, need), as one sum
+    whole = math.lcm(*range(1, COMMON + 1))
+    weight = F.expr(" ".join(["case", *[f"when need <= {k} then {whole // k}" for k in range(1, COMMON)], f"else {whole // COMMON} end"]))
+    times = met.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), need.alias("need")).groupBy("a", "b").agg(F.sum(weight).alias("times"))
+    candidates = scratch.write(times.where(F.col("times") >= whole).select("a", "b"), "candidates")
     links = verify(candidates, samples, "rec_no", "instruction", "context", threshold)
     links = scratch.write(links.select(F.col("a").alias("train"), F.col("b").alias("other"), F.col("sim_first").alias("sim_instruction"), F.col("sim_second").alias("sim_context")), "links")
     return links, members

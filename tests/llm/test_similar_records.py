@@ -112,6 +112,14 @@ def test_overlap_is_exact(spark, seed):
     assert got == want and want
 
 
+def test_overlap_of_repeated_letters_is_exact(spark):
+    con = text(random.Random(9), 40)
+    rows = [(i, ins, "x", con, split, "clash", 5, None) for i, (ins, split) in enumerate((ins, split) for ins in ("abc" * 8, "ABC" * 9, "z" * 24, "ab" * 12, "abcd" * 6, "abcabd" + "abc" * 7, "abcde" * 5) for split in ("train", "val", "test"))]
+    got = {tuple(r) for r in split_overlap.overlap_pairs(*split_overlap.overlap_links(spark.createDataFrame(rows, SCHEMA))).collect()}
+    want = {(a, b) for a, b in similar(rows, 3) if (rows[a][4] == "train") != (rows[b][4] == "train")}
+    assert got == want and {(0, 1), (6, 7), (9, 11)} <= want
+
+
 def test_overlap_report_counts_all_rows(spark):
     rows = records(2, 120)
     df = spark.createDataFrame(rows, SCHEMA)
