@@ -126,7 +126,7 @@ def open_structure(text: str) -> bool:
 
 def is_refusal(answer: str) -> bool:
     """Every sentence declines or is a courtesy, and one declines in the answerer's own voice; words in quotes are not the answerer's."""
-    if "```" in answer or len(answer) > 600:
+    if "```" in answer:
         return False
     # refusals may name code, so code keeps its place as a word
     text = re.sub(r"`[^`]*`", "X", QUOTED.sub("Q", answer))
@@ -143,6 +143,15 @@ def is_refusal(answer: str) -> bool:
     return said
 
 
+def is_empty(text: str) -> bool:
+    """Blank, or of marks or a placeholder only, however many marks stand around it."""
+    first = re.search(r"\w", text)
+    if not first:
+        return True
+    last = re.search(r"\w", text[::-1])
+    return bool(PLACEHOLDER.fullmatch(text[first.start() : len(text) - last.start()]))
+
+
 def prose(text: str) -> str:
     return CODE.sub(" ", FENCE.sub(" ", text))
 
@@ -162,7 +171,7 @@ def defects(samples: DataFrame, margin: float = 4.0, least_letters: int = 8, lea
         for i, a in enumerate(ans):
             a = a or ""
             inner = re.sub(r"```\w*\s*```", "", a)
-            if len(inner) < 60 and PLACEHOLDER.fullmatch(inner):
+            if is_empty(inner):
                 found[i] = "empty"
             elif is_refusal(a):
                 found[i] = "refusal"

@@ -44,3 +44,10 @@ def test_languages(text, lang):
 
 def test_empty_table(spark):
     assert pair_defects.defects(spark.createDataFrame([], "rec_no bigint, instruction string, answer string")).count() == 0
+
+
+def test_defects_have_no_greatest_length(spark):
+    long_refusal = "I'm sorry, but I cannot discuss this topic. " + "Unfortunately I am unable to answer questions about StockPlanner and I must decline. " * 9 + "Please contact your team."
+    rows = [(0, Q, long_refusal), (1, Q, " " * 80), (2, Q, "-" * 3000), (3, Q, "\n" * 70 + "TODO" + "." * 70), (4, Q, long_refusal + " " + EN * 3), (5, Q, "." * 100_000 + EN)]
+    got = {r.rec_no: r.defect for r in pair_defects.defects(spark.createDataFrame(rows, "rec_no bigint, instruction string, answer string")).collect()}
+    assert len(long_refusal) > 600 and got == {0: "refusal", 1: "empty", 2: "empty", 3: "empty"}
