@@ -1,8 +1,8 @@
 """Functions paired with their documentation.
 
 Sources are split into code, strings and comments, so that declarations inside texts or comments are none. Every comment, docstring and
-symbol documentation that informs is a candidate for the functions it may speak about; candidates and functions are matched by a maximum
-assignment on position, parameter tags and names. Links that are not direct, code commented out and empty or trivial words are rejected.
+symbol documentation that informs is a candidate for the function it stands directly at; where a function has several, a maximum assignment
+on position, parameter tags and names chooses. Code commented out and empty or trivial words are rejected.
 """
 
 from __future__ import annotations
@@ -79,9 +79,10 @@ def merged(source: str, code: str, comments: list[tuple[int, int]]) -> list[tupl
     return out
 
 
-def near(source: str, code: str, a: int, b: int) -> bool:
-    """Whether the comment a..b stands directly above what follows: no blank line, or one below a documentation comment."""
-    gap = re.compile(r"\s*").match(code, b).group()
+def near(source: str, code: str, a: int, b: int, stop: int) -> bool:
+    """Whether the comment a..b stands directly above what follows, or above a comment at ``stop``: no blank line, or one below a
+    documentation comment."""
+    gap = re.compile(r"\s*").match(code, b, stop).group()
     return gap.count("\n") <= (2 if source.startswith("/**", a) else 1)
 
 
@@ -122,8 +123,12 @@ def java_functions(source: str) -> list[Function]:
         names = frozenset(re.findall(r"([\w$]+)\s*(?:\[\s*\])?\s*(?:,|$)", code[m.end() : shut]))
         f = Function(name, m.start(1), begin, end, names)
         last = stop + 1 + at + (len(head[at:]) - len(head[at:].lstrip()))
-        above = [(a, b) for a, b in blocks[bisect.bisect_right(starts, stop) : bisect.bisect_left(starts, last)] if b <= last and near(source, code, a, b)]
-        f.above = above[-1:]
+        below, kept = last, True
+        for a, b in reversed(blocks[bisect.bisect_right(starts, stop) : bisect.bisect_left(starts, last)]):
+            if b <= last:
+                kept = near(source, code, a, b, below) and (kept or bool(code[b:below].strip()))
+                f.above += [(a, b)] if kept else []
+                below = a
         out.append(f)
     return out
 
@@ -351,7 +356,7 @@ def documented_functions(symbols: DataFrame) -> DataFrame:
     """(rec_no, line_no, name, code, description): one row for each function in a row of type method or file with informing documentation.
 
     Null and empty sources, rows of other types and files other than Java and Python give no rows. Repeated rows are rows. A null
-    documentation is none; file_path and name may be null.
+    documentation is none; name may be null. Where file_path is null the language is not known, so there are no rows.
     """
 
     def run(batches):

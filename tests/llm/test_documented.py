@@ -85,3 +85,9 @@ def test_operator_on_odd_rows(spark):
     got = documented.documented_functions(df).collect()
     assert sorted((r.rec_no, r.line_no, r.name) for r in got) == [(1, 2, "go"), (1, 2, "go")] and got[0].description == GOOD
     assert documented.documented_functions(df.limit(0)).count() == 0
+
+
+def test_javadoc_above_a_line_comment():
+    assert found(f"/** {GOOD} */\n// NOSONAR\nvoid go() {{ }}") == [(3, "go")]
+    assert found(f"/** {GOOD} */\n// NOSONAR\n// TODO\n@A\n/* x */\nvoid go() {{ }}") == [(6, "go")]
+    assert found(f"// {GOOD}\n\n// NOSONAR\nvoid go() {{ }}") == [] and found(f"// {GOOD}\n/* x */\n\nvoid go() {{ }}") == []
