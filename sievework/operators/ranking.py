@@ -4,27 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def seeded_hash(seed: int, *columns: str):
-    """A BIGINT that orders rows at random, the same on every run with the same seed."""
-    return F.xxhash64(F.lit(seed), *[F.col(c) for c in columns])
+def seeded_hash(seed: int, *columns: str) -> Column:
+    """32 hexadecimal digits that order rows at random, the same on every run with the same seed: the MD5 of seed and values, joined by
+    colons. Nulls count as empty."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
 
 
 def hashed_rank(df: DataFrame, keys: Sequence[str], ties: Sequence[str], seed: int, name: str = "rank", slices: int = 256) -> DataFrame:
-    """``df`` with the rank of each row (1, 2, ...) in its group of ``keys`` under a seeded random order.
+    """``df`` with the rank of each row (1, 2, ...) in its group of ``keys`` (none: in all) under a seeded random order.
 
-    The hash range is cut into ``slices``; a row's rank is the number of rows in earlier slices of its group plus its position within its
-    own slice. Only slices are ever sorted, so a group with a third of all rows is spread over ``slices`` tasks. ``ties`` are columns that
-    identify a row; rows equal in them all get distinct ranks in no defined order. Null keys form a group.
+    The hash range is cut into ``slices`` (16 or 256), by its first digits; a row's rank is the number of rows in earlier slices of its
+    group plus its position within its own slice. Only slices are ever sorted, so a group with a third of all rows is spread over
+    ``slices`` tasks. ``ties`` are columns that identify a row; rows equal in them all get distinct ranks in no defined order. Null keys
+    form a group.
     """
     tmp = ["_sw_hash", "_sw_slice", "_sw_before"]
     if clash := set(tmp + [name]) & set(df.columns):
         raise ValueError(f"columns {sorted(clash)} are used by hashed_rank")
-    h = seeded_hash(seed, *ties)
-    df = df.withColumn(tmp[0], h).withColumn(tmp[1], F.pmod(F.shiftright(F.col(tmp[0]), 32), F.lit(slices)).cast("int"))
+    df = df.withColumn(tmp[0], seeded_hash(seed, *ties)).withColumn(tmp[1], F.substring(tmp[0], 1, 1 if slices <= 16 else 2))
     counts = df.groupBy(*keys, tmp[1]).agg(F.count(F.lit(1)).alias("_sw_n"))
     ahead = Window.partitionBy(*keys).orderBy(tmp[1]).rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn(tmp[2], F.coalesce(F.sum("_sw_n").over(ahead), F.lit(0))).drop("_sw_n")

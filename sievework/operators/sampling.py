@@ -1,13 +1,14 @@
-"""Samples that replay a seeded random stream, and samples in a seeded hash order.
+"""Samples in a seeded random order, and quotas over levels.
 
-Replayed picks depend on counts and the seed alone, never on the rows: the driver draws positions, one integer for each row of a stratum,
-and joins them with the positions of the rows. ``hashed_sample`` needs no such list and is the one for counts beyond memory.
+How many rows a stratum gives follows from counts alone, so only counts by a few categories reach the driver; which rows these are is
+decided by their rank in a seeded hash order (``ranking.hashed_rank``), which no single task sorts.
 """
 
 from __future__ import annotations
 
 import random
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,49 +21,37 @@ from sievework.operators.ranking import hashed_rank
 BORROWS = {"hard": ("mid", "high"), "mid": ("high",)}
 
 
-def reservoir_positions(n: int, k: int, seed: int) -> list[int]:
-    """The positions that reservoir sampling picks from n rows, by slot."""
-    slots = list(range(min(n, k)))
-    rng = random.Random(seed)
-    for i in range(k, n):
-        j = rng.randint(0, i)
-        if j < k:
-            slots[j] = i
-    return slots
-
-
-def at_positions(df: DataFrame, order: str, positions: Sequence[int]) -> DataFrame:
-    """The rows at the given positions (0, 1, ... by ``order``, which is unique), with their slot. Only ``order`` is sorted, not the rows."""
-    picks = df.sparkSession.createDataFrame([(i, s) for s, i in enumerate(positions)], "_row bigint, slot bigint")
-    chosen = numbered(df.select(order), order, "_row").join(picks, "_row").drop("_row")
-    return df.join(chosen, order)
+def hashed_sample(df: DataFrame, k: int, keys: Sequence[str], ties: Sequence[str], seed: int = 42) -> DataFrame:
+    """k rows of each group in a seeded random order, with their rank; all of a group that has no more."""
+    return hashed_rank(df, keys, ties, seed).where(F.col("rank") <= k)
 
 
 def reservoir(df: DataFrame, k: int, order: str, seed: int = 42) -> DataFrame:
-    """k rows by reservoir sampling over the order, with their slot; all of them if there are no more."""
-    return at_positions(df, order, reservoir_positions(df.count(), k, seed))
+    """k rows, every set of k equally likely, with their rank; all of them if there are no more. ``order`` identifies a row."""
+    return hashed_sample(df, k, [], [order], seed)
 
 
-def in_strata(df: DataFrame, stratum: Column, order: str, name: str = "stratum") -> tuple[DataFrame, dict]:
-    """(order, stratum, position in it) of every row, and the size of each stratum. ``order`` is unique."""
-    keyed = df.select(order, stratum.alias(name))
-    sizes = {r[name]: r["n"] for r in keyed.groupBy(name).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first")).orderBy("first").collect()}
-    return numbered(keyed, order, "_row", name), sizes
+def replayed_reservoir(df: DataFrame, k: int, order: str, seed: int = 42) -> DataFrame:
+    """The k rows that a single process would keep by reservoir sampling over the order with Python's generator, with their slot.
 
-
-def _joined(df: DataFrame, strata: DataFrame, picks: list[tuple], order: str) -> DataFrame:
-    table = df.sparkSession.createDataFrame(picks, "stratum string, _row bigint, slot bigint")
-    return df.join(strata.join(table, ["stratum", "_row"]).drop("_row"), order)
+    A compatibility mode: the driver draws one number for each row and holds k of them.
+    """
+    n, rng = df.count(), random.Random(seed)
+    slots = list(range(min(n, k)))
+    for i in range(k, n):
+        if (j := rng.randint(0, i)) < k:
+            slots[j] = i
+    picks = df.sparkSession.createDataFrame([(i, s) for s, i in enumerate(slots)], "_row bigint, slot bigint")
+    return df.join(numbered(df.select(order), order, "_row").join(picks, "_row").drop("_row"), order)
 
 
 def stratified(df: DataFrame, stratum: Column, targets: Mapping[str, int] | int, order: str, seed: int = 42) -> DataFrame:
-    """Reservoir samples of each stratum, all with the same seed; strata are few (scenarios, levels). Null is the stratum unknown."""
-    strata, sizes = in_strata(df, F.coalesce(stratum, F.lit("unknown")), order)
-    picks = []
-    for s, n in sizes.items():
-        k = targets if isinstance(targets, int) else targets.get(s, 0)
-        picks += [(s, i, slot) for slot, i in enumerate(reservoir_positions(n, k, seed))]
-    return _joined(df, strata, picks, order)
+    """Random rows of each stratum, as many as its target (strata without one give none), with stratum and rank. Null is the stratum unknown."""
+    ranked = hashed_rank(df.withColumn("stratum", F.coalesce(stratum, F.lit("unknown"))), ["stratum"], [order], seed)
+    if isinstance(targets, int):
+        return ranked.where(F.col("rank") <= targets)
+    wanted = df.sparkSession.createDataFrame([(s, int(k)) for s, k in targets.items()], "stratum string, _wanted bigint")
+    return ranked.join(F.broadcast(wanted), "stratum").where("rank <= _wanted").drop("_wanted")
 
 
 def by_coverage(samples: DataFrame, targets: Mapping[str, float], total: int, order: str, seed: int = 42) -> DataFrame:
@@ -70,75 +59,78 @@ def by_coverage(samples: DataFrame, targets: Mapping[str, float], total: int, or
     return stratified(samples, F.col("quality.coverage.bucket"), {b: int(total * r) for b, r in targets.items()}, order, seed)
 
 
-def hashed_sample(df: DataFrame, k: int, keys: Sequence[str], ties: Sequence[str], seed: int = 42) -> DataFrame:
-    """k rows of each group in a seeded random order, with their rank."""
-    return hashed_rank(df, keys, ties, seed).where(F.col("rank") <= k)
+# --- quotas: counts decide how many, ranks decide which
 
 
-def normalized(targets: Mapping[str, float] | None) -> tuple[dict[str, float], bool]:
-    """Targets that sum to 1, and whether the default was used because there were none."""
-    total = sum(float(v) for v in targets.values()) if isinstance(targets, Mapping) else 0.0
-    if total <= 0:
-        return dict(DEFAULT_TARGETS), True
-    return {b: float(targets.get(b, 0.0)) / total for b in BUCKETS}, False
+def shares_of(targets: Mapping[str, float] | None) -> dict[str, float] | None:
+    """The targets as shares of their sum, none where there is nothing to share."""
+    whole = float(sum(targets.values())) if isinstance(targets, Mapping) else 0.0
+    return {b: targets.get(b, 0.0) / whole for b in BUCKETS} if whole > 0 else None
+
+
+def wanted_rows(total: int, shares: Mapping[str, float]) -> dict[str, int]:
+    """Rows of each level: shares rounded half to even; what is then missing or too many is dealt out singly, the largest share first."""
+    rows = {b: round(total * shares[b]) for b in BUCKETS}
+    over = total - sum(rows.values())
+    each, odd = divmod(abs(over), len(BUCKETS))
+    for place, b in enumerate(sorted(BUCKETS, key=lambda b: -shares[b])):
+        step = each + (place < odd)
+        rows[b] = max(0, rows[b] + (step if over > 0 else -step))
+    return rows
 
 
-def desired(total: int, targets: Mapping[str, float]) -> dict[str, int]:
-    """Rows of each level, rounded half to even; what rounding leaves is spread from the largest target down."""
-    counts = {b: round(total * targets.get(b, 0.0)) for b in BUCKETS}
-    rest = total - sum(counts.values())
-    ranked = [b for b, _ in sorted(targets.items(), key=lambda x: -x[1])]
-    for i in range(abs(rest)):
-        b = ranked[i % len(ranked)]
-        counts[b] = max(0, counts[b] + (1 if rest > 0 else -1))
-    return counts
+Cell = tuple[str, bool]
 
 
+@dataclass
 class QuotaPlan:
-    """Which positions of each (level, negative) a quota sample takes, from the counts alone, and its report."""
-
-    def __init__(self, counts: Mapping[tuple[str, bool], int], targets: Mapping[str, float] | None, seed: int, negative_ratio: float | None = None):
-        self.rng = random.Random(seed)
-        self.targets, self.used_default = normalized(targets)
-        self.total = sum(counts.values())
-        self.desired = desired(self.total, self.targets)
-        self.picked: dict[str, list] = {}
-        self.left: dict[str, list] = {}
-        self.negative_deficits: dict[str, int] = {}
-        for b in BUCKETS:
-            neg = [(b, True, i) for i in range(counts.get((b, True), 0))]
-            pos = [(b, False, i) for i in range(counts.get((b, False), 0))]
-            if negative_ratio is None:
-                self.picked[b], self.left[b] = self._pick([(b, None, i) for i in range(len(neg) + len(pos))], self.desired[b])
-                continue
-            want = round(self.desired[b] * negative_ratio)
-            some_neg, rest_neg = self._pick(neg, want)
-            some_pos, rest_pos = self._pick(pos, max(0, self.desired[b] - want))
-            got, rest = some_neg + some_pos, rest_neg + rest_pos
-            if (open_ := self.desired[b] - len(got)) > 0:
-                more, rest = self._pick(rest, open_)
-                got = got + more
-            self.picked[b], self.left[b] = got, rest
-            self.negative_deficits[b] = max(0, want - len(some_neg))
-        self.borrowed: dict[tuple[str, str], int] = {}
-        self.deficits = {b: max(0, self.desired[b] - len(self.picked[b])) for b in BUCKETS}
-        for b in ("hard", "mid"):
-            for lender in BORROWS[b]:
-                take = min(self.deficits[b], len(self.left[lender]))
-                if take > 0:
-                    self.picked[b] = self.picked[b] + self.left[lender][:take]
-                    self.left[lender] = self.left[lender][take:]
-                    self.borrowed[b, lender] = take
-                    self.deficits[b] -= take
-
-    def _pick(self, rows: list, k: int) -> tuple[list, list]:
-        if k <= 0:
-            return [], rows
-        if k >= len(rows):
-            return rows, []
-        rows = list(rows)
-        self.rng.shuffle(rows)  # drawn only where there is a choice
-        return rows[:k], rows[k:]
+    """Which ranks of each cell (level, negative) are taken, and for which level: ``cuts`` holds (cell, ranks before, last rank, level)."""
+
+    counts: Mapping[Cell, int]
+    shares: dict[str, float]
+    default: bool
+    wanted: dict[str, int]
+    cuts: list[tuple[Cell, int, int, str]] = field(default_factory=list)
+    borrowed: dict[tuple[str, str], int] = field(default_factory=dict)
+    negative_deficits: dict[str, int] = field(default_factory=dict)
+
+    def used(self, cell: Cell) -> int:
+        return sum(b - a for c, a, b, _ in self.cuts if c == cell)
+
+    def filled(self, level: str) -> int:
+        return sum(b - a for _, a, b, to in self.cuts if to == level)
+
+    def deficit(self, level: str) -> int:
+        return max(0, self.wanted[level] - self.filled(level))
+
+    def cut(self, cell: Cell, rows: int, level: str) -> int:
+        """Takes the next rows of a cell, as many as it has left."""
+        at = self.used(cell)
+        rows = max(0, min(rows, self.counts.get(cell, 0) - at))
+        if rows:
+            self.cuts.append((cell, at, at + rows, level))
+        return rows
+
+
+def quota_plan(counts: Mapping[Cell, int], targets: Mapping[str, float] | None, negative_ratio: float | None = None) -> QuotaPlan:
+    """Seats from the counts of the cells. With a ratio that share of a level's seats goes to negatives, as far as both signs have rows;
+    without one there is a single sign, False. A level that lacks rows then borrows from easier ones, their negatives first."""
+    shares = shares_of(targets)
+    plan = QuotaPlan(counts, shares or dict(DEFAULT_TARGETS), shares is None, {})
+    plan.wanted = wanted_rows(sum(counts.values()), plan.shares)
+    for b, seats in plan.wanted.items():
+        negative = 0
+        if negative_ratio is not None:
+            due, there = round(seats * negative_ratio), counts.get((b, True), 0)
+            plan.negative_deficits[b] = max(0, due - there)
+            negative = plan.cut((b, True), max(due, seats - counts.get((b, False), 0)), b)  # where positives lack, negatives sit in
+        plan.cut((b, False), seats - negative, b)
+    for b, lenders in BORROWS.items():
+        for lender in lenders:
+            for sign in (True, False):
+                if got := plan.cut((lender, sign), plan.deficit(b), b):
+                    plan.borrowed[b, lender] = plan.borrowed.get((b, lender), 0) + got
+    return plan
 
 
 def level(samples: DataFrame) -> Column:
@@ -149,20 +141,16 @@ def level(samples: DataFrame) -> Column:
 def quota_sample(samples: DataFrame, targets: Mapping[str, float] | None, order: str, seed: int = 42, negative_ratio: float | None = None) -> tuple[DataFrame, QuotaPlan]:
     """Samples whose levels follow the targets, a share of each negative; levels that lack rows borrow from easier ones.
 
-    The rows come with ``filled``, the level whose place they take. Unknown and null levels count as high.
+    The rows come with ``filled``, the level whose place they take. Unknown and null levels count as high, a null polarity as not negative.
     """
-    neg = F.coalesce(F.col("quality.coverage.polarity") == "negative", F.lit(False))
-    kind = level(samples) if negative_ratio is None else F.concat_ws("/", level(samples), F.when(neg, "neg").otherwise("pos"))
-    strata, sizes = in_strata(samples, kind, order)
-    counts: dict[tuple[str, bool], int] = {}
-    for k, n in sizes.items():
-        b, _, sign = k.partition("/")
-        counts[b, sign == "neg"] = counts.get((b, sign == "neg"), 0) + n
-    plan = QuotaPlan(counts, targets, seed, negative_ratio)
-    name = lambda b, sign: b if sign is None else f"{b}/{'neg' if sign else 'pos'}"
-    picks = [(name(b, sign), i, BUCKETS.index(filled)) for filled, rows in plan.picked.items() for b, sign, i in rows]
-    out = _joined(samples, strata, picks, order)
-    return out.withColumn("filled", F.element_at(F.array(*[F.lit(b) for b in BUCKETS]), F.col("slot").cast("int") + 1)).drop("slot", "stratum"), plan
+    sign = F.coalesce(F.col("quality.coverage.polarity") == "negative", F.lit(False)) if negative_ratio is not None else F.lit(False)
+    celled = samples.select(order, level(samples).alias("_level"), sign.alias("_negative"))
+    counts = {(r["_level"], r["_negative"]): r["n"] for r in celled.groupBy("_level", "_negative").agg(F.count(F.lit(1)).alias("n")).collect()}
+    plan = quota_plan(counts, targets, negative_ratio)
+    cuts = samples.sparkSession.createDataFrame([(*cell, a, b, to) for cell, a, b, to in plan.cuts], "_level string, _negative boolean, _after bigint, _upto bigint, filled string")
+    ranked = hashed_rank(celled, ["_level", "_negative"], [order], seed, "_rank")
+    drawn = ranked.join(F.broadcast(cuts), ["_level", "_negative"]).where("_rank > _after and _rank <= _upto")
+    return samples.join(drawn.select(order, "filled"), order), plan
 
 
 def sample_or_pass(samples: DataFrame, targets: Mapping[str, float] | None, order: str, mode: str = "hybrid", min_size: int = 1, **options) -> tuple[DataFrame, dict]:
@@ -171,15 +159,16 @@ def sample_or_pass(samples: DataFrame, targets: Mapping[str, float] | None, orde
     if mode == "upstream" or n == 0 or n < min_size:
         return samples, {"skipped": True, "reason": "mode" if mode == "upstream" else "size", "total": n}
     out, plan = quota_sample(samples, targets, order, **options)
-    return out, {"skipped": False, "total": plan.total, "targets": plan.targets, "used_default_targets": plan.used_default, "desired_counts": plan.desired, "final_counts": {b: len(r) for b, r in plan.picked.items()}, "deficits": plan.deficits, "borrowed": {f"{a}<-{b}": k for (a, b), k in plan.borrowed.items()}, "negative_deficits": plan.negative_deficits}
+    return out, {"skipped": False, "total": n, "targets": plan.shares, "used_default_targets": plan.default, "desired_counts": plan.wanted, "final_counts": {b: plan.filled(b) for b in BUCKETS}, "deficits": {b: plan.deficit(b) for b in BUCKETS}, "borrowed": {f"{a}<-{b}": k for (a, b), k in plan.borrowed.items()}, "negative_deficits": plan.negative_deficits}
 
 
 # --- drawing labels for new questions: one uniform number for each row, from the seed and the row's key
 
 
 def uniform(seed: int, key: Column) -> Column:
-    """A number in [0, 1), the same for equal seeds and keys."""
-    return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    """A number in [0, 1), the same for equal seeds and keys: the first 13 hexadecimal digits of the MD5 of both. A null key counts as empty."""
+    h = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(key.cast("string"), F.lit(""))))
+    return F.conv(F.substring(h, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
 def weighted_choice(weights: Mapping[str, float], default: str, u: Column) -> Column:

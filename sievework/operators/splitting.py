@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import random
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions.paths import directory_of, package_of, slashes
-from sievework.operators.lookup import numbered, symbol_map
+from sievework.operators.lookup import symbol_map
+from sievework.operators.ranking import hashed_rank
 
 NO_EVIDENCE, UNKNOWN_SYMBOL, DEFAULT_PACKAGE, ROOT = "_NO_EVIDENCE_", "_UNKNOWN_SYMBOL_", "_DEFAULT_PACKAGE_", "_ROOT_PATH_"
 SPLITS = ("train", "val", "test")
@@ -21,7 +20,9 @@ def group_keys(samples: DataFrame, symbols: DataFrame, by: str = "package") -> D
     known = symbol_map(symbols).select("sid", (package_of(F.col("qualified_name")) if by == "package" else directory_of(slashes(F.col("file_path")))).alias("_g"))
     refs = F.col("thought.evidence_refs")
     first = slashes(F.get(refs, F.lit(0))["symbol_id"])
-    joined = samples.withColumn("_sid", first).join(known, F.col("_sid") == known["sid"], "left")
+    # samples without an id would all meet in one task: they get one of many keys that no symbol has
+    spread = F.concat(F.lit("\0"), F.pmod(F.monotonically_increasing_id(), F.lit(4096)).cast("string"))
+    joined = samples.withColumn("_sid", F.coalesce(first, spread)).join(known, F.col("_sid") == known["sid"], "left")
     key = F.when(F.coalesce(F.size(refs), F.lit(0)) <= 0, NO_EVIDENCE).when(F.col("sid").isNull(), UNKNOWN_SYMBOL).when(F.col("_g") == "", DEFAULT_PACKAGE if by == "package" else ROOT).otherwise(F.col("_g"))
     return joined.withColumn("group_key", key).drop("_sid", "sid", "_g")
 
@@ -38,34 +39,26 @@ def cuts(n: int, train: float, val: float, groups: bool) -> tuple[int, int]:
     return a, b
 
 
-def permutation(n: int, seed: int) -> list[int]:
-    """What shuffling 0 .. n - 1 gives: the item at each place."""
-    items = list(range(n))
-    random.Random(seed).shuffle(items)
-    return items
-
-
-def _assigned(df: DataFrame, position: str, n: int, a: int, b: int, seed: int) -> DataFrame:
-    places = [(i, SPLITS[0] if p < a else SPLITS[1] if p < a + b else SPLITS[2]) for p, i in enumerate(permutation(n, seed))]
-    table = df.sparkSession.createDataFrame(places, f"{position} bigint, split string")
-    return df.join(table, position)
+def _assigned(df: DataFrame, key: str, a: int, b: int, seed: int) -> DataFrame:
+    """(key, split): the first a keys of a seeded random order in train, the next b in val, the others in test."""
+    ranked = hashed_rank(df.select(key), [], [key], seed)
+    return ranked.select(key, F.when(F.col("rank") <= a, SPLITS[0]).when(F.col("rank") <= a + b, SPLITS[1]).otherwise(SPLITS[2]).alias("split"))
 
 
 def group_split(samples: DataFrame, symbols: DataFrame, order: str = "rec_no", ratios: tuple[float, float, float] = (0.8, 0.1, 0.1), seed: int = 42, by: str = "package", least_groups: int = 5) -> DataFrame:
-    """(order, group_key, split): groups, in the order they are first seen, are shuffled and cut by their number, so no group is divided.
+    """(order, group_key, split): groups in a seeded random order are cut by their number, so no group is divided.
 
-    With fewer than ``least_groups`` groups the rows are shuffled and cut instead, which divides groups. The driver holds one number for each
-    group (or row, in that case), no keys and no rows. ``order`` is unique.
+    With fewer than ``least_groups`` groups the rows are cut in that way instead, which divides groups. Only the numbers of groups and rows
+    reach the driver. ``order`` is unique.
     """
     if abs(sum(ratios) - 1) > 0.001:
         raise ValueError(f"ratios must sum to 1, not {sum(ratios)}")
     keyed = group_keys(samples, symbols, by).select(order, "group_key")
-    groups = keyed.groupBy("group_key").agg(F.min(order).alias("first"))
-    n = groups.count()
+    groups = keyed.groupBy("group_key").agg(F.count(F.lit(1)).alias("n"))
+    n, rows = groups.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     if n < least_groups:
-        rows = keyed.count()
-        return _assigned(numbered(keyed, order, "_i"), "_i", rows, *cuts(rows, ratios[0], ratios[1], False), seed).select(order, "group_key", "split")
-    placed = _assigned(numbered(groups, "first", "_i"), "_i", n, *cuts(n, ratios[0], ratios[1], True), seed).select("group_key", "split")
+        return keyed.join(_assigned(keyed, order, *cuts(rows, ratios[0], ratios[1], False), seed), order).select(order, "group_key", "split")
+    placed = _assigned(groups, "group_key", *cuts(n, ratios[0], ratios[1], True), seed)
     return keyed.join(placed, "group_key").select(order, "group_key", "split")
 
 

@@ -308,12 +308,23 @@ def packages(spark: SparkSession, d: str) -> DataFrame:
     return s.select("rec_no", paths.package_of(F.col("qualified_name")).alias("package"), paths.directory_of(paths.slashes(F.col("file_path"))).alias("directory"))
 
 
-@query()
+def _cuts(n: str) -> str:
+    """(a, b) of n groups or rows: the shares of train and val rounded down, at least one each."""
+    a, b = f"greatest(floor({n} * 0.8::DOUBLE), 1)", f"greatest(floor({n} * 0.1::DOUBLE), 1)"
+    return f"case when {a} + {b} >= {n} then greatest(1, {n} - 2) else {a} end as a, case when {a} + {b} >= {n} then 1 else {b} end as b"
+
+
+def _split_sql(where: str) -> str:
+    return f"""select rec_no, group_key, case when r <= a then 'train' when r <= a + b then 'val' else 'test' end as split from
+     (select *, {_cuts("n")} from (select group_key, row_number() over (order by md5('42:' || group_key), group_key) as r, count(*) over () as n from (select distinct group_key from keyed where {where}))) join keyed using (group_key) where {where}"""
+
+
+@query(sql.GROUP_KEY + _split_sql("true"))
 def group_split(spark: SparkSession, d: str) -> DataFrame:
     return splitting.group_split(table(spark, d, "samples"), table(spark, d, "symbols"))
 
 
-@query()
+@query(sql.GROUP_KEY + ", labelled as (select keyed.*, samples.scenario from keyed join samples using (rec_no)) " + " union all ".join(f"select *, '{n}' as part from ({_split_sql(w).replace('keyed', 'labelled')})" for n, w in (("all", "true"), ("qa", "scenario = 'qa_rule'"), ("design", "scenario = 'arch_design'"))))
 def scenario_splits(spark: SparkSession, d: str) -> DataFrame:
     parts = splitting.split_all(table(spark, d, "samples"), table(spark, d, "symbols"))
     return assemble.union(*[p.withColumn("part", F.lit(n)) for n, p in parts.items()])
@@ -322,31 +333,71 @@ def scenario_splits(spark: SparkSession, d: str) -> DataFrame:
 # --- sampling
 
 
-@query()
+@query("select rec_no, rank from (select rec_no, row_number() over (order by md5('42:' || rec_no), rec_no) as rank from samples) where rank <= 100")
 def reservoir_sample(spark: SparkSession, d: str) -> DataFrame:
     return sampling.reservoir(table(spark, d, "samples").select("rec_no"), 100, "rec_no")
 
 
-@query("select coalesce(scenario, 'unknown') as stratum, least(count(*), 20) as n from samples group by 1")
-def stratified_counts(spark: SparkSession, d: str) -> DataFrame:
-    return sampling.stratified(table(spark, d, "samples").select("rec_no", "scenario"), F.col("scenario"), 20, "rec_no").groupBy("stratum").agg(F.count(F.lit(1)).alias("n"))
+_IN_STRATUM = "row_number() over (partition by {0} order by md5('42:' || rec_no), rec_no)"
 
 
-@query("select quality.coverage.bucket as bucket, least(count(*), case quality.coverage.bucket when 'high' then 250 when 'mid' then 150 else 100 end) as n from samples where quality.coverage.bucket in ('high','mid','hard') group by 1")
-def coverage_sample_counts(spark: SparkSession, d: str) -> DataFrame:
-    s = sampling.by_coverage(table(spark, d, "samples").select("rec_no", "quality"), TARGETS, 500, "rec_no")
-    return s.groupBy(F.col("quality.coverage.bucket").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+_SCENARIO = "coalesce(scenario, 'unknown')"
 
 
-@query()
+@query(f"select * from (select rec_no, {_SCENARIO} as stratum, {_IN_STRATUM.format(_SCENARIO)} as rank from samples) where rank <= 20")
+def stratified_sample(spark: SparkSession, d: str) -> DataFrame:
+    return sampling.stratified(table(spark, d, "samples").select("rec_no", "scenario"), F.col("scenario"), 20, "rec_no").select("rec_no", "stratum", "rank")
+
+
+@query(f"select * from (select rec_no, quality.coverage.bucket as bucket, {_IN_STRATUM.format('quality.coverage.bucket')} as rank from samples) where rank <= case bucket when 'high' then 250 when 'mid' then 150 when 'hard' then 100 end")
+def coverage_sample(spark: SparkSession, d: str) -> DataFrame:
+    s = sampling.by_coverage(table(spark, d, "samples").select("rec_no", "quality"), TARGETS, 500, "rec_no")
+    return s.select("rec_no", F.col("quality.coverage.bucket").alias("bucket"), "rank")
+
+
+def _quota_sql(ratio: float) -> str:
+    """Seats from counts, then the rows by their rank: negatives first where positives lack, borrowing hard from mid and high, mid from high."""
+    levels = ("high", "mid", "hard")
+    wide = ", ".join(f"max({c}) filter (lvl = '{b}') as {c}_{b}" for b in levels for c in ("neg", "pos", "ln", "lp", "gap"))
+    return f"""with c as (select rec_no, case when quality.coverage.bucket in ('high', 'mid', 'hard') then quality.coverage.bucket else 'high' end as lvl, coalesce(quality.coverage.polarity = 'negative', false) as negative from samples),
+    t(lvl, share) as (values ('high', {TARGETS['high']}::DOUBLE), ('mid', {TARGETS['mid']}::DOUBLE), ('hard', {TARGETS['hard']}::DOUBLE)),
+    n as (select t.lvl, share, count(*) filter (negative) as cn, count(*) filter (not negative) as cp, sum(count(rec_no)) over () as total from t left join c on c.lvl = t.lvl group by t.lvl, share),
+    w as (select *, (round_even(total * share, 0) + case when lvl = 'high' then total - sum(round_even(total * share, 0)) over () else 0 end)::BIGINT as seats from n),
+    g as (select *, least(cn, greatest(round_even(seats * {ratio}::DOUBLE, 0)::BIGINT, seats - cp)) as neg from w),
+    p as (select *, least(cp, seats - neg) as pos from g),
+    l as (select *, cn - neg as ln, cp - pos as lp, seats - neg - pos as gap from p),
+    o as (select {wide} from l),
+    h as (select *, least(gap_hard, ln_mid) as h1 from o), h2 as (select *, least(gap_hard - h1, lp_mid) as h2 from h), h3 as (select *, least(gap_hard - h1 - h2, ln_high) as h3 from h2), h4 as (select *, least(gap_hard - h1 - h2 - h3, lp_high) as h4 from h3),
+    m1 as (select *, least(gap_mid, ln_high - h3) as m1 from h4), m2 as (select *, least(gap_mid - m1, lp_high - h4) as m2 from m1),
+    cuts(lvl, negative, after, upto, filled) as ({" union all ".join([f"select '{b}', true, 0, neg_{b}, '{b}' from m2 union all select '{b}', false, 0, pos_{b}, '{b}' from m2" for b in levels] + ["select 'mid', true, neg_mid, neg_mid + h1, 'hard' from m2", "select 'mid', false, pos_mid, pos_mid + h2, 'hard' from m2", "select 'high', true, neg_high, neg_high + h3, 'hard' from m2", "select 'high', false, pos_high, pos_high + h4, 'hard' from m2", "select 'high', true, neg_high + h3, neg_high + h3 + m1, 'mid' from m2", "select 'high', false, pos_high + h4, pos_high + h4 + m2, 'mid' from m2"])}),
+    r as (select *, {_IN_STRATUM.format("lvl, negative")} as rank from c)
+    select rec_no, filled from r join cuts using (lvl, negative) where rank > after and rank <= upto"""
+
+
+@query(_quota_sql(0.1))
 def coverage_quota_sample(spark: SparkSession, d: str) -> DataFrame:
     return sampling.quota_sample(table(spark, d, "samples").select("rec_no", "quality"), TARGETS, "rec_no", 42, 0.1)[0].select("rec_no", "filled")
 
 
-@query("select coalesce(scenario, 'unknown') as scenario, least(count(*), 5) as n from samples group by 1")
+_LEVELS = "count(*) filter (filled = 'high') as high, count(*) filter (filled = 'mid') as mid, count(*) filter (filled = 'hard') as hard"
+
+
+@query(f"select 'hybrid' as mode, {_LEVELS}, count(*) as n from ({_quota_sql(0.1)}) union all select 'upstream', null, null, null, count(*) from samples union all select 'small', null, null, null, count(*) from samples")
+def quota_reports(spark: SparkSession, d: str) -> DataFrame:
+    """What the sampler reports, and how many rows pass it untouched where it is bypassed."""
+    s = table(spark, d, "samples").select("rec_no", "quality")
+    parts = []
+    for mode, options in (("hybrid", {"negative_ratio": 0.1}), ("upstream", {"mode": "upstream"}), ("small", {"min_size": 1 << 60})):
+        out, report = sampling.sample_or_pass(s, TARGETS, "rec_no", **options)
+        levels = [F.lit(report.get("final_counts", {}).get(b)).cast("bigint").alias(b) for b in coverage.BUCKETS]
+        parts.append(out.agg(F.count(F.lit(1)).alias("n")).select(F.lit(mode).alias("mode"), *levels, "n"))
+    return assemble.union(*parts)
+
+
+@query(f"select * from (select rec_no, {_SCENARIO} as scenario, {_IN_STRATUM.format(_SCENARIO)} as rank from samples) where rank <= 5")
 def human_evaluation_sample(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "samples").select("rec_no", F.coalesce("scenario", F.lit("unknown")).alias("scenario"))
-    return sampling.hashed_sample(rows, 5, ["scenario"], ["rec_no"]).groupBy("scenario").agg(F.count(F.lit(1)).alias("n"))
+    return sampling.hashed_sample(rows, 5, ["scenario"], ["rec_no"])
 
 
 @query("select rec_no from samples order by rec_no limit 100")
@@ -354,7 +405,12 @@ def first_samples(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "samples").orderBy("rec_no").limit(100).select("rec_no")
 
 
-@query()
+def _drawn(seed: int, key: str) -> str:
+    return f"('0x' || substr(md5('{seed}:' || coalesce({key}::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE"
+
+
+@query(f"""select rec_no, case when a <= 0.8 then 'high' when a <= 0.95 then 'mid' when a <= 1.0 then 'hard' else 'high' end as bucket, case when b < 0.1 then case when c < 0.5 then 'wrong_premise' else 'conflict_spec' end end as negative_type
+from (select rec_no, {_drawn(1, "rec_no")} as a, {_drawn(2, "rec_no")} as b, {_drawn(3, "rec_no")} as c from symbols)""")
 def drawn_labels(spark: SparkSession, d: str) -> DataFrame:
     key = F.col("rec_no")
     return table(spark, d, "symbols").select("rec_no", sampling.weighted_choice({"high": 0.8, "mid": 0.15, "hard": 0.05}, "high", sampling.uniform(1, key)).alias("bucket"), sampling.maybe(0.1, ["wrong_premise", "conflict_spec"], sampling.uniform(2, key), sampling.uniform(3, key)).alias("negative_type"))

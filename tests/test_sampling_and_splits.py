@@ -1,16 +1,31 @@
-"""Quotas and splits against loops that draw the same random numbers."""
+"""Samples, quotas and splits against plain loops."""
 
 from __future__ import annotations
 
+import hashlib
 import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from sievework.operators import sampling, splitting
 
 
+def plain_ranks(ids, seed):
+    return sorted(ids, key=lambda i: (hashlib.md5(f"{seed}:{i}".encode()).hexdigest(), i))
+
+
 def test_reservoir(spark):
+    ids = random.Random(2).sample(range(1000), 120)
+    df = spark.createDataFrame([(i,) for i in ids], "id bigint")
+    got = sampling.reservoir(df, 15, "id", 7).orderBy("rank").collect()
+    assert [r.id for r in got] == plain_ranks(ids, 7)[:15]
+    assert sampling.reservoir(df, 500, "id").count() == 120
+    assert sampling.reservoir(df.limit(0), 5, "id").count() == 0
+
+
+def test_replayed_reservoir(spark):
     def plain(items, k, seed):
         rng, out = random.Random(seed), list(items[:k])
         for i in range(k, len(items)):
@@ -21,9 +36,16 @@ def test_reservoir(spark):
 
     ids = random.Random(2).sample(range(1000), 120)
     df = spark.createDataFrame([(i,) for i in ids], "id bigint")
-    got = sampling.reservoir(df, 15, "id", 7).orderBy("slot").collect()
+    got = sampling.replayed_reservoir(df, 15, "id", 7).orderBy("slot").collect()
     assert [r.id for r in got] == plain(sorted(ids), 15, 7)
-    assert sampling.reservoir(df, 500, "id").count() == 120
+
+
+def test_stratified(spark):
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else "ab"[i % 2]) for i in range(100)], "id bigint, s string")
+    got = sampling.stratified(df, F.col("s"), {"a": 7, "b": 500, "c": 3}, "id").collect()
+    assert Counter(r.stratum for r in got) == {"a": 7, "b": 40}
+    assert [r.id for r in sorted(got, key=lambda r: r["rank"]) if r.stratum == "a"] == plain_ranks([i for i in range(100) if i % 5 and i % 2 == 0], 42)[:7]
+    assert Counter(r.stratum for r in sampling.stratified(df, F.col("s"), 3, "id").collect()) == {"a": 3, "b": 3, "unknown": 3}
 
 
 def coverage_rows(spark, levels, polarity=None):
@@ -34,49 +56,40 @@ def coverage_rows(spark, levels, polarity=None):
 def test_quota_counts(spark):
     df = coverage_rows(spark, ["high"] * 10 + ["mid"] * 6 + ["hard"] * 4)
     out, plan = sampling.quota_sample(df, {"high": 0.5, "mid": 0.3, "hard": 0.2}, "rec_no", 7)
-    assert {b: len(r) for b, r in plan.picked.items()} == {"high": 10, "mid": 6, "hard": 4}
+    assert {b: plan.filled(b) for b in ("high", "mid", "hard")} == {"high": 10, "mid": 6, "hard": 4}
     assert out.count() == 20
 
 
-def test_quota_replays_the_stream():
-    counts = {("high", False): 30, ("high", True): 5, ("mid", False): 2, ("mid", True): 1, ("hard", False): 9, ("hard", True): 3}
-    plan = sampling.QuotaPlan(counts, {"high": 0.6, "mid": 0.3, "hard": 0.1}, 11, 0.2)
-    rng, total = random.Random(11), 50
-    want = {"high": round(total * 0.6), "mid": round(total * 0.3), "hard": round(total * 0.1)}
-    picked = {}
-    left = {}
-    for b in ("high", "mid", "hard"):
-        neg, pos = [(b, True, i) for i in range(counts[b, True])], [(b, False, i) for i in range(counts[b, False])]
-        k = round(want[b] * 0.2)
-
-        def pick(xs, n):
-            if n <= 0:
-                return [], xs
-            if n >= len(xs):
-                return xs, []
-            rng.shuffle(xs)
-            return xs[:n], xs[n:]
-
-        a, ra = pick(neg, k)
-        c, rc = pick(pos, max(0, want[b] - k))
-        got, rest = a + c, ra + rc
-        if want[b] - len(got) > 0:
-            more, rest = pick(rest, want[b] - len(got))
-            got = got + more
-        picked[b], left[b] = got, rest
-    need = want["mid"] - len(picked["mid"])
-    picked["mid"] += left["high"][:need]
-    assert plan.picked == picked
-    assert plan.borrowed == ({("mid", "high"): min(need, len(left["high"]))} if left["high"] else {})
-
-
-@pytest.mark.parametrize("total,targets", [(7, {"high": 0.8, "mid": 0.15, "hard": 0.05}), (1, {"high": 1, "mid": 1, "hard": 1}), (25, {"high": 0.5, "mid": 0.5}), (0, {"high": 1})])
-def test_desired_sums_to_the_total(total, targets):
-    assert sum(sampling.desired(total, sampling.normalized(targets)[0]).values()) == total
+def test_quota_borrows_and_keeps_its_negatives(spark):
+    levels = ["high"] * 35 + ["mid"] * 3 + ["hard"] * 2 + [None, "odd"]
+    negative = {i: "negative" for i in (*range(5), 35)}
+    df = coverage_rows(spark, levels, negative)
+    out, plan = sampling.quota_sample(df, {"high": 0.4, "mid": 0.3, "hard": 0.3}, "rec_no", 3, 0.2)
+    assert plan.wanted == {"high": 16, "mid": 13, "hard": 13} or sum(plan.wanted.values()) == 42
+    rows = out.collect()
+    assert len({r.rec_no for r in rows}) == len(rows) == 42  # all are lent
+    assert Counter(r.filled for r in rows) == plan.wanted
+    assert plan.borrowed["hard", "high"] == 11 and ("hard", "mid") not in plan.borrowed
+    assert plan.negative_deficits == {"high": 0, "mid": round(plan.wanted["mid"] * 0.2) - 1, "hard": round(plan.wanted["hard"] * 0.2)}
+    own = [r for r in rows if r.filled == "high" and r.rec_no in negative]
+    assert len(own) == round(plan.wanted["high"] * 0.2)
+
+
+def test_quota_of_positives_alone_and_of_negatives_alone():
+    plan = sampling.quota_plan({("high", False): 10}, {"high": 1}, 0.5)
+    assert plan.filled("high") == 10 and plan.negative_deficits["high"] == 5
+    plan = sampling.quota_plan({("high", True): 10}, {"high": 1}, 0.1)
+    assert plan.filled("high") == 10 and plan.used(("high", True)) == 10
+
+
+@pytest.mark.parametrize("total,targets", [(7, {"high": 0.8, "mid": 0.15, "hard": 0.05}), (1, {"high": 1, "mid": 1, "hard": 1}), (25, {"high": 0.5, "mid": 0.5}), (0, {"high": 1}), (50, {"high": 0.5, "else": 0.5})])
+def test_wanted_sums_to_the_total(total, targets):
+    assert sum(sampling.wanted_rows(total, sampling.shares_of(targets)).values()) == total
 
 
 def test_targets_default():
-    assert sampling.normalized(None)[1] and sampling.normalized({"high": 0})[1] and not sampling.normalized({"high": 2})[1]
+    assert sampling.shares_of(None) is None and sampling.shares_of({"high": 0}) is None and sampling.shares_of({"high": 2})["high"] == 1
+    assert sampling.quota_plan({("high", False): 3}, None).default
 
 
 def test_bypass(spark):
@@ -98,12 +111,11 @@ def split_tables(spark, groups, rows):
     return samples, symbols
 
 
-def test_group_split_replays_the_shuffle(spark):
+def test_group_split_cuts_a_seeded_order(spark):
     samples, symbols = split_tables(spark, 12, 60)
     got = splitting.group_split(samples, symbols, seed=1).collect()
-    order = list(range(12))
-    random.Random(1).shuffle(order)
-    where = {f"p{g}.q": "train" if p < 9 else "val" if p < 10 else "test" for p, g in enumerate(order)}
+    order = plain_ranks([f"p{g}.q" for g in range(12)], 1)
+    where = {g: "train" if p < 9 else "val" if p < 10 else "test" for p, g in enumerate(order)}
     assert {r.rec_no: r.split for r in got} == {i: where[f"p{i % 12}.q"] for i in range(60)}
 
 
