@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.functions.layers import JAVA, LanguageProfile, keyword_score, layer, priority
 from sievework.functions.paths import slashes
 from sievework.functions.similarity import cosine
 from sievework.functions.text import query_tokens
+from sievework.operators.dedup import unit_vectors
 from sievework.operators.lookup import expand_calls
 
 
@@ -21,46 +25,49 @@ def nearest(vectors: DataFrame, query: list[float], k: int, order: str = "row",
     return scored.orderBy(F.desc("score"), order).limit(k)
 
 
-def nearest_all(vectors: DataFrame, queries: DataFrame, k: int, block: int = 512, digits: int = 6) -> DataFrame:
+def nearest_all(vectors: DataFrame, queries: DataFrame, k: int, most_bytes: int = 64 << 20, digits: int = 6) -> DataFrame:
     """(query, rank, row, score): for each (query, vec) the k rows of (row, vec) with the largest cosine, of equals the first.
 
-    Queries are packed into blocks, and every block meets every part of the rows once, as a matrix product; a part keeps k rows for each
-    query, and the parts' results are merged. Nulls, zeros and vectors of another length than the query are left out.
+    Queries are sent to all tasks in blocks of at most ``most_bytes``; for each block the rows are streamed once where they are, never
+    shuffled, and a task keeps k rows for each query. Nulls, zeros and vectors of another length than the query are left out.
     """
-
-    def pack(batches):
-        for batch in batches:
-            for lo in range(0, batch.num_rows, block):
-                part = batch.slice(lo, block)
-                ok = [(q, v) for q, v in zip(part.column(0).to_pylist(), part.column(1).to_pylist()) if v and None not in v]
-                for dim in sorted({len(v) for _, v in ok}):
-                    some = [(q, v) for q, v in ok if len(v) == dim]
-                    yield pa.RecordBatch.from_arrays([pa.array([[q for q, _ in some]], pa.list_(pa.int64())), pa.array([dim], pa.int32()), pa.array([[float(x) for _, v in some for x in v]], pa.list_(pa.float64()))], ["ids", "dim", "flat"])
-
-    blocks = queries.select(F.col("query").cast("bigint"), "vec").mapInArrow(pack, "ids array<bigint>, dim int, flat array<double>")
-    rows = vectors.where("vec is not null").select(F.col("row").cast("bigint"), "vec", F.size("vec").alias("dim"))
-    parts = max(1, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    packed = rows.groupBy("dim", F.pmod(F.xxhash64("row"), F.lit(parts * 4)).alias("part")).agg(F.collect_list(F.struct("row", "vec")).alias("rows"))
-
-    def score(batches):
+    spark = vectors.sparkSession
+    named = queries.select(F.col("query").cast("bigint").alias("query"), "vec", F.size("vec").alias("dim")).where("query is not null and vec is not null and dim > 0")
+    sizes = [(r.dim, r.n) for r in named.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).orderBy("dim").collect()]
+    rows = vectors.select(F.col("row").cast("bigint"), "vec")
+    found = []
+    for dim, n in sizes:
+        blocks = max(1, math.ceil(n * dim * 8 / most_bytes))
+        for i in range(blocks):
+            part = named.where((F.col("dim") == dim) & (F.pmod(F.xxhash64("query"), F.lit(blocks)) == i)).select("query", "vec").toArrow()
+            ids, units = unit_vectors(part["query"].combine_chunks(), part["vec"].combine_chunks(), dim)
+            if len(ids):
+                found.append(rows.mapInArrow(_best(spark.sparkContext.broadcast((ids, units)), dim, k, digits), "query bigint, row bigint, score double"))
+    if not found:
+        return spark.createDataFrame([], "query bigint, rank int, row bigint, score double")
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "row"))
+    return reduce(DataFrame.unionByName, found).withColumn("rank", place).where(F.col("rank") <= k).select("query", "rank", "row", "score")
+
+
+def _best(block, dim: int, k: int, digits: int):
+    """What a task does with its rows: a matrix product with all queries, of which the k best of each are kept."""
+
+    def run(batches):
+        ids, q = block.value
+        top_s, top_r = np.full((len(ids), k), -np.inf), np.full((len(ids), k), np.iinfo(np.int64).max)
         for batch in batches:
-            for ids, dim, flat, some in zip(*(batch.column(c).to_pylist() for c in ("ids", "dim", "flat", "rows"))):
-                some = [r for r in some if None not in r["vec"]]
-                q = np.array(flat).reshape(-1, dim)
-                v, at = np.array([r["vec"] for r in some], dtype=float), np.array([r["row"] for r in some], dtype=np.int64)
-                qn, vn = np.linalg.norm(q, axis=1), np.linalg.norm(v, axis=1)
-                live = np.flatnonzero(vn > 0)
-                s = np.round((q @ v[live].T) / np.where(qn > 0, qn, 1)[:, None] / vn[live], digits) + 0.0
-                out: list[tuple] = []
-                for i in np.flatnonzero(qn > 0):
-                    top = np.lexsort((at[live], -s[i]))[:k]
-                    out += [(ids[i], int(at[live][t]), float(s[i, t])) for t in top]
-                cols = list(zip(*out)) if out else ([], [], [])
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())], ["query", "row", "score"])
-
-    met = blocks.join(packed, "dim").select("ids", "dim", "flat", "rows").mapInArrow(score, "query bigint, row bigint, score double")
-    best = met.groupBy("query").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("neg"), "row"))), 1, k).alias("top"))
-    return best.select("query", F.posexplode("top").alias("rank", "t")).select("query", (F.col("rank") + 1).alias("rank"), F.col("t.row").alias("row"), (-F.col("t.neg")).alias("score"))
+            at, v = unit_vectors(batch.column(0), batch.column(1), dim)
+            for lo in range(0, len(ids), 512):
+                s = np.round(q[lo : lo + 512] @ v.T, digits) + 0.0
+                for i in np.flatnonzero((s >= top_s[lo : lo + 512, -1:]).any(axis=1)):
+                    new = s[i] >= top_s[lo + i, -1]
+                    scores, rows = np.concatenate([top_s[lo + i], s[i][new]]), np.concatenate([top_r[lo + i], at[new]])
+                    order = np.lexsort((rows, -scores))[:k]
+                    top_s[lo + i], top_r[lo + i] = scores[order], rows[order]
+        i, j = np.nonzero(top_s > -np.inf)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(top_r[i, j]), pa.array(top_s[i, j])], ["query", "row", "score"])
+
+    return run
 
 
 def keyword_top(symbols: DataFrame, query: Column | str, k: int, profile: LanguageProfile | None = None, order: str = "rec_no") -> DataFrame:
@@ -113,8 +120,6 @@ def retrieve(symbols: DataFrame, query: str, k: int = 6, vectors: DataFrame | No
     every = base.unionByName(called).unionByName(extra).withColumn("stage", stage)
     once = every.groupBy(order).agg(F.min(F.struct("stage", "sort", "tie", "how")).alias("m")).select(order, "m.*")
     # at most k + max_expansion rows and one for each layer, so one task may order them
-    from pyspark.sql import Window
-
     return once.withColumn("place", F.row_number().over(Window.orderBy("stage", "sort", "tie", order))).select(order, "place", "how")
 
 

@@ -58,12 +58,16 @@ def read_json(path: str) -> Any:
 
 
 def write_json(value: Any, path: str) -> None:
-    """A small report on the driver; a DataFrame of a few rows is collected."""
-    if isinstance(value, DataFrame):
-        value = [r.asDict(recursive=True) for r in value.limit(10_000).collect()]
+    """A report on the driver's disk; of a DataFrame every row is written, as they arrive partition by partition."""
     os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
     with open(path, "w", encoding="utf-8") as f:
-        json.dump(value, f, ensure_ascii=False, indent=2, default=str)
+        if not isinstance(value, DataFrame):
+            json.dump(value, f, ensure_ascii=False, indent=2, default=str)
+            return
+        f.write("[")
+        for i, row in enumerate(value.toLocalIterator()):
+            f.write((",\n" if i else "\n") + json.dumps(row.asDict(recursive=True), ensure_ascii=False, default=str))
+        f.write("\n]")
 
 
 def load_config(path: str) -> dict[str, Any]:

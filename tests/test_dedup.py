@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 
 from sievework.functions.similarity import simhash_value
-from sievework.operators import dedup
+from sievework.operators import dedup, retrieval
+from sievework.plans.scratch import Scratch
 
 
 def plain_simhash(text, bits=64):
@@ -93,6 +94,44 @@ def test_semantic_dedup(spark, seed, window):
     assert {r.row: (r.kept, r.kept_row) for r in got} == semantic_rows(vecs, 0.9, window)
 
 
+def test_greedy_walks_long_chains(spark):
+    rng = random.Random(4)
+    chain = [(i, i + 1) for i in range(2000)]
+    edges = {tuple(sorted(rng.sample(range(5000, 5400), 2))) for _ in range(900)} | set(chain) | {(i, 9000) for i in range(5000, 5400)}
+    state = {}
+    for x in sorted({x for e in edges for x in e}):
+        state[x] = not any(state[a] for a, b in edges if b == x)
+    for walk in (dedup.WALK, 300):
+        got = dedup.greedy(spark.createDataFrame(sorted(edges), "a bigint, b bigint"), Scratch(spark, "t"), walk)
+        assert sorted(r.b for r in got.collect()) == sorted(x for x, kept in state.items() if not kept)
+
+
+@pytest.mark.parametrize("threshold", [0.4, 0.92])
+def test_cosine_pairs_lose_none(spark, monkeypatch, threshold):
+    monkeypatch.setattr(dedup, "PACK", 16)
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(9, 12))
+    vecs = [(i, (centres[rng.integers(9) if i % 3 else 0] + rng.normal(scale=0.3, size=12)).tolist()) for i in range(220)]
+    odd = [(900, None), (901, [0.0] * 12), (902, [1.0]), (903, [None] * 12), (904, vecs[0][1]), (905, vecs[0][1])]
+    got = dedup.cosine_pairs(spark.createDataFrame(vecs + odd, "row bigint, vec array<double>"), threshold).collect()
+    good = {i: np.array(v) / np.linalg.norm(v) for i, v in vecs + odd[4:]}
+    want = {(i, j) for i in good for j in good if i < j and good[i] @ good[j] >= threshold}
+    assert sorted((r.a, r.b) for r in got) == sorted(want)
+
+
+def test_nearest_all(spark):
+    rng = np.random.default_rng(5)
+    vecs = {i: np.round(rng.normal(size=3), 1) for i in range(150)}
+    rows = [(i, v.tolist()) for i, v in vecs.items()] + [(500, None), (501, [1.0]), (502, [0.0] * 3), (503, [None] * 3)]
+    queries = [(i, vecs[i].tolist()) for i in range(0, 150, 10)] + [(700, [2.0]), (701, None), (702, [0.0] * 3)]
+    df, q = spark.createDataFrame(rows, "row bigint, vec array<double>").repartition(3), spark.createDataFrame(queries, "query bigint, vec array<double>")
+    cos = lambda a, b: round(float(a @ b / np.linalg.norm(a) / np.linalg.norm(b)), 6) + 0.0
+    want = {(i, k + 1, j) for i in range(0, 150, 10) for k, (_, j) in enumerate(sorted((-cos(vecs[i], v), j) for j, v in vecs.items() if v.any())[:4]) if vecs[i].any()} | {(700, 1, 501)}
+    for most in (1 << 20, 100):
+        assert {(r.query, r["rank"], r.row) for r in retrieval.nearest_all(df, q, 4, most).collect()} == want
+    assert retrieval.nearest_all(df, q.limit(0), 4).count() == 0
+
+
 def test_empty_tables(spark):
     assert dedup.simhash_dedup(spark.createDataFrame([], "row bigint, fp bigint")).count() == 0
     assert dedup.cosine_pairs(spark.createDataFrame([], "row bigint, vec array<double>"), 0.9).count() == 0
