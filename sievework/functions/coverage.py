@@ -40,7 +40,11 @@ def question_text(instruction: Column, answer: Column) -> Column:
 
 def intent(text: Column) -> Column:
     """The first topic one of whose substrings is in the lower-cased text, how_to if none is; null text counts as empty."""
-    low = F.lower(F.coalesce(text, F.lit("")))
+    return topic_of(F.lower(F.coalesce(text, F.lit(""))))
+
+
+def topic_of(low: Column) -> Column:
+    """``intent`` of a text in lower case. Give it a column that is computed before, not an expression: each keyword reads it."""
     out = F
     for name, words in INTENT_KEYWORDS.items():
         out = out.when(contains_any(low, words), F.lit(name))
@@ -55,7 +59,11 @@ def module_span(refs: Column) -> Column:
 
 def bucket(topic: Column, span: Column, text: Column) -> Column:
     """hard for delicate topics or words, mid for several modules or topics that need them, else high."""
-    low = F.lower(F.coalesce(text, F.lit("")))
+    return level_of(topic, span, F.lower(F.coalesce(text, F.lit(""))))
+
+
+def level_of(topic: Column, span: Column, low: Column) -> Column:
+    """``bucket`` of a text in lower case, from columns that are computed before."""
     hard = topic.isin("compatibility", "edge") | contains_any(low, HARD_KEYWORDS)
     return F.when(hard, F.lit("hard")).when((span == "multi") | topic.isin("perf", "consistency"), F.lit("mid")).otherwise(F.lit("high"))
 

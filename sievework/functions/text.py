@@ -39,6 +39,20 @@ def cut_middle(text: Column, limit: int, mark: str = "\n    // ... (truncated) .
     return F.when(F.length(text) > limit, F.concat(F.substring(text, 1, half), F.lit(mark), F.right(text, F.lit(half)))).otherwise(text)
 
 
+def cut_counted(text: Column, limit: int) -> Column:
+    """The first ``limit`` characters of a longer text, and how many there were."""
+    return F.when(F.length(text) > limit, F.concat(F.substring(text, 1, limit), F.lit("\n... [truncated, total "), F.length(text).cast("string"), F.lit(" chars]"))).otherwise(text)
+
+
+def cut_parsed(text: Column, limit: int, language: str) -> Column:
+    """A source as the parser of the language stores it: of Java head and tail, of Python the head."""
+    if language == "java":
+        keep = max(limit // 2 - 50, 0)
+        mark = F.concat(F.lit("\n\n... /* TRUNCATED: "), (F.length(text) - limit).cast("string"), F.lit(" chars omitted */ ...\n\n"))
+        return F.when(F.length(text) > limit, F.concat(F.substring(text, 1, keep), mark, F.right(text, F.lit(keep)))).otherwise(text)
+    return cut(text, limit, "\n... (truncated)")
+
+
 def embedding_text(name: Column, summary: Column, rules: Column, labels: Column) -> Column:
     """What of a method's profile is embedded: its parts joined by bars, empty ones left out."""
     part = lambda title, xs, sep: F.when(F.size(xs) > 0, F.concat(F.lit(title), F.array_join(xs, sep)))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.functions.paths import slashes, without_line
+from sievework.functions.text import call_names
 from sievework.plans.scratch import Scratch
 
 
@@ -104,30 +105,35 @@ def available_refs(refs: Column, default: Column, most: int = 3) -> Column:
     return F.slice(first, 1, most)
 
 
-def call_edges(symbols: DataFrame, order: str = "rec_no") -> DataFrame:
-    """(caller, callee): every method whose name a symbol's source calls; itself included if it calls its own name."""
-    from sievework.functions.text import call_names
+def calls(symbols: DataFrame, order: str = "rec_no") -> DataFrame:
+    """(caller, name): every name that a symbol's source calls, once. Calls stay by name: with the methods of a name they are the edges of
+    the call graph, and a common name costs its callers and its callees, not their product."""
+    return symbols.select(F.col(order).alias("caller"), F.explode(call_names(F.col("source"))).alias("name"))
+
 
-    calls = symbols.select(F.col(order).alias("caller"), F.explode(call_names(F.col("source"))).alias("name"))
-    methods = symbols.where("symbol_type = 'method'").select(F.col(order).alias("callee"), "name")
-    return calls.join(methods, "name").select("caller", "callee")
+def call_edges(symbols: DataFrame, order: str = "rec_no") -> DataFrame:
+    """(caller, name, callees, first_callee): for every called name the number of methods that have it, and the first of them."""
+    index = symbols.where("symbol_type = 'method'").groupBy("name").agg(F.count(F.lit(1)).alias("callees"), F.min(order).alias("first_callee"))
+    return calls(symbols, order).join(index, "name").select("caller", "name", "callees", "first_callee")
 
 
 def expand_calls(seeds: DataFrame, symbols: DataFrame, max_depth: int = 1, most: int = 20, order: str = "rec_no") -> DataFrame:
     """(rec_no, depth): symbols reached from the seeds over calls, nearest first and then by ``order``, at most ``most``; seeds are not returned.
 
     A symbol is known by its symbol_id, so of repeated rows the first counts. Ties that the order of a set once decided go by ``order``.
+    Calls are only extracted from the symbols at the front, and their distinct names pick the methods.
     """
     if max_depth <= 0 or most <= 0:
         return symbols.select(order).limit(0).withColumn("depth", F.lit(0))
-    first = symbols.groupBy("symbol_id").agg(F.min(order).alias(order))
-    own = symbols.join(first.select(order), order, "left_semi")
-    edges = call_edges(own, order)
-    seen = seeds.select(F.col(order).alias("node")).distinct().withColumn("depth", F.lit(0))
-    front = seen
+    scratch = Scratch(symbols.sparkSession, "calls")
+    first = symbols.groupBy("symbol_id").agg(F.min(order).alias(order)).select(order)
+    methods = symbols.where("symbol_type = 'method' and name is not null").select(F.col(order).alias("node"), "name")
+    front = seen = scratch.write(seeds.select(F.col(order).alias("node")).distinct().withColumn("depth", F.lit(0)), "front")
     for d in range(1, max_depth + 1):
-        step = front.select(F.col("node").alias("caller")).join(edges, "caller").select(F.col("callee").alias("node")).distinct()
-        front = step.join(seen, "node", "left_anti").withColumn("depth", F.lit(d))
+        sources = symbols.select(order, "source").join(front.select(F.col("node").alias(order)), order, "left_semi").join(first, order, "left_semi")
+        names = calls(sources, order).select("name").distinct()
+        step = methods.join(names, "name", "left_semi").select("node").join(first.select(F.col(order).alias("node")), "node", "left_semi")
+        front = scratch.write(step.join(seen, "node", "left_anti").distinct().withColumn("depth", F.lit(d)), "front")
         seen = seen.unionByName(front)
     return seen.where("depth > 0").orderBy("depth", "node").limit(most).select(F.col("node").alias(order), "depth")
 

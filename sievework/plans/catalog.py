@@ -48,8 +48,8 @@ v as (select intent, {sql.bucket('intent', "'single'", 'low')} as bucket from u)
 c as (select 'bucket' as dimension, bucket as value, count(*) as n from v group by bucket union all select 'intent', intent, count(*) from v group by intent)
 select dimension, value, n, round(n / sum(n) over (partition by dimension), 4) as ratio from c""")
 def distribution_by_tag(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("text").withColumn("intent", coverage.intent(F.col("text")))
-    docs = docs.withColumn("bucket", coverage.bucket(F.col("intent"), F.lit("single"), F.col("text")))
+    docs = table(spark, d, "documents").select(F.lower(F.coalesce("text", F.lit(""))).alias("low")).withColumn("intent", coverage.topic_of(F.col("low")))
+    docs = docs.withColumn("bucket", coverage.level_of(F.col("intent"), F.lit("single"), F.col("low")))
     return distributions.distributions(docs, {"bucket": (F.col("bucket"), "unknown"), "intent": (F.col("intent"), "unknown")})
 
 
@@ -262,17 +262,17 @@ def called_names(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {CALLS} select caller, count(*) as callees, min(m.rec_no) as first_callee from calls join symbols m on m.symbol_type = 'method' and m.name = calls.name group by 1")
 def call_edges(spark: SparkSession, d: str) -> DataFrame:
-    return lookup.call_edges(table(spark, d, "symbols")).groupBy("caller").agg(F.count(F.lit(1)).alias("callees"), F.min("callee").alias("first_callee"))
+    return lookup.call_edges(table(spark, d, "symbols")).groupBy("caller").agg(F.sum("callees").alias("callees"), F.min("first_callee").alias("first_callee"))
 
 
 @query(f"""with recursive {CALLS}, own as (select symbol_id, min(rec_no) as rec_no from symbols group by 1), edges as (select distinct c.caller, m.rec_no as callee from calls c join own o on o.rec_no = c.caller join symbols m on m.symbol_type = 'method' and m.name = c.name join own o2 on o2.rec_no = m.rec_no),
-seeds as (select rec_no from own where rec_no % 50 = 0), d1 as (select distinct callee from edges where caller in (select rec_no from seeds) and callee not in (select rec_no from seeds)),
+seeds as (select rec_no from own where rec_no % 3 = 0), d1 as (select distinct callee from edges where caller in (select rec_no from seeds) and callee not in (select rec_no from seeds)),
 d2 as (select distinct callee from edges where caller in (select callee from d1) and callee not in (select rec_no from seeds) and callee not in (select callee from d1))
 select rec_no, depth::INT as depth from (select callee as rec_no, 1 as depth from d1 union all select callee, 2 from d2) order by depth, rec_no limit 200""")
 def call_expansion(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "symbols")
     first = s.groupBy("symbol_id").agg(F.min("rec_no").alias("rec_no"))
-    return lookup.expand_calls(first.where("rec_no % 50 = 0").select("rec_no"), s, 2, 200)
+    return lookup.expand_calls(first.where("rec_no % 3 = 0").select("rec_no"), s, 2, 200)
 
 
 @query("with f as (select replace(symbol_id, '\\', '/') as sid, min(rec_no) as rec_no from symbols group by 1) select rec_no from f")
@@ -686,6 +686,26 @@ def embedded_texts(spark: SparkSession, d: str) -> DataFrame:
     return generation.embed(table(spark, d, "documents").select("doc_id", "text"), "text").select("doc_id", "vec")
 
 
+@query("select rec_no, name, true as fits from symbols where symbol_type = 'method' and source is not null and regexp_matches(file_path, '[.]java$')")
+def parsed_methods(spark: SparkSession, d: str) -> DataFrame:
+    """The Java methods parsed anew, each in a class of its own: the name that is found, and whether the stored source fits its hash."""
+    rows = table(spark, d, "symbols").where("symbol_type = 'method' and source is not null and file_path rlike '[.]java$'")
+    owner = F.coalesce(F.try_element_at(F.split("qualified_name", "[.]"), F.lit(-2)), F.lit("Owner"))
+    files = rows.select(F.concat(F.col("rec_no").cast("string"), F.lit(".java")).alias("path"), F.concat(F.lit("class "), owner, F.lit(" {\n"), "source", F.lit("\n}")).cast("binary").alias("content"))
+    found = parse(files, "UNKNOWN_COMMIT", ParseRules(most_chars=300))[0].select(F.substring_index("file_path", ".", 1).cast("bigint").alias("rec_no"), "name", "start_line", paths.hash_fits(F.col("source"), F.col("source_hash")).alias("fits"))
+    return found.groupBy("rec_no").agg(F.min_by("name", "start_line").alias("name"), F.every("fits").alias("fits"))
+
+
+_MARKED = "case when length(source) > 200 then {0} else source end"
+
+
+@query(f"""select rec_no, md5({_MARKED.format("substr(source, 1, 200) || chr(10) || '... [truncated, total ' || length(source) || ' chars]'")}) as counted, md5({_MARKED.format("substr(source, 1, 200) || chr(10) || '... (truncated)'")}) as python,
+md5({_MARKED.format("substr(source, 1, 50) || chr(10) || chr(10) || '... /* TRUNCATED: ' || (length(source) - 200) || ' chars omitted */ ...' || chr(10) || chr(10) || right(source, 50)")}) as java from symbols""")
+def truncation_marks(spark: SparkSession, d: str) -> DataFrame:
+    s = F.col("source")
+    return table(spark, d, "symbols").select("rec_no", F.md5(text.cut_counted(s, 200)).alias("counted"), F.md5(text.cut_parsed(s, 200, "python")).alias("python"), F.md5(text.cut_parsed(s, 200, "java")).alias("java"))
+
+
 @query()
 def parsed_symbols(spark: SparkSession, d: str) -> DataFrame:
     files = table(spark, d, "symbols").where("symbol_type = 'file' and file_path rlike '[.](java|py)$'").select(paths.slashes(F.col("file_path")).alias("path"), F.col("source").cast("binary").alias("content"))

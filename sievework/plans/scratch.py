@@ -1,7 +1,8 @@
 """Intermediate tables in the folder shared by all executors.
 
 Iterative operators cut their lineage by writing a table there and reading it back: the files survive the loss of an executor, which
-blocks kept by executors do not. The folder is ``spark.checkpoint.dir``; only where that is unset (tests, a laptop) a temporary one is made.
+blocks kept by executors do not. The folder is ``spark.checkpoint.dir``; only where that is unset and the master is local (tests, a laptop)
+a temporary one is made.
 """
 
 from __future__ import annotations
@@ -17,10 +18,13 @@ _local: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by the session, or a fresh local one that is removed at exit."""
+    """The shared folder named by the session, or under a local master a fresh one that is removed at exit. A cluster must name one: a folder
+    of one machine would be read half empty by the others."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not _local:
         _local.append(tempfile.mkdtemp(prefix="sievework-"))
         atexit.register(shutil.rmtree, _local[0], ignore_errors=True)

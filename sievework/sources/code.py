@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ast
+import bisect
 import hashlib
 import os
 import re
@@ -40,79 +41,195 @@ def source_files(spark: SparkSession, root: str, rules: ParseRules = ParseRules(
     return rows
 
 
-def _symbol(kind: str, name: str, qualified: str, path: str, first: int, last: int, source: str, doc: str | None, annotations: list[dict], language: str, commit: str, rules: ParseRules) -> dict:
+def shortened_python(source: str, most: int) -> str:
+    return source if len(source) <= most else source[:most] + "\n... (truncated)"
+
+
+def shortened_java(source: str, most: int) -> str:
+    """Head and tail, each half of the limit less 50 characters."""
+    if len(source) <= most:
+        return source
+    keep = max(most // 2 - 50, 0)
+    return f"{source[:keep]}\n\n... /* TRUNCATED: {len(source) - most} chars omitted */ ...\n\n{source[len(source) - keep :]}"
+
+
+def _symbol(kind: str, name: str, qualified: str, path: str, first: int, last: int, source: str, doc: str | None, annotations: list[dict], metadata: dict[str, str], commit: str) -> dict:
+    """The hash is that of the source as it is stored, so a cut source fits its hash."""
     digest = hashlib.sha256(source.encode("utf-8", "surrogatepass")).hexdigest()
-    shown = source
-    if len(source) > rules.most_chars:
-        half = rules.most_chars // 2
-        shown = f"{source[:half]}\n... ({len(source) - 2 * half} characters left out) ...\n{source[-half:]}"
-    return {"symbol_id": f"{path}:{qualified}:{first}", "symbol_type": kind, "name": name, "qualified_name": qualified, "file_path": path, "start_line": first, "end_line": last, "source": shown, "doc": doc, "annotations": annotations, "metadata": {"language": language, "truncated": str(shown is not source).lower()}, "repo_commit": commit, "source_hash": digest}
+    return {"symbol_id": f"{path}:{qualified}:{first}", "symbol_type": kind, "name": name, "qualified_name": qualified, "file_path": path, "start_line": first, "end_line": last, "source": source, "doc": doc, "annotations": annotations, "metadata": metadata, "repo_commit": commit, "source_hash": digest}
+
+
+def _decorator(node: ast.expr) -> str | None:
+    """The last part of a decorator's name: ``route`` of ``@app.route("/x")``; others have none."""
+    target = node.func if isinstance(node, ast.Call) else node
+    return target.id if isinstance(target, ast.Name) else target.attr if isinstance(target, ast.Attribute) else None
 
 
 def python_symbols(path: str, text: str, commit: str, rules: ParseRules) -> list[dict]:
-    """Functions and classes, nested ones too, with decorators and docstring; async functions, private names and tests as configured."""
+    """Functions and classes, nested ones too, with decorators and docstring; async functions are left out.
+
+    Unless configured, private functions (one underscore, not two), private classes (any) and functions of tests are left out; classes of
+    tests stay.
+    """
     out, lines, stem = [], text.split("\n"), os.path.splitext(os.path.basename(path))[0]
     for node in ast.walk(ast.parse(text)):
-        if not isinstance(node, (ast.FunctionDef, ast.ClassDef)):
+        if isinstance(node, ast.ClassDef):
+            hidden = not rules.private and node.name.startswith("_")
+        elif isinstance(node, ast.FunctionDef):
+            hidden = not rules.private and re.match(r"_(?!_)", node.name) or not rules.tests and (node.name.startswith("test_") or "test" in path.lower())
+        else:
             continue
-        hidden = node.name.startswith("_") and not node.name.startswith("__")
-        if hidden and not rules.private or not rules.tests and (node.name.startswith("test_") or "test" in path.lower()):
+        if hidden:
             continue
-        marks = []
-        for d in node.decorator_list:
-            raw = ast.unparse(d)
-            marks.append({"name": raw.split("(")[0], "arguments": None, "raw_text": "@" + raw})
+        marks = [{"name": n, "arguments": None, "raw_text": "@" + n} for n in map(_decorator, node.decorator_list) if n]
         last = node.end_lineno or node.lineno
-        kind = "class" if isinstance(node, ast.ClassDef) else "method"
-        out.append(_symbol(kind, node.name, f"{stem}.{node.name}", path, node.lineno, last, "\n".join(lines[node.lineno - 1 : last]), ast.get_docstring(node), marks, "python", commit, rules))
+        source = shortened_python("\n".join(lines[node.lineno - 1 : last]), rules.most_chars)
+        out.append(_symbol("class" if isinstance(node, ast.ClassDef) else "method", node.name, f"{stem}.{node.name}", path, node.lineno, last, source, ast.get_docstring(node), marks, {"language": "python"}, commit))
     return out
 
 
-_TOKENS = re.compile(r"//[^\n]*|/\*.*?(?:\*/|\Z)|\"\"\".*?\"\"\"|\"(?:\\.|[^\"\\\n])*\"|'(?:\\.|[^'\\\n])*'", re.S)
-_METHOD = re.compile(r"(?P<head>(?:@[\w.]+(?:\s*\([^()]*(?:\([^()]*\)[^()]*)*\))?\s*)*(?:[\w$<>\[\],.?&]+\s+)*)(?P<name>[A-Za-z_$][\w$]*)\s*\((?P<args>[^()]*(?:\([^()]*\)[^()]*)*)\)\s*(?:throws\s+[\w.,\s]+?)?\s*\{")
-_WORDS = frozenset("if for while switch catch synchronized try return new throw else do".split())
+# --- Java: one pass blanks texts and comments, one finds every bracket's partner; the rest jumps from bracket to bracket
+
+_TEXTS = re.compile(r"//[^\n]*|/\*.*?(?:\*/|\Z)|\"\"\"(?:\\.|[^\\])*?\"\"\"|\"(?:\\.|[^\"\\\n])*\"|'(?:\\.|[^'\\\n])*'", re.S)
+_CLASS = re.compile(r"(?<![\w$.])class\s+([A-Za-z_$][\w$]*)[^{};]*\{")
+_STOP = re.compile(r"[(\[{;=]")
+_ANNOTATION = re.compile(r"@\s*(?!interface\b)([A-Za-z_$][\w$]*(?:\s*\.\s*[A-Za-z_$][\w$]*)*)\s*")
+_MODIFIER = re.compile(r"(?:public|protected|private|static|final|abstract|synchronized|native|strictfp|default|transient|volatile)\b")
+_DECLARED = re.compile(r"(?P<type>[\w$.<>\[\],?&\s@]*[\s>\]])?(?P<name>[A-Za-z_$][\w$]*)\s*")
+_NOT_TYPES = frozenset("record class interface enum new return throw else".split())
+_BODY = re.compile(r"\s*(?:\[\s*\]\s*)*(?:throws\b[\w$.,\s<>@]*)?(?=[{;])")
+_VALUE = re.compile(r"\"(?:\\.|[^\"\\\n])*\"|[A-Za-z_$][\w$]*|-?\d\w*")
+
 
+def partners(code: str) -> dict[int, int]:
+    """For every opening bracket the place of the one that closes it, the end of the code if none does."""
+    out: dict[int, int] = {}
+    open_: list[int] = []
+    closes = {"(": ")", "[": "]", "{": "}"}
+    for m in re.finditer(r"[()\[\]{}]", code):
+        if m.group() in closes:
+            open_.append(m.start())
+        elif open_ and closes[code[open_[-1]]] == m.group():
+            out[open_.pop()] = m.start()
+        elif m.group() == "}":  # brackets left open inside a block end with it
+            while open_ and code[open_[-1]] != "{":
+                out[open_.pop()] = m.start()
+            if open_:
+                out[open_.pop()] = m.start()
+    return out | {i: len(code) for i in open_}
 
-def _brace_end(code: str, at: int) -> int:
-    depth = 0
-    for m in re.finditer(r"[{}]", code[at:]):
-        depth += 1 if m.group() == "{" else -1
-        if not depth:
-            return at + m.end()
-    return len(code)
+
+def _members(code: str, ends: dict[int, int], at: int, stop: int) -> Iterable[tuple[int, int, int]]:
+    """(start, parameter bracket, end) of every declaration with parameters that stands directly between at and stop."""
+    start, bracket, assigned = at, -1, False
+    while m := _STOP.search(code, at, stop):
+        at, c = m.start(), m.group()
+        if c == "=":
+            assigned = True
+            at += 1
+        elif c == ";":
+            if bracket >= 0 and not assigned:
+                yield start, bracket, at + 1
+            at += 1
+            start, bracket, assigned = at, -1, False
+        elif c == "{":
+            end = min(ends[at] + 1, stop)
+            if bracket >= 0 and not assigned:
+                yield start, bracket, end
+            at = end
+            if not assigned:  # else the value of a field, which goes on to its semicolon
+                start, bracket = at, -1
+        else:
+            if c == "(" and not assigned and not _ANNOTATION.fullmatch(code[code.rfind("@", start, at) : at] if "@" in code[start:at] else ""):
+                bracket = at if bracket < 0 else bracket
+            at = min(ends[at] + 1, stop)
+
+
+def _annotation(text: str, arguments: str | None, name: str) -> dict:
+    """Named values that are plain texts, names or numbers, as they are written; a single text or name is called value."""
+    found: dict[str, str] = {}
+    if arguments is not None:
+        blank = _TEXTS.sub(lambda m: "x" * len(m.group()) if m.group()[0] == '"' else " " * len(m.group()), arguments)
+        ends, lo, pieces = partners(blank), 0, []
+        i = 0
+        while i < len(blank):
+            if blank[i] in "([{":
+                i = ends[i]
+            elif blank[i] == ",":
+                pieces.append(arguments[lo:i])
+                lo = i + 1
+            i += 1
+        for piece in [*pieces, arguments[lo:]]:
+            key, equals, value = piece.partition("=") if re.match(r"\s*[A-Za-z_$][\w$]*\s*=", piece) else ("value", "", piece)
+            if _VALUE.fullmatch(value.strip()) and (equals or not re.match(r"-?\d", value.strip())):
+                found[key.strip()] = value.strip()
+    return {"name": name, "arguments": found or None, "raw_text": text}
+
+
+def _javadoc(lines: list[str], row: int, look_back: int) -> str | None:
+    """The documentation comment that ends above a line (blank lines and // lines between), its lines without outer blanks."""
+    for i in range(row - 1, max(-1, row - 1 - look_back), -1):
+        line = lines[i].strip()
+        if line.endswith("*/"):
+            for j in range(i, -1, -1):
+                if lines[j].strip().startswith("/**"):
+                    return "\n".join(x.strip() for x in lines[j : i + 1])
+                if j < i and "*/" in lines[j]:
+                    return None
+            return None
+        if line and not line.startswith("//"):
+            return None
+    return None
 
 
 def java_symbols(path: str, text: str, commit: str, rules: ParseRules) -> list[dict]:
-    """Methods and constructors in the bodies of classes, with annotations and the documentation comment above them (up to look_back lines)."""
-    code = _TOKENS.sub(lambda m: re.sub(r"[^\n]", " ", m.group()), text)
-    package = (re.search(r"^\s*package\s+([\w.]+)\s*;", code, re.M) or [None, ""])[1]
-    classes = [(m.group(1), m.end() - 1, _brace_end(code, m.end() - 1)) for m in re.finditer(r"\bclass\s+(\w+)[^{;]*\{", code)]
+    """Methods and constructors in the bodies of classes, nested and local classes too, with annotations and the documentation comment above
+    them (up to look_back lines). Methods of interfaces, enums and records are left out; a method is named by its package and class."""
+    code = _TEXTS.sub(lambda m: re.sub(r"[^\n]", " ", m.group()), text)
+    ends, lines = partners(code), text.split("\n")
+    breaks = [m.start() for m in re.finditer("\n", text)]
+    package = re.search(r"(?m)^\s*package\s+([\w.]+)\s*;", code)
     out = []
-    for m in _METHOD.finditer(code):
-        name, head = m["name"], m["head"]
-        around = [c for c in classes if c[1] < m.start("name") < c[2]]
-        words = re.sub(r"@[\w.]+(?:\s*\([^()]*(?:\([^()]*\)[^()]*)*\))?", " ", head).split()
-        if name in _WORDS or not around or set(words) & (_WORDS | {"record", "class", "interface", "enum"}) or (not words and name != around[-1][0]):
-            continue
-        if "private" in words and not rules.private or not rules.tests and ("test" in path.lower() or re.search(r"@(?:\w+\.)*Test\b", head)):
-            continue
-        a = m.start() + len(head) - len(head.lstrip()) if head.strip() else m.start("name")
-        b = _brace_end(code, m.end() - 1)
-        first, last = text.count("\n", 0, a) + 1, text.count("\n", 0, b) + 1
-        marks = []
-        for x in re.finditer(r"@([\w.]+)(?:\s*\(((?:[^()]|\([^()]*\))*)\))?", text[a : m.start("name")]):
-            pairs = dict(re.findall(r"(\w+)\s*=\s*(\"[^\"]*\"|[^,]+)", x[2])) if x[2] and "=" in x[2] else {"value": x[2].strip()} if x[2] and x[2].strip() else None
-            marks.append({"name": x[1], "arguments": {k: v.strip().strip('"') for k, v in pairs.items()} if pairs else None, "raw_text": x[0]})
-        above = text[:a].rstrip()
-        doc = None
-        if above.endswith("*/") and (start := above.rfind("/**")) >= 0 and "*/" not in above[start:-2] and above.count("\n", start) <= rules.look_back:
-            doc = "\n".join(re.sub(r"^\s*\*?\s?", "", line) for line in above[start + 3 : -2].split("\n")).strip() or None
-        nested = ".".join(c[0] for c in around)
-        qualified = ".".join(x for x in (package, nested, name) if x)
-        out.append(_symbol("method", name, qualified, path, first, last, text[a:b], doc, marks, "java", commit, rules))
+    for owner in _CLASS.finditer(code):
+        body = owner.end() - 1
+        for start, bracket, end in _members(code, ends, body + 1, ends[body]):
+            at, marks = start, []
+            while True:
+                at += len(code[at:bracket]) - len(code[at:bracket].lstrip())
+                if a := _ANNOTATION.match(code, at, bracket):
+                    at = a.end()
+                    inner = None
+                    if code[at : at + 1] == "(":
+                        inner, at = text[at + 1 : ends[at]], ends[at] + 1
+                    marks.append(_annotation(text[a.start() : at].strip(), inner, re.sub(r"\s", "", a[1])))
+                elif w := _MODIFIER.match(code, at, bracket):
+                    at = w.end()
+                else:
+                    break
+            declared = _DECLARED.fullmatch(code, at, bracket)
+            if not declared or not _BODY.match(code, ends[bracket] + 1) or _NOT_TYPES & set((declared["type"] or "").split()) or not (declared["type"] or "").strip() and declared["name"] != owner[1]:
+                continue
+            begin = start + len(code[start:bracket]) - len(code[start:bracket].lstrip())
+            first, last = bisect.bisect_left(breaks, begin) + 1, bisect.bisect_left(breaks, end - 1) + 1
+            whole = text[begin:end]
+            doc, source = _javadoc(lines, first - 1, rules.look_back), shortened_java(whole, rules.most_chars)
+            about = {"language": "java", "class_name": owner[1], "method_name": declared["name"], "has_annotations": str(bool(marks)).lower(), "has_javadoc": str(doc is not None).lower()}
+            if source != whole:
+                about |= {"truncated": "true", "original_chars": str(len(whole))}
+            qualified = ".".join(x for x in (package and package[1], owner[1], declared["name"]) if x)
+            out.append(_symbol("method", declared["name"], qualified, path, first, last, source, doc, marks, about, commit))
     return out
 
 
+def _decoded(content: bytes, path: str) -> str:
+    try:
+        return content.decode("utf-8")
+    except UnicodeDecodeError:
+        if path.endswith(".py"):
+            raise
+        return content.decode("latin-1")
+
+
 def parse(files: DataFrame, commit: str, rules: ParseRules = ParseRules()) -> tuple[DataFrame, DataFrame]:
     """(symbols, skipped): symbols of (path, content), and (path, error) of the files that could not be read or parsed."""
     schema = T.StructType([*SYMBOL.fields, T.StructField("error", T.StringType())])
@@ -126,7 +243,7 @@ def parse(files: DataFrame, commit: str, rules: ParseRules = ParseRules()) -> tu
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 path = (path or "").replace("\\", "/")
                 try:
-                    text = (content or b"").decode("utf-8")
+                    text = _decoded(content or b"", path)
                     rows += (python_symbols if path.endswith(".py") else java_symbols)(path, text, commit, rules)
                 except (SyntaxError, ValueError, RecursionError) as e:
                     rows.append({"file_path": path, "error": f"{type(e).__name__}: {e}"[:300]})

@@ -8,7 +8,7 @@ import random
 import numpy as np
 import pytest
 
-from sievework.functions.similarity import simhash_value
+from sievework.functions.similarity import simhash_values
 from sievework.operators import dedup, retrieval
 from sievework.plans.scratch import Scratch
 
@@ -28,8 +28,8 @@ def plain_simhash(text, bits=64):
 
 @pytest.mark.parametrize("text", ["", "a", "ab c", "naïve été 如何 配置", "The same words, again and again " * 20, " 　x\ty"])
 def test_simhash(text):
-    assert simhash_value(text) % (1 << 64) == plain_simhash(text)
-    assert simhash_value(text, 12) == plain_simhash(text, 12)
+    for bits in (64, 12):
+        assert [int(x) % (1 << 64) for x in simhash_values(["", text, None, "x y", text], bits)] == [plain_simhash(t, bits) for t in ("", text, "", "x y", text)]
 
 
 def greedy_rows(fps, k):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 
@@ -222,7 +223,7 @@ def test_layers_and_priority(spark):
 
 def test_calls(spark):
     s = retrieval_symbols(spark)
-    assert {tuple(r) for r in lookup.call_edges(s).collect()} == {(1, 1), (1, 2), (3, 4)}
+    assert {tuple(r) for r in lookup.call_edges(s).collect()} == {(1, "login", 2, 1), (3, "trim", 1, 4)}
     got = lookup.expand_calls(s.where("rec_no in (1, 3)").select("rec_no"), s, 2, 10).collect()
     assert [(r.rec_no, r.depth) for r in got] == [(2, 1), (4, 1)]
     assert lookup.expand_calls(s.select("rec_no"), s, 0, 10).count() == 0
@@ -392,19 +393,55 @@ def test_parsers(spark, tmp_path):
     assert sorted(r.path for r in files.select("path").collect()) == ["m/Outer.java", "m/a.py", "m/bad.py"]
     found, skipped = code.parse(files, "c1", rules)
     rows = {r.qualified_name: r for r in found.collect()}
-    assert set(rows) == {"demo.x.Outer.twice", "demo.x.Outer.Outer", "demo.x.Outer.Inner.deep", "a.A", "a.f", "a.g"}
+    assert set(rows) == {"demo.x.Outer.twice", "demo.x.Outer.Outer", "demo.x.Outer.hidden", "demo.x.Inner.deep", "a.A", "a.f", "a.g"}
     t = rows["demo.x.Outer.twice"]
-    assert t.doc == "Does a thing.\n@param n how often" and t.annotations[0].name == "GetMapping" and t.annotations[0].arguments["path"] == "/a"
+    assert t.doc == "/** Does a thing.\n* @param n how often\n*/" and t.annotations[0].name == "GetMapping" and t.annotations[0].arguments["path"] == '"/a"' 
     assert (t.start_line, t.end_line) == (8, 12) and t.symbol_id == "m/Outer.java:demo.x.Outer.twice:8"
     assert rows["a.f"].doc == "Says é." and rows["a.f"].annotations[0].name == "cached"
     assert [r.path for r in skipped.collect()] == ["m/bad.py"]
-    assert distributions.parsing_report(found).where("symbol_type is null").first().symbols == 6
+    assert distributions.parsing_report(found).where("symbol_type is null").first().symbols == 7
+
+
+def test_long_sources_are_cut_and_then_hashed(spark):
+    rules = code.ParseRules(most_chars=200)
+    python = code.python_symbols("m.py", "def f():\n    x = '" + "a" * 500 + "'\n", "c", rules)[0]
+    java = code.java_symbols("M.java", "class M { void f() { x(\"" + "b" * 500 + "\"); } }", "c", rules)[0]
+    assert python["source"].endswith("\n... (truncated)") and len(python["source"]) == 216
+    assert java["source"].startswith("void f()") and java["source"].endswith("); }") and f"/* TRUNCATED: {int(java['metadata']['original_chars']) - 200} chars omitted */" in java["source"]
+    for r in (python, java):
+        assert r["source_hash"] == hashlib.sha256(r["source"].encode()).hexdigest()
+    df = spark.createDataFrame([("x" * 12,), ("x" * 3,), (None,)], "s string")
+    assert [r[0] for r in df.select(text.cut_counted(F.col("s"), 5)).collect()] == ["xxxxx\n... [truncated, total 12 chars]", "xxx", None]
+
+
+def test_java_declarations():
+    src = """class A<T extends Comparable<T>> {
+  int[] f = {1, 2}; Runnable r = () -> { run(); }; Object o = new Object() { void anon() { } };
+  static { boot(); }
+  @B(value = {"x(", "y"}, n = 3) @C("q") public <K> Map<K, List<T>> m(@D(a = 1) int x, Map<K, T> y) throws E, F { class L { int deep() { return 1; } } return null; }
+  abstract void none();
+  record P(int x) { }
+  interface I { void no(); }
+  enum N { ONE { void no() { } }; void no2() { } }
+  String s() { return "class Fake { void bad() { } }"; } // void worse() { }
+"""
+    rows = {r["name"]: r for r in code.java_symbols("A.java", src, "c", code.ParseRules())}
+    assert set(rows) == {"m", "deep", "none", "s"}
+    assert [(m["name"], m["arguments"]) for m in rows["m"]["annotations"]] == [("B", {"n": "3"}), ("C", {"value": '"q"'})]
+    assert rows["deep"]["qualified_name"] == "L.deep" and rows["m"]["start_line"] == 4
+
+
+def test_python_rules():
+    src = "@app.route('/x')\n@a.b\ndef r(): pass\nclass __P: pass\nclass T: pass\ndef __d__(): pass\ndef _p(): pass\ndef test_q(): pass\n"
+    assert {r["name"]: [m["name"] for m in r["annotations"]] for r in code.python_symbols("m.py", src, "c", code.ParseRules())} == {"r": ["route", "b"], "T": [], "__d__": []}
+    assert {r["name"] for r in code.python_symbols("tests/m.py", src, "c", code.ParseRules())} == {"T"}
 
 
-def test_long_sources_keep_both_ends(spark):
-    src = "def f():\n    x = '" + "a" * 500 + "'\n"
-    rows = code.python_symbols("m.py", src, "c", code.ParseRules(most_chars=100))
-    assert rows[0]["source"].startswith("def f()") and "left out" in rows[0]["source"] and rows[0]["metadata"]["truncated"] == "true"
+def test_controls_in_json_strings(spark):
+    raw = '{"a": "x\ny\t\\"z\r",\n "b": [1,\t2], "c": "\\\\"}'
+    df = spark.createDataFrame([(raw,), (None,), ("",), ('{"open": "a\nb',)], "t string")
+    got = [r[0] for r in df.select(text.escape_controls(F.col("t"))).collect()]
+    assert json.loads(got[0]) == {"a": 'x\ny\t"z\r', "b": [1, 2], "c": "\\"} and got[1:] == [None, "", '{"open": "a\\nb']
 
 
 # --- pipeline and streams
