@@ -1,8 +1,9 @@
 """Credentials embedded in source code and configuration files: where they begin, and the source with them blanked.
 
 Candidates are the values that stand where a credential would (by the name beside them), logins in URLs, private key blocks, and strings in
-the format of a known token. Every string literal and value is also unwrapped, again and again, from base64, hex, percent signs and escapes;
-what comes out is scanned in the same way, bytes are read by the grammar of key containers, and a hit inside blanks the whole literal.
+the format of a known token. Every string literal, value and word of a comment is also unwrapped, again and again until nothing comes off,
+from base64, hex, percent signs, escapes and character references; what comes out is scanned in the same way, bytes are read by the grammar
+of key containers, and a hit inside blanks the whole literal, in the codings it was written in.
 Placeholders, masks, references to variables or stores, hashes, commits, ids and public keys are no credentials.
 """
 
@@ -21,8 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEPTH = 5
 BLANK = "REDACTED"
+#: What an encoded literal holds once it is blanked: long enough to be told from a key when it is decoded.
+INNER = "REDACTED REDACTED"
 
 #: Published formats of tokens.
 TOKEN = re.compile(
@@ -55,7 +57,7 @@ PLACEHOLDER = re.compile(
       (.)\1*                                                        # a mask of one sign
     | [*x•#.\-_]+ | .*\*{4,}.* | .*(?:x{6,}|•{3,}|\.{3,}).*
     | <.*> | \[.*\] | \{\{.*\}\} | \$\{.*\} | \$\(.*\) | \#\{.*\} | %\(\w+\)[sd] | %[sd] | \$\w+ | %\w+% | @\w+@
-    | .*\b(?:your|my|insert|replace|enter|put|add)[-_ ]?(?:own|this|the|with|your|a|an|key|secret|token|pass|password|api|client|auth|access|signing|hook|partner|push|[\w-]*here)\b.* | your[-_ ].* | .*[-_ ]here | insert[-_].*
+    | .*\b(?:your|my|insert|replace|enter|put|add)[-_ ]?(?:own|this|the|with|your|a|an|key|secret|token|pass|password|api|client|auth|access|signing|hook|partner|push|[\w-]{0,40}here)\b.* | your[-_ ].* | .*[-_ ]here | insert[-_].*
     | change[-_ ]?(?:me|it|this).* | (?:ex|s)ample.* | .*[-_.]example | dummy.* | fake.* | placeholder.* | redacted.* | todo.* | tbd | fixme | none | null | nil | undefined | empty | true | false | yes | no | on | off | unset | n/?a | default
     | password|passwd|secret|token|key|changeit
     | (?:vault|ssm|secretsmanager|kms|gcpsm|arn|env|file|ref|op|keyring|k8s|sops|aws|azure)\s*[:/].* | !?(?:ref|sub|vault|env)\b.*
@@ -94,7 +96,7 @@ def entropy(s: str) -> float:
 def is_live(value: str) -> bool:
     """Whether a value in the place of a credential is one, and no placeholder, mask, reference or setting."""
     v = value.strip()
-    if len(v) < 6 or len(v) > 4096 or PLACEHOLDER.match(v) or " " in v and not TOKEN.search(v) or UUID.match(v):
+    if len(v) < 6 or PLACEHOLDER.match(v) or " " in v and not TOKEN.search(v) or UUID.match(v):
         return False
     if TOKEN.search(v):
         return True
@@ -123,30 +125,47 @@ def readable(b: bytes) -> str | None:
     return t if len(t) >= 6 and ok == len(t) else None
 
 
-def layers(value: str) -> list[str | bytes]:
-    """What the value is once one layer is taken off, in every way that applies."""
-    out: list[str | bytes] = []
+#: Layers that only repeat the sign of the next one; they come off at once.
+_NESTED = ((re.compile(r"%(?:25)+(?=[0-9A-Fa-f]{2})"), "%"), (re.compile(r"&(?:#(?:38|[xX]26);)+(?=#)"), "&"), (re.compile(r"\\(?:u005[cC])+(?=u[0-9A-Fa-f]{4})"), r"\\"))
+
+
+def layers(value: str) -> list[tuple[str, str | bytes]]:
+    """What the value is once one layer is taken off, in every way that applies, with the name of the coding."""
+    out: list[tuple[str, str | bytes]] = []
     v = value.strip()
+    for pattern, sign in _NESTED:
+        v = pattern.sub(sign, v)
     if _ESCAPED.search(v):
-        out.append(_ESCAPED.sub(lambda m: chr(int(m[1] or m[2] or m[3], 16)) if m[4] is None else chr(int(m[4], 8)), v))
+        out.append(("escape", _ESCAPED.sub(lambda m: chr(min(int(m[1] or m[2] or m[3], 16), 0x10FFFF)) if m[4] is None else chr(int(m[4], 8)), v)))
     if "%" in v and re.search(r"%[0-9A-Fa-f]{2}", v):
         t = unquote(v, errors="ignore")
         if t != v:
-            out.append(t)
+            out.append(("percent", t))
     if "&#" in v:
-        out.append(re.sub(r"&#(?:x([0-9A-Fa-f]+)|(\d+));", lambda m: chr(int(m[1], 16) if m[1] else int(m[2])), v))
+        t = re.sub(r"&#(?:[xX]([0-9A-Fa-f]{1,6})|(\d{1,7}));", lambda m: chr(min(int(m[1], 16) if m[1] else int(m[2]), 0x10FFFF)), v)
+        if t != v:
+            out.append(("reference", t))
     flat = re.sub(r"\s+|\\n", "", v)
     if _HEX.match(flat):
-        out.append(bytes.fromhex(flat.removeprefix("0x")))
+        out.append(("hex", bytes.fromhex(flat.removeprefix("0x"))))
     elif _B64.match(flat):
         body = flat.rstrip("=").replace("-", "+").replace("_", "/")
         try:
-            out.append(base64.b64decode(body + "=" * (-len(body) % 4), validate=True))
+            out.append(("base64", base64.b64decode(body + "=" * (-len(body) % 4), validate=True)))
         except (binascii.Error, ValueError):
             pass
     return out
 
 
+ENCODERS = {
+    "escape": lambda t: "".join(f"\\u{ord(c):04x}" for c in t),
+    "percent": lambda t: "".join(f"%{b:02X}" for b in t.encode()),
+    "reference": lambda t: "".join(f"&#{ord(c)};" for c in t),
+    "hex": lambda t: t.encode().hex(),
+    "base64": lambda t: base64.b64encode(t.encode()).decode(),
+}
+
+
 # --- key containers
 
 
@@ -163,21 +182,122 @@ def _der(b: bytes, at: int = 0) -> tuple[int, bytes, int] | None:
     return (tag, b[at : at + n], at + n) if at + n <= len(b) else None
 
 
+def _children(content: bytes, most: int = 1 << 30) -> list[tuple[int, bytes]] | None:
+    """Tags and contents of the elements that make up ``content``; none where it does not come out even."""
+    out, at = [], 0
+    while at < len(content) and len(out) < most:
+        e = _der(content, at)
+        if not e:
+            return None
+        out.append(e[:2])
+        at = e[2]
+    return out
+
+
+class _Reader:
+    """Big-endian fields one after the other; reading beyond the end raises EOFError."""
+
+    def __init__(self, b: bytes, at: int):
+        self.b, self.at = b, at
+
+    def take(self, n: int) -> bytes:
+        if self.at + n > len(self.b):
+            raise EOFError
+        self.at += n
+        return self.b[self.at - n : self.at]
+
+    def number(self, n: int) -> int:
+        return int.from_bytes(self.take(n), "big")
+
+    def block(self, size: int = 4) -> bytes:
+        return self.take(self.number(size))
+
+
+def _openssh_key(b: bytes) -> bool:
+    """Cipher, derivation, its options, the number of keys, as many public keys, and the private part, which is not empty."""
+    r = _Reader(b, len(b"openssh-key-v1\0"))
+    cipher, derivation, _, n = r.block(), r.block(), r.block(), r.number(4)
+    if not cipher or not derivation or not 0 < n < 1 << 16:
+        return False
+    return all(r.block() for _ in range(n)) and len(r.block()) >= 8
+
+
+def _putty_key(b: bytes) -> bool:
+    """Headers of ``Name: value``, of which Private-Lines says that private lines follow."""
+    return any(m and int(m[1]) > 0 for m in (re.match(rb"Private-Lines:\s*(\d{1,6})\s*$", line) for line in b.split(b"\n")))
+
+
+def _java_key(b: bytes) -> bool:
+    """Whether an entry of a Java key store is a private (1) or a secret key (3), not a certificate (2)."""
+    r = _Reader(b, 4)
+    version, n = r.number(4), r.number(4)
+    if version not in (1, 2):
+        return False
+    for _ in range(n):
+        tag = r.number(4)
+        r.block(2), r.take(8)  # alias and time
+        if tag in (1, 3):
+            return tag == 3 or len(r.block()) > 0
+        if tag != 2:
+            return False
+        if version == 2:
+            r.block(2)
+        r.block()
+    return False
+
+
+_DATA = b"\x2a\x86\x48\x86\xf7\x0d\x01\x07\x01"
+_BAG = b"\x2a\x86\x48\x86\xf7\x0d\x01\x0c\x0a\x01"
+
+
+def _bags_hold_key(content: bytes) -> bool:
+    """Whether safe contents have a key bag (1), a shrouded key bag (2) or a secret bag (5), also within nested contents (6)."""
+    for tag, bag in _children(content) or ():
+        parts = _children(bag) if tag == 0x30 else None
+        if parts and len(parts) >= 2 and parts[0][0] == 6 and parts[0][1][:-1] == _BAG:
+            kind = parts[0][1][-1]
+            if kind in (1, 2, 5) or kind == 6 and any(_bags_hold_key(x) for t, x in _children(parts[1][1]) or () if t == 0x30):
+                return True
+    return False
+
+
+def _pkcs12_key(safe: bytes) -> bool:
+    """Whether the contents of a PKCS #12 store that are not encrypted as a whole have a key bag; certificates lie in encrypted ones."""
+
+    def data(info: bytes) -> bytes | None:
+        parts = _children(info)
+        if not parts or len(parts) < 2 or parts[0] != (6, _DATA) or parts[1][0] != 0xA0:
+            return None
+        octets = _children(parts[1][1])
+        return octets[0][1] if octets and octets[0][0] == 4 else None
+
+    inner = data(safe)
+    top = _children(inner) if inner else None
+    if not top or top[0][0] != 0x30:
+        return False
+    contents = [data(info) for tag, info in _children(top[0][1]) or () if tag == 0x30]
+    return any(_bags_hold_key(x) for c in contents if c for t, x in _children(c) or () if t == 0x30)
+
+
 def is_private_key(b: bytes) -> bool:
-    """PKCS #1, PKCS #8 (plain or encrypted), SEC 1, PKCS #12, OpenSSH, PuTTY and Java key stores; public keys and certificates are not."""
-    if b.startswith((b"openssh-key-v1\0", b"PuTTY-User-Key-File", b"\xfe\xed\xfe\xed", b"\xce\xce\xce\xce")):
-        return True
+    """PKCS #1, PKCS #8 (plain or encrypted), SEC 1, PKCS #12, OpenSSH, PuTTY and Java key stores with a key in them; public keys and stores
+    of certificates are not."""
+    try:
+        if b.startswith(b"openssh-key-v1\0"):
+            return _openssh_key(b)
+        if b.startswith(b"PuTTY-User-Key-File-"):
+            return _putty_key(b)
+        if b.startswith((b"\xfe\xed\xfe\xed", b"\xce\xce\xce\xce")):
+            return _java_key(b)
+    except EOFError:
+        return False
     top = _der(b)
     if not top or top[0] != 0x30 or top[2] < len(b) - 2:
         return False
-    parts, at = [], 0
-    while at < len(top[1]) and len(parts) < 12:
-        e = _der(top[1], at)
-        if not e:
-            return False
-        parts.append(e)
-        at = e[2]
-    tags = [p[0] for p in parts]
+    parts = _children(top[1], 12)
+    if not parts:
+        return False
+    tags = [t for t, _ in parts]
     if tags[:3] == [2, 0x30, 4] and parts[0][1] in (b"\0", b"\1"):
         return True  # PKCS #8
     if len(tags) >= 6 and set(tags[:6]) == {2} and parts[0][1] in (b"\0", b"\1"):
@@ -185,29 +305,37 @@ def is_private_key(b: bytes) -> bool:
     if tags[:2] == [2, 4] and parts[0][1] == b"\1" and len(parts[1][1]) in (24, 28, 32, 48, 66):
         return True  # SEC 1
     if tags[:2] == [2, 0x30] and parts[0][1] == b"\3":
-        return True  # PKCS #12
+        return _pkcs12_key(parts[1][1])
     if tags == [0x30, 4]:
         inner = _der(parts[0][1])
         return bool(inner and inner[0] == 6 and inner[1].startswith(b"\x2a\x86\x48\x86\xf7\x0d\x01\x05"))  # encrypted PKCS #8: PBES
     return False
 
 
-def hidden(value: str, wanted: bool, depth: int = DEPTH) -> bool:
-    """Whether a credential is inside the value's layers. wanted: the value stands where a credential would."""
-    if depth == 0:
-        return False
-    for inner in layers(value):
-        if isinstance(inner, bytes):
-            if is_private_key(inner):
-                return True
-            text = readable(inner)
-            if text is None:
+def codings(value: str, wanted: bool) -> list[str] | None:
+    """The codings, from the outermost in, behind which a credential is in the value; none if there is none. wanted: the value stands where
+    a credential would. Every layer makes the value shorter, so there is an end however many there are."""
+    todo: list[tuple[str, list[str]]] = [(value, [])]
+    seen = {value}
+    while todo:
+        text, trail = todo.pop()
+        for name, inner in layers(text):
+            here = [*trail, name]
+            if isinstance(inner, bytes):
+                if is_private_key(inner):
+                    return here
+                inner = readable(inner)
+            if inner is None or inner in seen or len(inner) >= len(text):
                 continue
-        else:
-            text = inner
-        if wanted and is_live(text) or has_credential(text) or hidden(text, wanted, depth - 1):
-            return True
-    return False
+            if wanted and is_live(inner) or has_credential(inner):
+                return here
+            seen.add(inner)
+            todo.append((inner, here))
+    return None
+
+
+def hidden(value: str, wanted: bool) -> bool:
+    return codings(value, wanted) is not None
 
 
 def has_credential(text: str) -> bool:
@@ -218,7 +346,7 @@ def has_credential(text: str) -> bool:
 def judged(value: str, wanted: bool) -> bool:
     """A value that decodes to readable text is judged by that text, others by themselves."""
     if wanted:
-        for inner in layers(value):
+        for _, inner in layers(value):
             text = readable(inner) if isinstance(inner, bytes) else inner
             if text and len(text) >= 6 and re.fullmatch(r"[\x20-\x7e\s]+", text) and (isinstance(inner, str) or entropy(text) > 1.5):
                 return is_live(text) or hidden(value, True)
@@ -342,6 +470,9 @@ def scan(source: str, path: str = "") -> list[Hit]:
     for m in COMMENT.finditer(source):
         g = 1 if m[1] is not None else 2
         text, at = m[g], m.start(g)
+        for x in re.finditer(r"[A-Za-z0-9+/=_%\\&#;-]{12,}", text):
+            if hidden(x.group().strip(";"), False):
+                add([(at + x.start(), at + x.start() + len(x.group().strip(";")))])
         for cue in CUE.finditer(text):
             for w in re.finditer(r"[^\s\"'`(),;]{8,}", text[cue.start() :]):
                 v = w.group().rstrip(".:")
@@ -416,13 +547,27 @@ def line_of(source: str, at: int) -> int:
     return source.count("\n", 0, at) + 1
 
 
+DECODED = re.compile(r"(?:(?P<hex>fromhex|unhexlify|parseHex|decodeHex)|(?P<base64>b64decode|decodeBase64|decodebytes|Decoder\(\)\.decode))\w*\(\s*[rbfuRBFU]?[\"']*$")
+
+
+def blank_of(source: str, spans: list[tuple[int, int]]) -> str:
+    """What a literal is blanked with: INNER in the codings that it is in, or that the call around it will take off, else BLANK."""
+    value = "".join(source[a:b] for a, b in spans)
+    called = DECODED.search(source, max(0, spans[0][0] - 80), spans[0][0])
+    trail = codings(value, False) or codings(value, True) or ([called.lastgroup] if called else [])
+    out = INNER if trail else BLANK
+    for name in reversed(trail):
+        out = ENCODERS[name](out)
+    return "0x" + out if trail[:1] == ["hex"] and value.startswith("0x") else out
+
+
 def blanked(source: str, hits: list[Hit]) -> str:
-    """The source with every span blanked: the first of a literal holds BLANK, further pieces are emptied, key bodies keep their shape."""
+    """The source with every span blanked: the first of a literal holds its blank, further pieces are emptied, key bodies keep their shape."""
     edits = []
     for start, spans in hits:
         key = spans and spans[0][0] != start
         for k, (a, b) in enumerate(spans):
-            edits.append((a, b, "X" * (b - a) if key else BLANK if k == 0 else ""))
+            edits.append((a, b, "X" * (b - a) if key else blank_of(source, spans) if k == 0 else ""))
     out, at = [], 0
     for a, b, new in sorted(edits):
         out += [source[at:a], new]

@@ -86,7 +86,30 @@ def test_layers(how, inner):
     src = f'x = 1\nblob = "{wrap(inner, how)}"'
     hits = secrets.scan(src, "a.py")
     assert [secrets.line_of(src, a) for a, _ in hits] == [2]
-    assert secrets.blanked(src, hits) == 'x = 1\nblob = "REDACTED"'
+    after = secrets.blanked(src, hits)
+    assert after == f'x = 1\nblob = "{wrap(secrets.INNER, how)}"' and not secrets.scan(after, "a.py")
+
+
+def test_any_number_of_layers():
+    for how in (["b64"] * 10, ["hex", "b64"] * 4, ["pct"] * 3 + ["b64"] * 4 + ["esc"]):
+        src = f'blob = "{wrap(KEY, how)}"'
+        assert lines(src, "a.py") == [1] and not lines(secrets.blanked(src, secrets.scan(src, "a.py")), "a.py")
+    assert lines(f'blob = "%{"25" * 50_000}' + "".join(f"{b:02X}%" for b in KEY.encode())[:-1] + '"', "a.py") == [1]
+    assert lines("api_key = '" + "aB3$" * 5000 + "'", "a.py") == [1]
+
+
+def test_encodings_in_comments():
+    src = "x = 1  # " + wrap("password=Zone6347%", ["b64"])
+    assert lines(src, "a.py") == [1] and lines("# see " + wrap("only words in here", ["b64"]), "a.py") == []
+
+
+def test_blanks_are_decoded_as_before():
+    for src in (f'k = bytes.fromhex("{wrap(KEY, ["hex"])}")', f'api_key = bytes.fromhex("{"0b78ac74f3c51b12" * 2}")', f'api_key = base64.b64decode("{wrap(KEY, ["b64"])}")'):
+        hits = secrets.scan(src, "a.py")
+        after = secrets.blanked(src, hits)
+        scope = {"base64": base64}
+        exec(after, scope)  # decodes still
+        assert len(hits) == 1 and secrets.INNER.encode() in scope.values() and not secrets.scan(after, "a.py")
 
 
 def test_encoded_text_without_secret_is_none():
@@ -108,7 +131,39 @@ OID = der(6, b"\x2a\x86\x48\x86\xf7\x0d\x01\x01\x01")
 PKCS8 = der(0x30, integer(0), der(0x30, OID, b"\x05\x00"), der(4, der(0x30, *[integer(7**k) for k in range(9)])))
 
 
-@pytest.mark.parametrize("blob,want", [(PKCS8, True), (der(0x30, integer(0), *[integer(3**40 + k) for k in range(8)]), True), (der(0x30, integer(1), der(4, b"k" * 32)), True), (b"openssh-key-v1\0" + b"x" * 40, True), (der(0x30, der(0x30, OID, b"\x05\x00"), der(3, b"\0" * 60)), False), (b"\x30\x82\xff\xff", False), (b"", False), (PKCS8[:-4], False)])
+def text16(t):
+    return len(t).to_bytes(2, "big") + t
+
+
+def text32(t):
+    return len(t).to_bytes(4, "big") + t
+
+
+def java_store(*entries, version=2):
+    body = b""
+    for tag, alias in entries:
+        body += tag.to_bytes(4, "big") + text16(alias) + b"\0" * 8
+        body += text32(b"k" * 40) + (1).to_bytes(4, "big") + text16(b"X.509") + text32(b"c" * 30) if tag == 1 else text16(b"X.509") + text32(b"c" * 30)
+    return b"\xfe\xed\xfe\xed" + version.to_bytes(4, "big") + len(entries).to_bytes(4, "big") + body + b"d" * 20
+
+
+def openssh(private):
+    return b"openssh-key-v1\0" + text32(b"none") + text32(b"none") + text32(b"") + (1).to_bytes(4, "big") + text32(b"public" * 5) + text32(private)
+
+
+def pkcs12(bag):
+    data = der(6, secrets._DATA)
+    bags = der(0x30, der(0x30, der(6, secrets._BAG + bytes([bag])), der(0xA0, der(0x30, integer(5)))))
+    info = der(0x30, data, der(0xA0, der(4, bags)))
+    return der(0x30, integer(3), der(0x30, data, der(0xA0, der(4, der(0x30, info)))), der(0x30, integer(1)))
+
+
+PUTTY = b"PuTTY-User-Key-File-2: ssh-rsa\r\nEncryption: none\r\nPublic-Lines: 1\r\nAAAA\r\nPrivate-Lines: %d\r\nBBBB\r\n"
+CONTAINERS = [(PKCS8, True), (der(0x30, integer(0), *[integer(3**40 + k) for k in range(8)]), True), (der(0x30, integer(1), der(4, b"k" * 32)), True), (der(0x30, der(0x30, OID, b"\x05\x00"), der(3, b"\0" * 60)), False), (b"\x30\x82\xff\xff", False), (b"", False), (PKCS8[:-4], False)]
+CONTAINERS += [(openssh(b"p" * 60), True), (openssh(b""), False), (b"openssh-key-v1\0" + b"x" * 40, False), (java_store((2, b"ca"), (1, b"me")), True), (java_store((2, b"ca"), (2, b"cb")), False), (java_store((1, b"me"))[:30], False), (pkcs12(2), True), (pkcs12(1), True), (pkcs12(3), False), (PUTTY % 1, True), (PUTTY % 0, False)]
+
+
+@pytest.mark.parametrize("blob,want", CONTAINERS)
 def test_key_containers(blob, want):
     assert secrets.is_private_key(blob) is want
     assert bool(lines(f'blob = "{base64.b64encode(blob).decode()}"', "a.py")) is want
@@ -137,7 +192,7 @@ WRAPPED = base64.b64encode(b"password=Zone6347%;token=" + KEY.encode() * 3).deco
     "path,src,line,want",
     [
         ("a.yml", f"a:\n  token: |\n    {KEY[:20]}\n    {KEY[20:]}\n  b: 1", 3, "a:\n  token: |\n    REDACTED\n    \n  b: 1"),
-        ("a.yml", f"secret: >-\n  {WRAPPED[:64]}\n\n  {WRAPPED[64:128]}\n  {WRAPPED[128:]}\nb: 1", 2, "secret: >-\n  REDACTED\n\n  \n  \nb: 1"),
+        ("a.yml", f"secret: >-\n  {WRAPPED[:64]}\n\n  {WRAPPED[64:128]}\n  {WRAPPED[128:]}\nb: 1", 2, f"secret: >-\n  {wrap(secrets.INNER, ['b64'])}\n\n  \n  \nb: 1"),
         ("a.properties", f"x=1\napi.token={KEY[:20]}\\\n    {KEY[20:30]}\\\n    {KEY[30:]}\nb=1", 2, "x=1\napi.token=REDACTED\\\n    \\\n    \nb=1"),
         ("a.yml", f'token: "{KEY[:20]}\\\n  {KEY[20:]}"\nb: 1', 1, 'token: "REDACTED\\\n  "\nb: 1'),
     ],
@@ -157,11 +212,11 @@ def test_settings_inside_a_block_keep_their_lines():
 def test_large_literals_are_unwrapped():
     big = base64.b64encode(("note\n" * 30_000 + "password=Zone6347%\n").encode()).decode()
     deep = base64.b64encode(base64.b64encode(PKCS8).decode().encode() * 1).decode()
-    store = base64.b64encode(b"\xfe\xed\xfe\xed" + bytes(range(256)) * 500).decode()
-    for value in (big, deep, store):
+    store = base64.b64encode(java_store(*[(2, b"certificate")] * 1200, (1, b"me"))).decode()
+    for value, times in ((big, 1), (deep, 2), (store, 1)):
         src = f'x = 1\nblob = "{value}"'
         hits = secrets.scan(src, "a.py")
-        assert [secrets.line_of(src, a) for a, _ in hits] == [2] and secrets.blanked(src, hits) == 'x = 1\nblob = "REDACTED"'
+        assert [secrets.line_of(src, a) for a, _ in hits] == [2] and secrets.blanked(src, hits) == f'x = 1\nblob = "{wrap(secrets.INNER, ["b64"] * times)}"'
     assert len(big) > 100_000 and len(store) > 100_000 and lines(f'blob = "{wrap("nothing to see here\n" * 9000, ["b64"])}"', "a.py") == []
 
 
