@@ -1,14 +1,17 @@
 """Functions paired with their documentation.
 
 Sources are split into code, strings and comments, so that declarations inside texts or comments are none. Every comment, docstring and
-symbol documentation that informs is a candidate for the function it stands directly at; where a function has several, a maximum assignment
-on position, parameter tags and names chooses. Code commented out and empty or trivial words are rejected.
+symbol documentation that informs is a candidate for all functions within reach of it, scored by distance, parameter tags and names. A
+maximum assignment gives each function at most one of them and each of them to at most one function; links that are then too weak are
+rejected, as comments at a distance are. Code commented out and empty or trivial words are no candidates.
 """
 
 from __future__ import annotations
 
 import bisect
+import heapq
 import itertools
+import math
 import re
 from dataclasses import dataclass, field
 
@@ -26,6 +29,14 @@ NOT_NAMES = frozenset("if for while switch catch synchronized try return new thr
 NOT_TYPES = frozenset("return new throw else do case assert yield in instanceof package import record class enum interface goto extends implements throws and or not is".split())
 
 
+#: Lines below a comment in which the functions it may belong to begin, and how many of them there may be.
+REACH, RIVALS = 20, 3
+#: Scores of the places: first in the body, directly above, the symbol's documentation; a comment at a distance scores less than 1.
+INSIDE, ABOVE, SYMBOL = 4.0, 3.0, 2.5
+#: What parameter tags and a mention of the name add at most; links below LEAST are rejected. A direct link stays above it whatever its tags.
+TAGS, MENTION, LEAST = 0.5, 0.25, 2.0
+
+
 @dataclass
 class Function:
     name: str
@@ -243,47 +254,42 @@ def description(raw: str, name: str) -> str | None:
 
 
 def tags(raw: str) -> set[str]:
-    return set(re.findall(r"(?:@param|:param|\\param)\s+(?:[\w\[\], .]+\s)?(\w+)", raw))
+    """The parameters that a documentation names: the word behind ``@param``, the last one of ``:param type name:``."""
+    return set(re.findall(r"[@\\]param\s+(?:\[\w+\]\s+)?(\w+)", raw)) | set(re.findall(r":param\s+(?:[^:\n]*\s)?\*{0,2}(\w+)\s*:", raw))
 
 
 # --- matching
 
 
-def assignment(score: list[list[float]]) -> list[int]:
-    """For each row the column it gets, -1 for none: the sum of scores is largest (Hungarian method; scores below or equal 0 are no links)."""
-    rows, cols = len(score), len(score[0]) if score else 0
-    n = rows + cols
-    cost = [[-(score[i][j]) if i < rows and j < cols and score[i][j] > 0 else 0.0 for j in range(n)] for i in range(n)]
-    u, v, match = [0.0] * (n + 1), [0.0] * (n + 1), [0] * (n + 1)
-    for i in range(1, n + 1):
-        match[0], j0 = i, 0
-        least, used, way = [float("inf")] * (n + 1), [False] * (n + 1), [0] * (n + 1)
-        while True:
-            used[j0], i0, delta, j1 = True, match[j0], float("inf"), 0
-            for j in range(1, n + 1):
-                if not used[j]:
-                    cur = cost[i0 - 1][j - 1] - u[i0] - v[j]
-                    if cur < least[j]:
-                        least[j], way[j] = cur, j0
-                    if least[j] < delta:
-                        delta, j1 = least[j], j
-            for j in range(n + 1):
-                if used[j]:
-                    u[match[j]] += delta
-                    v[j] -= delta
-                else:
-                    least[j] -= delta
-            j0 = j1
-            if match[j0] == 0:
+def candidates(source: str, found: list[Function], kind: str | None, doc: str | None, name: str | None, python: bool) -> list[tuple[str, dict[int, float]]]:
+    """(text, places): every comment, docstring and documentation with the functions it may belong to and the scores of their places."""
+    code, comments, _ = parts(source, python)
+    out: list[tuple[str, dict[int, float]]] = []
+    order = sorted(range(len(found)), key=lambda i: found[i].start)
+    starts = [found[i].start for i in order]
+    direct = {span: (i, k) for i, f in enumerate(found) for k, span in enumerate(f.above)}
+    lines = [m.start() for m in re.finditer("\n", source)]
+    row = lambda at: bisect.bisect_left(lines, at)
+    for a, b in merged(source, code, comments):
+        places: dict[int, float] = {}
+        at = bisect.bisect_left(starts, a)
+        for i in order[at : at + RIVALS]:
+            gap = row(found[i].start) - row(b - 1)
+            if gap > REACH:
                 break
-        while j0:
-            match[j0] = match[way[j0]]
-            j0 = way[j0]
-    out = [-1] * rows
-    for j in range(1, cols + 1):
-        i = match[j] - 1
-        if 0 <= i < rows and score[i][j - 1] > 0:
-            out[i] = j - 1
+            places[i] = 1 / (1 + gap)
+        if (a, b) in direct:
+            i, k = direct[a, b]
+            places[i] = ABOVE - 0.01 * min(k, 9)  # of several the nearest
+        if places:
+            out.append((source[a:b], places))
+    for i, f in enumerate(found):
+        if f.inside:
+            out.append((source[f.inside[0] : f.inside[1]], {i: INSIDE}))
+    top = [i for i, f in enumerate(found) if f.depth == 0]
+    if kind == "method" and doc and doc.strip() and top:
+        outer = next((i for i in top if found[i].name == name), top[0])
+        out.append((doc, {i: SYMBOL if i == outer else 1 / (1 + abs(k - top.index(outer))) for k, i in enumerate(top) if abs(k - top.index(outer)) <= RIVALS}))
     return out
 
 
@@ -293,63 +299,68 @@ def pairs(source: str, path: str, kind: str | None, doc: str | None, name: str |
     found = functions(source, python)
     if not found:
         return []
-    candidates: list[tuple[str, dict[int, float]]] = []  # text, and the functions it may document with a score for the place
-    seen: dict[tuple[int, int], int] = {}
-    for i, f in enumerate(found):
-        for place, spans in ((2.0, f.above), (3.0, [f.inside] if f.inside else [])):
-            for span in spans:
-                if span not in seen:
-                    seen[span] = len(candidates)
-                    candidates.append((source[span[0] : span[1]], {}))
-                candidates[seen[span]][1][i] = place
-    if kind == "method" and doc and doc.strip():
-        top = [i for i, f in enumerate(found) if f.depth == 0]
-        outer = next((i for i in top if found[i].name == name), top[0])
-        candidates.append((doc, {outer: 1.0}))
     score: dict[tuple[int, int], float] = {}
     texts: dict[tuple[int, int], str] = {}
-    for j, (raw, places) in enumerate(candidates):
+    for j, (raw, places) in enumerate(candidates(source, found, kind, doc, name, python)):
+        said = tags(raw)
         for i, place in places.items():
             text = description(raw, found[i].name)
             if text:
-                said = tags(raw)
-                agree = len(said & found[i].params) / len(said) if said else 0.0
-                score[i, j] = place + 0.5 * agree + (0.25 if found[i].name in raw else 0.0)
+                agree = len(said & found[i].params) / len(said) if said else 0.5
+                score[i, j] = place + TAGS * (agree - 0.5) + (MENTION if found[i].name in raw else 0.0)
                 texts[i, j] = text
     newlines = [m.start() for m in re.finditer("\n", source)]
     out = []
     for i, j in sorted(matched(score).items(), key=lambda x: found[x[0]].at):
         f = found[i]
-        out.append((bisect.bisect_left(newlines, f.at) + 1, f.name, source[f.start : f.end].strip(), texts[i, j]))
+        if score[i, j] >= LEAST:
+            out.append((bisect.bisect_left(newlines, f.at) + 1, f.name, source[f.start : f.end].strip(), texts[i, j]))
     return out
 
 
 def matched(score: dict[tuple[int, int], float]) -> dict[int, int]:
-    """The maximum assignment of rows to columns over sparse scores, each connected part on its own."""
-    parent: dict[tuple[str, int], tuple[str, int]] = {}
-
-    def find(x: tuple[str, int]) -> tuple[str, int]:
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for i, j in score:
-        parent[find(("row", i))] = find(("col", j))
-    parts: dict[tuple[str, int], list[tuple[int, int]]] = {}
-    for link in score:
-        parts.setdefault(find(("row", link[0])), []).append(link)
-    out = {}
-    for links in parts.values():
-        if len({i for i, _ in links}) == 1:  # no rivals
-            i, j = max(links, key=lambda x: score[x])
-            out[i] = j
-            continue
-        rows, cols = sorted({i for i, _ in links}), sorted({j for _, j in links})
-        for i, k in zip(rows, assignment([[score.get((i, j), 0.0) for j in cols] for i in rows])):
-            if k >= 0:
-                out[i] = cols[k]
-    return out
+    """The assignment of rows to columns with the largest sum of scores, each row and column in one link at most; scores below or equal 0
+    are no links. The Hungarian method over sparse links: a shortest augmenting path for one row after the other."""
+    links: dict[int, dict[tuple[bool, int], float]] = {}
+    for (i, j), w in score.items():
+        if w > 0:
+            links.setdefault(i, {(False, i): 0.0})[True, j] = -w  # (False, i): the row stays alone
+    owner: dict[tuple[bool, int], int] = {}
+    column: dict[int, tuple[bool, int]] = {}
+    price: dict[tuple[bool, int], float] = {}
+    worth: dict[int, float] = {}
+    for root in links:
+        worth[root] = min(c - price.get(j, 0.0) for j, c in links[root].items())
+        far: dict[tuple[bool, int], float] = {}
+        back: dict[tuple[bool, int], int] = {}
+        settled: dict[tuple[bool, int], None] = {}
+        heap: list[tuple[float, tuple[bool, int]]] = []
+        row, base = root, 0.0
+        while True:
+            for j, c in links[row].items():
+                d = base + c - worth[row] - price.get(j, 0.0)
+                if d < far.get(j, math.inf) - 1e-12:
+                    far[j], back[j] = d, row
+                    heapq.heappush(heap, (d, j))
+            while True:
+                base, j = heapq.heappop(heap)
+                if base <= far[j] and j not in settled:
+                    break
+            if j not in owner:
+                break
+            settled[j] = None
+            row = owner[j]
+        worth[root] += base
+        for k in settled:
+            price[k] = price.get(k, 0.0) + far[k] - base
+            worth[owner[k]] += base - far[k]
+        while True:
+            row = back[j]
+            owner[j], before, column[row] = row, column.get(row), j
+            if row == root:
+                break
+            j = before
+    return {i: j for i, (real, j) in column.items() if real}
 
 
 def documented_functions(symbols: DataFrame) -> DataFrame:

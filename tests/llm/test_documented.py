@@ -64,14 +64,34 @@ def test_symbol_documentation_is_the_outermost_ones():
 
 def test_assignment_is_optimal():
     rng = random.Random(2)
-    for _ in range(60):
-        n, m = rng.randrange(1, 5), rng.randrange(1, 5)
+    for _ in range(120):
+        n, m = rng.randrange(1, 6), rng.randrange(1, 5)
         s = [[rng.choice([0, 0, rng.random()]) for _ in range(m)] for _ in range(n)]
-        got = documented.assignment(s)
-        assert all(j < 0 or s[i][j] > 0 for i, j in enumerate(got)) and len({j for j in got if j >= 0}) == sum(j >= 0 for j in got)
+        got = documented.matched({(i, j): s[i][j] for i in range(n) for j in range(m)})
+        assert all(s[i][j] > 0 for i, j in got.items()) and len(set(got.values())) == len(got)
         cols = list(range(m)) + [None] * n
         best = max(sum(s[i][j] for i, j in enumerate(p) if j is not None) for p in set(itertools.permutations(cols, n)))
-        assert abs(sum(s[i][j] for i, j in enumerate(got) if j >= 0) - best) < 1e-9
+        assert abs(sum(s[i][j] for i, j in got.items()) - best) < 1e-9
+
+
+def test_comments_are_offered_to_several_functions():
+    src = f"// {GOOD} of one\nvoid one() {{ }}\nvoid two() {{ }}\n// {GOOD} of three\nvoid three() {{ }}\n"
+    functions = documented.functions(src, False)
+    places = [p for _, p in documented.candidates(src, functions, None, None, None, False)]
+    assert [sorted(p) for p in places] == [[0, 1, 2], [2]] and places[0][0] > 2 > 1 > places[0][1] > places[0][2]
+    assert found(src) == [(2, "one"), (5, "three")]  # two gets none: what is left over for it is too far away
+
+
+def test_tags_choose_among_several_comments():
+    src = f"/** {GOOD} first\n * @param other x */\n/** {GOOD} second\n * @param a x */\nvoid go(int a) {{ }}"
+    assert [t for *_, t in documented.pairs(src, "A.java", "file", None, None)] == [GOOD + " second"]
+    src = src.replace("@param a", "@param b").replace("@param other", "@param a")
+    assert [t for *_, t in documented.pairs(src, "A.java", "file", None, None)] == [GOOD + " first"]
+
+
+def test_many_functions_in_one_file():
+    src = "\n".join(f"// {GOOD} number {'abc'[i % 3]}\nvoid f{i}() {{ }}" for i in range(3000))
+    assert len(found(src)) == 3000
 
 
 def test_rival_functions_share_out_texts():
