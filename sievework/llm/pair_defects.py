@@ -1,7 +1,8 @@
 """Broken prompt and response pairs, each with the kind of its defect.
 
 In this order: empty, refusal, copied, other_language, truncated. Languages are compared by the posteriors of a naive Bayes model over
-character trigrams; truncation is told by how rarely texts end as this one does, from the ends and insides of all answers.
+character trigrams; truncation is told by the likelihood of an end behind the last characters of an answer, from character n-grams of all
+different answers.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.language import LANGUAGES, log_posteriors
+from sievework.llm.language import LANGUAGES, LanguageModel, fit
 from sievework.llm.shingles import Normal, blocks
 
 DEFECTS = ("empty", "truncated", "refusal", "copied", "other_language")
@@ -28,11 +29,16 @@ ASKED = (
     (re.compile(r"(?i)\bin french\b|auf französisch|en français|法文|法语"), "fr"),
     (re.compile(r"(?i)\bin spanish\b|auf spanisch|en espagnol|西班牙语"), "es"),
     (re.compile(r"(?i)\bin italian\b|auf italienisch|意大利语"), "it"),
-    (re.compile(r"(?i)\bin japanese\b|auf japanisch|日文|日语"), "ja"),
+    (re.compile(r"(?i)\bin japanese\b|auf japanisch|日文|日语|日本語で"), "ja"),
+    (re.compile(r"(?i)\bin russian\b|auf russisch|俄语|俄文|по-русски"), "ru"),
+    (re.compile(r"(?i)\bin korean\b|auf koreanisch|韩语|한국어로"), "ko"),
+    (re.compile(r"(?i)\bin portuguese\b|auf portugiesisch|葡萄牙语|em português"), "pt"),
+    (re.compile(r"(?i)\bin dutch\b|auf niederländisch|荷兰语"), "nl"),
+    (re.compile(r"(?i)\bin arabic\b|auf arabisch|阿拉伯语"), "ar"),
     (re.compile(r"(?i)\btranslat|übersetz|traduis|翻译"), "*"),
 )
 QUOTED = re.compile(r"\"[^\"\n]*\"|“[^”\n]*”|„[^“”\n]*[“”]|«[^»\n]*»|「[^」\n]*」")
-SENTENCE = re.compile(r"[^.!?。！？；\n]+[.!?。！？；\n]*")
+SENTENCE = re.compile(r"[^.!?。！？；।\n]+[.!?。！？；।\n]*")
 #: A sentence that declines.
 DECLINES = re.compile(
     r"""(?ix)
@@ -40,13 +46,22 @@ DECLINES = re.compile(
     | \bdeclin|\brefus|\bmust\ pass|\bhave\ to\ pass|\boff\ limits|\bno\ answer\ can|\boutside\ (?:of\ )?(?:what|my|the\ scope)|\bbeyond\ my|\bas\ an?\ (?:ai|artificial|language)|\bguidelines|\bpolic(?:y|ies)\ (?:prevent|forbid|do)|\bno\ permission
     | 无法|不能(?:回答|提供|讨论|评价|作答|协助|帮|对|透露|告诉)|不便|恕难|恕我|恕不|婉拒|拒绝(?:回答|提供|这个|该)|不予|帮不上|没有办法|不在我|不提供|超出了我|爱莫能助|不方便
     | kann\ (?:ich\ )?[^.]*nicht|nicht\ (?:beantworten|möglich|erlaubt|gestattet|in\ der\ lage)|ablehnen|darf\ (?:ich\ )?[^.]*(?:nicht|keine)|leider\ (?:nicht|keine)
-    | ne\ (?:peux|puis|suis)\ [^.]*pas|refuser|désolé
+    | ne\ (?:peux|puis|suis|pouvons)\ [^.]*pas|refuser|désolé
+    | no\ (?:puedo|podemos|me\ es\ posible|estoy\ autorizad[oa])\b|imposible\ (?:responder|ayudar)|me\ niego
+    | não\ (?:posso|podemos|consigo|me\ é\ possível|estou\ autorizad[oa])\b|recuso
+    | non\ (?:posso|possiamo|mi\ è\ possibile|sono\ autorizzat[oa])\b|mi\ rifiuto
+    | kan\ (?:ik\ )?[^.]*niet|mag\ (?:ik\ )?[^.]*niet|weiger
+    | nie\ (?:mogę|możemy|wolno\ mi)|odmawiam | kan\ (?:jag|jeg|vi)?\ ?[^.]*(?:inte|ikke)\b | nemohu|nemůžeme | nu\ pot\b | nem\ (?:tudok|tudunk|áll\ módomban) | en\ voi\b | (?:cevap\ ver|yardımcı\ ol|yanıtla)\w*(?:emiyorum|amıyorum|emem|amam) | tidak\ (?:dapat|bisa)\ (?:menjawab|membantu) | không\ thể\ (?:trả\ lời|giúp|cung\ cấp)
+    | не\ (?:могу|можем|вправе|имею\ права)|отказ|не\ (?:можу|маю\ права)|відмов
+    | できません|できかねます|いたしかねます|お断り|お答えできない
+    | (?:할|드릴|답변할)\ 수\ 없|어렵습니다|거절
+    | δεν\ μπορώ | لا\ (?:أستطيع|يمكنني|أقدر) | نمی‌?توانم | איני\ יכול|אני\ לא\ יכול|לא\ אוכל | नहीं\ (?:दे|कर|बता)\ सकता | ไม่สามารถ
     """
 )
 #: A sentence in which the one who answers speaks.
-SPEAKER = re.compile(r"(?i)\b(?:i|i'm|my|me|we|our|sorry|unfortunately|regret|assistant|ich|mir|meine[rn]?|leider|je|désolé)\b|answer can be given|我|抱歉|对不起|很遗憾|不予解答|不予回答|本助手|恕|婉拒|不提供|作为")
+SPEAKER = re.compile(r"(?i)\b(?:i|i'm|my|me|we|our|sorry|unfortunately|regret|assistant|ich|mir|meine[rn]?|leider|je|désolé|puedo|podemos|siento|lamento|posso|podemos|desculpe|dispiace|possiamo|scusi|ik|helaas|mogę|niestety|jag|jeg|tyvärr|desværre|nemohu|bohužel|pot|nem|sajnos|voi|valitettavasti|üzgünüm|maaf|saya|xin lỗi|tôi|я|мы|мне|извините|сожалению|простите|можу|жаль|вибачте|μπορώ|λυπάμαι)\b|answer can be given|申し訳|すみません|恐れ入り|お答え|できません|죄송|답변|عذر|أستطيع|متأسف|نمی‌?توانم|מצטער|יכול|क्षमा|मैं|ขออภัย|ฉัน|ผม|cevap|我|抱歉|对不起|很遗憾|不予解答|不予回答|本助手|恕|婉拒|不提供|作为")
 COURTESY = re.compile(
-    r"(?ix)\b(?:sorry|thanks|thank\ you|unfortunately|apolog|please\ (?:contact|ask|try|reach)|anything\ else|another\ question|happy\ to\ help|contact\ your|hope\ you|understand)\b|抱歉|对不起|谢谢|感谢|请咨询|请联系|换一个|还有其他|请不要|请谅解|敬请|以上|bitte|danke|gern|verständnis|merci|veuillez"
+    r"(?ix)\b(?:sorry|thanks|thank\ you|unfortunately|apolog|please\ (?:contact|ask|try|reach)|anything\ else|another\ question|happy\ to\ help|contact\ your|hope\ you|understand)\b|抱歉|对不起|谢谢|感谢|请咨询|请联系|换一个|还有其他|请不要|请谅解|敬请|以上|bitte|danke|gern|verständnis|merci|veuillez|gracias|lo siento|por favor|obrigad|desculpe|grazie|mi dispiace|dank u|helaas|alstublieft|proszę|przepraszam|niestety|tack|tyvärr|tak\b|desværre|děkuji|prosím|mulțumesc|sajnálom|kiitos|üzgünüm|teşekkür|lütfen|maaf|terima kasih|xin lỗi|cảm ơn|извините|спасибо|пожалуйста|сожалению|обратитесь|вибачте|дякую|申し訳|すみません|ありがとう|お問い合わせ|ご了承|죄송|감사|문의|συγγνώμη|λυπάμαι|عذر|شكر|متأسف|מצטער|תודה|क्षमा|धन्यवाद|ขออภัย|ขอบคุณ"
 )
 
 # --- ends of texts
@@ -69,48 +84,97 @@ def _classes() -> np.ndarray:
 
 
 WIDTH = 128
-_NO_PRIOR = 20
+#: Slots of the table of n-grams; the upper half holds those that end in a mark, so that letters and marks never share one.
+SLOTS = 1 << 18
+#: Pseudo-counts: of the prior of a character's kind, and of a shorter n-gram behind a longer one.
+KIND_WEIGHT, BACKOFF = 20.0, 200.0
+#: Prior likelihood of an end behind a letter, digit or mark that opens or joins, and behind any other mark.
+OPEN_PRIOR, CLOSED_PRIOR = 1e-4, 0.3
 _OPENING = ",，:：;；、([{<（《“‘-—=+*/\\|&@#"
+NGRAMS = (2, 3)
 
 
-def _mapped(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    codes = _classes()[np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
-    return codes, np.cumsum([len(t) for t in texts])
+def _coded(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of the texts, each behind pads of 0, digits all as one, their classes, and the places of the last characters."""
+    pad = "\0" * max(NGRAMS)
+    codes = np.frombuffer("".join(pad + t for t in texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    classes = _classes()[codes]
+    return np.where(classes == 3, np.uint32(ord("0")), codes), classes, np.cumsum([len(t) + len(pad) for t in texts]) - 1
+
+
+def _slots(codes: np.ndarray, classes: np.ndarray, n: int) -> np.ndarray:
+    """The slot of the n-gram that ends at each place from n - 1 on."""
+    c = codes.astype(np.uint64)
+    h = np.full(len(c) - n + 1, n, dtype=np.uint64)
+    for k in range(n):
+        h = (h ^ c[k : len(c) - n + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    mark = (classes[n - 1 :] >= 6) | (classes[n - 1 :] == 1)
+    return (h >> np.uint64(47)).astype(np.int64) + np.where(mark, SLOTS // 2, 0)
+
+
+def _tally(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """How often each pair of classes, and then each n-gram, ends a text, and stands anywhere in one."""
+    codes, classes, ends = _coded(texts)
+    inner = codes != 0
+    keys = [classes[:-1].astype(np.int64) * WIDTH + classes[1:], *[_slots(codes, classes, n) for n in NGRAMS]]
+    last, anywhere = [], []
+    for k, (key, lead) in enumerate(zip(keys, (1, *[n - 1 for n in NGRAMS]))):
+        size = SLOTS if k else WIDTH * WIDTH
+        anywhere.append(np.bincount(key[inner[lead:]], minlength=size))
+        last.append(np.bincount(key[ends - lead], minlength=size))
+    return np.concatenate(last), np.concatenate(anywhere)
+
+
+TALLIES = WIDTH * WIDTH + SLOTS * len(NGRAMS)
 
 
 def end_counts(answers: DataFrame, text: str = "answer") -> np.ndarray:
-    """How often each pair of character classes ends a text, and stands anywhere in one: 2 x 128 x 128, over all rows."""
+    """2 x TALLIES: ``_tally`` of all different answers; repeated rows count once, or a text that is cut and copied would seem to end well.
+
+    The table has a fixed size, whatever the corpus, and goes to every task.
+    """
 
     def run(batches):
-        total = np.zeros((2, WIDTH * WIDTH), dtype=np.int64)
+        total = np.zeros((2, TALLIES), dtype=np.int64)
         for batch in batches:
-            rows = [t for t in (x.rstrip() for x in batch.column(0).to_pylist()) if len(t) > 1]
-            for lo, hi in blocks(len(rows), 2000):
-                c, ends = _mapped(rows[lo:hi])
-                pair = c[:-1].astype(np.int64) * WIDTH + c[1:]
-                whole = np.bincount(pair, minlength=WIDTH * WIDTH)
-                if len(ends) > 1:
-                    whole -= np.bincount(pair[ends[:-1] - 1], minlength=WIDTH * WIDTH)  # pairs across two texts
-                total[1] += whole
-                total[0] += np.bincount(pair[ends - 2], minlength=WIDTH * WIDTH)
+            rows = batch.column(0).to_pylist()
+            lo = 0
+            while lo < len(rows):  # about a million characters at a time
+                hi, size = lo + 1, len(rows[lo])
+                while hi < len(rows) and size + len(rows[hi]) <= 1 << 20:
+                    size += len(rows[hi])
+                    hi += 1
+                total += _tally(rows[lo:hi])
+                lo = hi
         at = np.flatnonzero(total[1])
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[0][at]), pa.array(total[1][at])], ["pair", "last", "anywhere"])
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[0][at]), pa.array(total[1][at])], ["at", "last", "anywhere"])
 
-    rows = answers.select(text).where(F.col(text).isNotNull()).mapInArrow(run, "pair int, last bigint, anywhere bigint").groupBy("pair").agg(F.sum("last").alias("last"), F.sum("anywhere").alias("anywhere")).toPandas()
-    out = np.zeros((2, WIDTH * WIDTH), dtype=np.int64)
-    out[0, rows["pair"]], out[1, rows["pair"]] = rows["last"], rows["anywhere"]
-    return out.reshape(2, WIDTH, WIDTH)
+    different = answers.select(F.rtrim(F.regexp_replace(text, r"(?U)\s+$", "")).alias("t")).where(F.length("t") > 1).distinct()
+    rows = different.mapInArrow(run, "at int, last bigint, anywhere bigint").groupBy("at").agg(F.sum("last").alias("last"), F.sum("anywhere").alias("anywhere")).toPandas()
+    out = np.zeros((2, TALLIES), dtype=np.int64)
+    out[0, rows["at"]], out[1, rows["at"]] = rows["last"], rows["anywhere"]
+    return out
 
 
 def end_likelihood(counts: np.ndarray, text: str) -> float:
-    """log P(text ends here | its last two characters); the last alone where the two are seen too seldom."""
-    c, _ = _mapped([text[-2:].rjust(2)])
-    last, anywhere = counts[0, c[0], c[1]], counts[1, c[0], c[1]]
-    if anywhere < _NO_PRIOR:
-        last, anywhere = counts[0, :, c[1]].sum(), counts[1, :, c[1]].sum()
-    if anywhere < _NO_PRIOR:  # too little text to tell: letters, digits and marks that open or join do not end a text
-        return -9.0 if c[1] in (2, 3, 4) or text[-1:] in _OPENING else 0.0
-    return float(np.log((last + 0.5) / (anywhere + 1.0)))
+    """log P(text ends here | its last characters), this text itself left out: from the kind of the last character to the pair of kinds and
+    on to longer n-grams, each shrunk to the one before by pseudo-counts. The least of them counts: where answers break off in the same
+    words again and again, the longer n-grams take that for an end, but the kinds of characters do not."""
+    codes, classes, ends = _coded([text[-max(NGRAMS) :]])
+    p = OPEN_PRIOR if classes[-1] in (2, 3, 4) or text[-1:] in _OPENING else CLOSED_PRIOR
+    least = 1.0
+    keys = [int(classes[-2]) * WIDTH + int(classes[-1]), *[WIDTH * WIDTH + k * SLOTS + int(_slots(codes, classes, n)[-1]) for k, n in enumerate(NGRAMS)]]
+    for k, key in enumerate(keys):
+        last, anywhere = max(counts[0, key] - 1, 0), max(counts[1, key] - 1, 0)
+        weight = BACKOFF if k else KIND_WEIGHT
+        p = (last + weight * p) / (anywhere + weight)
+        least = min(least, p) if k else p
+    return float(np.log(least))
+
+
+#: A last line that is nothing but the sign of a list: what stands before it decides.
+BARE_ITEM = re.compile(r"\n\s*(?:\d{1,3}[.)、]|[-*•])\s*\Z")
 
 
 def open_structure(text: str) -> bool:
@@ -156,14 +220,26 @@ def prose(text: str) -> str:
     return CODE.sub(" ", FENCE.sub(" ", text))
 
 
-def defects(samples: DataFrame, margin: float = 4.0, least_letters: int = 8, least_end: float = -4.6, copied: float = 0.85) -> DataFrame:
+#: Labelled rows that the language model is fitted on at most, and characters of each.
+LABELLED_ROWS, LABELLED_CHARS = 2000, 4000
+
+
+def language_model(labelled: DataFrame | None) -> LanguageModel:
+    """Fitted on a bounded sample of (text, lang), in the order of a hash of the text; on the seed texts alone where there is none."""
+    if labelled is None:
+        return fit([])
+    some = labelled.where("text is not null and lang is not null").select(F.substring("text", 1, LABELLED_CHARS).alias("text"), "lang", F.xxhash64("text").alias("h"))
+    return fit([(r.text, r.lang) for r in some.orderBy("h", "lang").limit(LABELLED_ROWS).collect()])
+
+
+def defects(samples: DataFrame, labelled: DataFrame | None = None, margin: float = 4.0, least_letters: int = 8, least_end: float = -4.6, copied: float = 0.85) -> DataFrame:
     """(rec_no, defect): one row for each row of ``samples`` with a defect.
 
     A null or blank answer, or one of marks, an empty block or a placeholder only, is empty. A null instruction can be neither copied nor
-    in another language. margin: log-odds by which the answer's language must beat the instruction's, least_letters: letters of prose
+    in another language. labelled: rows (text, lang) to fit the language model on, of which a bounded sample is read. margin: log-odds by which the answer's language must beat the instruction's, least_letters: letters of prose
     below which no language is told, least_end: log-likelihood of a complete end, copied: shares of shingles. Repeated rows are rows.
     """
-    counts = end_counts(samples)
+    counts = samples.sparkSession.sparkContext.broadcast((end_counts(samples), language_model(labelled)))  # both of a fixed size
 
     def judge(recs, ins, ans):
         found: dict[int, str] = {}
@@ -181,10 +257,11 @@ def defects(samples: DataFrame, margin: float = 4.0, least_letters: int = 8, lea
             nq, na = Normal([ins[i] for i in rest]), Normal([ans[i] for i in rest])
             (hq, cq), (ha, ca) = nq.shingles(), na.shingles()
             eq, ea = np.cumsum(cq), np.cumsum(ca)
-            pq, lq = log_posteriors([prose(ins[i] or "") for i in rest])
-            pa_, la = log_posteriors([prose(ans[i]) for i in rest])
+            ends, model = counts.value
+            pq, lq = model.log_posteriors([prose(ins[i] or "") for i in rest])
+            pa_, la = model.log_posteriors([prose(ans[i]) for i in rest])
             for k, i in enumerate(rest):
-                if cq[k] >= 8 and ca[k] >= 8 and ca[k] <= 6 * cq[k]:
+                if cq[k] >= 8 and ca[k] >= 8:
                     q, a = np.unique(hq[eq[k] - cq[k] : eq[k]]), np.unique(ha[ea[k] - ca[k] : ea[k]])
                     both = len(np.intersect1d(q, a, assume_unique=True))
                     if both >= copied * len(a) and both >= 0.5 * len(q):
@@ -197,8 +274,8 @@ def defects(samples: DataFrame, margin: float = 4.0, least_letters: int = 8, lea
                         if LANGUAGES[other] not in asked and "*" not in asked:
                             found[i] = "other_language"
                             continue
-                text = ans[i].rstrip()
-                if open_structure(text) or end_likelihood(counts, text) < least_end:
+                text = BARE_ITEM.sub("", ans[i]).rstrip()
+                if open_structure(text) or end_likelihood(ends, text) < least_end:
                     found[i] = "truncated"
         return [(recs[i], d) for i, d in found.items()]
 

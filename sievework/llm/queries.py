@@ -30,7 +30,7 @@ def p2_groups(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return pair_defects.defects(table(spark, d, "samples"))
+    return pair_defects.defects(table(spark, d, "samples"), table(spark, d, "documents"))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
