@@ -2,10 +2,13 @@
 
 Numbers are only taken for what they look like after validation (check characters, dates, lengths, what stands around them). Names are
 recognised by the parts they are made of, learned from the table of contributors; a given name or its initial and a family name must meet.
+Other names are told by their shape and by what stands around them: a naive Bayes model of both is learned from the names that were
+recognised by their parts, in a bounded sample of the documents.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterable
@@ -15,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievework.llm.language import SEEDS
 from sievework.llm.pseudonym import Feistel, parse_day, pseudonym_cn_id, pseudonym_digits, pseudonym_id, valid_cn_id
 
 KINDS = ("name", "email", "phone", "id_number", "address")
@@ -59,6 +63,7 @@ class NameStock:
     han_given: tuple[str, ...] = ()
     han_family: tuple[str, ...] = ()
     known: dict[str, int] = field(default_factory=dict)
+    context: ContextModel | None = None
 
     def kind(self, word: str) -> int:
         """1 for a given name, 2 for a family name, 4 and 8 if only the ending (of three letters or more) fits one; sums for several."""
@@ -107,7 +112,8 @@ NUMBER = re.compile(
     | (?P<fr>(?:\(\+33\)[ ]?|\+33[ ]?|0033[ ]?|0)[1-9](?:[ .]?\d{2}){4})(?!\d|[.]\d)
     | (?P<slash>0\d{2,4}[/][ ]?\d{5,9})(?!\d)
     | (?P<land>0\d{2,3}-\d{7,8})(?![\d-])
-    | (?P<plus>(?:\(\+[1-9]\d{0,2}\)|\+[1-9]\d{0,2})(?:[ .-]?\(?\d{2,5}\)?){2,5})(?!\d)
+    | (?P<spaced>0\d{2,4}[ ]\d{3,4}[ ]\d{3,4})(?![A-Za-z0-9]|[ .-]\d)
+    | (?P<plus>(?:\(\+[1-9]\d{0,2}\)|\+[1-9]\d{0,2})(?:[ .-]?\(?\d{1,5}\)?){2,5})(?!\d)
     | (?P<zero>00[1-9]\d{8,13})(?!\d)
     )""",
     re.X,
@@ -119,6 +125,13 @@ LEAD_IN = re.compile(r".*(?:住在|住于|寄到|寄往|寄至|送到|送往|位
 EN_STREET = r"(?:Street|Road|Avenue|Lane|Boulevard|Drive|Court|Square|Terrace|Crescent|Place|Close|Way|Blvd\.?|St\.?|Rd\.?|Ave\.?|Ln\.?|Dr\.?|Ct\.?)"
 EN_ADDRESS = re.compile(rf"(?<![A-Za-z0-9_.,/-])\d{{1,5}}[A-Z]?(?: [NSEW]\.?)?(?: [A-Z][a-z'’]+){{1,3}} {EN_STREET}(?![A-Za-z0-9_-])(?:,? (?:Apt|Suite|Unit|Flat)\.? ?\w{{1,6}}|,? #\w{{1,6}})?(?:(?:,[ ]?|\r?\n)(?:[A-Z][a-z]+)(?: [A-Z][a-z]+)?(?: \d{{5}})?(?![A-Za-z]))?")
 DE_ADDRESS = re.compile(r"(?<![A-Za-zÄÖÜäöüß])(?:[A-ZÄÖÜ][a-zäöüß]+(?:er|en|e) (?:Weg|Straße|Strasse|Str\.|Gasse|Platz|Allee|Ring|Ufer|Damm)|[A-ZÄÖÜ][a-zäöüß]{2,}(?:weg|straße|strasse|str\.|gasse|platz|allee|ring|ufer|damm)) \d{1,4}[a-z]?(?![\w-])(?:, \d{5} [A-ZÄÖÜ][a-zäöüß]+)?")
+#: German streets that are named by a place, with their postal code; Romance streets, the kind of the street first.
+AT_ADDRESS = re.compile(r"(?<![A-Za-zÄÖÜäöüß])(?:Am|An der|Im|In der|In den|Zum|Zur|Beim|Auf dem|Auf der|Unter den|Hinter dem|Hinter der|Vor dem) [A-ZÄÖÜ][a-zäöüß-]+(?: [A-ZÄÖÜ][a-zäöüß-]+)? \d{1,4}[a-z]?, \d{5} [A-ZÄÖÜ][a-zäöüß]+")
+_SMALL = r"(?:(?:de|du|des|la|le|les|del|los|las|da|do|dos|di|dei|della|delle) |l'|d'|l’|d’)*"
+ROMANCE = r"[A-ZÀ-Þ][A-Za-zÀ-ÿ'’-]+(?: [A-ZÀ-Þ][A-Za-zÀ-ÿ'’-]+){0,2}"
+FR_ADDRESS = re.compile(rf"(?<![A-Za-z0-9_.,/-])\d{{1,4}}(?: ?(?:bis|ter))?,? (?:[Rr]ue|[Aa]venue|[Bb]oulevard|[Pp]lace|[Aa]llée|[Cc]hemin|[Ii]mpasse|[Qq]uai|[Cc]ours) {_SMALL}{ROMANCE}(?:, \d{{5}} {ROMANCE})?")
+ES_ADDRESS = re.compile(rf"(?<![A-Za-zÀ-ÿ])(?:Calle|Avenida|Plaza|Paseo|Via|Viale|Piazza|Corso|Rua|Praça) {_SMALL}{ROMANCE},? \d{{1,4}}(?![\w-])(?:, \d{{4,5}}(?:-\d{{3}})? {ROMANCE})?")
+ADDRESSES = (EN_ADDRESS, DE_ADDRESS, AT_ADDRESS, FR_ADDRESS, ES_ADDRESS)
 WORD = re.compile(r"(?<![A-Za-z0-9_@.+#`$-])[A-Z][A-Za-z]{3,}(?![A-Za-z0-9_@+])")
 GLUED = re.compile(r"(?:[A-Z][a-z]{3,}|[A-Z]{4,})(?=[A-Z][a-z])")
 INITIAL_BEFORE = re.compile(r"(?:(?<![A-Za-z0-9_.])([A-Z])\. ?)(?:[A-Z]\. ?)?$")
@@ -142,6 +155,84 @@ def domain_end(t: str, at: int) -> int:
     return 0
 
 
+# --- names by shape and context
+
+#: Documents that the model of context is learned from at most, and characters of each.
+TRAIN_DOCUMENTS, TRAIN_CHARS = 2000, 4000
+#: Log-odds from which on words are a name.
+SURE = 1.0
+CAPITALS = re.compile(r"(?<![A-Za-zÀ-ÿ0-9_@.+#`$/'’-])[A-ZÀ-Þ][a-zß-ÿ]+(?: [A-Z]\.)?(?:[ ][A-ZÀ-Þ][a-zß-ÿ]+(?:[-'’][A-ZÀ-Þ][a-zß-ÿ]+)?){1,2}(?![A-Za-zÀ-ÿ0-9_@(/-])")
+#: The most common Chinese family names of one character.
+SURNAMES = "王李张刘陈杨黄赵周吴徐孙马朱胡郭何高林罗郑梁谢宋唐许韩冯邓曹彭曾肖田董潘袁蔡蒋余杜叶程苏魏吕丁任卢姚沈钟姜崔谭陆范汪廖石金韦贾夏付方白邹熊孟秦邱江尹薛阎段雷侯龙史陶贺顾毛郝龚邵万钱严覃武戴莫孔向汤"
+#: Signs that a person follows.
+HAN_CUES = "由请找给与和、：系问叫谢据跟"
+HAN_NAME = re.compile(f"(?<![一-鿿])[{SURNAMES}][一-鿿]{{1,2}}(?![一-鿿])|(?<=[{HAN_CUES}])[{SURNAMES}][一-鿿]{{2}}(?=[，。、；：）（]|负责|提供|反馈|确认|说|表示|处理|审批|跟进)")
+TOKEN_BEFORE = re.compile(r"([^\W\d_]+|[^\w\s]|\n)[ \t]*$")
+TOKEN_AFTER = re.compile(r"[ \t]*([^\W\d_]+|[^\w\s]|\n)")
+
+
+def _around(t: str, a: int, b: int) -> tuple[str, str]:
+    """The word or sign before and the one behind; of a run of ideographs the nearest one."""
+    before, after = TOKEN_BEFORE.search(t, max(0, a - 40), a), TOKEN_AFTER.match(t, b)
+    p, n = before.group(1) if before else "", after.group(1) if after else ""
+    return p[-1:] if "一" <= p[-1:] <= "鿿" else p.lower(), n[:1] if "一" <= n[:1] <= "鿿" else n.lower()
+
+
+class ContextModel:
+    """Log-odds of name against other words, of the same shape, from what is before, what is behind, and how many of the words are also
+    written in lower case."""
+
+    def __init__(self, seen: dict[bool, list[tuple[str, ...]]], lower: frozenset[str]):
+        self.lower = lower
+        self.odds: dict[str, float] = {}
+        counts = {y: Counter(f for features in rows for f in features) for y, rows in seen.items()}
+        total = {y: len(rows) + 2 for y, rows in seen.items()}
+        for f in counts[True] | counts[False]:
+            if counts[True][f] + counts[False][f] >= 3:
+                self.odds[f] = math.log((counts[True][f] + 1) / total[True]) - math.log((counts[False][f] + 1) / total[False])
+
+    @staticmethod
+    def features(t: str, a: int, b: int, lower: frozenset[str]) -> tuple[str, ...]:
+        before, after = _around(t, a, b)
+        out = [f"<{before}"] if before else []
+        out += [f">{after}"] if after else []
+        if t[a] < "一":
+            out.append(f"={int(any(w.lower() in lower for w in re.findall(r"[^\W\d_]{2,}", t[a:b])))}")
+        return tuple(out)
+
+    def score(self, t: str, a: int, b: int) -> float:
+        return sum(self.odds.get(f, 0.0) for f in self.features(t, a, b, self.lower))
+
+    def han(self, t: str, a: int, b: int) -> bool:
+        """Whether ideographs in the shape of a name stand where names stand: before is as before names, and behind speaks not against it."""
+        before, after = _around(t, a, b)
+        return bool(before) and (self.odds.get(f"<{before}", 0.0) > 0.5 or before in HAN_CUES) and self.odds.get(f">{after}", 0.0) >= 0
+
+
+def learned(texts: Iterable[str | None], stock: NameStock) -> ContextModel:
+    """From the names that the stock tells in these texts; words of the same shape that it does not know are no names. Words in lower case
+    are those of these texts and of the seed texts of the languages."""
+    han = han_pattern(stock)
+    plains = [plain(t) for t in texts if t]
+    lower = frozenset(w for t in (*plains, *SEEDS.values()) for w in re.findall(r"(?<!\S)[a-zß-ÿ]{2,}(?=[\s,.;:!?]|$)", t))
+    seen: dict[bool, list[tuple[str, ...]]] = {True: [], False: []}
+    for t in plains:
+        names = [(a, b) for a, b, kind, _ in find(t, stock, han) if kind == "name"]
+        for a, b in names:
+            seen[True].append(ContextModel.features(t, a, b, lower))
+        for m in (*CAPITALS.finditer(t), *HAN_NAME.finditer(t)):
+            if not any(m.start() < y and x < m.end() for x, y in names):
+                seen[False].append(ContextModel.features(t, *m.span(), lower))
+    return ContextModel(seen, lower)
+
+
+def with_context(stock: NameStock, documents: DataFrame) -> NameStock:
+    """The stock with a model of context learned from a bounded sample of the documents, in the order of a hash of their ids."""
+    some = documents.where("text is not null").select(F.substring("text", 1, TRAIN_CHARS).alias("text"), F.xxhash64("doc_id", "text").alias("h"))
+    stock.context = learned([r.text for r in some.orderBy("h").limit(TRAIN_DOCUMENTS).collect()], stock)
+    return stock
+
+
 def find(text: str, stock: NameStock, han: re.Pattern | None) -> list[Span]:
     """(start, end, kind, form) of every piece, in order, without overlaps. Positions count code points from 0."""
     t = plain(text)
@@ -177,7 +268,7 @@ def find(text: str, stock: NameStock, han: re.Pattern | None) -> list[Span]:
         elif 8 <= len(digits) <= 15:
             add(*m.span(), "phone", form)
     for m in LABELLED.finditer(t) if any(w in t for w in LABEL_WORDS) else ():
-        if sum(c.isdigit() for c in m.group(1)) >= 5:
+        if any(c.isdigit() for c in m.group(1)):  # what the label says decides, not the shape
             add(*m.span(1), "id_number", "label")
     for m in ZH_ADDRESS.finditer(t):
         head = re.search(r"[一-鿿]{1,8}$", t[max(0, m.start() - 8) : m.start()])
@@ -190,7 +281,7 @@ def find(text: str, stock: NameStock, han: re.Pattern | None) -> list[Span]:
             city = city[-3:]
         if city:
             add(m.start() - len(city), m.end(), "address", "")
-    for pattern in (EN_ADDRESS, DE_ADDRESS):
+    for pattern in ADDRESSES:
         for m in pattern.finditer(t):
             add(*m.span(), "address", "")
     for m in BORN.finditer(t) if any(w in t for w in BORN_WORDS) else ():
@@ -220,6 +311,17 @@ def find(text: str, stock: NameStock, han: re.Pattern | None) -> list[Span]:
     if han:
         for m in han.finditer(t):
             add(*m.span(), "name", "")
+    if stock.context:
+        for m in CAPITALS.finditer(t):
+            a, b = m.span()
+            first, _, rest = m.group().partition(" ")
+            if " " in rest and first.lower() in stock.context.lower:  # the first word of a sentence
+                a += len(first) + 1
+            if stock.context.score(t, a, b) >= SURE:
+                add(a, b, "name", "")
+        for m in HAN_NAME.finditer(t):
+            if stock.context.han(t, *m.span()):
+                add(*m.span(), "name", "")
     return sorted(out)
 
 
@@ -271,13 +373,16 @@ def _scanner(stock: NameStock, key: bytes) -> Callable[[str | None], tuple[str |
 FOUND = "doc_id bigint, text string, findings array<struct<kind:string,start_at:bigint,length:bigint,placeholder:string>>"
 
 
-def redact(documents: DataFrame, contributors: DataFrame, key: bytes = b"sievework") -> DataFrame:
+def redact(documents: DataFrame, contributors: DataFrame, key: bytes) -> DataFrame:
     """(doc_id, text, findings): every row's text with placeholders for what was found, and the findings with their 1-based positions.
 
     Kinds are those of KINDS, and birth_date for dates said to be of birth. Null and empty texts stay as they are and have no findings; a
-    null doc_id stays null, repeated rows are rows. The key decides the pseudonyms; the same value has the same one in every document.
+    null doc_id stays null, repeated rows are rows. The key decides the pseudonyms; the same value has the same one in every document. Who
+    has the key can undo them, so it is for the caller to choose and to keep; an empty one is an error.
     """
-    stock = name_stock(contributors)
+    if not key:
+        raise ValueError("pseudonyms need a key")
+    stock = with_context(name_stock(contributors), documents)
 
     def run(batches):
         scan = _scanner(stock, key)
@@ -293,7 +398,7 @@ def redact(documents: DataFrame, contributors: DataFrame, key: bytes = b"sievewo
     return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, FOUND)
 
 
-def findings(documents: DataFrame, contributors: DataFrame, key: bytes = b"sievework") -> DataFrame:
+def findings(documents: DataFrame, contributors: DataFrame, key: bytes) -> DataFrame:
     """(doc_id, kind, start_at, length, placeholder): one row for each piece of the kinds in KINDS."""
     one = redact(documents, contributors, key).select("doc_id", F.explode("findings").alias("f")).select("doc_id", "f.*")
     return one.where(F.col("kind").isin(*KINDS))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,12 +102,18 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return p10_findings(spark, d).select("doc_id", "kind", "start_at").distinct()
 
 
+def _pseudonym_key(spark: SparkSession) -> bytes:
+    """The key that the session names, else one of this run alone: then nobody can undo the pseudonyms."""
+    named = spark.conf.get("spark.sievework.pseudonymKey", None)
+    return named.encode() if named else os.urandom(32)
+
+
 def p10_findings(spark: SparkSession, d: str) -> DataFrame:
-    return personal.findings(table(spark, d, "documents"), table(spark, d, "contributors"))
+    return personal.findings(table(spark, d, "documents"), table(spark, d, "contributors"), _pseudonym_key(spark))
 
 
 def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
-    return personal.redact(table(spark, d, "documents"), table(spark, d, "contributors")).select("doc_id", "text", F.size("findings").cast("bigint").alias("pieces"))
+    return personal.redact(table(spark, d, "documents"), table(spark, d, "contributors"), _pseudonym_key(spark)).select("doc_id", "text", F.size("findings").cast("bigint").alias("pieces"))
 
 
 def queries() -> dict[str, Query]:

@@ -93,7 +93,7 @@ def test_redaction_links_equal_values(spark):
     people = spark.createDataFrame([(g, f, "latn") for g, f in zip(GIVEN, FAMILY)] + [("棠筝", "公冶", "hani"), (None, None, "latn")], "given_name string, family_name string, script string")
     docs = [(1, f"Zelune Nysby, {ID}, +44 7700 900893, born 1987-04-12"), (2, f"cc Zelune Nysby; {ID[:6]} {ID[6:14]} {ID[14:]}"), (3, None), (4, ""), (5, "x" * 50_000), (1, "+44 7700 900893")]
     df = spark.createDataFrame([(*d, "clash") for d in docs], "doc_id bigint, text string, findings string")
-    rows = personal.redact(df, people).collect()
+    rows = personal.redact(df, people, b"key").collect()
     assert len(rows) == 6
     one = next(r for r in rows if r.doc_id == 1 and len(r.findings) > 1)
     assert [f.kind for f in one.findings] == ["name", "id_number", "phone", "birth_date"]
@@ -103,7 +103,7 @@ def test_redaction_links_equal_values(spark):
     assert any(r.text == one.findings[2].placeholder for r in rows) and one.findings[2].placeholder.startswith("[PHONE +44 ")
     assert "Zelune" not in one.text and ID not in one.text and one.findings[1].start_at == 15
     assert {(r.doc_id, r.text, len(r.findings)) for r in rows if r.doc_id in (3, 4)} == {(3, None, 0), (4, "", 0)}
-    assert personal.findings(df.limit(0), people).count() == 0
+    assert personal.findings(df.limit(0), people, b"key").count() == 0
 
 
 @pytest.mark.parametrize("s,form", [("X0ZLLZN09", "card"), ("XZ2637774", "pass"), ("QQ 42 06 31 D", "nino"), ("AB-12345-CD6789", "label"), ("945-88-3556", "ssn")])
@@ -135,3 +135,33 @@ def test_the_prefilter_loses_no_number(t):
     fits = lambda m: m.lastgroup not in ("us", "uk", "fr", "plus", "zero", "mobile", "slash", "land") or 8 <= sum(c.isdigit() for c in m.group()) <= 15
     want = {m.span() for m in personal.NUMBER.finditer(t) if fits(m)}
     assert want <= {m.span() for c in personal.CLUSTER.finditer(t) for m in personal.NUMBER.finditer(t, c.start(), min(len(t), c.end() + 4))}
+
+
+TRAINING = [f"The patch of {g} {f} was merged. Please ask {g} {f} about it, or contact {f}, {g}." for g in GIVEN for f in FAMILY] + ["See Section 4 and the Release Notes. Die Liste wird sortiert. Der Eintrag bleibt.", "抄送：公冶棠筝、淳于旸野。由公冶旸野提供。"] * 30
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("Please contact Elena Petrova about this.", "Elena Petrova"), ("Rajesh Gupta approved the change.", "Rajesh Gupta"), ("Ask Sarah Johnson about it.", "Sarah Johnson"),
+        ("John Smith called.", "John Smith"), ("请联系王小明，谢谢。", "王小明"), ("抄送：王小明、公冶棠筝。", "王小明"), ("See Section 4", None), ("Die Methode", None), ("任务和安全性由高并发保证", None), ("the Release Notes", None),
+    ],
+)
+def test_names_beyond_the_stock(text, want):
+    stock = personal.NameStock(STOCK.given, STOCK.family, STOCK.han_given, STOCK.han_family)
+    stock.context = personal.learned(TRAINING, stock)
+    got = [text[a:b] for a, b, k, _ in personal.find(text, stock, personal.han_pattern(stock)) if k == "name"]
+    assert got[:1] == ([want] if want else [])
+
+
+@pytest.mark.parametrize("text,want", [("call 020 7946 0958 now", "020 7946 0958"), ("ring +81 3-1234-5678.", "+81 3-1234-5678"), ("at 12 Rue de la Paix, 75002 Paris today", "12 Rue de la Paix, 75002 Paris"), ("home Am Torfstich 187, 00252 Oberstenau.", "Am Torfstich 187, 00252 Oberstenau"), ("vive en Calle Mayor 5, 28013 Madrid", "Calle Mayor 5, 28013 Madrid"), ("Passport X0ZO5ZOTI was", "X0ZO5ZOTI"), ("National insurance no. X0ZU8DIIW, x", "X0ZU8DIIW")])
+def test_more_forms(text, want):
+    assert [w for _, w in found(text)] == [want]
+
+
+def test_a_key_is_needed(spark):
+    people = spark.createDataFrame([], "given_name string, family_name string, script string")
+    docs = spark.createDataFrame([(1, "x")], "doc_id bigint, text string")
+    with pytest.raises(ValueError):
+        personal.redact(docs, people, b"")
+    assert len(F.tag("name", "x")) == 24
