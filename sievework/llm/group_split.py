@@ -130,6 +130,6 @@ def group_splits(samples: DataFrame, evidence: DataFrame, targets: DataFrame, se
     spread = small.select("group_no", "n", *labels, F.pmod(h, F.lit(buckets)).cast("int").alias("bucket"), (F.pmod(F.shiftright(h, 20), F.lit(1 << 30)) / float(1 << 30)).alias("u"), F.explode(F.array(*[F.lit(i) for i in range(chains)])).alias("chain"))
     found = scratch.write(spread.groupBy("bucket", "chain").applyInPandas(search, "bucket int, chain int, cost double, group_no bigint, split string"), "found")
     best = found.groupBy("bucket").agg(F.min_by("chain", F.struct("cost", "chain")).alias("chain"))
-    chosen = found.join(F.broadcast(best), ["bucket", "chain"]).select("group_no", "split")
+    chosen = found.join(best, ["bucket", "chain"]).select("group_no", "split")
     chosen = chosen.unionByName(spark.createDataFrame(placed, "group_no bigint, split string"))
     return each.select("rec_no", "group_no").join(chosen, "group_no").select("rec_no", "group_no", "split")

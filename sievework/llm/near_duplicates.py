@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.pairs import verify
+from sievework.llm.pairs import verify, with_representatives
 from sievework.llm.shingles import MIN_INSTRUCTION, MIN_LONG, Normal, blocks, mix
 from sievework.operators.components import connected_components
 from sievework.plans.scratch import Scratch
@@ -124,8 +124,7 @@ def near_duplicate_links(samples: DataFrame, plan: MinHashPlan = MinHashPlan(),
     """
     scratch = scratch or Scratch(samples.sparkSession, "near-duplicates")
     signed = scratch.write(signatures(samples, plan), "signatures")
-    reps = signed.groupBy("k1", "k2").agg(F.min("rec_no").alias("rep"))
-    members = scratch.write(signed.select("rec_no", "k1", "k2").join(reps, ["k1", "k2"]).select("rec_no", "rep"), "members")
+    members = scratch.write(with_representatives(signed, ["k1", "k2"], []), "members")
     chosen = signed.join(members.where("rec_no = rep").select(F.col("rec_no")).distinct(), "rec_no", "left_semi")
     words = [F.col("sig")[i].alias(f"s{i}") for i in range(plan.words * plan.bits)]
     posts = chosen.dropDuplicates(["rec_no"]).select(F.col("rec_no").alias("rep"), *words, F.explode("bands").alias("band"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
 
 import pyarrow as pa
@@ -11,6 +12,27 @@ from pyspark.sql import functions as F
 from sievework.llm.shingles import jaccard, shingle_set
 
 
+#: Texts with more than one of so many rows are joined with their representative by broadcast; there are fewer of them than that.
+HOT = 1024
+
+
+def with_representatives(signed: DataFrame, keys: list[str], kept: list[str]) -> DataFrame:
+    """(rec_no, rep, kept): every row of ``signed`` under the smallest rec_no of the rows with the same keys.
+
+    The smallest is found by an aggregate that combines before its shuffle; the way back is a broadcast for the few texts that have very
+    many rows and a shuffle for the rest, so a text with a third of all rows is no single task's work.
+    """
+    reps = signed.groupBy(*keys).agg(F.min("rec_no").alias("rep"), F.count(F.lit(1)).alias("_n"))
+    hot = F.col("_n") > max(100_000, math.ceil(signed.count() / HOT))
+    few = reps.where(hot).drop("_n").collect()  # fewer than HOT
+    rows = signed.select("rec_no", *keys, *[k for k in kept if k not in keys])
+    if not few:
+        return rows.join(reps.drop("_n"), keys).select("rec_no", "rep", *kept)
+    tried = rows.join(F.broadcast(signed.sparkSession.createDataFrame(few, reps.drop("_n").schema)), keys, "left")
+    rest = tried.where("rep is null").drop("rep").join(reps.where(~hot).drop("_n"), keys)
+    return tried.where("rep is not null").select("rec_no", "rep", *kept).unionByName(rest.select("rec_no", "rep", *kept))
+
+
 def verify(candidates: DataFrame, rows: DataFrame, key: str, first: str, second: str, threshold: float) -> DataFrame:
     """Candidates (a, b) for which both texts have a similarity of at least ``threshold``: (a, b, sim_first, sim_second).
 

@@ -66,6 +66,12 @@ def p5_sample(spark: SparkSession, d: str) -> DataFrame:
     return quota_sample.quota_sample(table(spark, d, "samples"), table(spark, d, "quota_targets"))
 
 
+def p5_counts(spark: SparkSession, d: str) -> DataFrame:
+    """What the sample holds of each cell."""
+    drawn = p5_sample(spark, d)
+    return drawn.groupBy("scenario", "bucket", "polarity").agg(F.count(F.lit(1)).alias("records"), F.count(F.when(F.col("floor"), 1)).alias("floor_records"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return documented.documented_functions(table(spark, d, "symbols")).select("rec_no", "line_no").distinct()
 
@@ -82,8 +88,17 @@ def p7_splits(spark: SparkSession, d: str) -> DataFrame:
     return group_split.group_splits(table(spark, d, "samples"), table(spark, d, "evidence_refs"), table(spark, d, "split_targets"))
 
 
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    """Every split: its rows within one in a hundred of the target, and groups that lie in several splits (there must be none)."""
+    placed = p7_splits(spark, d)
+    groups = placed.groupBy("group_no").agg(F.count(F.lit(1)).alias("n"), F.min("split").alias("a"), F.max("split").alias("b"))
+    total, divided = groups.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("a") != F.col("b"), 1))).first()
+    goal = table(spark, d, "split_targets").join(placed.groupBy("split").agg(F.count(F.lit(1)).alias("n")), "split", "left")
+    return goal.select("split", (F.abs(F.coalesce("n", F.lit(0)) / F.lit(total) - F.col("target_share")) < 0.01).alias("at_target"), F.lit(divided).alias("divided_groups"), F.lit(total).alias("samples"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
-    return tokens.encode(table(spark, d, "documents"))
+    return tokens.encode(table(spark, d, "documents")).select("doc_id", "ids")
 
 
 def p8_decoded(spark: SparkSession, d: str) -> DataFrame:
@@ -98,6 +113,15 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.mixture(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
 
 
+def p9_report(spark: SparkSession, d: str) -> DataFrame:
+    """Every source: no more repeats than allowed, and within one in a thousand of its share unless a capped source left its place to it."""
+    shares = p9_shares(spark, d)
+    full = F.when(F.col("capped"), F.lit(1.0)).otherwise(F.lit(0.0))
+    taken, left, whole = shares.agg(F.sum(full * F.col("actual_share")), F.sum(full * F.col("target_share")), F.sum("target_share")).first()
+    due = F.when(F.col("capped"), F.col("actual_share")).otherwise(F.col("target_share") * F.lit((1 - taken) / max(whole - left, 1e-9)))
+    return shares.select("source", (F.col("repeats") <= F.col("max_repeats")).alias("within_repeats"), (F.abs(F.col("actual_share") - due) < 0.001).alias("at_target"))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return p10_findings(spark, d).select("doc_id", "kind", "start_at").distinct()
 
@@ -117,7 +141,7 @@ def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    names = [p1_found, p1_redacted, p2_found, p2_groups, p3_found, p4_found, p4_records, p4_report, p5_found, p5_report, p5_plan, p5_sample, p6_found, p6_pairs, p7_found, p7_splits, p8_ids, p8_decoded, p9_mixture, p9_shares, p10_found, p10_findings, p10_redacted]
+    names = [p1_found, p1_redacted, p2_found, p2_groups, p3_found, p4_found, p4_records, p4_report, p5_found, p5_report, p5_plan, p5_sample, p5_counts, p6_found, p6_pairs, p7_found, p7_splits, p7_report, p8_ids, p8_decoded, p9_mixture, p9_shares, p9_report, p10_found, p10_findings, p10_redacted]
     return {f.__name__: f for f in names}
 
 
@@ -129,6 +153,14 @@ size as (select floor(0.3 * count(*) + 1e-9) as n from samples where quality.pas
 cells as (select q.scenario, q.bucket, q.polarity, count(s.rec_no) as have, greatest(q.target_share * any_value(size.n), q.min_rows) as want from quota_targets q cross join size left join spelled s on s.scenario = q.scenario and s.bucket = q.bucket and s.polarity = q.polarity group by q.scenario, q.bucket, q.polarity, q.target_share, q.min_rows)
 """
 
+# the rule itself: floors first, then the smallest (rank - 0.5) / share, until the sample is full
+_DRAWN = f"""{_CELLS}, ranked as (select s.*, q.target_share, q.min_rows, row_number() over (partition by s.scenario, s.bucket, s.polarity order by md5('11:' || rec_no), rec_no) as rank
+  from spelled s join quota_targets q on s.scenario = q.scenario and s.bucket = q.bucket and s.polarity = q.polarity),
+seated as (select *, (rank - 0.5) / target_share as priority, rank <= min_rows as floor from ranked),
+ordered as (select *, row_number() over (order by floor desc, priority, scenario, bucket, polarity) as place from seated),
+drawn as (select ordered.* from ordered, size where place <= n)
+"""
+
 _FILES = """
 links as (select distinct sample_no as rec_no, nullif(regexp_replace(regexp_replace(coalesce(nullif(file_path, ''), split_part(symbol_id, ':', 1)), '[\\\\/]+', '/', 'g'), '^(\\./)+', ''), '') as file from evidence_refs where sample_no is not null)
 """
@@ -152,6 +184,11 @@ def oracle_sql() -> dict[str, str]:
         "p2_found": _similar_pairs("answer", ""),
         "p4_found": _similar_pairs("context", "and a.split in ('train', 'val', 'test') and b.split in ('train', 'val', 'test') and (a.split = 'train') <> (b.split = 'train')"),
         "p5_found": f"with {_CELLS} select scenario, bucket, polarity from cells where have < want",
+        "p5_sample": f"with {_DRAWN} select rec_no, scenario, bucket, polarity, rank, priority, floor from drawn",
+        "p5_counts": f"with {_DRAWN} select scenario, bucket, polarity, count(*) as records, count(*) filter (floor) as floor_records from drawn group by all",
+        "p7_report": "select split, true as at_target, 0 as divided_groups, (select count(*) from samples) as samples from split_targets",
+        "p8_decoded": "select doc_id, text from documents",
+        "p9_report": "select source, true as within_repeats, true as at_target from mix_targets",
         "p5_report": f"with {_CELLS} select scenario, bucket, polarity, have as pool_records, want as wanted, have < want as short from cells",
         # the smallest rec_no that every sample reaches over shared files
         "p7_found": f"""with recursive {_FILES}, known as (select rec_no, file from links where file is not null),

@@ -5,7 +5,8 @@ shingles among the first m - ceil(t m) + c of one and the first n - ceil(t n) +
 joined with prefixes of the training records; a length filter, a position filter and a bitmap filter (the bits in which two hashed sets
 differ are a lower bound of their symmetric difference) run inside the join, and pairs that met fewer than c times are dropped; where the
 overlap that is needed is below c, it takes its place. None of this loses a pair. Survivors are checked on the texts.
-The order comes from shingle counts over all records, hashed into a table of fixed size: any fixed order is exact, a good one is fast.
+The order comes from shingle counts over all records, hashed into a table that grows with the input up to a fixed size: any fixed order is
+exact, a good one is fast, and the frequent shingles, which it is there to avoid, stand out in a full table too.
 """
 
 from __future__ import annotations
@@ -17,11 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.pairs import verify
+from sievework.llm.pairs import verify, with_representatives
 from sievework.llm.shingles import MIN_INSTRUCTION, MIN_LONG, Normal, blocks, mix
 from sievework.plans.scratch import Scratch
 
-COUNT_BITS = 17
+#: Counters: 2^17 up to a million records, twice as many for four times the records, at most 2^21.
+COUNT_BITS, MOST_COUNT_BITS, COUNTED_RECORDS = 17, 21, 1_000_000
 BITMAP_WORDS = 4
 COMMON = 4
 SIGNED = "rec_no bigint, evaluation boolean, k1 bigint, k2 bigint, n int, bitmap array<bigint>, prefix array<bigint>"
@@ -39,29 +41,36 @@ def _batches(batches):
             yield rec[lo:hi], side[lo:hi], ins[lo:hi], con[lo:hi]
 
 
+def count_bits(records: int) -> int:
+    return min(MOST_COUNT_BITS, COUNT_BITS + max(0, math.ceil(math.log2(max(records, 1) / COUNTED_RECORDS) / 2)))
+
+
 def shingle_counts(samples: DataFrame) -> np.ndarray:
-    """Occurrences of instruction shingles over all records, by the low bits of their hash: 2^17 counters, whatever the input."""
-    mask = np.uint64((1 << COUNT_BITS) - 1)
+    """Occurrences of instruction shingles over all records, by the low bits of their hash."""
+    bits = count_bits(_usable(samples).count())
+    mask = np.uint64((1 << bits) - 1)
 
     def run(batches):
-        total = np.zeros(1 << COUNT_BITS, dtype=np.int64)
+        total = np.zeros(1 << bits, dtype=np.int64)
         for _, _, ins, _ in _batches(batches):
             h, _ = Normal(ins).shingles()
-            total += np.bincount((h & mask).astype(np.int64), minlength=1 << COUNT_BITS)
+            total += np.bincount((h & mask).astype(np.int64), minlength=1 << bits)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["at", "n"])
 
     rows = _usable(samples).mapInArrow(run, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(1 << COUNT_BITS, dtype=np.int64)
+    out = np.zeros(1 << bits, dtype=np.int64)
     out[rows["at"].to_numpy()] = rows["n"].to_numpy()
     return out
 
 
 def _prefixes(samples: DataFrame, counts: np.ndarray, threshold: float) -> DataFrame:
-    order = np.argsort(np.argsort(counts, kind="stable"), kind="stable").astype(np.uint64)
-    mask = np.uint64((1 << COUNT_BITS) - 1)
+    bits = len(counts).bit_length() - 1
+    ranks = samples.sparkSession.sparkContext.broadcast(np.argsort(np.argsort(counts, kind="stable"), kind="stable").astype(np.uint64))
+    mask = np.uint64((1 << bits) - 1)
 
     def run(batches):
+        order = ranks.value
         for rec, side, ins, con in _batches(batches):
             a, b = Normal(ins), Normal(con)
             ok = np.flatnonzero((a.lengths >= MIN_INSTRUCTION) & (b.lengths >= MIN_LONG))
@@ -73,7 +82,7 @@ def _prefixes(samples: DataFrame, counts: np.ndarray, threshold: float) -> DataF
             for i in ok:
                 own = np.unique(h[ends[i] - sizes[i] : ends[i]])
                 keep = len(own) - math.ceil(threshold * len(own) - 1e-9) + COMMON
-                rank = (order[(own & mask).astype(np.int64)] << np.uint64(64 - COUNT_BITS)) | (own >> np.uint64(COUNT_BITS))
+                rank = (order[(own & mask).astype(np.int64)] << np.uint64(64 - bits)) | (own >> np.uint64(bits))
                 prefix.append(own[np.argsort(rank)[:keep]].astype(np.int64))
                 bits = np.zeros(64 * BITMAP_WORDS, dtype=np.uint8)
                 bits[(own >> np.uint64(40)) % np.uint64(64 * BITMAP_WORDS)] = 1
@@ -109,8 +118,7 @@ def overlap_links(samples: DataFrame, threshold: float = 0.6, scratch: Scratch |
     """
     scratch = scratch or Scratch(samples.sparkSession, "split-overlap")
     signed = scratch.write(_prefixes(samples, shingle_counts(samples), threshold), "prefixes")
-    reps = signed.groupBy("evaluation", "k1", "k2").agg(F.min("rec_no").alias("rep"))
-    members = scratch.write(signed.select("rec_no", "evaluation", "k1", "k2").join(reps, ["evaluation", "k1", "k2"]).select("rec_no", "evaluation", "rep"), "members")
+    members = scratch.write(with_representatives(signed, ["evaluation", "k1", "k2"], ["evaluation"]), "members")
     chosen = signed.join(members.where("rec_no = rep").select("rec_no").distinct(), "rec_no", "left_semi").dropDuplicates(["rec_no"])
     posts = chosen.select(F.col("rec_no").alias("rep"), "evaluation", "n", *[F.col("bitmap")[i].alias(f"b{i}") for i in range(BITMAP_WORDS)], F.posexplode("prefix").alias("pos", "token"))
     x, y = posts.where("not evaluation").alias("x"), posts.where("evaluation").alias("y")

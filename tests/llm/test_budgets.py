@@ -126,12 +126,24 @@ def test_encoding_equals_the_library_and_decodes(spark):
     got = {r.doc_id: r.ids for r in tokens.encode(df).collect()}
     assert got == {i: t.encode(x or "", add_special_tokens=False).ids for i, x in enumerate(TEXTS * 2)}
     back = {r.doc_id: r.text for r in tokens.decode(tokens.encode(df)).collect()}
-    assert back == {i: x or "" for i, x in enumerate(TEXTS * 2)}
+    assert back == dict(enumerate(TEXTS * 2))
     odd = spark.createDataFrame([(1, [0, None, 99_999_999, -1, 1]), (2, None), (3, [222])], "doc_id bigint, ids array<int>")
-    assert {r.doc_id: r.text for r in tokens.decode(odd).collect()} == {1: '!"', 2: "", 3: "\ufffd"}
+    assert {r.doc_id: r.text for r in tokens.decode(odd).collect()} == {1: '!"', 2: None, 3: "\ufffd"}
     assert tokens.encode(df.limit(0)).count() == 0
 
 
+def test_chunks_and_common_words(spark, monkeypatch):
+    monkeypatch.setattr(tokens, "CHUNK_BYTES", 100)
+    monkeypatch.setattr(tokens, "COMMON", 8)
+    texts = ["the end of the line", "", None, "the " * 200, "x" * 90 + " the", "rare words only here"] * 7
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(2)
+    coded = tokens.encode(df)
+    plain = tokens._encoder(tokens.ranks())
+    words = lambda t: __import__("regex").findall(tokens.WORDS.replace("IsWhite_Space", "White_Space"), t or "")
+    assert {r.doc_id: r.ids for r in coded.collect()} == {i: [x for w in words(t) for x in plain.encode_ordinary(w)] for i, t in enumerate(texts)}
+    assert {r.doc_id: r.text for r in tokens.decode(coded).collect()} == dict(enumerate(texts))
+
+
 # --- mixtures
 
 
