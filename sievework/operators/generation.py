@@ -17,9 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievework.functions.paths import question_id, sample_id
+from sievework.functions.layers import JAVA, LanguageProfile
+from sievework.functions.paths import question_id, sample_id, slashes
 from sievework.functions.text import fill, model_json
+from sievework.operators.lookup import unprocessed
+from sievework.operators.retrieval import context, retrieve_all, top_methods
 from sievework.operators.sampling import maybe, one_of, uniform
+from sievework.plans.scratch import Scratch
 
 Model = Callable[[list[str]], list[str | None]]
 ModelFactory = Callable[[], Model]
@@ -164,6 +168,62 @@ def designs(goals: DataFrame, pool: Column, gate: bool = True, writer: Writer =
     return good.withColumn("evidence_refs", refs), bad
 
 
+# --- drivers: what is written from what, and where a run goes on
+
+
+def understand(symbols: DataFrame, done: DataFrame | None = None, most: int = 1000, writer: Writer = PROFILE) -> tuple[DataFrame, DataFrame]:
+    """(profiles, rejected): the methods most worth a profile, less those that are ``done`` (symbol_id), with summary and tags.
+
+    The best ``most`` are chosen first and the done ones taken out of them, so a run that is resumed writes what the first one left.
+    """
+    chosen = top_methods(symbols, most)
+    good, bad = profiles(unprocessed(chosen, done) if done is not None else chosen, writer)
+    first = F.array(F.struct(slashes(F.col("symbol_id")).alias("symbol_id"), slashes(F.col("file_path")).alias("file_path"), "start_line", "end_line", "source_hash"))
+    return good.withColumn("evidence_refs", first), bad
+
+
+def chosen_symbols(asked: DataFrame, symbols: DataFrame, k: int = 6, vectors: DataFrame | None = None, profile: LanguageProfile = JAVA, order: str = "rec_no", **options) -> DataFrame:
+    """(query, order, place, how): the symbols that each question of (query, text, evidence_refs) is answered from.
+
+    The symbols that its own references name, in their order, all rows of an id (how: direct); for questions without such, what retrieval
+    finds.
+    """
+    scratch = Scratch(asked.sparkSession, "context")
+    ids = asked.select("query", F.explode("evidence_refs").alias("r")).select("query", slashes(F.col("r.symbol_id")).alias("sid")).where("sid is not null").distinct()
+    hits = symbols.select(order, slashes(F.col("symbol_id")).alias("sid")).join(ids, "sid").select("query", order)
+    direct = scratch.write(hits.select("query", order, F.col(order).alias("place"), F.lit("direct").alias("how")), "direct")
+    columns = ["query", "text", *[c for c in asked.columns if c == "vec"]]
+    rest = scratch.write(asked.select(*columns).join(direct, "query", "left_anti"), "rest")
+    found = retrieve_all(symbols, rest, k, vectors, profile, order=order, **options)
+    return direct.unionByName(found.select("query", order, F.col("place").cast("bigint").alias("place"), "how"))
+
+
+def answer_all(asked: DataFrame, symbols: DataFrame, done: DataFrame | None = None, writer: Writer = ANSWER, order: str = "rec_no", **options) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(samples, rejected, statistics) of the questions (query, question, repo_commit, evidence_refs, and negative_type if there is one).
+
+    Questions whose ``query`` is in ``done`` are left out. Context and references of a sample are those of its chosen symbols; statistics
+    count questions and symbols by how they were found, and samples that ask for something wrong.
+    """
+    todo = asked.join(done.select("query").where("query is not null").distinct(), "query", "left_anti") if done is not None else asked
+    scratch = Scratch(asked.sparkSession, "answers")
+    chosen = scratch.write(chosen_symbols(todo.withColumn("text", F.col("question")), symbols, order=order, **options), "chosen")
+    ref = F.struct(slashes(F.col("symbol_id")).alias("symbol_id"), slashes(F.col("file_path")).alias("file_path"), "start_line", "end_line", "source_hash")
+    refs = chosen.join(symbols.select(order, ref.alias("ref")), order).groupBy("query").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", order, "ref"))), lambda r: r["ref"]).alias("evidence_refs"))
+    shown = context(chosen, symbols, "query", order).withColumnRenamed("context", "_shown")
+    rows = todo.drop("evidence_refs").join(refs, "query", "left").join(shown, "query", "left")
+    good, bad = answers(rows, F.col("_shown"), writer)
+    return good, bad, retrieval_statistics(todo, chosen)
+
+
+def retrieval_statistics(asked: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(measure, n): questions and symbols by how they were found, and positive and negative questions."""
+    negative = F.col("negative_type").isNotNull() if "negative_type" in asked.columns else F.lit(False)
+    by = chosen.groupBy("how").agg(F.count_distinct("query").alias("questions"), F.count(F.lit(1)).alias("symbols"))
+    stacked = by.select(F.explode(F.array(F.struct(F.concat(F.lit("questions_"), "how").alias("measure"), F.col("questions").alias("n")), F.struct(F.concat(F.lit("symbols_"), "how").alias("measure"), F.col("symbols").alias("n")))).alias("x")).select("x.*")
+    signs = asked.groupBy(F.when(negative, "negative_samples").otherwise("positive_samples").alias("measure")).agg(F.count(F.lit(1)).alias("n"))
+    return stacked.unionByName(signs)
+
+
 def warnings_report(rejected: DataFrame) -> DataFrame:
     """(error, n): why replies were rejected."""
     return rejected.groupBy(F.coalesce("error", F.lit("not a JSON object")).alias("error")).agg(F.count(F.lit(1)).alias("n"))

@@ -15,7 +15,8 @@ from sievework.functions.paths import slashes
 from sievework.functions.similarity import cosine
 from sievework.functions.text import query_tokens
 from sievework.operators.dedup import unit_vectors
-from sievework.operators.lookup import expand_calls
+from sievework.operators.lookup import calls
+from sievework.plans.scratch import Scratch
 
 
 def nearest(vectors: DataFrame, query: list[float], k: int, order: str = "row", digits: int = 6) -> DataFrame:
@@ -42,9 +43,37 @@ def nearest_all(vectors: DataFrame, queries: DataFrame, k: int, most_bytes: int
             part = named.where((F.col("dim") == dim) & (F.pmod(F.xxhash64("query"), F.lit(blocks)) == i)).select("query", "vec").toArrow()
             ids, units = unit_vectors(part["query"].combine_chunks(), part["vec"].combine_chunks(), dim)
             if len(ids):
-                found.append(rows.mapInArrow(_best(spark.sparkContext.broadcast((ids, units)), dim, k, digits), "query bigint, row bigint, score double"))
+                found.append(rows.mapInArrow(_best(spark.sparkContext.broadcast((ids, units)), dim, k, digits), FOUND))
     if not found:
         return spark.createDataFrame([], "query bigint, rank int, row bigint, score double")
+    return _ranked(found, k)
+
+
+class _Top:
+    """The k largest scores of each query so far, of equal ones those with the smaller row."""
+
+    def __init__(self, ids: np.ndarray, k: int):
+        self.ids, self.k = ids, k
+        self.scores, self.rows = np.full((len(ids), k), -np.inf), np.full((len(ids), k), np.iinfo(np.int64).max)
+
+    def update(self, lo: int, scores: np.ndarray, rows: np.ndarray) -> None:
+        """scores: queries from ``lo`` on x rows; minus infinity never counts."""
+        for i in np.flatnonzero(((scores >= self.scores[lo : lo + len(scores), -1:]) & (scores > -np.inf)).any(axis=1)):
+            new = (scores[i] >= self.scores[lo + i, -1]) & (scores[i] > -np.inf)
+            s, r = np.concatenate([self.scores[lo + i], scores[i][new]]), np.concatenate([self.rows[lo + i], rows[new]])
+            order = np.lexsort((r, -s))[: self.k]
+            self.scores[lo + i], self.rows[lo + i] = s[order], r[order]
+
+    def batch(self) -> pa.RecordBatch:
+        i, j = np.nonzero(self.scores > -np.inf)
+        return pa.RecordBatch.from_arrays([pa.array(self.ids[i]), pa.array(self.rows[i, j]), pa.array(self.scores[i, j])], ["query", "row", "score"])
+
+
+FOUND = "query bigint, row bigint, score double"
+
+
+def _ranked(found: list[DataFrame], k: int) -> DataFrame:
+    """The k best of what the tasks have found; of every partition only k rows a query are shuffled."""
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "row"))
     return reduce(DataFrame.unionByName, found).withColumn("rank", place).where(F.col("rank") <= k).select("query", "rank", "row", "score")
 
@@ -54,22 +83,56 @@ def _best(block, dim: int, k: int, digits: int):
 
     def run(batches):
         ids, q = block.value
-        top_s, top_r = np.full((len(ids), k), -np.inf), np.full((len(ids), k), np.iinfo(np.int64).max)
+        top = _Top(ids, k)
         for batch in batches:
             at, v = unit_vectors(batch.column(0), batch.column(1), dim)
             for lo in range(0, len(ids), 512):
-                s = np.round(q[lo : lo + 512] @ v.T, digits) + 0.0
-                for i in np.flatnonzero((s >= top_s[lo : lo + 512, -1:]).any(axis=1)):
-                    new = s[i] >= top_s[lo + i, -1]
-                    scores, rows = np.concatenate([top_s[lo + i], s[i][new]]), np.concatenate([top_r[lo + i], at[new]])
-                    order = np.lexsort((rows, -scores))[:k]
-                    top_s[lo + i], top_r[lo + i] = scores[order], rows[order]
-        i, j = np.nonzero(top_s > -np.inf)
-        yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(top_r[i, j]), pa.array(top_s[i, j])], ["query", "row", "score"])
+                top.update(lo, np.round(q[lo : lo + 512] @ v.T, digits) + 0.0, at)
+        yield top.batch()
 
     return run
 
 
+def keyword_all(symbols: DataFrame, queries: DataFrame, k: int, profile: LanguageProfile | None = None, order: str = "rec_no", least: float = 0.0, most_bytes: int = 16 << 20) -> DataFrame:
+    """(query, rank, row, score): for each (query, text) the k symbols with the largest keyword score above ``least``, of equals the first.
+
+    As ``nearest_all``: queries go to all tasks in bounded blocks, symbols are streamed where they are. Each word is looked for once a
+    symbol, however many queries have it.
+    """
+    spark = symbols.sparkSession
+    weights = (profile.name_weight, profile.path_weight, profile.source_weight) if profile else (10.0, 5.0, 1.0)
+    keywords = profile.keywords if profile else ()
+    named = queries.select(F.col("query").cast("bigint").alias("query"), query_tokens(F.col("text")).alias("tokens")).where("query is not null")
+    size = named.agg(F.coalesce(F.sum(F.length(F.array_join("tokens", "")) + 8 * F.size("tokens") + 16), F.lit(0))).first()[0]
+    blocks = max(1, math.ceil(size / most_bytes))
+    columns = symbols.select(F.col(order).cast("bigint"), *[F.lower(F.coalesce(c, F.lit(""))) for c in ("qualified_name", "file_path", "source")])
+    found = []
+    for i in range(blocks):
+        block = spark.sparkContext.broadcast([(r.query, r.tokens) for r in named.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == i).collect()])
+
+        def run(batches, block=block):
+            ids = np.array([q for q, _ in block.value], dtype=np.int64)
+            words = sorted({t for _, ts in block.value for t in ts})
+            at = {t: j for j, t in enumerate(words)}
+            asked = np.zeros((len(ids), len(words)))
+            for j, (_, ts) in enumerate(block.value):
+                asked[j, [at[t] for t in ts]] = 1
+            some = asked.any(axis=1)
+            top = _Top(ids, k)
+            for batch in batches:
+                rows = batch.column(0).to_numpy(zero_copy_only=False)
+                for lo in range(0, batch.num_rows, 256):
+                    texts = list(zip(*(batch.column(c).slice(lo, 256).to_pylist() for c in (1, 2, 3))))
+                    worth = np.array([[weights[0] if t in n else weights[1] if t in p else weights[2] if t in s else 0.0 for t in words] for n, p, s in texts]).reshape(len(texts), len(words))
+                    bonus = np.array([float(sum(w in n for w in keywords)) for n, _, _ in texts])
+                    scores = asked @ worth.T + bonus * some[:, None]
+                    top.update(0, np.where(scores > least, scores, -np.inf), rows[lo : lo + 256])
+            yield top.batch()
+
+        found.append(columns.mapInArrow(run, FOUND))
+    return _ranked(found, k)
+
+
 def keyword_top(symbols: DataFrame, query: Column | str, k: int, profile: LanguageProfile | None = None, order: str = "rec_no") -> DataFrame:
     """The k symbols with the largest keyword score above 0, of equals the first by ``order``."""
     tokens = query_tokens(F.lit(query) if isinstance(query, str) else query)
@@ -87,40 +150,80 @@ def with_layer(symbols: DataFrame, profile: LanguageProfile = JAVA) -> DataFrame
     return symbols.withColumn("layer", layer(profile, F.col("annotations"), F.col("name"), F.col("qualified_name"), F.col("file_path")))
 
 
-def balanced(selected: DataFrame, symbols: DataFrame, query: str, profile: LanguageProfile = JAVA, order: str = "rec_no") -> DataFrame:
-    """(order): for every layer without a selected symbol, the symbol of that layer that fits the query best, or its first if none does."""
-    tokens = query_tokens(F.lit(query))
+def balanced(selected: DataFrame, symbols: DataFrame, queries: DataFrame, profile: LanguageProfile = JAVA, order: str = "rec_no") -> DataFrame:
+    """(query, order): for every query of (query, text) and every layer without a symbol selected for it, in (query, order), the symbol of
+    that layer that fits the query best, or its first if none does."""
     layered = with_layer(symbols, profile).where("layer is not null")
-    there = layered.join(selected.select(order).distinct(), order, "left_semi").select("layer").distinct()
-    missing = layered.join(there, "layer", "left_anti").withColumn("score", keyword_score(tokens, F.col("qualified_name"), F.col("file_path"), F.col("source"), profile))
-    best = missing.groupBy("layer").agg(F.min(F.struct((-F.greatest("score", F.lit(0.0))).alias("neg"), F.col(order).alias("r"))).alias("b"))
-    return best.select(F.col("b.r").alias(order))
-
-
-def retrieve(symbols: DataFrame, query: str, k: int = 6, vectors: DataFrame | None = None, query_vector: list[float] | None = None, profile: LanguageProfile = JAVA, max_depth: int = 1, max_expansion: int = 20, order: str = "rec_no") -> DataFrame:
-    """(order, place, how): the symbols for a query, best first.
-
-    By vector where there are vectors (of symbol_id, vec, row), else by keyword, else the first k; then what they call, then one symbol of
-    every layer that is missing. A symbol is returned once, under the first reason.
+    there = selected.join(layered.select(order, "layer"), order).select("query", "layer").distinct()
+    parts = []
+    for name in profile.layers:
+        open_ = queries.join(there.where(F.col("layer") == name), "query", "left_anti")
+        parts.append(keyword_all(layered.where(F.col("layer") == name), open_, 1, profile, order, -1.0).select("query", F.col("row").alias(order)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def called_by(base: DataFrame, symbols: DataFrame, max_depth: int, most: int, scratch: Scratch, order: str = "rec_no") -> DataFrame:
+    """(query, order, depth): what the symbols selected for each query, in (query, order), call: nearest first and then by ``order``, at most
+    ``most`` for a query, none that is selected. A symbol is known by its symbol_id, so of repeated rows the first counts."""
+    first = symbols.groupBy("symbol_id").agg(F.min(order).alias(order)).select(order)
+    methods = symbols.where("symbol_type = 'method' and name is not null").select(order, "name").join(first, order, "left_semi")
+    # of a common name no more methods can count than are wanted and are known already
+    known = base.groupBy("query").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    place = F.row_number().over(Window.partitionBy("name").orderBy(order))
+    named = scratch.write(methods.withColumn("_place", place).where(F.col("_place") <= known + most * max_depth).drop("_place"), "methods")
+    front, seen = base.select("query", order), base.select("query", order, F.lit(0).alias("depth"))
+    for d in range(1, max_depth + 1):
+        callers = symbols.select(order, "source").join(front, order, "left_semi").join(first, order, "left_semi")
+        names = calls(callers, order).select(F.col("caller").alias(order), "name")
+        step = front.join(names, order).select("query", "name").distinct().join(named, "name").select("query", order).distinct()
+        new = step.join(seen.select("query", order), ["query", order], "left_anti").withColumn("depth", F.lit(d))
+        front = scratch.write(new, "front")
+        seen = seen.unionByName(front)
+    rank = F.row_number().over(Window.partitionBy("query").orderBy("depth", order))
+    return seen.where("depth > 0").withColumn("_rank", rank).where(F.col("_rank") <= most).drop("_rank")
+
+
+def retrieve_all(symbols: DataFrame, queries: DataFrame, k: int = 6, vectors: DataFrame | None = None, profile: LanguageProfile = JAVA, max_depth: int = 1, max_expansion: int = 20, order: str = "rec_no") -> DataFrame:
+    """(query, order, place, how): the symbols for each query of (query, text), best first.
+
+    By vector where there are vectors (of symbol_id, vec, row) and the queries have one (vec), else by keyword, else the first k; then what
+    they call, then one symbol of every layer that is missing. A symbol is returned once, under the first reason.
     """
-    if vectors is not None and query_vector is not None:
-        ids = nearest(vectors, query_vector, k).select(slashes(F.col("symbol_id")).alias("sid"), "score", "row")
-        hits = symbols.withColumn("sid", slashes(F.col("symbol_id"))).join(ids, "sid").groupBy("sid").agg(F.min(order).alias(order), F.max("score").alias("score"), F.min("row").alias("row"))
-        base = hits.select(order, (-F.col("score")).alias("sort"), F.col("row").alias("tie"), F.lit("vector").alias("how"))
+    scratch = Scratch(symbols.sparkSession, "retrieval")
+    if vectors is not None and "vec" in queries.columns:
+        near = nearest_all(vectors, queries.select("query", "vec"), k)
+        named = near.join(vectors.select("row", slashes(F.col("symbol_id")).alias("sid")), "row")
+        known = symbols.groupBy(slashes(F.col("symbol_id")).alias("sid")).agg(F.min(order).alias(order))
+        hits = named.join(known, "sid").groupBy("query", order).agg(F.max("score").alias("score"), F.min("row").alias("tie")).withColumn("how", F.lit("vector"))
     else:
-        hits = keyword_top(symbols, query, k, profile, order)
-        if hits.isEmpty():
-            base = symbols.orderBy(order).limit(k).select(order, F.lit(0.0).alias("sort"), F.col(order).alias("tie"), F.lit("first").alias("how"))
-        else:
-            base = hits.select(order, (-F.col("score")).alias("sort"), F.col(order).alias("tie"), F.lit("keyword").alias("how"))
-    called = expand_calls(base.select(order), symbols, max_depth, max_expansion, order).select(order, F.col("depth").cast("double").alias("sort"), F.col(order).alias("tie"), F.lit("call").alias("how"))
-    so_far = base.select(order).unionByName(called.select(order))
-    extra = balanced(so_far, symbols, query, profile, order).select(order, F.lit(0.0).alias("sort"), F.col(order).alias("tie"), F.lit("layer").alias("how"))
+        hits = keyword_all(symbols, queries, k, profile, order).select("query", F.col("row").alias(order), "score", F.col("row").alias("tie"), F.lit("keyword").alias("how"))
+    base = scratch.write(hits.select("query", order, (-F.col("score")).alias("sort"), "tie", "how"), "hits")
+    if "vec" not in queries.columns or vectors is None:
+        some = [r[0] for r in symbols.orderBy(order).limit(k).select(order).collect()]
+        rest = queries.select("query").join(base, "query", "left_anti")
+        plain = rest.select("query", F.explode(F.array(*map(F.lit, some)).cast("array<bigint>")).alias(order))
+        base = scratch.write(base.unionByName(plain.select("query", order, F.lit(0.0).alias("sort"), F.col(order).alias("tie"), F.lit("first").alias("how"))), "base")
+    chosen = base.select("query", order)
+    parts = [base]
+    if max_depth > 0 and max_expansion > 0:
+        called = scratch.write(called_by(chosen, symbols, max_depth, max_expansion, scratch, order), "called")
+        chosen = chosen.unionByName(called.select("query", order))
+        parts.append(called.select("query", order, F.col("depth").cast("double").alias("sort"), F.col(order).alias("tie"), F.lit("call").alias("how")))
+    extra = balanced(chosen, symbols, queries.select("query", "text"), profile, order)
+    parts.append(extra.select("query", order, F.lit(0.0).alias("sort"), F.col(order).alias("tie"), F.lit("layer").alias("how")))
     stage = F.when(F.col("how") == "call", 1).when(F.col("how") == "layer", 2).otherwise(0)
-    every = base.unionByName(called).unionByName(extra).withColumn("stage", stage)
-    once = every.groupBy(order).agg(F.min(F.struct("stage", "sort", "tie", "how")).alias("m")).select(order, "m.*")
-    # at most k + max_expansion rows and one for each layer, so one task may order them
-    return once.withColumn("place", F.row_number().over(Window.orderBy("stage", "sort", "tie", order))).select(order, "place", "how")
+    every = reduce(DataFrame.unionByName, parts).withColumn("stage", stage)
+    once = every.groupBy("query", order).agg(F.min(F.struct("stage", "sort", "tie", "how")).alias("m")).select("query", order, "m.*")
+    # a query has at most k + max_expansion symbols and one for each layer
+    return once.withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy("stage", "sort", "tie", order))).select("query", order, "place", "how")
+
+
+def retrieve(symbols: DataFrame, query: str, k: int = 6, vectors: DataFrame | None = None, query_vector: list[float] | None = None, profile: LanguageProfile = JAVA, max_depth: int = 1, max_expansion: int = 20, order: str = "rec_no") -> DataFrame:
+    """(order, place, how): ``retrieve_all`` for one query."""
+    one = symbols.sparkSession.createDataFrame([(0, query, query_vector)], "query bigint, text string, vec array<double>")
+    if query_vector is None:
+        one = one.drop("vec")
+    return retrieve_all(symbols, one, k, vectors, profile, max_depth, max_expansion, order).drop("query")
 
 
 def context(chosen: DataFrame, symbols: DataFrame, group: str | None = None, order: str = "rec_no") -> DataFrame:
