@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions.similarity import hamming, simhash
 from sievework.operators.lookup import numbered
+from sievework.operators.ranking import bounded_sample
 from sievework.plans.scratch import Scratch
 
 #: Vectors in a block; two blocks are multiplied at once.
@@ -160,8 +161,9 @@ def vector_batch(columns: list[np.ndarray], names: list[str], units: np.ndarray)
 
 
 def centres_of(vectors: DataFrame, rows: int, seed: int) -> np.ndarray:
-    """About sqrt(rows) unit vectors far from each other, at most CELLS, from a sample of at most CENTRE_SAMPLE rows."""
-    picked = vectors.where("vec is not null and row is not null").orderBy(F.xxhash64(F.lit(seed), "row")).limit(CENTRE_SAMPLE).select(F.col("row").cast("bigint"), "vec").toArrow()
+    """About sqrt(rows) unit vectors far from each other, at most CELLS, from a sample of about CENTRE_SAMPLE rows."""
+    named = vectors.select(F.col("row").cast("bigint").alias("row"), "vec").where("vec is not null and row is not null")
+    picked = bounded_sample(named, CENTRE_SAMPLE, ["row"], seed).toArrow().sort_by("row")
     sizes = [n for n in pc.list_value_length(picked["vec"]).to_pylist() if n]
     if not sizes:
         return np.zeros((0, 0))

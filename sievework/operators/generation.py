@@ -152,12 +152,14 @@ def negative_rule(kind: Column, rules: dict[str, str] | None = None) -> Column:
     return out.otherwise(F.lit(""))
 
 
-def answers(asked: DataFrame, context: Column, writer: Writer = ANSWER) -> tuple[DataFrame, DataFrame]:
-    """Samples with their sample_id, from rows with question, repo_commit and the references that the context is made of (evidence_refs)."""
+def answers(asked: DataFrame, context: Column, writer: Writer = ANSWER, scenario: str = "qa_rule") -> tuple[DataFrame, DataFrame]:
+    """Samples with their sample_id, from rows with question, repo_commit and the references that the context is made of (evidence_refs);
+    the column query stays if there is one."""
     good, bad = writer.write(asked.withColumn("context", context), context=F.col("context"), question=F.col("question"), negative=negative_rule(F.col("negative_type")) if "negative_type" in asked.columns else F.lit(""))
     thought = F.struct(F.coalesce("observations", F.array()).alias("observations"), F.coalesce("inferences", F.array()).alias("inferences"), F.array().cast("array<string>").alias("assumptions"), F.col("evidence_refs"))
-    scenario = F.lit("qa_rule")
-    return good.select(sample_id(scenario, F.col("question"), F.col("context")).alias("sample_id"), scenario.alias("scenario"), F.col("question").alias("instruction"), "context", thought.alias("thought"), "answer", "repo_commit"), bad
+    kind = F.lit(scenario)
+    kept = [c for c in asked.columns if c == "query"]
+    return good.select(*kept, sample_id(kind, F.col("question"), F.col("context")).alias("sample_id"), kind.alias("scenario"), F.col("question").alias("instruction"), "context", thought.alias("thought"), "answer", "repo_commit"), bad
 
 
 def designs(goals: DataFrame, pool: Column, gate: bool = True, writer: Writer = DESIGN) -> tuple[DataFrame, DataFrame]:
@@ -198,7 +200,7 @@ def chosen_symbols(asked: DataFrame, symbols: DataFrame, k: int = 6, vectors: Da
     return direct.unionByName(found.select("query", order, F.col("place").cast("bigint").alias("place"), "how"))
 
 
-def answer_all(asked: DataFrame, symbols: DataFrame, done: DataFrame | None = None, writer: Writer = ANSWER, order: str = "rec_no", **options) -> tuple[DataFrame, DataFrame, DataFrame]:
+def answer_all(asked: DataFrame, symbols: DataFrame, done: DataFrame | None = None, writer: Writer = ANSWER, order: str = "rec_no", scenario: str = "qa_rule", **options) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(samples, rejected, statistics) of the questions (query, question, repo_commit, evidence_refs, and negative_type if there is one).
 
     Questions whose ``query`` is in ``done`` are left out. Context and references of a sample are those of its chosen symbols; statistics
@@ -211,7 +213,7 @@ def answer_all(asked: DataFrame, symbols: DataFrame, done: DataFrame | None = No
     refs = chosen.join(symbols.select(order, ref.alias("ref")), order).groupBy("query").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", order, "ref"))), lambda r: r["ref"]).alias("evidence_refs"))
     shown = context(chosen, symbols, "query", order).withColumnRenamed("context", "_shown")
     rows = todo.drop("evidence_refs").join(refs, "query", "left").join(shown, "query", "left")
-    good, bad = answers(rows, F.col("_shown"), writer)
+    good, bad = answers(rows, F.col("_shown"), writer, scenario)
     return good, bad, retrieval_statistics(todo, chosen)
 
 

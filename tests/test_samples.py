@@ -458,12 +458,34 @@ def test_pipeline_records_failures(spark):
 
 def test_curation_end_to_end(spark, data, tmp_path):
     tables = {n: spark.read.parquet(f"{data}/{n}.parquet") for n in ("samples", "symbols")}
-    out = pipeline.run(spark, pipeline.curation(), tables, {"targets": None}, lambda df, n: records.write_version(df, str(tmp_path / n)))
+    out = pipeline.run(spark, pipeline.curation(), tables, {"targets": None, "skip_llm": True}, lambda df, n: records.write_version(df, str(tmp_path / n)))
+    begun = ("parse", "method_understanding", "question_answer", "design")
+    assert {s["step"]: s["status"] for s in out.summary} == {s.name: "skipped" if s.name in begun else "success" for s in pipeline.curation()}, out.summary
+    assert out.tables["chat"].count() == out.tables["safe"].count() > 0
+    assert set(out.tables) >= {"qa_question_types", "design_question_types", "qa_rejected", "dedup_mapping"}
+
+
+def test_curation_from_files(spark, tmp_path):
+    files = spark.createDataFrame([("m/Outer.java", bytearray(JAVA_SOURCE.encode())), ("m/a.py", bytearray(PYTHON_SOURCE.encode()))], "path string, content binary")
+    goals = spark.createDataFrame([("DQ-1", "How should Outer be split?")], "id string, goal string")
+    rules = validation.QualityRules(min_answer=5)
+    out = pipeline.run(spark, pipeline.curation(), {"files": files, "design_questions": goals}, {"quality": rules}, lambda df, n: records.write_version(df, str(tmp_path / n)))
     assert {s["status"] for s in out.summary} == {"success"}, out.summary
-    clean, safe = out.tables["clean"].count(), out.tables["safe"].count()
-    assert 0 < safe <= clean and out.tables["splits"].count() == safe == out.tables["chat"].count()
-    assert clean + out.tables["rejected"].count() == tables["samples"].count()
-
+    assert out.tables["profiles"].count() == 6 and out.tables["qa_raw"].count() == 6 and out.tables["design_raw"].count() == 1
+    assert {r.measure: r.n for r in out.tables["retrieval_statistics"].collect()} == {"questions_direct": 6, "symbols_direct": 6, "positive_samples": 6}
+    assert out.tables["qa_raw"].where("size(thought.evidence_refs) = 1 and context like '// File:%'").count() == 6
+    assert out.tables["design_raw"].first().scenario == "arch_design" and out.tables["chat"].count() > 0
+
+
+def test_merge_keeps_to_the_gate(spark, data):
+    samples = spark.read.parquet(f"{data}/samples.parquet").select("rec_no", "scenario", "instruction", "answer").limit(5)
+    steps = [s for s in pipeline.curation() if s.name in ("merge",)]
+    run = lambda tables, **c: pipeline.run(spark, steps, tables, c)
+    assert "gate" in run({"design_raw": samples}).summary[0]["error"] and run({"qa_raw": samples}).status("merge") == "failed"
+    assert run({"qa_raw": samples, "design_clean": samples}).tables["merged"].count() == samples.count()
+    assert run({"qa_raw": samples, "design_raw": samples}, quality_mode="report").tables["merged"].count() == 2 * samples.count()
+    assert run({"qa_raw": samples}, quality_mode="report", allow_fallback=False).status("merge") == "failed"
+    assert run({"qa_raw": samples, "qa_clean": samples.limit(0)}, write_clean=False).tables["merged"].count() == samples.count()
 
 def test_stream_resumes(spark, tmp_path):
     src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
