@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from sievework.llm.language import LANGUAGES, LanguageModel, fit
 from sievework.llm.shingles import Normal, blocks
+from sievework.operators.ranking import bounded_sample
 
 DEFECTS = ("empty", "truncated", "refusal", "copied", "other_language")
 FENCE = re.compile(r"```.*?(?:```|\Z)", re.S)
@@ -225,11 +226,12 @@ LABELLED_ROWS, LABELLED_CHARS = 2000, 4000
 
 
 def language_model(labelled: DataFrame | None) -> LanguageModel:
-    """Fitted on a bounded sample of (text, lang), in the order of a hash of the text; on the seed texts alone where there is none."""
+    """Fitted on a bounded sample of (text, lang); on the seed texts alone where there is none."""
     if labelled is None:
         return fit([])
-    some = labelled.where("text is not null and lang is not null").select(F.substring("text", 1, LABELLED_CHARS).alias("text"), "lang", F.xxhash64("text").alias("h"))
-    return fit([(r.text, r.lang) for r in some.orderBy("h", "lang").limit(LABELLED_ROWS).collect()])
+    keys = [c for c in ("doc_id", "text", "lang") if c in labelled.columns]
+    some = bounded_sample(labelled.where("text is not null and lang is not null").select(*keys), LABELLED_ROWS, keys)
+    return fit([tuple(r) for r in some.select(F.substring("text", 1, LABELLED_CHARS), "lang").collect()])
 
 
 def defects(samples: DataFrame, labelled: DataFrame | None = None, margin: float = 4.0, least_letters: int = 8, least_end: float = -4.6, copied: float = 0.85) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from sievework.llm.language import SEEDS
 from sievework.llm.pseudonym import Feistel, parse_day, pseudonym_cn_id, pseudonym_digits, pseudonym_id, valid_cn_id
+from sievework.operators.ranking import bounded_sample
 
 KINDS = ("name", "email", "phone", "id_number", "address")
 #: Signs with a full-width form, mapped one to one so that positions stay.
@@ -227,9 +228,9 @@ def learned(texts: Iterable[str | None], stock: NameStock) -> ContextModel:
 
 
 def with_context(stock: NameStock, documents: DataFrame) -> NameStock:
-    """The stock with a model of context learned from a bounded sample of the documents, in the order of a hash of their ids."""
-    some = documents.where("text is not null").select(F.substring("text", 1, TRAIN_CHARS).alias("text"), F.xxhash64("doc_id", "text").alias("h"))
-    stock.context = learned([r.text for r in some.orderBy("h").limit(TRAIN_DOCUMENTS).collect()], stock)
+    """The stock with a model of context learned from a bounded sample of the documents."""
+    some = bounded_sample(documents.where("text is not null").select("doc_id", "text"), TRAIN_DOCUMENTS, ["doc_id", "text"])
+    stock.context = learned([r[0] for r in some.select(F.substring("text", 1, TRAIN_CHARS)).collect()], stock)
     return stock
 
 
