@@ -2,36 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.functions import coverage, layers, paths, safety, similarity, text
 from sievework.operators import assemble, dedup, distributions, export, generation, lookup, metrics, retrieval, sampling, splitting, tagging, validation
 from sievework.plans import sql
+from sievework.plans.registry import QUERIES, SQL, Query, query
 from sievework.plans.scratch import Scratch
 from sievework.sources.code import ParseRules, parse
 from sievework.sources.tables import table
 
-Query = Callable[[SparkSession, str], DataFrame]
-_queries: dict[str, Query] = {}
-_sql: dict[str, str] = {}
-
 QUESTION = "How is a lost heartbeat handled by the carrier service when the outbox is drained"
 TARGETS = {"high": 0.5, "mid": 0.3, "hard": 0.2}
 
 
-def query(check: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        _queries[f.__name__] = f
-        if check:
-            _sql[f.__name__] = check
-        return f
-
-    return add
-
-
 def joined(c):
     return F.array_join(c, "|")
 
@@ -431,7 +416,15 @@ def simhash_pairs(spark: SparkSession, d: str) -> DataFrame:
     return dedup.near_pairs(scratch.write(fps.groupBy("fp").agg(F.min("row").alias("row")), "fps"), 3)
 
 
-@query()
+# one row after the other: a fingerprint is kept unless a kept one is near; then the first kept row that near of every row
+_GREEDY = """, u as (select fp, min(rec_no) as row from fp group by fp), n as (select *, row_number() over (order by row) as i from u),
+step(i, kept) as (select 0::BIGINT, []::BIGINT[] union all select n.i, case when len(list_filter(kept, lambda k: bit_count(xor(k, n.fp)) <= 3)) > 0 then kept else list_append(kept, n.fp) end from step join n on n.i = step.i + 1),
+k as (select unnest(kept) as fp from (select kept from step order by i desc limit 1)), kr as (select u.* from u join k using (fp)),
+b as (select u.fp, min(struct_pack(row := kr.row, distance := bit_count(xor(u.fp, kr.fp))::INT)) as m from u join kr on bit_count(xor(u.fp, kr.fp)) <= 3 and kr.row <= u.row group by u.fp)
+select fp.rec_no as row, fp.rec_no = m.row as kept, m.row as kept_row, m.distance as distance from fp join b using (fp)"""
+
+
+@query(sql.SIMHASH.replace("with src", "with recursive src", 1) + _GREEDY)
 def simhash_dedup(spark: SparkSession, d: str) -> DataFrame:
     return dedup.simhash_dedup(dedup.fingerprints(table(spark, d, "samples"), sample_key(), "rec_no"), 3)
 
@@ -443,13 +436,30 @@ def diversity(spark: SparkSession, d: str) -> DataFrame:
     return distributions.diversity(lookup.numbered(Scratch(spark, "diversity").write(fps, "fps"), "rec_no"))
 
 
-@query("with e as (select vec_id, embedding::DOUBLE[] as v from embeddings) select x.vec_id as a, y.vec_id as b, round(list_cosine_similarity(x.v, y.v), 4) as similarity from e x join e y on x.vec_id < y.vec_id where list_cosine_similarity(x.v, y.v) >= 0.4")
+_COSINE = "with e as ({1}) select x.vec_id as a, y.vec_id as b, round(list_cosine_similarity(x.v, y.v), 4) as similarity from e x join e y on x.vec_id < y.vec_id where list_cosine_similarity(x.v, y.v) >= {0}"
+_VECTORS = "select vec_id, embedding::DOUBLE[] as v from embeddings"
+
+
+@query(_COSINE.format(0.92, f"{_VECTORS} union all select vec_id + 1099511627776, list_transform(v, lambda x: 2 * x) from ({_VECTORS}) where vec_id % 5 = 0"))
+def near_equal_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs at the threshold of deduplication; every fifth vector is there a second time, twice as long."""
+    vecs = table(spark, d, "embeddings").select(F.col("vec_id").alias("row"), F.col("embedding").cast("array<double>").alias("vec"))
+    longer = vecs.where("row % 5 = 0").select((F.col("row") + (1 << 40)).alias("row"), F.transform("vec", lambda x: x * 2).alias("vec"))
+    return dedup.cosine_pairs(vecs.unionByName(longer), 0.92).select("a", "b", F.round("similarity", 4).alias("similarity"))
+
+
+@query(_COSINE.format(0.4, _VECTORS))
 def semantic_pairs(spark: SparkSession, d: str) -> DataFrame:
     vecs = table(spark, d, "embeddings").select(F.col("vec_id").alias("row"), F.col("embedding").alias("vec"))
     return dedup.cosine_pairs(vecs, 0.4).select("a", "b", F.round("similarity", 4).alias("similarity"))
 
 
-@query()
+@query("""with recursive e as (select vec_id, embedding::DOUBLE[] as v, row_number() over (order by vec_id) as i from embeddings),
+near as (select y.i, list(x.i order by x.i) as before from e y join e x on x.i < y.i and list_cosine_similarity(x.v, y.v) >= 0.4 group by y.i),
+step(i, kept) as (select 0::BIGINT, []::BIGINT[] union all select e.i, case when list_has_any(kept[greatest(len(kept) - 1999, 1):], coalesce(near.before, [])) then kept else list_append(kept, e.i) end from step join e on e.i = step.i + 1 left join near on near.i = e.i),
+r as (select e.*, coalesce(near.before, []) as before, step.kept[greatest(len(step.kept) - 1999, 1):] as window_ from e join step on step.i = e.i - 1 left join near on near.i = e.i),
+f as (select vec_id, v, list_filter(window_, lambda x: list_contains(before, x))[1] as hit from r)
+select f.vec_id as row, hit is null as kept, coalesce(o.vec_id, f.vec_id) as kept_row, round(list_cosine_similarity(f.v, o.v), 4) as similarity from f left join e o on o.i = hit""")
 def semantic_dedup(spark: SparkSession, d: str) -> DataFrame:
     return dedup.semantic_dedup(table(spark, d, "embeddings").select(F.col("vec_id").alias("row"), F.col("embedding").alias("vec")), 0.4, 2000)
 
@@ -493,7 +503,24 @@ def top_methods(spark: SparkSession, d: str) -> DataFrame:
     return retrieval.top_methods(table(spark, d, "symbols"), 200).select("rec_no", "priority")
 
 
-@query()
+def _retrieve_sql(k: int, most: int) -> str:
+    n, p, s = "lower(coalesce(qualified_name,''))", "lower(coalesce(file_path,''))", "lower(coalesce(source,''))"
+    words = sorted(set(QUESTION.lower().split()))
+    weight = " + ".join(f"case when contains({n}, '{w}') then {layers.JAVA.name_weight}::DOUBLE when contains({p}, '{w}') then {layers.JAVA.path_weight} when contains({s}, '{w}') then {layers.JAVA.source_weight} else 0.0 end" for w in words)
+    bonus = " + ".join(f"contains({n}, '{w}')::INT" for w in layers.JAVA.keywords)
+    titles = ", ".join(f"('{t}')" for t in layers.JAVA.layers)
+    return f"""with {CALLS}, scored as (select rec_no, {sql.layer()} as layer, {weight} + {bonus} as score from symbols),
+    base as (select rec_no, score from scored where score > 0 order by score desc, rec_no limit {k}),
+    own as (select min(rec_no) as rec_no from symbols group by symbol_id),
+    called as (select distinct m.rec_no from calls c join symbols m on m.symbol_type = 'method' and m.name = c.name where c.caller in (select rec_no from base) and c.caller in (select rec_no from own) and m.rec_no in (select rec_no from own) and m.rec_no not in (select rec_no from base) order by 1 limit {most}),
+    chosen as (select rec_no from base union all select rec_no from called),
+    lacking as (select l.layer from (values {titles}) l(layer) where l.layer not in (select layer from scored where layer is not null and rec_no in (select rec_no from chosen))),
+    extra as (select rec_no from (select rec_no, layer, row_number() over (partition by layer order by score desc, rec_no) as r from scored where layer in (select layer from lacking)) where r = 1),
+    every as (select rec_no, 0 as stage, -score as sort, 'keyword' as how from base union all select rec_no, 1, 1.0, 'call' from called union all select rec_no, 2, 0.0, 'layer' from extra)
+    select rec_no, how, row_number() over (order by stage, sort, rec_no)::INT as place from every"""
+
+
+@query(_retrieve_sql(6, 20))
 def retrieve_symbols(spark: SparkSession, d: str) -> DataFrame:
     return retrieval.retrieve(table(spark, d, "symbols"), QUESTION)
 
@@ -648,7 +675,7 @@ def prompts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "samples").select("rec_no", F.md5(text.fill('Q: {instruction}\n{{"scenario": "{scenario}"}}', instruction=F.col("instruction"), scenario=F.col("scenario"))).alias("prompt"))
 
 
-@query()
+@query("select rec_no, instruction, scenario from samples")
 def model_replies(spark: SparkSession, d: str) -> DataFrame:
     reply = F.concat(F.lit("Here:\n```json\n"), F.to_json(F.struct("instruction", "scenario")), F.lit("\n```"))
     parsed = table(spark, d, "samples").select("rec_no", text.model_json(F.replace(reply, F.lit("\\n"), F.lit("\n"))).alias("v"))
@@ -668,19 +695,6 @@ def prediction_scores(spark: SparkSession, d: str) -> DataFrame:
 # --- generation and parsing, with stand-ins for the services
 
 
-@query()
-def written_questions(spark: SparkSession, d: str) -> DataFrame:
-    m = retrieval.top_methods(table(spark, d, "symbols"), 200).select("rec_no", "symbol_id", "qualified_name", "file_path", "source")
-    good, _ = generation.questions(m, ["how_to", "config", "error"], ["high", "mid", "hard"], ["wrong_premise", "conflict_spec"], 0.1)
-    return good.select("rec_no", "question_type", "bucket", "negative_type", "question", "question_id")
-
-
-@query()
-def written_answers(spark: SparkSession, d: str) -> DataFrame:
-    s = table(spark, d, "samples").select("rec_no", F.col("instruction").alias("question"), "repo_commit", F.col("thought.evidence_refs").alias("evidence_refs"), F.col("context").alias("shown"))
-    return generation.answers(s, F.col("shown"))[0].select("sample_id", "instruction", "answer")
-
-
 @query()
 def embedded_texts(spark: SparkSession, d: str) -> DataFrame:
     return generation.embed(table(spark, d, "documents").select("doc_id", "text"), "text").select("doc_id", "vec")
@@ -712,9 +726,12 @@ def parsed_symbols(spark: SparkSession, d: str) -> DataFrame:
     return parse(files, "UNKNOWN_COMMIT", ParseRules(private=True, tests=True))[0].select("symbol_id", "symbol_type", "name", "start_line", "end_line", "source_hash")
 
 
+from sievework.plans import catalog_files as _files  # noqa: E402, F401 - its queries register themselves
+
+
 def queries() -> dict[str, Query]:
-    return dict(_queries)
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_sql)
+    return dict(SQL)

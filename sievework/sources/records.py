@@ -52,15 +52,39 @@ def write_version(rows: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(f"{path}/v{n:04d}")
 
 
+def _local(path: str) -> str | None:
+    """The path on the driver's disk; none for other file systems."""
+    return path.removeprefix("file://") if "://" not in path or path.startswith("file://") else None
+
+
+def _read(path: str) -> str | None:
+    """A small file, on the driver's disk or any file system that Spark knows; none if it is missing."""
+    if (here := _local(path)) is not None:
+        if not os.path.exists(here):
+            return None
+        with open(here, encoding="utf-8") as f:
+            return f.read()
+    spark = SparkSession.active()
+    return "".join(r[0] for r in spark.read.text(path, wholetext=True).collect()) if exists(spark, path) else None
+
+
 def read_json(path: str) -> Any:
-    with open(path, encoding="utf-8") as f:
-        return json.load(f)
+    text = _read(path)
+    if text is None:
+        raise FileNotFoundError(path)
+    return json.loads(text)
 
 
 def write_json(value: Any, path: str) -> None:
-    """A report on the driver's disk; of a DataFrame every row is written, as they arrive partition by partition."""
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(path, "w", encoding="utf-8") as f:
+    """A report on the driver's disk, or on a file system that Spark knows; of a DataFrame every row is written."""
+    here = _local(path)
+    if here is None:
+        rows = value.select(F.to_json(F.struct("*")).alias("value")).toLocalIterator() if isinstance(value, DataFrame) else None
+        text = "[" + ",".join(r[0] for r in rows) + "]" if rows is not None else json.dumps(value, ensure_ascii=False, default=str)
+        SparkSession.active().createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+        return
+    os.makedirs(os.path.dirname(here) or ".", exist_ok=True)
+    with open(here, "w", encoding="utf-8") as f:
         if not isinstance(value, DataFrame):
             json.dump(value, f, ensure_ascii=False, indent=2, default=str)
             return
@@ -72,16 +96,16 @@ def write_json(value: Any, path: str) -> None:
 
 def load_config(path: str) -> dict[str, Any]:
     """A YAML or JSON file; an empty dict for a missing or empty one. YAML needs its library."""
-    if not os.path.exists(path):
+    text = _read(path)
+    if not text:
         return {}
-    with open(path, encoding="utf-8") as f:
-        if path.endswith(".json"):
-            return json.load(f) or {}
-        try:
-            import yaml
-        except ImportError as e:
-            raise RuntimeError("YAML files need PyYAML; write the configuration as JSON instead") from e
-        return yaml.safe_load(f) or {}
+    if path.endswith(".json"):
+        return json.loads(text) or {}
+    try:
+        import yaml
+    except ImportError as e:
+        raise RuntimeError("YAML files need PyYAML; write the configuration as JSON instead") from e
+    return yaml.safe_load(text) or {}
 
 
 def load_list(path: str, key: str) -> list[Any]:
@@ -174,6 +198,5 @@ def repo_commit(configured: str | None, root: str) -> str:
 
 def parse_is_current(meta_path: str, commit: str) -> bool:
     """Whether the last parse saw this very commit; an unknown commit never counts as seen."""
-    if commit == UNKNOWN_COMMIT or not os.path.exists(meta_path):
-        return False
-    return read_json(meta_path).get("repo_commit") == commit
+    text = None if commit == UNKNOWN_COMMIT else _read(meta_path)
+    return text is not None and json.loads(text).get("repo_commit") == commit
