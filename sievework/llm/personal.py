@@ -132,7 +132,23 @@ _SMALL = r"(?:(?:de|du|des|la|le|les|del|los|las|da|do|dos|di|dei|della|delle) |
 ROMANCE = r"[A-ZÀ-Þ][A-Za-zÀ-ÿ'’-]+(?: [A-ZÀ-Þ][A-Za-zÀ-ÿ'’-]+){0,2}"
 FR_ADDRESS = re.compile(rf"(?<![A-Za-z0-9_.,/-])\d{{1,4}}(?: ?(?:bis|ter))?,? (?:[Rr]ue|[Aa]venue|[Bb]oulevard|[Pp]lace|[Aa]llée|[Cc]hemin|[Ii]mpasse|[Qq]uai|[Cc]ours) {_SMALL}{ROMANCE}(?:, \d{{5}} {ROMANCE})?")
 ES_ADDRESS = re.compile(rf"(?<![A-Za-zÀ-ÿ])(?:Calle|Avenida|Plaza|Paseo|Via|Viale|Piazza|Corso|Rua|Praça) {_SMALL}{ROMANCE},? \d{{1,4}}(?![\w-])(?:, \d{{4,5}}(?:-\d{{3}})? {ROMANCE})?")
-ADDRESSES = (EN_ADDRESS, DE_ADDRESS, AT_ADDRESS, FR_ADDRESS, ES_ADDRESS)
+FR_WORDS = tuple(f"{w} " for a in ("rue", "avenue", "boulevard", "place", "allée", "chemin", "impasse", "quai", "cours") for w in (a, a.capitalize()))
+ES_WORDS = ("Calle ", "Avenida ", "Plaza ", "Paseo ", "Via ", "Viale ", "Piazza ", "Corso ", "Rua ", "Praça ")
+POSTAL = re.compile(r", \d{5} [A-ZÄÖÜ]")
+
+
+def address_patterns(t: str) -> list[re.Pattern]:
+    """The patterns of addresses that can be in the text, by what each of them needs."""
+    out = [EN_ADDRESS, DE_ADDRESS]
+    if POSTAL.search(t):
+        out.append(AT_ADDRESS)
+    if any(w in t for w in FR_WORDS):
+        out.append(FR_ADDRESS)
+    if any(w in t for w in ES_WORDS):
+        out.append(ES_ADDRESS)
+    return out
+
+
 WORD = re.compile(r"(?<![A-Za-z0-9_@.+#`$-])[A-Z][A-Za-z]{3,}(?![A-Za-z0-9_@+])")
 GLUED = re.compile(r"(?:[A-Z][a-z]{3,}|[A-Z]{4,})(?=[A-Z][a-z])")
 INITIAL_BEFORE = re.compile(r"(?:(?<![A-Za-z0-9_.])([A-Z])\. ?)(?:[A-Z]\. ?)?$")
@@ -162,12 +178,13 @@ def domain_end(t: str, at: int) -> int:
 TRAIN_DOCUMENTS, TRAIN_CHARS = 2000, 4000
 #: Log-odds from which on words are a name.
 SURE = 1.0
-CAPITALS = re.compile(r"(?<![A-Za-zÀ-ÿ0-9_@.+#`$/'’-])[A-ZÀ-Þ][a-zß-ÿ]+(?: [A-Z]\.)?(?:[ ][A-ZÀ-Þ][a-zß-ÿ]+(?:[-'’][A-ZÀ-Þ][a-zß-ÿ]+)?){1,2}(?![A-Za-zÀ-ÿ0-9_@(/-])")
+#: It begins with a set of letters, which is fast to look for; what must not be before it is checked behind the first.
+CAPITALS = re.compile(r"[A-ZÀ-Þ](?<![A-Za-zÀ-ÿ0-9_@.+#`$/'’-].)[a-zß-ÿ]+(?: [A-Z]\.)?(?:[ ][A-ZÀ-Þ][a-zß-ÿ]+(?:[-'’][A-ZÀ-Þ][a-zß-ÿ]+)?){1,2}(?![A-Za-zÀ-ÿ0-9_@(/-])")
 #: The most common Chinese family names of one character.
 SURNAMES = "王李张刘陈杨黄赵周吴徐孙马朱胡郭何高林罗郑梁谢宋唐许韩冯邓曹彭曾肖田董潘袁蔡蒋余杜叶程苏魏吕丁任卢姚沈钟姜崔谭陆范汪廖石金韦贾夏付方白邹熊孟秦邱江尹薛阎段雷侯龙史陶贺顾毛郝龚邵万钱严覃武戴莫孔向汤"
 #: Signs that a person follows.
 HAN_CUES = "由请找给与和、：系问叫谢据跟"
-HAN_NAME = re.compile(f"(?<![一-鿿])[{SURNAMES}][一-鿿]{{1,2}}(?![一-鿿])|(?<=[{HAN_CUES}])[{SURNAMES}][一-鿿]{{2}}(?=[，。、；：）（]|负责|提供|反馈|确认|说|表示|处理|审批|跟进)")
+HAN_NAME = re.compile(f"[{SURNAMES}](?:(?<![一-鿿].)[一-鿿]{{1,2}}(?![一-鿿])|(?<=[{HAN_CUES}].)[一-鿿]{{2}}(?=[，。、；：）（]|负责|提供|反馈|确认|说|表示|处理|审批|跟进))")
 TOKEN_BEFORE = re.compile(r"([^\W\d_]+|[^\w\s]|\n)[ \t]*$")
 TOKEN_AFTER = re.compile(r"[ \t]*([^\W\d_]+|[^\w\s]|\n)")
 
@@ -282,7 +299,7 @@ def find(text: str, stock: NameStock, han: re.Pattern | None) -> list[Span]:
             city = city[-3:]
         if city:
             add(m.start() - len(city), m.end(), "address", "")
-    for pattern in ADDRESSES:
+    for pattern in address_patterns(t):
         for m in pattern.finditer(t):
             add(*m.span(), "address", "")
     for m in BORN.finditer(t) if any(w in t for w in BORN_WORDS) else ():
@@ -320,7 +337,7 @@ def find(text: str, stock: NameStock, han: re.Pattern | None) -> list[Span]:
                 a += len(first) + 1
             if stock.context.score(t, a, b) >= SURE:
                 add(a, b, "name", "")
-        for m in HAN_NAME.finditer(t):
+        for m in HAN_NAME.finditer(t) if not t.isascii() else ():
             if stock.context.han(t, *m.span()):
                 add(*m.span(), "name", "")
     return sorted(out)
