@@ -103,7 +103,7 @@ def greedy(pairs: DataFrame, scratch: Scratch, walk: int = WALK) -> DataFrame:
     """(b): the rows that greedy keeping in order drops, of the pairs (a, b), a < b. Exact, however long the chains are.
 
     A round drops the neighbours of every row that is no longer open, that is, has no undecided earlier neighbour. After PLAIN_ROUNDS
-    rounds, ranges of rows with about ``walk`` edges are also walked through in order, one range a task, which settles a chain of any length
+    rounds, or where a single task can take all edges, ranges of rows with about ``walk`` edges are also walked through in order, one range a task, which settles a chain of any length
     inside a range; rows with more than ``walk`` edges wait for the plain rule. Every round settles at least the first open row.
     """
     e = scratch.write(pairs.select(F.col("a").cast("bigint"), F.col("b").cast("bigint")).distinct(), "open")
@@ -112,7 +112,7 @@ def greedy(pairs: DataFrame, scratch: Scratch, walk: int = WALK) -> DataFrame:
     while n := e.count():
         marked = e.join(e.select(F.col("b").alias("a")).distinct().withColumn("_later", F.lit(True)), "a", "left").select("a", "b", F.coalesce("_later", F.lit(False)).alias("open"))
         gone = marked.where("not open").select("b")
-        if rounds >= PLAIN_ROUNDS:
+        if rounds >= PLAIN_ROUNDS or n <= walk:
             marked = scratch.write(marked, "marked")
             few = marked.groupBy("b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= walk).select("b")
             ranged = marked.join(few, "b", "left_semi").select("a", "b", "open").repartitionByRange(math.ceil(n / walk), "b").sortWithinPartitions("b")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -93,8 +94,20 @@ def _best(block, dim: int, k: int, digits: int):
     return run
 
 
-def keyword_all(symbols: DataFrame, queries: DataFrame, k: int, profile: LanguageProfile | None = None, order: str = "rec_no", least: float = 0.0, most_bytes: int = 16 << 20) -> DataFrame:
-    """(query, rank, row, score): for each (query, text) the k symbols with the largest keyword score above ``least``, of equals the first.
+def _in_blocks(named: DataFrame, most_rows: int) -> Iterator[list]:
+    """The rows of (query, ...) in blocks of about ``most_rows``, one after the other on the driver; few rows are read at once."""
+    few = named.limit(most_rows + 1).collect()
+    if len(few) <= most_rows:
+        yield few
+        return
+    blocks = math.ceil(named.count() / most_rows)
+    for i in range(blocks):
+        yield named.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == i).collect()
+
+
+def keyword_all(symbols: DataFrame, queries: DataFrame, k: int, profile: LanguageProfile | None = None, order: str = "rec_no", least: float = 0.0, by: str | None = None, most_queries: int = 10_000) -> DataFrame:
+    """(query, rank, row, score, by): for each (query, text) the k symbols with the largest keyword score above ``least``, of equals the
+    first; with ``by``, a column of few values, the k of each value.
 
     As ``nearest_all``: queries go to all tasks in bounded blocks, symbols are streamed where they are. Each word is looked for once a
     symbol, however many queries have it.
@@ -103,12 +116,11 @@ def keyword_all(symbols: DataFrame, queries: DataFrame, k: int, profile: Languag
     weights = (profile.name_weight, profile.path_weight, profile.source_weight) if profile else (10.0, 5.0, 1.0)
     keywords = profile.keywords if profile else ()
     named = queries.select(F.col("query").cast("bigint").alias("query"), query_tokens(F.col("text")).alias("tokens")).where("query is not null")
-    size = named.agg(F.coalesce(F.sum(F.length(F.array_join("tokens", "")) + 8 * F.size("tokens") + 16), F.lit(0))).first()[0]
-    blocks = max(1, math.ceil(size / most_bytes))
-    columns = symbols.select(F.col(order).cast("bigint"), *[F.lower(F.coalesce(c, F.lit(""))) for c in ("qualified_name", "file_path", "source")])
+    part = F.coalesce(F.col(by), F.lit("")) if by else F.lit("")
+    columns = symbols.select(F.col(order).cast("bigint"), *[F.lower(F.coalesce(c, F.lit(""))) for c in ("qualified_name", "file_path", "source")], part.alias("_by"))
     found = []
-    for i in range(blocks):
-        block = spark.sparkContext.broadcast([(r.query, r.tokens) for r in named.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == i).collect()])
+    for rows_of in _in_blocks(named, most_queries):
+        block = spark.sparkContext.broadcast([(r.query, r.tokens) for r in rows_of])
 
         def run(batches, block=block):
             ids = np.array([q for q, _ in block.value], dtype=np.int64)
@@ -118,19 +130,25 @@ def keyword_all(symbols: DataFrame, queries: DataFrame, k: int, profile: Languag
             for j, (_, ts) in enumerate(block.value):
                 asked[j, [at[t] for t in ts]] = 1
             some = asked.any(axis=1)
-            top = _Top(ids, k)
+            tops: dict[str, _Top] = {}
             for batch in batches:
-                rows = batch.column(0).to_numpy(zero_copy_only=False)
+                rows, parts = batch.column(0).to_numpy(zero_copy_only=False), np.array(batch.column(4).to_pylist())
                 for lo in range(0, batch.num_rows, 256):
                     texts = list(zip(*(batch.column(c).slice(lo, 256).to_pylist() for c in (1, 2, 3))))
                     worth = np.array([[weights[0] if t in n else weights[1] if t in p else weights[2] if t in s else 0.0 for t in words] for n, p, s in texts]).reshape(len(texts), len(words))
                     bonus = np.array([float(sum(w in n for w in keywords)) for n, _, _ in texts])
                     scores = asked @ worth.T + bonus * some[:, None]
-                    top.update(0, np.where(scores > least, scores, -np.inf), rows[lo : lo + 256])
-            yield top.batch()
+                    scores = np.where(scores > least, scores, -np.inf)
+                    for value in np.unique(parts[lo : lo + 256]):
+                        mine = parts[lo : lo + 256] == value
+                        tops.setdefault(str(value), _Top(ids, k)).update(0, scores[:, mine], rows[lo : lo + 256][mine])
+            for value, top in tops.items():
+                out = top.batch()
+                yield pa.RecordBatch.from_arrays([*out.columns, pa.array([value] * out.num_rows, pa.string())], [*out.schema.names, "by"])
 
-        found.append(columns.mapInArrow(run, FOUND))
-    return _ranked(found, k)
+        found.append(columns.mapInArrow(run, FOUND + ", by string"))
+    place = F.row_number().over(Window.partitionBy("query", "by").orderBy(F.desc("score"), "row"))
+    return reduce(DataFrame.unionByName, found).withColumn("rank", place).where(F.col("rank") <= k).select("query", "rank", "row", "score", "by")
 
 
 def keyword_top(symbols: DataFrame, query: Column | str, k: int, profile: LanguageProfile | None = None, order: str = "rec_no") -> DataFrame:
@@ -152,28 +170,23 @@ def with_layer(symbols: DataFrame, profile: LanguageProfile = JAVA) -> DataFrame
 
 def balanced(selected: DataFrame, symbols: DataFrame, queries: DataFrame, profile: LanguageProfile = JAVA, order: str = "rec_no") -> DataFrame:
     """(query, order): for every query of (query, text) and every layer without a symbol selected for it, in (query, order), the symbol of
-    that layer that fits the query best, or its first if none does."""
+    that layer that fits the query best, or its first if none does. All layers are looked through in one pass."""
     layered = with_layer(symbols, profile).where("layer is not null")
-    there = selected.join(layered.select(order, "layer"), order).select("query", "layer").distinct()
-    parts = []
-    for name in profile.layers:
-        open_ = queries.join(there.where(F.col("layer") == name), "query", "left_anti")
-        parts.append(keyword_all(layered.where(F.col("layer") == name), open_, 1, profile, order, -1.0).select("query", F.col("row").alias(order)))
-    return reduce(DataFrame.unionByName, parts)
+    there = selected.join(layered.select(order, "layer"), order).select("query", F.col("layer").alias("by")).distinct()
+    return keyword_all(layered, queries, 1, profile, order, -1.0, "layer").join(there, ["query", "by"], "left_anti").select("query", F.col("row").alias(order))
 
 
-def called_by(base: DataFrame, symbols: DataFrame, max_depth: int, most: int, scratch: Scratch, order: str = "rec_no") -> DataFrame:
-    """(query, order, depth): what the symbols selected for each query, in (query, order), call: nearest first and then by ``order``, at most
-    ``most`` for a query, none that is selected. A symbol is known by its symbol_id, so of repeated rows the first counts."""
+def called_by(base: DataFrame, symbols: DataFrame, k: int, max_depth: int, most: int, scratch: Scratch, order: str = "rec_no") -> DataFrame:
+    """(query, order, depth): what the symbols selected for each query, in (query, order) and at most ``k`` of them, call: nearest first and
+    then by ``order``, at most ``most`` for a query, none that is selected. A symbol is known by its symbol_id, so of repeated rows the first
+    counts."""
     first = symbols.groupBy("symbol_id").agg(F.min(order).alias(order)).select(order)
-    methods = symbols.where("symbol_type = 'method' and name is not null").select(order, "name").join(first, order, "left_semi")
     # of a common name no more methods can count than are wanted and are known already
-    known = base.groupBy("query").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
     place = F.row_number().over(Window.partitionBy("name").orderBy(order))
-    named = scratch.write(methods.withColumn("_place", place).where(F.col("_place") <= known + most * max_depth).drop("_place"), "methods")
+    named = symbols.where("symbol_type = 'method' and name is not null").select(order, "name").join(first, order, "left_semi").withColumn("_place", place).where(F.col("_place") <= k + most * max_depth).drop("_place")
     front, seen = base.select("query", order), base.select("query", order, F.lit(0).alias("depth"))
     for d in range(1, max_depth + 1):
-        callers = symbols.select(order, "source").join(front, order, "left_semi").join(first, order, "left_semi")
+        callers = symbols.select(order, "source").join(front.select(order).distinct(), order, "left_semi").join(first, order, "left_semi")
         names = calls(callers, order).select(F.col("caller").alias(order), "name")
         step = front.join(names, order).select("query", "name").distinct().join(named, "name").select("query", order).distinct()
         new = step.join(seen.select("query", order), ["query", order], "left_anti").withColumn("depth", F.lit(d))
@@ -199,14 +212,15 @@ def retrieve_all(symbols: DataFrame, queries: DataFrame, k: int = 6, vectors: Da
         hits = keyword_all(symbols, queries, k, profile, order).select("query", F.col("row").alias(order), "score", F.col("row").alias("tie"), F.lit("keyword").alias("how"))
     base = scratch.write(hits.select("query", order, (-F.col("score")).alias("sort"), "tie", "how"), "hits")
     if "vec" not in queries.columns or vectors is None:
-        some = [r[0] for r in symbols.orderBy(order).limit(k).select(order).collect()]
         rest = queries.select("query").join(base, "query", "left_anti")
-        plain = rest.select("query", F.explode(F.array(*map(F.lit, some)).cast("array<bigint>")).alias(order))
-        base = scratch.write(base.unionByName(plain.select("query", order, F.lit(0.0).alias("sort"), F.col(order).alias("tie"), F.lit("first").alias("how"))), "base")
+        if not rest.isEmpty():
+            some = [r[0] for r in symbols.orderBy(order).limit(k).select(order).collect()]
+            plain = rest.select("query", F.explode(F.array(*map(F.lit, some)).cast("array<bigint>")).alias(order))
+            base = scratch.write(base.unionByName(plain.select("query", order, F.lit(0.0).alias("sort"), F.col(order).alias("tie"), F.lit("first").alias("how"))), "base")
     chosen = base.select("query", order)
     parts = [base]
     if max_depth > 0 and max_expansion > 0:
-        called = scratch.write(called_by(chosen, symbols, max_depth, max_expansion, scratch, order), "called")
+        called = called_by(chosen, symbols, k, max_depth, max_expansion, scratch, order)
         chosen = chosen.unionByName(called.select("query", order))
         parts.append(called.select("query", order, F.col("depth").cast("double").alias("sort"), F.col(order).alias("tie"), F.lit("call").alias("how")))
     extra = balanced(chosen, symbols, queries.select("query", "text"), profile, order)
