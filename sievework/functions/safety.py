@@ -7,6 +7,7 @@ cuts through another.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -73,10 +74,26 @@ def _find(text: str | None) -> list[dict]:
     return out
 
 
+def has_secret(text: Column) -> Column:
+    """Whether any pattern fits; null has none."""
+    t = F.coalesce(text, F.lit(""))
+    return reduce(lambda a, b: a | b, (F.regexp_like(t, F.lit(pattern)) for pattern in SECRET_PATTERNS.values()))
+
+
+def _column(text: Column | str) -> Column:
+    return F.col(text) if isinstance(text, str) else text
+
+
 @F.pandas_udf(FINDINGS)
-def find_secrets(texts: pd.Series) -> pd.Series:
-    """Every finding with its 0-based span, the text of it masked; kinds in order, overlapping ones too."""
-    return texts.map(_find)
+def _find_batch(texts: pd.Series) -> pd.Series:
+    return texts.map(_find, na_action="ignore")
+
+
+def find_secrets(text: Column | str) -> Column:
+    """Every finding with its 0-based span, the text of it masked; kinds in order, overlapping ones too. Only texts in which a pattern fits
+    leave the JVM."""
+    t = _column(text)
+    return F.coalesce(_find_batch(F.when(has_secret(t), t)), F.array().cast(FINDINGS))
 
 
 def _redact(text: str | None) -> str | None:
@@ -89,11 +106,16 @@ def _redact(text: str | None) -> str | None:
 
 
 @F.pandas_udf(T.StringType())
-def redact_secrets(texts: pd.Series) -> pd.Series:
-    """Every finding replaced by its kind; of overlapping ones only the first."""
+def _redact_batch(texts: pd.Series) -> pd.Series:
     return texts.map(_redact, na_action="ignore")
 
 
+def redact_secrets(text: Column | str) -> Column:
+    """Every finding replaced by its kind; of overlapping ones only the first. Only texts in which a pattern fits leave the JVM."""
+    t = _column(text)
+    return F.coalesce(_redact_batch(F.when(has_secret(t), t)), t)
+
+
 def blocked_hits(text: Column, phrases: list[str]) -> Column:
     """The blocked phrases in a text, whatever their case, in their order; empty phrases are none."""
     low = F.lower(F.coalesce(text, F.lit("")))

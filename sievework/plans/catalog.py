@@ -534,7 +534,17 @@ def sample_contexts(spark: SparkSession, d: str) -> DataFrame:
     return retrieval.context(chosen, s, "sample").select(F.col("sample").alias("rec_no"), F.md5("context").alias("context"))
 
 
-@query()
+def _layered_sql() -> str:
+    names = [*layers.JAVA.layers]
+    rank = "case layer " + " ".join(f"when '{n}' then {i}" for i, n in enumerate(names)) + f" else {len(names)} end"
+    title = f"case {rank} " + " ".join(f"when {i} then chr(10) || '# {n.capitalize()} 层'" for i, n in enumerate(names)) + " else chr(10) || '# Other Components' end"
+    part = f"'## ' || coalesce(qualified_name, '') || ' (File: ' || replace(file_path, '\\', '/') || ' Lines: ' || start_line || '-' || end_line || ')' || chr(10) || '```{layers.JAVA.name}' || chr(10) || substr(source, 1, 800) || chr(10) || '```'"
+    return f"""with chosen as ({_retrieve_sql(6, 20)}), j as (select place, {part} as part, {rank} as rank, {title} as title from (select c.place, s.*, {sql.layer()} as layer from chosen c join symbols s using (rec_no))),
+    bodies as (select rank, any_value(title) || chr(10) || string_agg(part, chr(10) order by place) as body from j group by rank)
+    select string_agg(body, chr(10) order by rank) as context from bodies"""
+
+
+@query(_layered_sql())
 def layered_context(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "symbols")
     return retrieval.layered_context(retrieval.retrieve(s, QUESTION), s)
@@ -596,13 +606,32 @@ def secret_counts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "symbols").agg(*[F.sum(c).alias(k) for k, c in safety.secret_counts(F.col("source")).items()])
 
 
-@query()
+def _findings_sql(rows: str, key: str, column: str) -> str:
+    """Every match of every pattern with its place: the lengths of the pieces between matches, and of the matches before."""
+    parts = []
+    for i, (kind, p) in enumerate(safety.SECRET_PATTERNS.items()):
+        p = sql.quoted(p)
+        parts.append(f"""select {key}, {column}, '{kind}' as type, {i} as kind_no, (list_sum(list_transform(pieces[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0))::INT as start, length(ms[i])::INT as length, ms[i] as m
+        from (select *, unnest(generate_series(1, len(ms))) as i from (select {key}, {column}, string_split_regex({column}, {p}) as pieces, regexp_extract_all({column}, {p}) as ms from {rows} where regexp_matches({column}, {p})))""")
+    return " union all ".join(parts)
+
+
+@query(f"""select rec_no, type, start, start + length as end, case when length > 50 then substr(m, 1, 20) || '...' || right(m, 10) when length > 10 then substr(m, 1, 10) || '...' else m end as matched, length from ({_findings_sql("symbols", "rec_no", "source")})""")
 def secret_findings(spark: SparkSession, d: str) -> DataFrame:
     found = table(spark, d, "symbols").select("rec_no", F.explode(safety.find_secrets("source")).alias("f"))
     return found.select("rec_no", "f.type", "f.start", "f.end", "f.matched", "f.length")
 
 
-@query()
+def _redacted_sql(rows: str, key: str, column: str) -> str:
+    """Of overlapping findings the first: those that no finding which begins before them, or with them and is of an earlier kind, reaches into."""
+    return f"""with f as ({_findings_sql(rows, key, column)}),
+    kept as (select f.* from f where not exists (select 1 from f g where g.{key} = f.{key} and (g.start < f.start or g.start = f.start and g.kind_no < f.kind_no) and g.start + g.length > f.start)),
+    cut as (select *, coalesce(lag(start + length) over (partition by {key} order by start), 0) as before, row_number() over (partition by {key} order by start desc) as last from kept),
+    new as (select {key}, string_agg(substr({column}, before + 1, start - before) || '[REDACTED_' || type || ']' || case when last = 1 then substr({column}, start + length + 1) else '' end, '' order by start) as text from cut group by {key})
+    select r.{key}, coalesce(new.text, r.{column}) as {column} from {rows} r left join new using ({key})"""
+
+
+@query(_redacted_sql("symbols", "rec_no", "source"))
 def secrets_redacted(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "symbols").select("rec_no", safety.redact_secrets("source").alias("source"))
 
@@ -647,7 +676,13 @@ def safe_samples(spark: SparkSession, d: str) -> DataFrame:
     return assemble.apply_safety(table(spark, d, "samples"), "drop", _BLOCKED)[0].select("rec_no")
 
 
-@query()
+def _sanitized_sql() -> str:
+    columns = ", ".join("case when f.rec_no is null then s.{0} else ".format(c) + "regexp_replace(" * len(_BLOCKED) + f"coalesce(r_{c}.{c}, '')" + "".join(f", '{p}', '[REDACTED]', 'gi')" for p in _BLOCKED) + f" end as {c}" for c in assemble.SCANNED)
+    parts = " ".join(f"left join (select rec_no, {c} from ({_redacted_sql('samples', 'rec_no', c)})) r_{c} on r_{c}.rec_no = s.rec_no" for c in assemble.SCANNED)
+    return f"select s.rec_no, {columns} from samples s left join ({_safety_sql()}) f on f.rec_no = s.rec_no {parts}"
+
+
+@query(_sanitized_sql())
 def sanitized_samples(spark: SparkSession, d: str) -> DataFrame:
     return assemble.apply_safety(table(spark, d, "samples"), "sanitize", _BLOCKED)[0].select("rec_no", "instruction", "context", "answer")
 
