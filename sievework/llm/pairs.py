@@ -13,7 +13,7 @@ from sievework.llm.shingles import jaccard, shingle_set
 
 
 #: Texts with more than one of so many rows are joined with their representative by broadcast; there are fewer of them than that.
-HOT = 1024
+HOT, LEAST_HOT = 1024, 100_000
 
 
 def with_representatives(signed: DataFrame, keys: list[str], kept: list[str]) -> DataFrame:
@@ -23,7 +23,7 @@ def with_representatives(signed: DataFrame, keys: list[str], kept: list[str]) ->
     many rows and a shuffle for the rest, so a text with a third of all rows is no single task's work.
     """
     reps = signed.groupBy(*keys).agg(F.min("rec_no").alias("rep"), F.count(F.lit(1)).alias("_n"))
-    hot = F.col("_n") > max(100_000, math.ceil(signed.count() / HOT))
+    hot = F.col("_n") > max(LEAST_HOT, math.ceil(signed.count() / HOT))
     few = reps.where(hot).drop("_n").collect()  # fewer than HOT
     rows = signed.select("rec_no", *keys, *[k for k in kept if k not in keys])
     if not few:

@@ -65,9 +65,9 @@ def shingle_counts(samples: DataFrame) -> np.ndarray:
 
 
 def _prefixes(samples: DataFrame, counts: np.ndarray, threshold: float) -> DataFrame:
-    bits = len(counts).bit_length() - 1
+    width = len(counts).bit_length() - 1
     ranks = samples.sparkSession.sparkContext.broadcast(np.argsort(np.argsort(counts, kind="stable"), kind="stable").astype(np.uint64))
-    mask = np.uint64((1 << bits) - 1)
+    mask = np.uint64((1 << width) - 1)
 
     def run(batches):
         order = ranks.value
@@ -82,7 +82,7 @@ def _prefixes(samples: DataFrame, counts: np.ndarray, threshold: float) -> DataF
             for i in ok:
                 own = np.unique(h[ends[i] - sizes[i] : ends[i]])
                 keep = len(own) - math.ceil(threshold * len(own) - 1e-9) + COMMON
-                rank = (order[(own & mask).astype(np.int64)] << np.uint64(64 - bits)) | (own >> np.uint64(bits))
+                rank = (order[(own & mask).astype(np.int64)] << np.uint64(64 - width)) | (own >> np.uint64(width))
                 prefix.append(own[np.argsort(rank)[:keep]].astype(np.int64))
                 bits = np.zeros(64 * BITMAP_WORDS, dtype=np.uint8)
                 bits[(own >> np.uint64(40)) % np.uint64(64 * BITMAP_WORDS)] = 1

@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pytest
 
-from sievework.llm import near_duplicates, split_overlap
+from sievework.llm import near_duplicates, pairs, split_overlap
 from sievework.llm.shingles import Normal, jaccard, shingle_set
 
 WORDS = "ledger voucher cursor outbox tenant carrier parcel retry window digest grant roster 凭证 租户 发件箱 重试 naïve 12 7f".split()
@@ -103,6 +103,22 @@ def test_a_hot_text_is_one_representative(spark):
     assert near_duplicates.all_pairs(links, members).count() == 60 * 59 // 2
 
 
+def test_hot_texts_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "LEAST_HOT", 5)
+    rows = records(4)
+    rows += [(500 + i, rows[0][1], rows[0][2], rows[0][3], "train" if i % 2 else "val", None, None, None) for i in range(len(rows) // 2)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {tuple(r) for r in near_duplicates.all_pairs(*near_duplicates.near_duplicate_links(df)).collect()}
+    assert got <= similar(rows, 2) and len(got) >= 0.97 * len(similar(rows, 2))
+    side = {r[0]: r[4] for r in rows}
+    want = {(a, b) for a, b in similar(rows, 3) if {side[a], side[b]} <= {"train", "val", "test"} and (side[a] == "train") != (side[b] == "train")}
+    assert {tuple(r) for r in split_overlap.overlap_pairs(*split_overlap.overlap_links(df)).collect()} == want
+
+
+def test_counters_grow_with_the_records():
+    assert [split_overlap.count_bits(n) for n in (0, 1_000_000, 4_000_000, 5_000_000, 1 << 40)] == [17, 17, 18, 19, 21]
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_overlap_is_exact(spark, seed):
     rows = records(seed, 120)
