@@ -161,7 +161,7 @@ def vector_batch(columns: list[np.ndarray], names: list[str], units: np.ndarray)
 
 
 def centres_of(vectors: DataFrame, rows: int, seed: int) -> np.ndarray:
-    """About sqrt(rows) unit vectors far from each other, at most CELLS, from a sample of about CENTRE_SAMPLE rows."""
+    """Unit vectors far from each other, one for every PACK rows but at most CELLS, from a sample of about CENTRE_SAMPLE rows."""
     named = vectors.select(F.col("row").cast("bigint").alias("row"), "vec").where("vec is not null and row is not null")
     picked = bounded_sample(named, CENTRE_SAMPLE, ["row"], seed).toArrow().sort_by("row")
     sizes = [n for n in pc.list_value_length(picked["vec"]).to_pylist() if n]
@@ -171,7 +171,7 @@ def centres_of(vectors: DataFrame, rows: int, seed: int) -> np.ndarray:
     if not len(unit):
         return np.zeros((0, 0))
     chosen, near = [0], unit @ unit[0]
-    while len(chosen) < min(CELLS, math.isqrt(rows) + 1, len(unit)):  # the farthest point each time
+    while len(chosen) < min(CELLS, rows // PACK + 1, len(unit)):  # the farthest point each time
         chosen.append(int(near.argmin()))
         near = np.maximum(near, unit @ unit[chosen[-1]])
     return unit[chosen]

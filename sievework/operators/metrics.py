@@ -43,13 +43,15 @@ def f1(hits: int, a: int, b: int) -> float:
 
 
 def common_length(a: list[str], b: list[str]) -> int:
-    """Length of the longest common subsequence."""
-    row = [0] * (len(b) + 1)
+    """Length of the longest common subsequence, with a whole row of the table in the bits of one number."""
+    places: dict[str, int] = {}
+    for j, x in enumerate(b):
+        places[x] = places.get(x, 0) | 1 << j
+    mask = row = (1 << len(b)) - 1
     for x in a:
-        last = 0
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
-    return row[-1]
+        hit = row & places.get(x, 0)
+        row = ((row + hit) | (row - hit)) & mask
+    return len(b) - row.bit_count()
 
 
 def scores_of(prediction: str | None, reference: str | None) -> dict[str, float]:

@@ -229,6 +229,33 @@ def test_calls(spark):
     assert lookup.expand_calls(s.select("rec_no"), s, 0, 10).count() == 0
 
 
+def test_common_length_is_that_of_the_table():
+    import random
+
+    def plain(a, b):
+        t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                t[i + 1][j + 1] = t[i][j] + 1 if x == y else max(t[i][j + 1], t[i + 1][j])
+        return t[-1][-1]
+
+    rng = random.Random(6)
+    for _ in range(200):
+        a, b = (rng.choices("abcde", k=rng.randrange(90)) for _ in range(2))
+        assert metrics.common_length(a, b) == plain(a, b)
+
+
+def test_retrieval_for_many_questions(spark):
+    s = retrieval_symbols(spark)
+    asked = spark.createDataFrame([(7, "login service"), (8, "pad"), (9, "?"), (10, None)], "query bigint, text string")
+    got = retrieval.retrieve_all(s, asked, 2)
+    for q, text_ in ((7, "login service"), (8, "pad"), (9, "?")):
+        one = [(r.rec_no, r.place, r.how) for r in retrieval.retrieve(s, text_, 2).orderBy("place").collect()]
+        assert [(r.rec_no, r.place, r.how) for r in got.where(f"query = {q}").orderBy("place").collect()] == one
+    assert got.where("query = 10 and how = 'first'").count() == 2
+    assert retrieval.keyword_all(s, asked, 2, most_queries=1).count() == retrieval.keyword_all(s, asked, 2).count() > 0
+
+
 def test_retrieve_balances_layers(spark):
     s = retrieval_symbols(spark)
     got = retrieval.retrieve(s, "pad", 1).orderBy("place").collect()
