@@ -158,20 +158,24 @@ def end_counts(answers: DataFrame, text: str = "answer") -> np.ndarray:
     return out
 
 
-def end_likelihood(counts: np.ndarray, text: str) -> float:
-    """log P(text ends here | its last characters), this text itself left out: from the kind of the last character to the pair of kinds and
-    on to longer n-grams, each shrunk to the one before by pseudo-counts. The least of them counts: where answers break off in the same
-    words again and again, the longer n-grams take that for an end, but the kinds of characters do not."""
-    codes, classes, ends = _coded([text[-max(NGRAMS) :]])
-    p = OPEN_PRIOR if classes[-1] in (2, 3, 4) or text[-1:] in _OPENING else CLOSED_PRIOR
-    least = 1.0
-    keys = [int(classes[-2]) * WIDTH + int(classes[-1]), *[WIDTH * WIDTH + k * SLOTS + int(_slots(codes, classes, n)[-1]) for k, n in enumerate(NGRAMS)]]
+def end_likelihoods(counts: np.ndarray, texts: list[str]) -> np.ndarray:
+    """log P(text ends here | its last characters) of each text, that text itself left out: from the kind of the last character to the pair
+    of kinds and on to longer n-grams, each shrunk to the one before by pseudo-counts. The least of them counts: where answers break off in
+    the same words again and again, the longer n-grams take that for an end, but the kinds of characters do not."""
+    if not texts:
+        return np.zeros(0)
+    codes, classes, ends = _coded([t[-max(NGRAMS) :] for t in texts])
+    kind = classes[ends]
+    opens = (kind >= 2) & (kind <= 4) | np.array([t[-1:] in _OPENING for t in texts])
+    p = np.where(opens, OPEN_PRIOR, CLOSED_PRIOR)
+    keys = [classes[ends - 1].astype(np.int64) * WIDTH + kind, *[WIDTH * WIDTH + k * SLOTS + _slots(codes, classes, n)[ends - n + 1] for k, n in enumerate(NGRAMS)]]
+    least = np.ones(len(texts))
     for k, key in enumerate(keys):
-        last, anywhere = max(counts[0, key] - 1, 0), max(counts[1, key] - 1, 0)
+        last, anywhere = np.maximum(counts[0, key] - 1, 0), np.maximum(counts[1, key] - 1, 0)
         weight = BACKOFF if k else KIND_WEIGHT
         p = (last + weight * p) / (anywhere + weight)
-        least = min(least, p) if k else p
-    return float(np.log(least))
+        least = np.minimum(least, p) if k else p
+    return np.log(least)
 
 
 #: A last line that is nothing but the sign of a list: what stands before it decides.
@@ -201,7 +205,7 @@ def is_refusal(answer: str) -> bool:
         s = m.group().strip()
         if not re.search(r"\w", s):
             continue
-        declines = bool(DECLINES.search(s)) and bool(SPEAKER.search(s))
+        declines = bool(SPEAKER.search(s)) and bool(DECLINES.search(s))
         said |= declines
         if not declines and not COURTESY.search(s):
             return False
@@ -262,6 +266,8 @@ def defects(samples: DataFrame, labelled: DataFrame | None = None, margin: float
             ends, model = counts.value
             pq, lq = model.log_posteriors([prose(ins[i] or "") for i in rest])
             pa_, la = model.log_posteriors([prose(ans[i]) for i in rest])
+            bare = [BARE_ITEM.sub("", ans[i]).rstrip() for i in rest]
+            ended = end_likelihoods(ends, bare)
             for k, i in enumerate(rest):
                 if cq[k] >= 8 and ca[k] >= 8:
                     q, a = np.unique(hq[eq[k] - cq[k] : eq[k]]), np.unique(ha[ea[k] - ca[k] : ea[k]])
@@ -276,8 +282,7 @@ def defects(samples: DataFrame, labelled: DataFrame | None = None, margin: float
                         if LANGUAGES[other] not in asked and "*" not in asked:
                             found[i] = "other_language"
                             continue
-                text = BARE_ITEM.sub("", ans[i]).rstrip()
-                if open_structure(text) or end_likelihood(ends, text) < least_end:
+                if open_structure(bare[k]) or ended[k] < least_end:
                     found[i] = "truncated"
         return [(recs[i], d) for i, d in found.items()]
 
