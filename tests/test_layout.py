@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from pathlib import Path
+from types import SimpleNamespace
 
 import __spark_entry__ as entry
 
@@ -30,3 +31,15 @@ def test_flagship_runs(spark, data):
 def test_no_local_checkpoint():
     for path in (ROOT / "sievework").rglob("*.py"):
         assert "localCheckpoint" not in path.read_text(), path
+
+
+def test_a_cluster_needs_a_shared_folder():
+    import pytest
+
+    from sievework.plans.scratch import shared_dir
+
+    session = lambda master, **conf: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k.replace(".", "_"), d)), sparkContext=SimpleNamespace(master=master, getConf=dict))
+    with pytest.raises(ValueError):
+        shared_dir(session("spark://host:7077"))
+    assert shared_dir(session("spark://host:7077", spark_checkpoint_dir="hdfs:///shared/")) == "hdfs:///shared"
+    assert shared_dir(session("local[2]")).startswith("file:///")
