@@ -59,6 +59,9 @@ def near_pairs(fps: DataFrame, max_hamming: int, bits: int = 64, spare: int = 2)
 
     The bits are cut into max_hamming + spare blocks. Two fingerprints that near agree in at least ``spare`` of them, so they meet under the
     key of some choice of ``spare`` blocks: no pair is lost, and a key is spare blocks wide, which keeps its bucket small.
+
+    Both sides are sorted. Catalyst takes the size of the posts from the files of the fingerprints, each of which it thus counts once and not
+    once for every key, and would broadcast through the driver what does not fit there.
     """
     blocks = _blocks(bits, max_hamming + spare)
     keys = []
@@ -70,7 +73,7 @@ def near_pairs(fps: DataFrame, max_hamming: int, bits: int = 64, spare: int = 2)
         signed = mask - (1 << 64) if mask >= 1 << 63 else mask
         keys.append(F.xxhash64(F.lit(len(keys)), F.col("fp").bitwiseAND(F.lit(signed))))
     posts = fps.select("row", "fp", F.explode(F.array(*keys)).alias("key"))
-    x, y = posts.alias("x"), posts.alias("y")
+    x, y = posts.alias("x"), posts.alias("y").hint("merge")
     d = hamming(F.col("x.fp"), F.col("y.fp"))
     met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.row") < F.col("y.row")) & (d <= max_hamming))
     return met.select(F.col("x.row").alias("a"), F.col("y.row").alias("b"), d.cast("int").alias("distance")).distinct()

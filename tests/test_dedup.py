@@ -67,6 +67,33 @@ def test_near_pairs_lose_none(spark):
     assert got == want and want
 
 
+@pytest.fixture
+def small_driver(spark):
+    """Tables that seem to have at most 600 kB are broadcast, which fails if they turn out to have more than 2 MB in the driver."""
+    limits = {"spark.sql.autoBroadcastJoinThreshold": "600k", "spark.sql.maxBroadcastTableSize": "2m"}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    yield spark
+    for key in limits:
+        spark.conf.unset(key)
+
+
+def near_rows(n, seed):
+    """(row, fp) of 2 n rows: each fingerprint and one a bit from it."""
+    rng = random.Random(seed)
+    base = [rng.getrandbits(64) - (1 << 63) for _ in range(n)]
+    rows = list(range(2 * n))
+    rng.shuffle(rows)
+    return list(zip(rows, base + [f ^ 1 << rng.randrange(60) for f in base]))
+
+
+def test_near_pairs_leave_the_driver_alone(small_driver):
+    fps = near_rows(1500, 6)
+    df = Scratch(small_driver, "t").write(small_driver.createDataFrame(fps, "row bigint, fp bigint"))  # small as a file, not as posts
+    want = {tuple(sorted((fps[i][0], fps[i + 1500][0]))) for i in range(1500)}
+    assert {(r.a, r.b) for r in dedup.near_pairs(df, 3).collect()} == want
+
+
 def semantic_rows(vecs, t, window):
     kept, out = [], {}
     for row, v in vecs:
