@@ -108,20 +108,24 @@ def greedy(pairs: DataFrame, scratch: Scratch, walk: int = WALK) -> DataFrame:
     A round drops the neighbours of every row that is no longer open, that is, has no undecided earlier neighbour. After PLAIN_ROUNDS
     rounds, or where a single task can take all edges, ranges of rows with about ``walk`` edges are also walked through in order, one range a task, which settles a chain of any length
     inside a range; rows with more than ``walk`` edges wait for the plain rule. Every round settles at least the first open row.
+
+    All joins sort: row numbers pack so well in files that Catalyst takes far more of them than the driver can hold for a small table.
     """
     e = scratch.write(pairs.select(F.col("a").cast("bigint"), F.col("b").cast("bigint")).distinct(), "open")
     drops: list[DataFrame] = []
     rounds = 0
     while n := e.count():
-        marked = e.join(e.select(F.col("b").alias("a")).distinct().withColumn("_later", F.lit(True)), "a", "left").select("a", "b", F.coalesce("_later", F.lit(False)).alias("open"))
+        later = e.select(F.col("b").alias("a")).distinct().withColumn("_later", F.lit(True)).hint("merge")
+        marked = e.join(later, "a", "left").select("a", "b", F.coalesce("_later", F.lit(False)).alias("open"))
         gone = marked.where("not open").select("b")
         if rounds >= PLAIN_ROUNDS or n <= walk:
             marked = scratch.write(marked, "marked")
-            few = marked.groupBy("b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= walk).select("b")
+            few = marked.groupBy("b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= walk).select("b").hint("merge")
             ranged = marked.join(few, "b", "left_semi").select("a", "b", "open").repartitionByRange(math.ceil(n / walk), "b").sortWithinPartitions("b")
             gone = marked.where("not open").select("b").unionByName(ranged.mapInArrow(_walk, "b bigint, kept boolean").where("not kept").select("b"))
         drop = scratch.write(gone.distinct(), "dropped")
-        after = scratch.write(e.join(drop, "b", "left_anti").join(drop.select(F.col("b").alias("a")), "a", "left_anti"), "open")
+        lost = drop.hint("merge")
+        after = scratch.write(e.join(lost, "b", "left_anti").join(lost.select(F.col("b").alias("a")), "a", "left_anti"), "open")
         scratch.drop(e)
         drops.append(drop)
         if len(drops) > 16:  # keeps the plan of the result short
@@ -139,10 +143,11 @@ def simhash_dedup(fps: DataFrame, max_hamming: int = 3, bits: int = 64) -> DataF
     fps = scratch.write(fps.select("row", "fp"), "fps")
     reps = scratch.write(fps.groupBy("fp").agg(F.min("row").alias("row")), "reps")
     pairs = scratch.write(near_pairs(reps, max_hamming, bits), "pairs")
-    gone = greedy(pairs, scratch)
+    gone = greedy(pairs, scratch).hint("merge")
     met = pairs.join(gone, "b", "left_semi").join(gone.select(F.col("b").alias("a")), "a", "left_anti")
-    best = met.groupBy(F.col("b").alias("rep")).agg(F.min(F.struct(F.col("a").alias("kept_row"), "distance")).alias("m"))
-    members = fps.join(reps.select("fp", F.col("row").alias("rep")), "fp").join(best, "rep", "left")
+    best = met.groupBy(F.col("b").alias("rep")).agg(F.min(F.struct(F.col("a").alias("kept_row"), "distance")).alias("m")).hint("merge")
+    # there can be as many representatives as rows: they are sorted, not broadcast
+    members = fps.join(reps.select("fp", F.col("row").alias("rep")).hint("merge"), "fp").join(best, "rep", "left")
     kept = (F.col("row") == F.col("rep")) & F.col("m").isNull()
     return members.select("row", kept.alias("kept"), F.coalesce("m.kept_row", "rep").alias("kept_row"), F.coalesce("m.distance", F.lit(0)).cast("int").alias("distance"))
 

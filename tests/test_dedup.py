@@ -94,6 +94,18 @@ def test_near_pairs_leave_the_driver_alone(small_driver):
     assert {(r.a, r.b) for r in dedup.near_pairs(df, 3).collect()} == want
 
 
+def test_simhash_dedup_leaves_the_driver_alone(small_driver):
+    fps = near_rows(15000, 7)
+    got = dedup.simhash_dedup(small_driver.createDataFrame(fps, "row bigint, fp bigint"), 3).collect()
+    first = {x: min(fps[i][0], fps[i + 15000][0]) for i in range(15000) for x in (fps[i][0], fps[i + 15000][0])}
+    assert {r.row: (r.kept, r.kept_row) for r in got} == {x: (x == y, y) for x, y in first.items()}
+
+
+def test_greedy_leaves_the_driver_alone(small_driver):
+    pairs = small_driver.range(100_000).selectExpr("2 * id as a", "2 * id + 1 as b")
+    assert dedup.greedy(pairs, Scratch(small_driver, "t")).count() == 100_000
+
+
 def semantic_rows(vecs, t, window):
     kept, out = [], {}
     for row, v in vecs:
