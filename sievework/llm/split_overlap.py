@@ -7,11 +7,14 @@ differ are a lower bound of their symmetric difference) run inside the join, and
 overlap that is needed is below c, it takes its place. None of this loses a pair. Survivors are checked on the texts.
 The order comes from shingle counts over all records, hashed into a table that grows with the input up to a fixed size: any fixed order is
 exact, a good one is fast, and the frequent shingles, which it is there to avoid, stand out in a full table too.
+Once ordered, a shingle is known by 32 bits: two that share them only let more pairs meet. The join goes over the shingles in slices, and
+what a step has shuffled, or alone has read, is removed when it ends, so that the disk holds one slice and not all of them.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +29,9 @@ from sievework.plans.scratch import Scratch
 COUNT_BITS, MOST_COUNT_BITS, COUNTED_RECORDS = 17, 21, 1_000_000
 BITMAP_WORDS = 4
 COMMON = 4
-SIGNED = "rec_no bigint, evaluation boolean, k1 bigint, k2 bigint, n int, bitmap array<bigint>, prefix array<bigint>"
+#: The shingles are joined in so many parts. A position has so many bits beside its shingle; later ones count as the last, which only filters less.
+SLICES, POSITION_BITS = 2, 16
+SIGNED = "rec_no bigint, evaluation boolean, k1 bigint, k2 bigint, n int, bitmap array<bigint>, prefix array<int>"
 
 
 def _usable(samples: DataFrame) -> DataFrame:
@@ -83,7 +88,7 @@ def _prefixes(samples: DataFrame, counts: np.ndarray, threshold: float) -> DataF
                 own = np.unique(h[ends[i] - sizes[i] : ends[i]])
                 keep = len(own) - math.ceil(threshold * len(own) - 1e-9) + COMMON
                 rank = (order[(own & mask).astype(np.int64)] << np.uint64(64 - width)) | (own >> np.uint64(width))
-                prefix.append(own[np.argsort(rank)[:keep]].astype(np.int64))
+                prefix.append(own[np.argsort(rank)[:keep]].astype(np.uint32).view(np.int32))
                 bits = np.zeros(64 * BITMAP_WORDS, dtype=np.uint8)
                 bits[(own >> np.uint64(40)) % np.uint64(64 * BITMAP_WORDS)] = 1
                 bitmaps.append(np.packbits(bits, bitorder="little").view(np.int64))
@@ -109,6 +114,23 @@ def _prefixes(samples: DataFrame, counts: np.ndarray, threshold: float) -> DataF
     return _usable(samples).mapInArrow(run, SIGNED)
 
 
+def _met(chosen: DataFrame, threshold: float, part: int) -> DataFrame:
+    """(a, b, need): a training and an evaluation record that may be similar, once for each shingle of the slice both prefixes have."""
+    at = F.shiftleft(F.col("token").cast("bigint"), POSITION_BITS).bitwiseOR(F.least("pos", F.lit((1 << POSITION_BITS) - 1)).cast("bigint"))
+    posts = chosen.select("rec_no", "evaluation", "n", *[F.col("bitmap")[i].alias(f"b{i}") for i in range(BITMAP_WORDS)], F.posexplode("prefix").alias("pos", "token"))
+    posts = posts.where(F.pmod("token", F.lit(SLICES)) == part).select(F.col("rec_no").alias("rep"), "evaluation", "n", *[f"b{i}" for i in range(BITMAP_WORDS)], at.alias("at"))
+    x, y = posts.where("not evaluation").drop("evaluation").alias("x"), posts.where("evaluation").drop("evaluation").alias("y")
+    nx, ny = F.col("x.n"), F.col("y.n")
+    need = F.ceil((nx + ny) * (threshold / (1 + threshold)) - 1e-9)
+    differ = sum((F.bit_count(F.col(f"x.b{i}").bitwiseXOR(F.col(f"y.b{i}"))) for i in range(BITMAP_WORDS)), F.lit(0))
+    fits = (nx >= F.ceil(ny * threshold - 1e-9)) & (ny >= F.ceil(nx * threshold - 1e-9))
+    token = lambda side: F.shiftright(f"{side}.at", POSITION_BITS)
+    pos = lambda side: F.col(f"{side}.at").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
+    place = F.least(nx - pos("x"), ny - pos("y")) + (COMMON - 1) >= need
+    met = x.join(y, (token("x") == token("y")) & fits & place & ((nx + ny - differ) >= 2 * need))
+    return met.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), need.alias("need"))
+
+
 def overlap_links(samples: DataFrame, threshold: float = 0.6, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
     """(links, members): links (train, other, sim_instruction, sim_context) between representatives of a training and an evaluation text,
     members (rec_no, evaluation, rep) with every comparable record of a named split under the smallest rec_no of its side with its texts.
@@ -118,23 +140,22 @@ def overlap_links(samples: DataFrame, threshold: float = 0.6, scratch: Scratch |
     """
     scratch = scratch or Scratch(samples.sparkSession, "split-overlap")
     signed = scratch.write(_prefixes(samples, shingle_counts(samples), threshold), "prefixes")
-    members = scratch.write(with_representatives(signed, ["evaluation", "k1", "k2"], ["evaluation"]), "members")
-    chosen = signed.join(members.where("rec_no = rep").select("rec_no").distinct(), "rec_no", "left_semi").dropDuplicates(["rec_no"])
-    posts = chosen.select(F.col("rec_no").alias("rep"), "evaluation", "n", *[F.col("bitmap")[i].alias(f"b{i}") for i in range(BITMAP_WORDS)], F.posexplode("prefix").alias("pos", "token"))
-    x, y = posts.where("not evaluation").alias("x"), posts.where("evaluation").alias("y")
-    nx, ny = F.col("x.n"), F.col("y.n")
-    need = F.ceil((nx + ny) * (threshold / (1 + threshold)) - 1e-9)
-    differ = sum((F.bit_count(F.col(f"x.b{i}").bitwiseXOR(F.col(f"y.b{i}"))) for i in range(BITMAP_WORDS)), F.lit(0))
-    fits = (nx >= F.ceil(ny * threshold - 1e-9)) & (ny >= F.ceil(nx * threshold - 1e-9))
-    place = F.least(nx - F.col("x.pos"), ny - F.col("y.pos")) + (COMMON - 1) >= need
-    met = x.join(y, (F.col("x.token") == F.col("y.token")) & fits & place & ((nx + ny - differ) >= 2 * need))
+    members = scratch.write(with_representatives(signed, ["evaluation", "k1", "k2"], ["evaluation"]), "members", release=True)
+    chosen = signed.select("rec_no", "evaluation", "n", "bitmap", "prefix").join(members.where("rec_no = rep").select("rec_no").distinct(), "rec_no", "left_semi")
+    chosen = scratch.write(chosen.dropDuplicates(["rec_no"]), "chosen", release=True)
+    scratch.drop(signed)
+    met = [scratch.write(_met(chosen, threshold, part), "met", release=True) for part in range(SLICES)]
+    scratch.drop(chosen)
     # times >= least(COMMON, need), as one sum
     whole = math.lcm(*range(1, COMMON + 1))
     weight = F.expr(" ".join(["case", *[f"when need <= {k} then {whole // k}" for k in range(1, COMMON)], f"else {whole // COMMON} end"]))
-    times = met.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), need.alias("need")).groupBy("a", "b").agg(F.sum(weight).alias("times"))
-    candidates = scratch.write(times.where(F.col("times") >= whole).select("a", "b"), "candidates")
+    times = reduce(DataFrame.unionByName, met).groupBy("a", "b").agg(F.sum(weight).alias("times"))
+    candidates = scratch.write(times.where(F.col("times") >= whole).select("a", "b"), "candidates", release=True)
+    for part in met:
+        scratch.drop(part)
     links = verify(candidates, samples, "rec_no", "instruction", "context", threshold)
-    links = scratch.write(links.select(F.col("a").alias("train"), F.col("b").alias("other"), F.col("sim_first").alias("sim_instruction"), F.col("sim_second").alias("sim_context")), "links")
+    links = scratch.write(links.select(F.col("a").alias("train"), F.col("b").alias("other"), F.col("sim_first").alias("sim_instruction"), F.col("sim_second").alias("sim_context")), "links", release=True)
+    scratch.drop(candidates)
     return links, members
 
 

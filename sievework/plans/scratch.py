@@ -15,6 +15,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local: list[str] = []
+#: With it, the files of a query's shuffles go when the query has ended, not when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,11 +42,18 @@ class Scratch:
         self.count = 0
         atexit.register(self.clear)
 
-    def write(self, df: DataFrame, name: str = "t") -> DataFrame:
-        """Materialise ``df`` and return a DataFrame that reads the written files."""
+    def write(self, df: DataFrame, name: str = "t", release: bool = False) -> DataFrame:
+        """Materialise ``df`` and return a DataFrame that reads the written files. ``release``: its shuffles' files are removed then."""
         self.count += 1
         path = f"{self.root}/{self.count:03d}-{name}"
-        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(CLEANUP, None)
+        try:
+            if release:
+                self.spark.conf.set(CLEANUP, "true")
+            df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        finally:
+            if release:
+                self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path  # type: ignore[attr-defined]
         return out

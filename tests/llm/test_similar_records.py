@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import glob
+import os
 import random
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sievework.llm import near_duplicates, pairs, split_overlap
 from sievework.llm.shingles import Normal, jaccard, shingle_set
+from sievework.plans.scratch import Scratch
 
 WORDS = "ledger voucher cursor outbox tenant carrier parcel retry window digest grant roster 凭证 租户 发件箱 重试 naïve 12 7f".split()
 SCHEMA = "rec_no bigint, instruction string, answer string, context string, split string, rep string, k1 int, quality struct<coverage:struct<source:string>>"
@@ -136,6 +141,39 @@ def test_overlap_of_repeated_letters_is_exact(spark):
     assert got == want and {(0, 1), (6, 7), (9, 11)} <= want
 
 
+def test_overlap_is_exact_where_shingles_share_bits_and_positions_end(spark, monkeypatch):
+    rows = records(4, 120)
+    prefixes = split_overlap._prefixes
+    monkeypatch.setattr(split_overlap, "_prefixes", lambda *args: prefixes(*args).withColumn("prefix", F.transform("prefix", lambda t: t % 97)))
+    monkeypatch.setattr(split_overlap, "POSITION_BITS", 3)
+    monkeypatch.setattr(split_overlap, "SLICES", 3)
+    got = {tuple(r) for r in split_overlap.overlap_pairs(*split_overlap.overlap_links(spark.createDataFrame(rows, SCHEMA))).collect()}
+    side = {r[0]: r[4] for r in rows}
+    want = {(a, b) for a, b in similar(rows, 3) if {side[a], side[b]} <= {"train", "val", "test"} and (side[a] == "train") != (side[b] == "train")}
+    assert got == want and want
+
+
+def test_overlap_frees_the_disk_step_by_step(spark, monkeypatch):
+    folders = list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    shuffled = lambda: {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*")}
+    write, left = Scratch.write, {}
+
+    def watched(self, df, name="t", **options):
+        before, until = shuffled(), time.monotonic() + 10
+        out = write(self, df, name, **options)
+        while shuffled() - before and time.monotonic() < until:
+            time.sleep(0.1)
+        left[name] = shuffled() - before
+        return out
+
+    monkeypatch.setattr(Scratch, "write", watched)
+    scratch = Scratch(spark, "split-overlap")
+    links, members = split_overlap.overlap_links(spark.createDataFrame(records(6, 120), SCHEMA), scratch=scratch)
+    assert links.count() and members.count() and not any(left.values()), left
+    assert sorted(t.split("-")[1] for t in os.listdir(scratch.root.removeprefix("file://"))) == ["links", "members"]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+
+
 def test_overlap_report_counts_all_rows(spark):
     rows = records(2, 120)
     df = spark.createDataFrame(rows, SCHEMA)
